@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source project is batch-only: no stream sources, watermarks, windows over event
+time or state. Nothing here is needed to match it; the batch operators in
+``hourglass.operators`` are written as DataFrame expressions, so they can be applied
+unchanged to a streaming DataFrame where their semantics allow (projections,
+filters, stream-static joins against the context table).
+"""
