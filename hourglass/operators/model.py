@@ -12,7 +12,13 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import (
+    IndexToString,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+    VectorIndexer,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame, Window
@@ -28,10 +34,20 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
                            handleInvalid=handle_invalid).transform(df)
 
 
-def index_label(df: DataFrame, col: str, out: str = "label") -> DataFrame:
-    """M2: label to a double index in alphabetical order, so 0 -> 0.0 and 1 -> 1.0
-    whatever the class frequencies (the frequency order could swap them)."""
-    model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc").fit(df)
+def index_label(df: DataFrame, col: str, out: str = "label",
+                labels: Sequence[str] | None = ("0", "1")) -> DataFrame:
+    """M2: label to a double index.
+
+    With ``labels`` the mapping is fixed (``labels[i]`` -> i): 0 -> 0.0 and 1 -> 1.0
+    even when the class frequencies flip or a class is absent from ``df``, and no
+    fitting pass over the data is needed. ``labels=None`` fits a ``StringIndexer`` in
+    alphabetical order.
+    """
+    if labels is not None:
+        model = StringIndexerModel.from_labels(list(labels), inputCol=col, outputCol=out,
+                                               handleInvalid="error")
+    else:
+        model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc").fit(df)
     return model.transform(df)
 
 
@@ -137,18 +153,29 @@ def coefficient_matrix(model, names: Sequence[str] | None = None):
 
 # --- statistics --------------------------------------------------------------
 
+def pearson(a, b):
+    """Pearson r over rows where both are present; null (not an error) when either
+    side has zero variance. Built from mergeable population moments."""
+    a = F.col(a).cast("double") if isinstance(a, str) else a
+    b = F.col(b).cast("double") if isinstance(b, str) else b
+    both = a.isNotNull() & b.isNotNull()
+    am, bm = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(am, bm), F.sqrt(F.var_pop(am) * F.var_pop(bm)))
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair as a long table (var_a, var_b, r).
 
     All k*(k+1)/2 coefficients come from one aggregate (each a mergeable partial
-    state), mirrored to the full k*k table.
+    state), mirrored to the full k*k table. ``Correlation.corr`` gives the same
+    matrix as a driver-side object.
     """
     cols = list(cols)
     aggs, pairs = [], []
     for i, a in enumerate(cols):
         for b in cols[i:]:
             name = f"{a}__{b}"
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(name))
+            aggs.append(pearson(a, b).alias(name))
             pairs.append((a, b, name))
     wide = df.agg(*aggs)
     rows = []

@@ -31,11 +31,14 @@ def min_max_scale(df: DataFrame, cols: Sequence[str] | str,
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
     out = dict(out or {c: f"{c}_norm" for c in cols})
-    stats = range_stats(df, cols)
-    return df.withColumns({
-        out[c]: F.try_divide(F.col(c).cast("double") - stats[f"{c}_min"],
-                             stats[f"{c}_max"] - stats[f"{c}_min"])
-        for c in cols})
+    # Bind the scalar once: each field access on the subquery expression itself
+    # would be planned as a separate subquery (and recompute ``df`` once per use).
+    staged = df.withColumn("__range", range_stats(df, cols))
+    rng = F.col("__range")
+    return staged.withColumns({
+        out[c]: F.try_divide(F.col(c).cast("double") - rng[f"{c}_min"],
+                             rng[f"{c}_max"] - rng[f"{c}_min"])
+        for c in cols}).drop("__range")
 
 
 def fixed_range_scale(c, lo: float, hi: float) -> Column:
