@@ -51,8 +51,14 @@ def concat_date_time(date_col: ColumnOrName, time_col: ColumnOrName) -> Column:
 
 
 def parse_timestamp(c: ColumnOrName, fmt: str) -> Column:
-    """Tolerant parse to wall-clock ``timestamp_ntz``; bad or blank text gives null."""
-    return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")
+    """Tolerant parse to wall-clock ``timestamp_ntz``; bad or blank text gives null.
+
+    Parsed straight to ``timestamp_ntz`` so the session time zone never shifts a
+    wall-clock time (a local time skipped by a daylight-saving change stays as
+    written); ``try_to_timestamp`` only guards against text that does not parse.
+    """
+    c, f = _col(c), F.lit(fmt)
+    return F.when(F.try_to_timestamp(c, f).isNotNull(), F.to_timestamp_ntz(c, f))
 
 
 def parse_crash_ts(c: ColumnOrName) -> Column:
@@ -62,7 +68,7 @@ def parse_crash_ts(c: ColumnOrName) -> Column:
 
 def parse_crash_date(c: ColumnOrName) -> Column:
     """``MM/dd/yyyy`` to ``date``."""
-    return F.try_to_timestamp(_col(c), F.lit(CRASH_DATE_FORMAT)).cast("date")
+    return F.try_to_date(_col(c), CRASH_DATE_FORMAT)
 
 
 def parse_context_ts(c: ColumnOrName) -> Column:
@@ -70,9 +76,21 @@ def parse_context_ts(c: ColumnOrName) -> Column:
     return parse_timestamp(c, CONTEXT_TS_FORMAT)
 
 
+_TRUNC_UNITS = ("year", "month", "day", "hour", "minute")
+
+
 def trunc_time(c: ColumnOrName, unit: str = "hour") -> Column:
-    """Round down to year / month / day / hour / minute, kept as ``timestamp_ntz``."""
-    return F.date_trunc(unit, _col(c)).cast("timestamp_ntz")
+    """Round down to year / month / day / hour / minute as ``timestamp_ntz``.
+
+    Rebuilt from the wall-clock fields, so the result does not depend on the
+    session time zone (``date_trunc`` would pass through a zoned timestamp).
+    """
+    c = _col(c)
+    keep = _TRUNC_UNITS.index(unit.lower())
+    fields = [F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c)]
+    floor = [None, F.lit(1), F.lit(1), F.lit(0), F.lit(0)]
+    parts = [fields[i] if i <= keep else floor[i] for i in range(len(fields))]
+    return F.make_timestamp_ntz(*parts, F.lit(0))
 
 
 def hour_of(c: ColumnOrName) -> Column:

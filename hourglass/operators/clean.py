@@ -29,26 +29,40 @@ def quarantine_malformed(df: DataFrame, value_col: str = "value",
     return df.withColumn("is_malformed", F.size(arr) != F.lit(n_fields))
 
 
+def crash_cells(df: DataFrame, value_col: str = "value", key_col: str | None = None,
+                n_fields: int = L.CRASH_FIELDS,
+                drop: Sequence[int] = L.CRASH_DROP_ORDINALS) -> DataFrame:
+    """C1 -> C4 -> C5 -> C6 -> C7 (+ C8): ``row_key``, ``is_malformed``, ``cells``.
+
+    ``cells`` holds the kept cells with empties filled; a line whose repaired form
+    has the wrong cell count keeps its row with every cell set to the sentinel.
+    The split runs once per line in its own projection, so the per-cell
+    expressions below read a column instead of re-splitting the line.
+    """
+    keyed = with_row_key(df, key_col)
+    arr = L.split_fields(L.repair_delimiters(value_col, n_fields - 1))
+    staged = keyed.select("row_key", arr.alias("_cells"))
+    malformed = F.size("_cells") != F.lit(n_fields)
+    cells = [F.when(malformed, F.lit(L.FILL_VALUE)).otherwise(L.fill_empty(c))
+             for c in L.project_ordinals("_cells", n_fields, drop)]
+    return staged.select("row_key", malformed.alias("is_malformed"), F.array(*cells).alias("cells"))
+
+
 def clean_crash_lines(df: DataFrame, value_col: str = "value", key_col: str | None = None,
                       n_fields: int = L.CRASH_FIELDS,
                       drop: Sequence[int] = L.CRASH_DROP_ORDINALS,
                       keep_flag: bool = False) -> DataFrame:
-    """C13 = C1 -> C4 -> C5 -> C6 -> C7 -> C8 -> C9.
+    """C13 = C1 -> C4 -> C5 -> C6 -> C7 -> C8 -> C9, map-only.
 
     Output ``value`` is ``key,<kept cells>`` (27 cells for the crash layout); with
     ``keep_flag`` the ``row_key`` and ``is_malformed`` columns are kept as well.
     """
-    keyed = with_row_key(df, key_col)
-    arr = L.split_fields(L.repair_delimiters(value_col, n_fields - 1))
-    staged = keyed.select("row_key", arr.alias("_cells"))
-    malformed = F.size("_cells") != F.lit(n_fields)
-    cells = [F.when(malformed, F.lit(L.FILL_VALUE)).otherwise(L.fill_empty(c))
-             for c in L.project_ordinals("_cells", n_fields, drop)]
-    line = L.join_fields([F.col("row_key").cast("string"), *cells])
+    cells = crash_cells(df, value_col, key_col, n_fields, drop)
+    line = F.concat_ws(",", F.col("row_key").cast("string"), F.col("cells"))
     cols = [line.alias("value")]
     if keep_flag:
-        cols = ["row_key", malformed.alias("is_malformed"), *cols]
-    return staged.select(*cols)
+        cols = ["row_key", "is_malformed", *cols]
+    return cells.select(*cols)
 
 
 def distinct_lines(df: DataFrame, col: str = "value", sort: bool = True) -> DataFrame:

@@ -191,9 +191,11 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
     One pass builds the contingency counts of every (feature, value, label) cell
     (features are unpivoted, so each distinct value is a category; rows where a
-    feature is null are left out of that feature's table); the expected
-    counts come from window sums over these small cell tables. Output: feature,
-    statistic, degrees of freedom.
+    feature is null are left out of that feature's table). Expected counts need
+    the row total of each (feature, value), a window over at most #labels cells,
+    and the column totals per (feature, label), a table of #features x #labels rows
+    joined back (broadcast at run time). No task ever holds all cells of a feature.
+    Output: feature, statistic, degrees of freedom.
     """
     long = df.select(F.col(label).cast("string").alias("__y"),
                      F.explode(F.array(*[F.struct(F.lit(f).alias("feature"),
@@ -202,16 +204,16 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     cells = long.filter(F.col("__kv.value").isNotNull()).groupBy(
         F.col("__kv.feature").alias("feature"), F.col("__kv.value").alias("value"), "__y",
     ).agg(F.count(F.lit(1)).alias("o"))
-    by_f = Window.partitionBy("feature")
-    row_tot = F.sum("o").over(Window.partitionBy("feature", "value"))
-    col_tot = F.sum("o").over(Window.partitionBy("feature", "__y"))
-    n = F.sum("o").over(by_f)
-    framed = cells.select("feature", "value", "__y", "o", row_tot.alias("r"), col_tot.alias("c"), n.alias("n"))
-    # Cells absent from the table have o = 0 and contribute their expected count.
+    cells = cells.withColumn("r", F.sum("o").over(Window.partitionBy("feature", "value")))
+    col_tot = cells.groupBy("feature", "__y").agg(F.sum("o").alias("c"))
+    n_tot = col_tot.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_labels"))
+    framed = cells.join(col_tot, ["feature", "__y"]).join(n_tot, "feature")
+    # sum((o - e)^2 / e) over all cells = sum(o^2 / e) - n, with e = r * c / n;
+    # cells absent from the table have o = 0 and add nothing to the first sum.
     stats = framed.groupBy("feature").agg(
         F.sum((F.col("o") * F.col("o")).cast("double") * F.col("n") / (F.col("r") * F.col("c"))).alias("s"),
-        F.max("n").alias("n"),
-        F.count_distinct("value").alias("n_values"), F.count_distinct("__y").alias("n_labels"))
+        F.max("n").alias("n"), F.max("n_labels").alias("n_labels"),
+        F.count_distinct("value").alias("n_values"))
     return stats.select(
         "feature",
         (F.col("s") - F.col("n").cast("double")).alias("statistic"),

@@ -143,7 +143,8 @@ def s5_write_lines(spark, d):
 
 def L_cells_line(spark, d) -> DataFrame:
     """Cleaned cells without the row key (C9 output)."""
-    return _c13(spark, d).select(F.regexp_replace("value", "^[^,]*,", "").alias("value"))
+    cells = C.crash_cells(V.crash_lines(spark, d), key_col="line_key")
+    return cells.select(L.join_fields([F.col("cells")]).alias("value"))
 
 
 P1_SQL = with_views(f"""
@@ -261,9 +262,8 @@ def c8_with_row_key(spark, d):
 
 @register("c9_join_fields", with_views("SELECT row_key, cells_line AS value FROM crash_clean", "crash_clean"))
 def c9_join_fields(spark, d):
-    _, cells = L.clean_crash_cells("value")
-    return V.crash_lines(spark, d).select(F.col("line_key").alias("row_key"),
-                                          L.join_fields(cells).alias("value"))
+    cells = C.crash_cells(V.crash_lines(spark, d), key_col="line_key")
+    return cells.select("row_key", L.join_fields([F.col("cells")]).alias("value"))
 
 
 @register("c10_distinct_lines", with_views("SELECT DISTINCT cells_line AS value FROM crash_clean",

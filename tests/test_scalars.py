@@ -115,3 +115,15 @@ def test_fraction_zero_denominator(spark):
     df = spark.createDataFrame([(1, 2), (1, 0)], "a long, b long")
     assert [r[0] for r in df.select(X.fraction("a", "b")).collect()] == [0.5, None]
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_wall_clock_semantics_in_a_dst_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = one_col(spark, ["03/10/2024 2:30", "bad"])
+        got = df.select(X.parse_crash_ts("v").alias("t")).select("t", X.trunc_time("t").alias("h")).collect()
+        assert tuple(got[0]) == (dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 2, 0))
+        assert tuple(got[1]) == (None, None)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
