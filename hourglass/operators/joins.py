@@ -1,9 +1,10 @@
 """Equi-joins between facts and context (K1-K4).
 
 The context side (one row per hour or day) is small next to the facts, but it is
-only broadcast after a bounded size check (``fits_broadcast``): a probe that reads
-at most ``max_rows + 1`` rows and measures their bytes. When the check fails the
-join falls back to a shuffle join, where adaptive execution splits skewed keys.
+only broadcast after a size check (``fits_broadcast``): one aggregate that counts
+its rows and measures their bytes (partial per task, nothing gathered). When the
+check fails the join falls back to a shuffle join, where adaptive execution
+splits skewed keys.
 
 ``context_left_facts`` (context LEFT JOIN facts) is rewritten as
 ``inner join  UNION ALL  context rows whose key never occurs in the facts``. The
@@ -31,8 +32,10 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
                    max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and at most ``max_bytes`` bytes.
 
-    Runs one bounded job: it never reads more than ``max_rows + 1`` rows of the
-    (possibly derived) table. String and binary columns are measured exactly.
+    Runs one aggregate job over ``df`` (a count and the exact byte length of its
+    string and binary columns; fixed-width columns at their width). A ``limit``
+    probe is avoided on purpose: it gathers up to ``max_rows`` rows *per partition*
+    into a single task.
     """
     fixed = 0
     var_cols = []
@@ -46,11 +49,10 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
             fixed += 64
     row_width = fixed + 8 * (len(df.columns) + 1)
     cap = max_rows if max_rows is not None else max(1, max_bytes // row_width)
-    probe = df.limit(cap + 1)
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"b{i}")
              for i, c in enumerate(var_cols)]
-    row = probe.agg(*aggs).first()
+    row = df.agg(*aggs).first()
     n = row["n"]
     size = n * row_width + sum(row[f"b{i}"] for i in range(len(var_cols)))
     return n <= cap and size <= max_bytes

@@ -22,6 +22,7 @@ from hourglass.operators import model as M
 from hourglass.operators import sample as B
 from hourglass.operators import scale as S
 from hourglass.plans.lookalike import hour_key
+from hourglass.session import materialize
 
 # Parameters of the source project's runs.
 FINAL_SAMPLE = dict(fraction=0.0166, seed=1823)   # keep no-crash hours, sample crash hours
@@ -172,7 +173,7 @@ def train_crash_model(training: DataFrame, features=FINAL_FEATURES, seed: int =
                       max_iter: int = 150, model_path: str | None = None):
     """Q4: M1 -> M2 -> B4 -> M3 -> M9 -> M11 (-> S7). Returns (model, metric rows)."""
     data = M.index_label(M.assemble(training, list(features), handle_invalid="skip"), "has_accident")
-    data = data.select("features", "label").checkpoint()  # cut lineage before iterative fitting
+    data = materialize(data.select("features", "label"), "crash-model-input")  # before iterative fitting
     train, test = data.randomSplit([0.7, 0.3], seed)
     model = M.fit_logistic(train, max_iter=max_iter)
     rows = [("logistic", "n_train", float(train.count())), ("logistic", "n_test", float(test.count()))]
@@ -197,7 +198,7 @@ def area_model(ctx: DataFrame, facts: DataFrame, zip_code: str, features=AREA_FE
     """Q7: logistic (binomial and multinomial) and naive Bayes on the narrowed sample."""
     data = area_dataset(ctx, facts, zip_code, keys)
     data = M.index_label(M.assemble(data, list(features), handle_invalid="skip"), "has_accident")
-    data = data.select("features", "label").checkpoint()
+    data = materialize(data.select("features", "label"), "area-model-input")
     train, test = data.randomSplit([0.7, 0.3], seed)
     rows = [("area", "n_train", float(train.count())), ("area", "n_test", float(test.count()))]
     rows += _metrics_rows("logistic", M.fit_logistic(train, max_iter=max_iter), train, test, list(features),

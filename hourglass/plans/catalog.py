@@ -26,7 +26,7 @@ from hourglass.operators import scale as S
 from hourglass.plans import analyses as Q
 from hourglass.plans import lookalike as V
 from hourglass.plans.oracle import CONTEXT_KEEP_ORDINALS, hash_pick, q, weather_code, with_views
-from hourglass.session import checkpoint_root, scratch_path
+from hourglass.session import checkpoint_root, materialize, scratch_path
 from hourglass.sources import io
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -863,7 +863,7 @@ def m2_index_label(spark, d):
 
 
 def _fit_rows(spark, d, kind: str):
-    data = _labelled(spark, d).select("features", "label").checkpoint()
+    data = materialize(_labelled(spark, d).select("features", "label"), "m-input")
     train, test = data.randomSplit([0.7, 0.3], Q.FINAL_SPLIT_SEED)
     if kind == "multinomial":
         model = M.fit_multinomial(train, max_iter=100)
@@ -904,20 +904,32 @@ def _area_labelled(spark, d) -> DataFrame:
 
 @register("m6_fit_random_forest")
 def m6_fit_random_forest(spark, d):
-    data = _area_labelled(spark, d).select("features", "has_accident").checkpoint()
+    data = materialize(_area_labelled(spark, d).select("features", "has_accident"), "rf-input")
     train, test = data.randomSplit([0.7, 0.3], Q.AREA_SPLIT_SEED)
     model = M.fit_random_forest(train, "has_accident")
     return A.prediction_counts(M.score(model, test), "predictedLabel")
 
 
-@register("m7_index_features")
+_AREA_BAL = (f"SELECT * FROM hwc_area WHERE has_accident = 1 OR "
+             f"{hash_pick('sample_key', Q.AREA_SAMPLE['fraction'], Q.AREA_SAMPLE['seed'])}")
+_AREA_FEAT = ("SELECT " + ", ".join(Q.AREA_FEATURES) + " FROM area_bal WHERE "
+              + " AND ".join(f"{c} IS NOT NULL" for c in Q.AREA_FEATURES))
+
+
+@register("m7_index_features", with_views(
+    "SELECT feature_index, n_categories FROM ("
+    + " UNION ALL ".join(f"SELECT {i} AS feature_index, CAST(count(DISTINCT CAST({c} AS DOUBLE)) AS INTEGER) "
+                         f"AS n_categories FROM area_feat" for i, c in enumerate(Q.AREA_FEATURES))
+    + ") t WHERE n_categories <= 10", "hwc_area", extra={"area_bal": _AREA_BAL, "area_feat": _AREA_FEAT}))
 def m7_index_features(spark, d):
     model = M.index_features(_area_labelled(spark, d), max_categories=10)
     rows = [(int(i), len(m)) for i, m in sorted(model.categoryMaps.items())]
     return _rows(spark, rows, "feature_index int, n_categories int")
 
 
-@register("m8_label_to_string")
+@register("m8_label_to_string", with_views(
+    "SELECT sample_key, CASE WHEN prediction = 1 THEN '1' ELSE '0' END AS predictedLabel FROM pred",
+    "hwc_h", extra=dict(TRAINING, pred=RULE)))
 def m8_label_to_string(spark, d):
     pred = _rule_pred(_training(spark, d))
     return M.label_to_string(pred, ["0", "1"]).select("sample_key", "predictedLabel")

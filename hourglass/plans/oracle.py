@@ -179,8 +179,16 @@ SELECT f.fact_id, f.crash_ts, f.fact_day, f.zip_code,
        CASE WHEN f.factor = '-1' THEN 'Unspecified' ELSE f.factor END AS factor,
        f.injured, f.killed, c.*
 FROM facts_d f JOIN ctx_d c ON f.fact_day = c.day_begin WHERE c.weather_summary IS NOT NULL""",
-    # K1 with the derived model columns (Q3 input).
-    "hwc_h": f"""
+    # K1 with the derived model columns (Q3 input), and the zip-narrowed variant (Q7).
+    "hwc_h": "",
+    "facts_area": "SELECT * FROM facts_h WHERE zip_code = '11202'",
+    "hwc_area": "",
+}
+
+
+
+def hours_with_crashes_sql(facts: str, ctx: str = "ctx_h") -> str:
+    return f"""
 SELECT c.*, f.*,
        {weather_code('c.weather_summary')} AS weather,
        f.injured + f.killed AS casualties,
@@ -190,8 +198,11 @@ SELECT c.*, f.*,
        CASE WHEN c.event_name IS NULL THEN 0 ELSE 1 END AS has_event,
        coalesce(f.fact_id, -{hour_key('c.hour_begin')}) AS sample_key,
        CASE WHEN f.injured + f.killed IS NULL THEN 0 ELSE 1 END AS has_accident
-FROM ctx_h c LEFT JOIN facts_h f ON c.hour_begin = f.fact_hour""",
-}
+FROM {ctx} c LEFT JOIN {facts} f ON c.hour_begin = f.fact_hour"""
+
+
+VIEWS["hwc_h"] = hours_with_crashes_sql("facts_h")
+VIEWS["hwc_area"] = hours_with_crashes_sql("facts_area")
 
 DEPS: dict[str, tuple[str, ...]] = {
     "ctx_raw": ("ctx_h",),
@@ -202,6 +213,8 @@ DEPS: dict[str, tuple[str, ...]] = {
     "cw_h": ("facts_h", "ctx_h"),
     "cw_d": ("facts_d", "ctx_d"),
     "hwc_h": ("facts_h", "ctx_h"),
+    "facts_area": ("facts_h",),
+    "hwc_area": ("facts_area", "ctx_h"),
 }
 
 

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults that matter at scale: adaptive execution re-plans joins from runtime
 # sizes, coalesces small shuffle partitions and splits skewed join partitions.
@@ -65,3 +65,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for written stages."""
     root = checkpoint_root(spark)
     return os.path.join(root, "stages", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage of ``df`` by writing it once as parquet under the shared
+    checkpoint root and reading it back.
+
+    Unlike an eager ``DataFrame.checkpoint()`` (one job to compute, a second that
+    recomputes the plan to write it), the plan runs once. A lost executor then
+    re-reads the written files instead of recomputing upstream joins.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

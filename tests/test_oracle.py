@@ -56,7 +56,7 @@ def test_every_query_is_registered_once():
     rows_only = set(qs) - set(sql)
     assert rows_only == {"s7_save_model", "b1_bernoulli_sample", "b4_train_test_split", "m1_assemble",
                          "m3_fit_logistic", "m4_fit_multinomial", "m5_fit_naive_bayes",
-                         "m6_fit_random_forest", "m7_index_features", "m8_label_to_string",
+                         "m6_fit_random_forest",
                          "m11_coefficients", "m12_score", "q4_train_crash_model", "q7_area_model"}
 
 
