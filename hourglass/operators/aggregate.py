@@ -16,15 +16,22 @@ from hourglass.operators.profile import value_counts
 
 
 def factor_share_by_weather(joined: DataFrame, weather: str = "weather_summary",
-                            factor: str = "factor") -> DataFrame:
+                            factor: str = "factor", weight: str | None = None) -> DataFrame:
     """A1: per (weather, factor): ``weather_count``, ``weather_factor_count``, ``frac``.
 
     A null factor forms its own group with count 0 (``count(factor)``) while its rows
     still count towards the weather total. The window runs on the aggregated pairs
-    only (a few rows per weather), never on the facts.
+    only (a few rows per weather), never on the facts. ``weight`` names a row-count
+    column when the input was pre-aggregated.
     """
-    pairs = joined.groupBy(F.col(weather).alias("weather"), F.col(factor).alias("factor")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(F.col(factor)).alias("weather_factor_count"))
+    f = F.col(factor)
+    if weight:
+        w = F.col(weight)
+        aggs = [F.sum(w).alias("_rows"),
+                F.coalesce(F.sum(F.when(f.isNotNull(), w)), F.lit(0)).cast("bigint").alias("weather_factor_count")]
+    else:
+        aggs = [F.count(F.lit(1)).alias("_rows"), F.count(f).alias("weather_factor_count")]
+    pairs = joined.groupBy(F.col(weather).alias("weather"), f.alias("factor")).agg(*aggs)
     total = F.sum("_rows").over(Window.partitionBy("weather"))
     return pairs.select(
         "weather", "factor", total.alias("weather_count"), "weather_factor_count",

@@ -58,12 +58,18 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     return n <= cap and size <= max_bytes
 
 
-def _small(df: DataFrame, broadcast, max_bytes: int) -> bool:
+def resolve_broadcast(df: DataFrame, broadcast="auto",
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """'auto' runs the size check; True/False are taken as given (True only where
+    the caller knows a bound, e.g. a table it has just checked)."""
     if broadcast == "auto":
         return fits_broadcast(df, max_bytes)
     return bool(broadcast)
 
 
+_small = resolve_broadcast
+
+
 def context_left_facts(ctx: DataFrame, facts: DataFrame, ctx_key: str, fact_key: str,
                        broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """K1: every context row with each of its facts, or once with nulls when it has none.

@@ -90,16 +90,36 @@ def crashes_with_weather(facts: DataFrame, ctx: DataFrame, keys: Keys = HOURLY,
                                 broadcast=broadcast)
 
 
+def _weathered_ctx(ctx: DataFrame, keys: Keys) -> DataFrame:
+    return FL.drop_null_rows(ctx, ["weather_summary"]).select(keys.ctx, "weather_summary")
+
+
 def factor_share(facts: DataFrame, ctx: DataFrame, keys: Keys = HOURLY, broadcast="auto") -> DataFrame:
-    """Q5: K2 -> A1 (one job instead of one job per weather/factor pair)."""
-    return A.factor_share_by_weather(crashes_with_weather(facts, ctx, keys, broadcast))
+    """Q5: K2 -> A1 in one job (instead of one job per weather/factor pair).
+
+    Broadcast context: facts stream through a map-side join and are pre-summed per
+    (weather, factor) in every task. Context too large to broadcast: the facts are
+    first reduced to one row per (time key, factor) with its row count, and only
+    those rows take part in the shuffle join.
+    """
+    if K.resolve_broadcast(ctx, broadcast):
+        return A.factor_share_by_weather(crashes_with_weather(facts, ctx, keys, True))
+    pre = facts.groupBy(F.col(keys.fact), X.sentinel_to_label("factor").alias("factor")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    joined = K.facts_inner_context(pre, _weathered_ctx(ctx, keys), keys.fact, keys.ctx, broadcast=False)
+    return A.factor_share_by_weather(joined, weight="_n")
 
 
 def factor_casualties(facts: DataFrame, ctx: DataFrame, keys: Keys = HOURLY,
                       broadcast="auto") -> DataFrame:
-    """Q6: K2 -> J3 -> A2."""
-    joined = FL.row_sum(crashes_with_weather(facts, ctx, keys, broadcast),
-                        ["injured", "killed"], "casualties")
+    """Q6: K2 -> J3 -> A2 in one job; pre-aggregated before a shuffle join like Q5."""
+    if K.resolve_broadcast(ctx, broadcast):
+        joined = FL.row_sum(crashes_with_weather(facts, ctx, keys, True), ["injured", "killed"], "casualties")
+        return A.casualties_by_weather_factor(joined, casualties="casualties")
+    rowwise = FL.row_sum(facts, ["injured", "killed"], "casualties")
+    pre = A.grouped_sums(rowwise.withColumn("factor", X.sentinel_to_label("factor")),
+                         [keys.fact, "factor"], ["injured", "killed", "casualties"])
+    joined = K.facts_inner_context(pre, _weathered_ctx(ctx, keys), keys.fact, keys.ctx, broadcast=False)
     return A.casualties_by_weather_factor(joined, casualties="casualties")
 
 

@@ -1047,6 +1047,12 @@ def q5_factor_share_daily(spark, d):
     return Q.factor_share(V.facts_d(spark, d), V.ctx_d(spark, d), Q.DAILY)
 
 
+@register("q5_factor_share_daily_shuffle", _q5_sql("cw_d"))
+def q5_factor_share_daily_shuffle(spark, d):
+    """Q5 on the path taken when the context is too large to broadcast."""
+    return Q.factor_share(V.facts_d(spark, d), V.ctx_d(spark, d), Q.DAILY, broadcast=False)
+
+
 def _q6_sql(src: str) -> str:
     return with_views(f"""
 SELECT weather_summary AS weather, factor, CAST(sum(injured) AS BIGINT) AS injured,
@@ -1064,6 +1070,20 @@ def q6_factor_casualties_daily(spark, d):
     return Q.factor_casualties(V.facts_d(spark, d), V.ctx_d(spark, d), Q.DAILY)
 
 
+@register("q6_factor_casualties_daily_shuffle", _q6_sql("cw_d"))
+def q6_factor_casualties_daily_shuffle(spark, d):
+    """Q6 on the path taken when the context is too large to broadcast."""
+    return Q.factor_casualties(V.facts_d(spark, d), V.ctx_d(spark, d), Q.DAILY, broadcast=False)
+
+
+@register("k1_context_left_facts_daily_shuffle", with_views(
+    "SELECT c.*, f.* FROM ctx_d c LEFT JOIN facts_d f ON c.day_begin = f.fact_day", "ctx_d", "facts_d"))
+def k1_context_left_facts_daily_shuffle(spark, d):
+    """K1 without broadcast: shuffle inner join plus anti join on distinct fact keys."""
+    return K.context_left_facts(V.ctx_d(spark, d), V.facts_d(spark, d), "day_begin", "fact_day",
+                                broadcast=False)
+
+
 @register("q7_area_model")
 def q7_area_model(spark, d):
     checkpoint_root(spark)
