@@ -47,8 +47,9 @@ def build_session(master: str | None = None, app: str = "hourglass",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a private folder is made and
-    registered, so ``DataFrame.checkpoint()`` works the same way everywhere.
+    Only a local-mode session without one (tests, a laptop) gets a private folder;
+    on a cluster a machine-local folder would be lost with its executor, so a
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by the "
+                               "cluster (HDFS, object store) before running stages that cut lineage")
         configured = tempfile.mkdtemp(prefix="hourglass-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
