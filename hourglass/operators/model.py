@@ -186,6 +186,14 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def correlation_dense(df: DataFrame, cols: Sequence[str]):
+    """M13 as ``pyspark.ml`` gives it: a k x k ``DenseMatrix`` on the driver (k is the
+    number of columns, not rows). Rows with a null in any column are skipped."""
+    from pyspark.ml.stat import Correlation
+    data = assemble(df, cols, handle_invalid="skip")
+    return Correlation.corr(data, "features").head()[0]
+
+
 def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """M14 statistic: Pearson chi-square of each feature against the label.
 

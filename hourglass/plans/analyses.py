@@ -183,6 +183,7 @@ def _metrics_rows(name: str, model, train: DataFrame, test: DataFrame, names,
     pred_train = M.score(model, train)
     rows = [(name, "auc_hard_test", M.eval_auc(pred_test)),
             (name, "auc_hard_train", M.eval_auc(pred_train)),
+            (name, "auc_raw_test", M.eval_auc(pred_test, raw_col="rawPrediction")),
             (name, "accuracy_test", M.eval_accuracy(pred_test))]
     if with_coefficients:
         rows += [(name, f"coef_{t}", v) for t, v in M.coefficients(model, names)]

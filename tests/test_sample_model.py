@@ -63,6 +63,8 @@ def test_correlation_matches_ml(spark):
     for i, x in enumerate(names):
         for j, y in enumerate(names):
             assert ours[(x, y)] == pytest.approx(mat[i][j], abs=1e-12)
+    dense = M.correlation_dense(df, ["a", "b", "c"]).toArray()
+    assert ours[("a", "c")] == pytest.approx(dense[0][2], abs=1e-12)
     const = df.withColumn("k", F.lit(1.0))
     assert {r.r for r in M.correlation_matrix(const, ["a", "k"]).collect() if "k" in (r.var_a, r.var_b)} == {None}
 
