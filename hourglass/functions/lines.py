@@ -51,6 +51,15 @@ def repair_delimiters(c, max_commas: int = MAX_COMMAS) -> Column:
     return F.when(comma_count(c) > F.lit(max_commas), fixed).otherwise(c)
 
 
+def is_well_formed(repaired, n_fields: int = CRASH_FIELDS) -> Column:
+    """C7 test on a repaired line: exactly ``n_fields`` cells, i.e. ``n_fields - 1``
+    commas (same answer as splitting, without building the array). Meant for a
+    projected flag; to filter rows that are split anyway, test ``size`` of the split
+    (a pushed-down filter gets no common-subexpression elimination, and this form
+    reads the line twice)."""
+    return comma_count(repaired) == F.lit(n_fields - 1)
+
+
 def split_fields(c) -> Column:
     """C4: split on commas keeping trailing empty cells."""
     return F.split(_col(c), ",", -1)

@@ -25,8 +25,8 @@ def with_row_key(df: DataFrame, key_col: str | None = None, out: str = "row_key"
 def quarantine_malformed(df: DataFrame, value_col: str = "value",
                          n_fields: int = L.CRASH_FIELDS) -> DataFrame:
     """C7 as a flag: ``is_malformed`` is true when the repaired line has the wrong cell count."""
-    arr = L.split_fields(L.repair_delimiters(value_col, n_fields - 1))
-    return df.withColumn("is_malformed", F.size(arr) != F.lit(n_fields))
+    repaired = L.repair_delimiters(value_col, n_fields - 1)
+    return df.withColumn("is_malformed", ~L.is_well_formed(repaired, n_fields))
 
 
 def crash_cells(df: DataFrame, value_col: str = "value", key_col: str | None = None,

@@ -227,13 +227,17 @@ def c4_split_fields(spark, d):
 _KEPT_IDX = [i for i in range(L.CRASH_FIELDS) if i not in L.CRASH_DROP_ORDINALS]
 
 
+def _well_formed_cells(spark, d) -> DataFrame:
+    """Lines with exactly 29 cells after repair, as cell arrays (C4 + C7 as a filter)."""
+    cells = V.crash_lines(spark, d).select("line_key", L.split_fields(L.repair_delimiters("value")).alias("cells"))
+    return cells.filter(F.size("cells") == L.CRASH_FIELDS)
+
+
 @register("c5_project_ordinals", with_views(
     "SELECT line_key, concat_ws('|', " + ", ".join(f"cells[{i + 1}]" for i in _KEPT_IDX) + ") AS cells "
     f"FROM crash_cells WHERE len(cells) = {L.CRASH_FIELDS}", "crash_cells"))
 def c5_project_ordinals(spark, d):
-    arr = L.split_fields(L.repair_delimiters("value"))
-    staged = V.crash_lines(spark, d).select("line_key", arr.alias("cells"))
-    return staged.filter(F.size("cells") == L.CRASH_FIELDS).select(
+    return _well_formed_cells(spark, d).select(
         "line_key", F.concat_ws("|", *L.project_ordinals("cells")).alias("cells"))
 
 
@@ -242,9 +246,7 @@ def c5_project_ordinals(spark, d):
         f"CASE WHEN cells[{i + 1}] = '' THEN '-1' ELSE cells[{i + 1}] END" for i in range(L.CRASH_FIELDS))
     + f") AS cells FROM crash_cells WHERE len(cells) = {L.CRASH_FIELDS}", "crash_cells"))
 def c6_fill_empty(spark, d):
-    arr = L.split_fields(L.repair_delimiters("value"))
-    staged = V.crash_lines(spark, d).select("line_key", arr.alias("cells"))
-    return staged.filter(F.size("cells") == L.CRASH_FIELDS).select(
+    return _well_formed_cells(spark, d).select(
         "line_key", F.concat_ws("|", *[L.fill_empty(F.try_element_at("cells", F.lit(i + 1)))
                                       for i in range(L.CRASH_FIELDS)]).alias("cells"))
 
