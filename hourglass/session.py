@@ -49,9 +49,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Only a local-mode session without one (tests, a laptop) gets a private folder;
     on a cluster a machine-local folder would be lost with its executor, so a
-    missing setting is an error there.
+    missing setting is an error there. Sessions without a ``SparkContext`` (Spark
+    Connect) read the setting from the session configuration.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
