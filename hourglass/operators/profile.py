@@ -58,8 +58,16 @@ def value_counts(df: DataFrame, col: str, sort: str | None = "count") -> DataFra
     return out
 
 
-def count_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exact distinct non-null values per column."""
+def count_distinct(df: DataFrame, cols: Sequence[str], approx: bool = False,
+                   rsd: float = 0.01) -> DataFrame:
+    """Distinct non-null values per column.
+
+    Exact by default (every distinct value is shuffled once). ``approx=True`` uses
+    HyperLogLog++ sketches (``approx_count_distinct``, relative error ``rsd``): fixed
+    size per task, merged in one step, for high-cardinality columns at scale.
+    """
+    if approx:
+        return df.agg(*[F.approx_count_distinct(F.col(c), rsd).alias(c) for c in cols])
     return df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols])
 
 

@@ -19,6 +19,7 @@ def test_counts(df):
     assert tuple(P.null_counts(df, ["n"]).first()) == (1,)
     assert tuple(P.sentinel_counts(df, ["s"]).first()) == (2,)
     assert P.count_distinct(df, ["k", "n"]).first().asDict() == {"k": 2, "n": 2}
+    assert P.count_distinct(df, ["k", "n"], approx=True).first().asDict() == {"k": 2, "n": 2}
 
 
 def test_value_counts_orders(df):
