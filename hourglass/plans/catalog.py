@@ -782,10 +782,12 @@ def t2_top_n(spark, d):
 
 
 @register("t3_head", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem "
-                     "ORDER BY l_orderkey, l_linenumber LIMIT 10")
+                     "ORDER BY l_orderkey, l_linenumber, l_quantity LIMIT 10")
 def t3_head(spark, d):
+    # (l_orderkey, l_linenumber) repeats in the larger tables: order by every output
+    # column so the first 10 rows are one well-defined answer.
     li = V.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return O.head(li, 10, ["l_orderkey", "l_linenumber"])
+    return O.head(li, 10, ["l_orderkey", "l_linenumber", "l_quantity"])
 
 
 @register("t4_top_factors", _q5_sql(
@@ -939,9 +941,9 @@ def m8_label_to_string(spark, d):
 
 @register("m9_auc_hard", with_views("""
 SELECT ((CAST(count(*) FILTER (WHERE label = 1 AND prediction = 1) AS DOUBLE)
-         / CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE))
+         / NULLIF(CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE), 0))
       + (CAST(count(*) FILTER (WHERE label = 0 AND prediction = 0) AS DOUBLE)
-         / CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE))) / CAST(2 AS DOUBLE) AS auc_hard
+         / NULLIF(CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE), 0))) / CAST(2 AS DOUBLE) AS auc_hard
 FROM pred""", "hwc_h", extra=dict(TRAINING, pred=RULE)))
 def m9_auc_hard(spark, d):
     return M.auc_hard(_rule_pred(_training(spark, d)))
@@ -972,7 +974,9 @@ def _m13_sql() -> str:
     parts = []
     for i, a in enumerate(_M13):
         for b in _M13[i:]:
-            expr = f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6)"
+            # Undefined (a constant column) is NULL, as in the Spark operator.
+            c = f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+            expr = f"round(CASE WHEN isnan({c}) THEN NULL ELSE {c} END, 6)"
             parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, {expr} AS r FROM hwc_h")
             if a != b:
                 parts.append(f"SELECT '{b}' AS var_a, '{a}' AS var_b, {expr} AS r FROM hwc_h")
