@@ -2,6 +2,11 @@
 
 ``top_n`` is a limit over a total order, which Spark runs as a per-task top-n and
 one small merge (TakeOrderedAndProject), never a full sort.
+
+Full sorts are range-partitioned, and a range partitioner sends equal keys to one
+partition: a value that holds a third of all rows would be sorted by a single task.
+``spread_ties`` appends a unique row id as the last sort key. The order of tied rows
+is unspecified anyway, and with the id a hot value spans several range partitions.
 """
 
 from __future__ import annotations
@@ -16,9 +21,19 @@ def _order(col: str, tiebreak: Sequence[str] = ()):
     return [F.desc_nulls_last(col), *[F.asc_nulls_first(t) for t in tiebreak]]
 
 
-def sort_desc(df: DataFrame, col: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+_TIE = "__tie"
+
+
+def _spread_sort(df: DataFrame, keys: list, spread_ties: bool) -> DataFrame:
+    if not spread_ties:
+        return df.orderBy(*keys)
+    return (df.withColumn(_TIE, F.monotonically_increasing_id())
+            .orderBy(*keys, F.col(_TIE)).drop(_TIE))
+
+
+def sort_desc(df: DataFrame, col: str, tiebreak: Sequence[str] = (), spread_ties: bool = True) -> DataFrame:
     """Sort by one column descending (nulls last), optional ascending tie-breakers."""
-    return df.orderBy(*_order(col, tiebreak))
+    return _spread_sort(df, _order(col, tiebreak), spread_ties)
 
 
 def top_n(df: DataFrame, col: str, n: int, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -43,9 +58,9 @@ def top_factors(shares: DataFrame, weather: str | None = None, exclude: str | No
     return out.limit(n) if n else out
 
 
-def sort_lines(df: DataFrame, col: str = "value") -> DataFrame:
-    """T5: byte order (range-partitioned sort, many reducers)."""
-    return df.orderBy(col)
+def sort_lines(df: DataFrame, col: str = "value", spread_ties: bool = True) -> DataFrame:
+    """T5: byte order (range-partitioned sort, many reducers; repeated lines spread)."""
+    return _spread_sort(df, [F.col(col)], spread_ties)
 
 
 def union_all(a: DataFrame, b: DataFrame, by_name: bool = False) -> DataFrame:

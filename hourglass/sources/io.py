@@ -98,10 +98,12 @@ def load_stage(spark: SparkSession, path: str) -> DataFrame:
 
 def write_lines(df: DataFrame, path: str, col: str = "value", sort: bool = True,
                 mode: str = "overwrite") -> str:
-    """One text line per row; sorted by bytes through a range-partitioned sort."""
+    """One text line per row; sorted by bytes through a range-partitioned sort
+    (part files in order; repeated lines may span parts, see ``order.sort_lines``)."""
+    from hourglass.operators.order import sort_lines
     out = df.select(F.col(col).alias("value"))
     if sort:
-        out = out.orderBy("value")
+        out = sort_lines(out, "value")
     out.write.mode(mode).text(path)
     return path
 

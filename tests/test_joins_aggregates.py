@@ -106,3 +106,24 @@ def test_order_and_sets(spark):
     shares = spark.createDataFrame([("w", "Unspecified", 0.5), ("w", "X", 0.3), ("v", "Y", 0.9)],
                                    "weather string, factor string, frac double")
     assert [r.factor for r in O.top_factors(shares, weather="w").collect()] == ["X"]
+
+
+def test_hot_value_sort_spreads_over_partitions(spark):
+    # One value holds a third of the rows; with the unique tie key it spans several
+    # range partitions. Coalescing is off here so the 8 range partitions stay visible.
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                        .otherwise(F.format_string("v%05d", F.col("id"))).alias("value"))
+
+        def hot_per_partition(out):
+            return out.rdd.glom().map(lambda rows: sum(r.value == "hot" for r in rows)).collect()
+
+        spread = hot_per_partition(O.sort_lines(df))
+        assert sum(spread) == 10_000 and max(spread) < 10_000
+        assert max(hot_per_partition(O.sort_lines(df, spread_ties=False))) == 10_000
+        lines = [r.value for r in O.sort_lines(df).collect()]
+        assert lines == sorted(lines)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
