@@ -60,3 +60,41 @@ def test_context_left_facts_matches_brute_force(spark, ctx_keys, fact_keys, broa
         hits = [100 + j for j, fk in enumerate(fact_keys) if ck is not None and fk == ck]
         want += [(i, h) for h in hits] or [(i, None)]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+WEATHER = st.sampled_from(["rain", "fog", None])
+FACTOR = st.sampled_from(["A", "B", "-1", None])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 4), WEATHER), min_size=1, max_size=8),
+       st.lists(st.tuples(KEYS, FACTOR), min_size=1, max_size=20), st.booleans())
+def test_factor_share_matches_brute_force(spark, ctx_rows, fact_rows, broadcast):
+    from hourglass.plans import analyses as Q
+    ctx = spark.createDataFrame([(_ts(k), w) for k, w in ctx_rows], "hour_begin timestamp_ntz, weather_summary string")
+    facts = spark.createDataFrame([(i, _ts(k), f, 1, 0) for i, (k, f) in enumerate(fact_rows)],
+                                  "fact_id long, fact_hour timestamp_ntz, factor string, injured int, killed int")
+    got = {(r.weather, r.factor): (r.weather_count, r.weather_factor_count)
+           for r in Q.factor_share(facts, ctx, broadcast=broadcast).collect()}
+    # brute force: every (fact, context row) pair with the same hour and a weather
+    pairs = [(w, "Unspecified" if f == "-1" else f)
+             for k, f in fact_rows for ck, w in ctx_rows if k is not None and k == ck and w is not None]
+    want = {}
+    for w, f in pairs:
+        total = sum(1 for w2, _ in pairs if w2 == w)
+        want[(w, f)] = (total, sum(1 for w2, f2 in pairs if w2 == w and f2 == f and f is not None))
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.integers(-10**12, 10**12), min_size=1, max_size=60, unique=True),
+       st.floats(0.0, 1.0), st.integers(0, 10**6))
+def test_hash_sample_matches_brute_force(spark, keys, fraction, seed):
+    import hashlib
+
+    from hourglass.operators import sample as B
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = sorted(r.k for r in B.hash_sample(df, "k", fraction, seed).collect())
+    limit = int(fraction * 2**32)
+    want = sorted(k for k in keys if int(hashlib.md5(f"{seed}:{k}".encode()).hexdigest()[:8], 16) < limit)
+    assert got == want
