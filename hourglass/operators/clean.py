@@ -48,6 +48,25 @@ def crash_cells(df: DataFrame, value_col: str = "value", key_col: str | None = N
     return staged.select("row_key", malformed.alias("is_malformed"), F.array(*cells).alias("cells"))
 
 
+# Names given to the 26 kept cells of the crash layout, in cell order.
+CRASH_COLUMNS = (
+    "crash_date", "crash_time", "borough", "zip_code", "latitude", "longitude",
+    "on_street", "cross_street", "off_street",
+    "ped_injured", "ped_killed", "cyc_injured", "cyc_killed", "mot_injured", "mot_killed",
+    "factor_1", "factor_2", "factor_3", "factor_4", "factor_5", "collision_id",
+    "vehicle_1", "vehicle_2", "vehicle_3", "vehicle_4", "vehicle_5",
+)
+
+
+def crash_table(df: DataFrame, value_col: str = "value", key_col: str | None = None) -> DataFrame:
+    """Cleaned crash lines as a named, all-string table: ``row_id`` plus the 26 kept
+    cells (``-1`` for empty or quarantined). This is what the cleaned CSV reads back
+    as, and the input of ``plans.analyses.prepare_facts``; map-only."""
+    cells = crash_cells(df, value_col, key_col)
+    return cells.select(F.col("row_key").alias("row_id"),
+                        *[F.col("cells")[i].alias(name) for i, name in enumerate(CRASH_COLUMNS)])
+
+
 def clean_crash_lines(df: DataFrame, value_col: str = "value", key_col: str | None = None,
                       n_fields: int = L.CRASH_FIELDS,
                       drop: Sequence[int] = L.CRASH_DROP_ORDINALS,

@@ -1021,6 +1021,25 @@ def q1_prepare_facts(spark, d):
     return _q1(spark, d)
 
 
+LINES_BOROUGH = "BROOKLYN"
+LINES_LO, LINES_HI = "1997-01-01", "1999-12-31"
+
+
+@register("q1_prepare_facts_from_lines", with_views(f"""
+SELECT CAST(c[1] AS BIGINT) AS fact_id, crash_ts, date_trunc('hour', crash_ts) AS fact_hour, c[5] AS zip_code,
+       TRY_CAST(c[11] AS INTEGER) + TRY_CAST(c[13] AS INTEGER) + TRY_CAST(c[15] AS INTEGER) AS injured,
+       TRY_CAST(c[12] AS INTEGER) + TRY_CAST(c[14] AS INTEGER) + TRY_CAST(c[16] AS INTEGER) AS killed,
+       CASE WHEN c[17] = '-1' THEN 'Unspecified' ELSE c[17] END AS factor
+FROM (SELECT c, try_strptime(concat(c[2], ' ', c[3]), '%m/%d/%Y %H:%M') AS crash_ts,
+             CAST(try_strptime(c[2], '%m/%d/%Y') AS DATE) AS crash_day
+      FROM (SELECT string_split(value, ',') AS c FROM crash_clean) t WHERE c[4] = {q(LINES_BOROUGH)}) r
+WHERE crash_day > DATE '{LINES_LO}' AND crash_day < DATE '{LINES_HI}'""", "crash_clean"))
+def q1_prepare_facts_from_lines(spark, d):
+    """The full crash path: raw lines -> cleaner -> named table -> Q1."""
+    table = C.crash_table(V.crash_lines(spark, d), key_col="line_key")
+    return Q.prepare_facts(table, LINES_BOROUGH, LINES_LO, LINES_HI)
+
+
 @register("q2_prepare_context", with_views("""
 SELECT try_strptime(hour_beginning, '%m/%d/%Y %I:%M:%S %p') AS hour_begin,
        TRY_CAST(pedestrians AS INTEGER) AS pedestrians, weather_summary,

@@ -111,3 +111,13 @@ def test_count_records(spark):
     keyed = spark.createDataFrame([(0, "hour_beginning,location"), (40, "x,location"), (80, "y")],
                                   "offset long, value string")
     assert P.count_records_skip_header(keyed).first().n_records == 2
+
+
+def test_crash_table_names_kept_cells(spark):
+    line = cells29(c0="01/02/2020", c1="3:04", c2="BROOKLYN", c18="", c23="77")
+    df = spark.createDataFrame([(5, line)], "k long, value string")
+    row = C.crash_table(df, key_col="k").first()
+    assert len(row) == 27 and row.row_id == 5
+    assert (row.crash_date, row.crash_time, row.borough) == ("01/02/2020", "3:04", "BROOKLYN")
+    assert (row.on_street, row.ped_injured, row.factor_1, row.collision_id, row.vehicle_5) == \
+        ("v7", "v12", "-1", "77", "v28")
