@@ -82,3 +82,26 @@ def test_hot_key_gives_same_result_on_every_path(spark):
     assert sorted(tuple(r) for r in Q.factor_casualties(facts, ctx, broadcast=False).collect()) == c_true
     assert sum(r[2] for r in c_true) == facts.join(ctx.dropna(), facts.fact_hour == ctx.hour_begin) \
         .agg(F.sum("injured")).first()[0]
+
+
+@needs_data
+def test_readme_flow_from_files(spark):
+    """The usage in the README: raw text and CSV files in, shares and a model out."""
+    from hourglass.operators import clean
+    from hourglass.session import scratch_path
+    from hourglass.sources import io
+    lines_path = scratch_path(spark, "raw-lines")
+    V.crash_lines(spark, SF).select("value").write.text(lines_path)
+    ctx_path = scratch_path(spark, "raw-ctx")
+    raw_ctx = V.ctx_raw(spark, SF).drop("ctx_key")
+    io.write_csv(raw_ctx, ctx_path)
+    lines = io.read_lines(spark, lines_path)
+    facts = Q.prepare_facts(clean.crash_table(lines), "BROOKLYN", "1997-01-01", "1999-12-31")
+    ctx = Q.prepare_context(io.read_csv_strings(spark, ctx_path, raw_ctx.columns))
+    assert facts.count() > 0 and ctx.count() > 0
+    shares = Q.factor_share(facts, ctx)
+    assert shares.columns == ["weather", "factor", "weather_count", "weather_factor_count", "frac"]
+    shares.collect()
+    training = Q.training_table(V.ctx_h(spark, SF), V.facts_h(spark, SF))
+    model, metrics = Q.train_crash_model(training, max_iter=20, model_path=scratch_path(spark, "lr"))
+    assert model.numFeatures == 6 and dict((m, v) for _, m, v in metrics)["n_train"] > 0
