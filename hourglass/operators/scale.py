@@ -27,7 +27,9 @@ def min_max_scale(df: DataFrame, cols: Sequence[str] | str,
                   out: Mapping[str, str] | None = None) -> DataFrame:
     """``(x - min) / (max - min)`` with min and max measured on ``df``.
 
-    A constant column (min = max) gives null instead of a division error.
+    A constant column (min = max) gives null instead of a division error. ``df`` is
+    read twice (ranges, then scaling): write an expensive input once first
+    (``hourglass.session.materialize``).
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
     out = dict(out or {c: f"{c}_norm" for c in cols})

@@ -143,11 +143,21 @@ def hours_with_crashes(ctx: DataFrame, facts: DataFrame, keys: Keys = HOURLY,
 
 def training_table(ctx: DataFrame, facts: DataFrame, fraction: float = FINAL_SAMPLE["fraction"],
                    seed: int = FINAL_SAMPLE["seed"], keys: Keys = HOURLY, broadcast="auto",
-                   sampling: str = "hash") -> DataFrame:
-    """Q3: K1 -> X11 -> J3 -> X15 -> X7 -> X9 -> B3 -> X17/X18 -> J0."""
+                   sampling: str = "hash", stage: bool = True) -> DataFrame:
+    """Q3: K1 -> X11 -> J3 -> X15 -> X7 -> X9 -> B3 -> X17/X18 -> J0.
+
+    The ranges for scaling are measured on the balanced sample, and so is the scaling
+    itself: two passes over the sample. With ``stage`` (default) the sample, which is
+    small next to the facts, is written once under the checkpoint root and both passes
+    read it, so the facts and the join behind the sample are scanned once, not twice.
+    """
     j = hours_with_crashes(ctx, facts, keys, broadcast)
     sample = B.balance_classes(j, "has_accident", keep=0, fraction=fraction, seed=seed,
                                key="sample_key", method=sampling)
+    sample = sample.select("sample_key", "temperature", "precipitation", "pedestrians", "weather",
+                           "day", "hour_group", "has_accident")
+    if stage:
+        sample = materialize(sample, "training-sample")
     scaled = S.min_max_scale(sample, ["temperature", "precipitation", "pedestrians"])
     return scaled.select(
         "sample_key",
