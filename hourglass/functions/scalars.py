@@ -126,9 +126,10 @@ def recode(c: ColumnOrName, mapping: Mapping, default=None) -> Column:
     return value if default is None else F.coalesce(value, F.lit(default))
 
 
-def encode_weather(c: ColumnOrName) -> Column:
-    """X11: weather label to code 0..9; unknown or null gives a null int."""
-    return recode(c, {label: code for code, label in enumerate(WEATHER_LABELS)}).cast("int")
+def encode_weather(c: ColumnOrName, labels=WEATHER_LABELS) -> Column:
+    """X11: weather label to its position in ``labels`` (0..9 for the default order);
+    unknown or null gives a null int."""
+    return recode(c, {label: code for code, label in enumerate(labels)}).cast("int")
 
 
 def decode_weather(code: ColumnOrName) -> Column:

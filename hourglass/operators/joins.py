@@ -118,3 +118,15 @@ def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     keys = right.select(F.col(right_key).alias("__anti_key")).distinct()
     keys = F.broadcast(keys) if _small(keys, broadcast, max_broadcast_bytes) else keys
     return left.join(keys, left[left_key] == keys["__anti_key"], "left_anti")
+
+
+def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str | None = None,
+           default=None, broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """X10 for mappings too large for a literal map: left join against a lookup table
+    (broadcast after the size check), ``default`` for keys it lacks. The table must
+    hold one row per key, or rows of ``df`` are repeated."""
+    t = table.select(F.col(key).alias("__lk_key"), F.col(value).alias("__lk_value"))
+    t = F.broadcast(t) if _small(t, broadcast, max_broadcast_bytes) else t
+    joined = df.join(t, df[col] == t["__lk_key"], "left")
+    res = F.col("__lk_value") if default is None else F.coalesce(F.col("__lk_value"), F.lit(default))
+    return joined.withColumn(out or f"{col}_code", res).drop("__lk_key", "__lk_value")

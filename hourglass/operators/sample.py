@@ -52,12 +52,12 @@ def balance_classes(df: DataFrame, label: str, keep, fraction: float, seed: int,
     """Keep class ``keep`` whole and sample every other class at ``fraction``.
 
     ``method='hash'`` (default) is one filter over one scan; ``'native'`` uses
-    ``sampleBy`` (layout-dependent, like ``df.sample``).
+    ``sampleBy`` on "is the kept class" (one scan; layout-dependent, like ``df.sample``).
     """
     lab = F.col(label)
     if method == "native":
-        return df.filter(lab == F.lit(keep)).union(
-            df.filter(lab != F.lit(keep)).sample(False, fraction, seed))
+        stratum = F.coalesce(lab == F.lit(keep), F.lit(False))
+        return df.sampleBy(stratum, {True: 1.0, False: fraction}, seed)
     if key is None:
         raise ValueError("hash balancing needs a row key")
     return df.filter((lab == F.lit(keep)) | hash_pick(key, fraction, seed))

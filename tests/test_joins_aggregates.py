@@ -127,3 +127,11 @@ def test_hot_value_sort_spreads_over_partitions(spark):
         assert lines == sorted(lines)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_lookup_join_recode(spark):
+    df = spark.createDataFrame([("sleet",), ("clear-day",), ("tornado",), (None,)], "w string")
+    table = spark.createDataFrame([("sleet", 0), ("clear-day", 9)], "label string, code int")
+    for bc in ("auto", False):
+        out = {r.w: r.w_code for r in K.lookup(df, "w", table, "label", "code", default=-1, broadcast=bc).collect()}
+        assert out == {"sleet": 0, "clear-day": 9, "tornado": -1, None: -1}
