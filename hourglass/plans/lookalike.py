@@ -163,15 +163,15 @@ def ctx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         hk.alias("ctx_key"),
         F.when(hk % 13 == 0, F.lit(None).cast("string"))
         .otherwise(F.date_format("hour_begin", "MM/dd/yyyy h:m:s a")).alias("hour_beginning"),
-        F.lit("Brooklyn Bridge").alias("location"),
+        F.lit("bridge").alias("location"),
         ped.cast("string").alias("pedestrians"),
         F.floor(ped / 2).cast("string").alias("towards_manhattan"),
         (ped - F.floor(ped / 2)).cast("string").alias("towards_brooklyn"),
         "weather_summary",
         F.col("temperature").cast("string").alias("temperature"),
         F.col("precipitation").cast("string").alias("precipitation"),
-        F.lit("40.7081639691088").alias("lat"),
-        F.lit("-73.9995087014816").alias("long"),
+        F.lit("40.70").alias("lat"),
+        F.lit("-73.99").alias("long"),
         F.col("event_name").alias("events"),
         F.lit("").alias("location1"),
     )

@@ -132,14 +132,14 @@ FROM (SELECT *, {K_EXPR} AS k FROM events) e""",
     "ctx_raw": """
 SELECT hk AS ctx_key,
        CASE WHEN hk % 13 = 0 THEN NULL ELSE strftime(hour_begin, '%m/%d/%Y %-I:%-M:%-S %p') END AS hour_beginning,
-       'Brooklyn Bridge' AS location,
+       'bridge' AS location,
        CAST(pedestrians AS VARCHAR) AS pedestrians,
        CAST(CAST(floor(pedestrians / 2) AS BIGINT) AS VARCHAR) AS towards_manhattan,
        CAST(pedestrians - CAST(floor(pedestrians / 2) AS BIGINT) AS VARCHAR) AS towards_brooklyn,
        weather_summary,
        CAST(temperature AS VARCHAR) AS temperature,
        CAST(precipitation AS VARCHAR) AS precipitation,
-       '40.7081639691088' AS lat, '-73.9995087014816' AS long,
+       '40.70' AS lat, '-73.99' AS long,
        event_name AS events, '' AS location1
 FROM (SELECT *, """ + hour_key("hour_begin") + """ AS hk FROM ctx_h) c""",
     "crash_lines": f"""
