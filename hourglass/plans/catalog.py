@@ -229,7 +229,8 @@ _KEPT_IDX = [i for i in range(L.CRASH_FIELDS) if i not in L.CRASH_DROP_ORDINALS]
 
 def _well_formed_cells(spark, d) -> DataFrame:
     """Lines with exactly 29 cells after repair, as cell arrays (C4 + C7 as a filter)."""
-    cells = V.crash_lines(spark, d).select("line_key", L.split_fields(L.repair_delimiters("value")).alias("cells"))
+    split = L.split_fields(L.repair_delimiters("value")).alias("cells")
+    cells = V.crash_lines(spark, d).select(C.computed_once(F.col("line_key"), split))
     return cells.filter(F.size("cells") == L.CRASH_FIELDS)
 
 
