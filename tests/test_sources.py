@@ -38,3 +38,13 @@ def test_stage_lines_kv_round_trip(spark):
 def test_rows_to_table(spark):
     t = io.rows_to_table(spark, [("temperature", 3.0, 96.0)], "variable string, min double, max double")
     assert t.dtypes == [("variable", "string"), ("min", "double"), ("max", "double")]
+
+
+def test_csv_corrupt_rows_are_kept_and_flagged(spark, tmp_path):
+    p = tmp_path / "in.csv"
+    p.write_text("a,b\n1,2\n3\n4,5,6\n")
+    df = io.read_csv_strings(spark, str(p), ["a", "b"], corrupt_column="_bad")
+    rows = {r.a: (r.b, r._bad) for r in df.collect()}
+    assert rows["1"] == ("2", None)
+    assert rows["3"] == (None, "3")          # too few cells: kept, raw line in the corrupt column
+    assert rows["4"] == ("5", "4,5,6")       # too many cells: kept, raw line in the corrupt column
