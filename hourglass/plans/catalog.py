@@ -111,7 +111,7 @@ def _q1(spark, d) -> DataFrame:
     return Q.prepare_facts(V.crash_raw(spark, d), BOROUGH, DATE_LO, DATE_HI)
 
 
-Q1_SQL = with_views(f"""
+Q1_BODY = f"""
 SELECT row_id AS fact_id, crash_ts, date_trunc('hour', crash_ts) AS fact_hour, zip_code,
        TRY_CAST(ped_injured AS INTEGER) + TRY_CAST(cyc_injured AS INTEGER) + TRY_CAST(mot_injured AS INTEGER) AS injured,
        TRY_CAST(ped_killed AS INTEGER) + TRY_CAST(cyc_killed AS INTEGER) + TRY_CAST(mot_killed AS INTEGER) AS killed,
@@ -119,7 +119,8 @@ SELECT row_id AS fact_id, crash_ts, date_trunc('hour', crash_ts) AS fact_hour, z
 FROM (SELECT *, try_strptime(concat(crash_date, ' ', crash_time), '%m/%d/%Y %H:%M') AS crash_ts,
              CAST(try_strptime(crash_date, '%m/%d/%Y') AS DATE) AS crash_day
       FROM crash_raw WHERE borough = {q(BOROUGH)}) r
-WHERE crash_day > DATE '{DATE_LO}' AND crash_day < DATE '{DATE_HI}'""", "crash_raw")
+WHERE crash_day > DATE '{DATE_LO}' AND crash_day < DATE '{DATE_HI}'"""
+Q1_SQL = with_views(Q1_BODY, "crash_raw")
 
 
 @register("s4_save_stage", Q1_SQL)
@@ -1041,12 +1042,15 @@ def q1_prepare_facts_from_lines(spark, d):
     return Q.prepare_facts(table, LINES_BOROUGH, LINES_LO, LINES_HI)
 
 
-@register("q2_prepare_context", with_views("""
+Q2_BODY = """
 SELECT try_strptime(hour_beginning, '%m/%d/%Y %I:%M:%S %p') AS hour_begin,
        TRY_CAST(pedestrians AS INTEGER) AS pedestrians, weather_summary,
        TRY_CAST(temperature AS DOUBLE) AS temperature, TRY_CAST(precipitation AS DOUBLE) AS precipitation,
        events AS event_name, CASE WHEN events IS NULL THEN 0 ELSE 1 END AS has_event
-FROM ctx_raw WHERE weather_summary IS NOT NULL""", "ctx_raw"))
+FROM ctx_raw WHERE weather_summary IS NOT NULL"""
+
+
+@register("q2_prepare_context", with_views(Q2_BODY, "ctx_raw"))
 def q2_prepare_context(spark, d):
     return Q.prepare_context(V.ctx_raw(spark, d))
 
@@ -1063,6 +1067,17 @@ def q4_train_crash_model(spark, d):
     return _rows(spark, rows, METRIC_SCHEMA)
 
 
+@register("q5_factor_share_from_raw", with_views(
+    "SELECT weather, factor, CAST(weather_count AS BIGINT) AS weather_count, weather_factor_count, frac "
+    "FROM (" + A1_SQL.format(src="cw_raw") + ") t", "crash_raw", "ctx_raw",
+    extra={"facts_raw": Q1_BODY, "ctx_prep": Q2_BODY,
+           "cw_raw": "SELECT f.*, c.* FROM facts_raw f JOIN ctx_prep c ON f.fact_hour = c.hour_begin"}))
+def q5_factor_share_from_raw(spark, d):
+    """The whole chain on raw strings: Q1 and Q2 preparation, then K2 and A1."""
+    facts = Q.prepare_facts(V.crash_raw(spark, d), BOROUGH, DATE_LO, DATE_HI)
+    return Q.factor_share(facts, Q.prepare_context(V.ctx_raw(spark, d)))
+
+
 @register("q5_factor_share", _q5_sql())
 def q5_factor_share(spark, d):
     return _q5(spark, d)
