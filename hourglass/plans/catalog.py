@@ -25,7 +25,14 @@ from hourglass.operators import sample as B
 from hourglass.operators import scale as S
 from hourglass.plans import analyses as Q
 from hourglass.plans import lookalike as V
-from hourglass.plans.oracle import CONTEXT_KEEP_ORDINALS, hash_pick, q, weather_code, with_views
+from hourglass.plans.oracle import (
+    CONTEXT_KEEP_ORDINALS,
+    hash_pick,
+    hours_with_crashes_sql,
+    q,
+    weather_code,
+    with_views,
+)
 from hourglass.session import checkpoint_root, materialize, scratch_path
 from hourglass.sources import io
 
@@ -1060,6 +1067,20 @@ def q3_training_table(spark, d):
     return _training(spark, d)
 
 
+@register("q3_training_table_from_raw", with_views("SELECT * FROM training", "crash_raw", "ctx_raw", extra={
+    "facts_raw": Q1_BODY,
+    "ctx_prep": "SELECT hour_begin, pedestrians, weather_summary, temperature, precipitation, event_name "
+                "FROM (" + Q2_BODY + ") p",
+    "hwc_raw": hours_with_crashes_sql("facts_raw", "ctx_prep"),
+    "bal": f"SELECT * FROM hwc_raw WHERE {_BAL}",
+    "training": Q3_BODY}))
+def q3_training_table_from_raw(spark, d):
+    """The model input built the way the final model script does: Q1 and Q2 on raw
+    strings, then K1, labels, balancing and scaling."""
+    facts = Q.prepare_facts(V.crash_raw(spark, d), BOROUGH, DATE_LO, DATE_HI)
+    return Q.training_table(Q.prepare_context(V.ctx_raw(spark, d)), facts)
+
+
 @register("q4_train_crash_model")
 def q4_train_crash_model(spark, d):
     checkpoint_root(spark)
