@@ -356,9 +356,8 @@ _P5 = {"zip_code": 4, "off_street": 9, "factor_3": 18, "vehicle_3": 24}
     "SELECT " + ", ".join(f"count(*) FILTER (WHERE string_split(value, ',')[{i + 1}] = '-1') AS {n}"
                           for n, i in _P5.items()) + " FROM crash_clean", "crash_clean"))
 def p5_sentinel_counts(spark, d):
-    arr = F.split("value", ",", -1)
-    cols = _c13(spark, d).select(*[F.try_element_at(arr, F.lit(i + 1)).alias(n) for n, i in _P5.items()])
-    return P.sentinel_counts(cols, list(_P5))
+    table = C.crash_table(V.crash_lines(spark, d), key_col="line_key")
+    return P.sentinel_counts(table, list(_P5))
 
 
 @register("p6_value_counts", with_views("SELECT factor, count(*) AS count FROM facts_h GROUP BY factor",
