@@ -135,3 +135,18 @@ def test_lookup_join_recode(spark):
     for bc in ("auto", False):
         out = {r.w: r.w_code for r in K.lookup(df, "w", table, "label", "code", default=-1, broadcast=bc).collect()}
         assert out == {"sleet": 0, "clear-day": 9, "tornado": -1, None: -1}
+
+
+def test_empty_inputs(spark):
+    from hourglass.operators import model as M
+    from hourglass.operators import scale as S
+    from hourglass.plans import analyses as Q
+    ctx = spark.createDataFrame([], "hour_begin timestamp_ntz, weather_summary string")
+    facts = spark.createDataFrame([], "fact_id long, fact_hour timestamp_ntz, factor string, injured int, killed int")
+    assert K.fits_broadcast(ctx)
+    assert K.context_left_facts(ctx, facts, "hour_begin", "fact_hour").count() == 0
+    assert Q.factor_share(facts, ctx).count() == 0
+    assert Q.factor_casualties(facts, ctx, broadcast=False).count() == 0
+    assert S.min_max_scale(facts, ["injured"]).count() == 0
+    assert M.chi_square(facts, ["injured"], "killed").count() == 0
+    assert {r.r for r in M.correlation_matrix(facts, ["injured", "killed"]).collect()} == {None}
