@@ -4,7 +4,8 @@ The context side (one row per hour or day) is small next to the facts, but it is
 only broadcast after a size check (``fits_broadcast``): one aggregate that counts
 its rows and measures their bytes (partial per task, nothing gathered). When the
 check fails the join falls back to a shuffle join, where adaptive execution
-splits skewed keys.
+splits skewed keys; ``salt`` adds explicit salting on that path for clusters that
+run without adaptive skew handling.
 
 ``context_left_facts`` (context LEFT JOIN facts) is rewritten as
 ``inner join  UNION ALL  context rows whose key never occurs in the facts``. The
@@ -70,17 +71,39 @@ def resolve_broadcast(df: DataFrame, broadcast="auto",
 _small = resolve_broadcast
 
 
+def _salted_join(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key: str, how: str,
+                 salt: int) -> DataFrame:
+    """Equi-join with the hot-key load spread over ``salt`` tasks.
+
+    Every fact gets a salt in [0, salt) from a hash of its whole row (deterministic, so a
+    recomputed task picks the same salt), and every context row is repeated once per
+    salt value. Joining on (key, salt) sends one key's facts to ``salt`` different tasks
+    while each fact still meets every context row of its key exactly once. The
+    context grows by ``salt`` times, the facts do not.
+    """
+    f = facts.withColumn("__f_salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt)))
+    c = ctx.withColumn("__c_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    cond = (f[fact_key] == c[ctx_key]) & (f["__f_salt"] == c["__c_salt"])
+    return f.join(c, cond, how).drop("__f_salt", "__c_salt")
+
+
 def context_left_facts(ctx: DataFrame, facts: DataFrame, ctx_key: str, fact_key: str,
-                       broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                       broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                       salt: int = 0) -> DataFrame:
     """K1: every context row with each of its facts, or once with nulls when it has none.
 
     Same rows as ``ctx.join(facts, ctx_key == fact_key, 'left')``; duplicate keys on
     either side multiply rows, as in the plain join.
     ``broadcast``: 'auto' (checked), True (caller guarantees a bound) or False.
+    ``salt`` > 1 salts the shuffle join used when the context is not broadcast.
     """
     small = _small(ctx, broadcast, max_broadcast_bytes)
     c = F.broadcast(ctx) if small else ctx
-    matched = c.join(facts, c[ctx_key] == facts[fact_key], "inner")
+    if not small and salt > 1:
+        inner = _salted_join(facts, ctx, fact_key, ctx_key, "inner", salt)
+        matched = inner.select(*ctx.columns, *facts.columns)
+    else:
+        matched = c.join(facts, c[ctx_key] == facts[fact_key], "inner")
     hit = facts.select(F.col(fact_key).alias("__hit_key"))
     if small:
         # Keys that can match are bounded by the (checked) context size.
@@ -94,21 +117,30 @@ def context_left_facts(ctx: DataFrame, facts: DataFrame, ctx_key: str, fact_key:
 
 def facts_left_context(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key: str,
                        drop_null: list[str] | None = None, broadcast="auto",
-                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, salt: int = 0) -> DataFrame:
     """K2: facts LEFT JOIN context, then optionally drop rows with nulls in ``drop_null``.
 
     With ``drop_null`` on a context column Catalyst turns the outer join into an
-    inner join and pushes the not-null filter into the context side.
+    inner join and pushes the not-null filter into the context side. ``salt`` > 1
+    salts the shuffle join used when the context is not broadcast.
     """
-    c = F.broadcast(ctx) if _small(ctx, broadcast, max_broadcast_bytes) else ctx
+    small = _small(ctx, broadcast, max_broadcast_bytes)
+    if not small and salt > 1:
+        out = _salted_join(facts, ctx, fact_key, ctx_key, "left", salt)
+        return out.na.drop(subset=list(drop_null)) if drop_null else out
+    c = F.broadcast(ctx) if small else ctx
     out = facts.join(c, facts[fact_key] == c[ctx_key], "left")
     return out.na.drop(subset=list(drop_null)) if drop_null else out
 
 
 def facts_inner_context(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key: str,
-                        broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """K3: inner equi-join."""
-    c = F.broadcast(ctx) if _small(ctx, broadcast, max_broadcast_bytes) else ctx
+                        broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                        salt: int = 0) -> DataFrame:
+    """K3: inner equi-join (``salt`` > 1 salts the shuffle join when not broadcast)."""
+    small = _small(ctx, broadcast, max_broadcast_bytes)
+    if not small and salt > 1:
+        return _salted_join(facts, ctx, fact_key, ctx_key, "inner", salt)
+    c = F.broadcast(ctx) if small else ctx
     return facts.join(c, facts[fact_key] == c[ctx_key], "inner")
 
 

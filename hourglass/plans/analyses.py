@@ -126,9 +126,9 @@ def factor_casualties(facts: DataFrame, ctx: DataFrame, keys: Keys = HOURLY,
 # --- Q3: training table ------------------------------------------------------
 
 def hours_with_crashes(ctx: DataFrame, facts: DataFrame, keys: Keys = HOURLY,
-                       broadcast="auto") -> DataFrame:
+                       broadcast="auto", salt: int = 0) -> DataFrame:
     """K1 plus the derived columns every model uses (one row per hour x crash)."""
-    j = K.context_left_facts(ctx, facts, keys.ctx, keys.fact, broadcast=broadcast)
+    j = K.context_left_facts(ctx, facts, keys.ctx, keys.fact, broadcast=broadcast, salt=salt)
     t = F.col(keys.ctx)
     return j.withColumns({
         "weather": X.encode_weather("weather_summary"),

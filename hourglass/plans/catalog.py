@@ -679,6 +679,13 @@ def k2_facts_left_context(spark, d):
                                 drop_null=["weather_summary"])
 
 
+@register("k2_facts_left_context_salted", with_views(K2_RAW, "facts_h", "ctx_h"))
+def k2_facts_left_context_salted(spark, d):
+    """K2 on the no-broadcast path with explicit salting (8 salts)."""
+    return K.facts_left_context(V.facts_h(spark, d), V.ctx_h(spark, d), "fact_hour", "hour_begin",
+                                drop_null=["weather_summary"], broadcast=False, salt=8)
+
+
 @register("k3_facts_inner_context", with_views(
     "SELECT f.*, c.* FROM facts_h f JOIN ctx_h c ON f.fact_hour = c.hour_begin", "facts_h", "ctx_h"))
 def k3_facts_inner_context(spark, d):
@@ -1145,6 +1152,14 @@ def k1_context_left_facts_daily_shuffle(spark, d):
                                 broadcast=False)
 
 
+@register("k1_context_left_facts_daily_salted", with_views(
+    "SELECT c.*, f.* FROM ctx_d c LEFT JOIN facts_d f ON c.day_begin = f.fact_day", "ctx_d", "facts_d"))
+def k1_context_left_facts_daily_salted(spark, d):
+    """K1 on the no-broadcast path with explicit salting (8 salts)."""
+    return K.context_left_facts(V.ctx_d(spark, d), V.facts_d(spark, d), "day_begin", "fact_day",
+                                broadcast=False, salt=8)
+
+
 @register("q7_area_model")
 def q7_area_model(spark, d):
     checkpoint_root(spark)

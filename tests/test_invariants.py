@@ -105,3 +105,29 @@ def test_readme_flow_from_files(spark):
     training = Q.training_table(V.ctx_h(spark, SF), V.facts_h(spark, SF))
     model, metrics = Q.train_crash_model(training, max_iter=20, model_path=scratch_path(spark, "lr"))
     assert model.numFeatures == 6 and dict((m, v) for _, m, v in metrics)["n_train"] > 0
+
+
+def test_salted_joins_equal_plain_joins(spark):
+    """Salting the no-broadcast path changes where rows go, not which rows come out."""
+    hot = dt.datetime(2024, 1, 1, 5)
+    facts = spark.range(6_000).select(
+        F.col("id").alias("fact_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(hot)).when(F.col("id") % 11 == 0, F.lit(None))
+         .otherwise(F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), (F.col("id") % 24).cast("int"),
+                                         F.lit(0), F.lit(0))).alias("fact_hour"),
+        F.lit("F").alias("factor"))
+    ctx = spark.createDataFrame([(dt.datetime(2024, 1, 1, h), "w") for h in range(0, 24, 2)]
+                                + [(hot, "dup"), (None, "null-hour")],
+                                "hour_begin timestamp_ntz, weather_summary string")
+
+    def rows(df, cols):
+        return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
+
+    cols_k = ["fact_id", "hour_begin", "weather_summary"]
+    for salt in (1, 4):
+        k1 = K.context_left_facts(ctx, facts, "hour_begin", "fact_hour", broadcast=False, salt=salt)
+        assert rows(k1, cols_k) == rows(ctx.join(facts, ctx.hour_begin == facts.fact_hour, "left"), cols_k)
+        k2 = K.facts_left_context(facts, ctx, "fact_hour", "hour_begin", broadcast=False, salt=salt)
+        assert rows(k2, cols_k) == rows(facts.join(ctx, facts.fact_hour == ctx.hour_begin, "left"), cols_k)
+        k3 = K.facts_inner_context(facts, ctx, "fact_hour", "hour_begin", broadcast=False, salt=salt)
+        assert k3.count() == facts.join(ctx, facts.fact_hour == ctx.hour_begin).count()
