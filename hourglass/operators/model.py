@@ -92,7 +92,7 @@ def fit_random_forest(train: DataFrame, label_col: str, features: str = "feature
         VectorIndexer(inputCol=features, outputCol="indexedFeatures", maxCategories=max_categories),
         RandomForestClassifier(labelCol="indexedLabel", featuresCol="indexedFeatures",
                                numTrees=trees, seed=seed),
-        IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=label_idx.labels),
+        IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=label_idx.labelsArray[0]),
     ]
     return Pipeline(stages=stages).fit(train)
 
