@@ -68,8 +68,6 @@ def resolve_broadcast(df: DataFrame, broadcast="auto",
     return bool(broadcast)
 
 
-_small = resolve_broadcast
-
 
 def _salted_join(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key: str, how: str,
                  salt: int) -> DataFrame:
@@ -97,7 +95,7 @@ def context_left_facts(ctx: DataFrame, facts: DataFrame, ctx_key: str, fact_key:
     ``broadcast``: 'auto' (checked), True (caller guarantees a bound) or False.
     ``salt`` > 1 salts the shuffle join used when the context is not broadcast.
     """
-    small = _small(ctx, broadcast, max_broadcast_bytes)
+    small = resolve_broadcast(ctx, broadcast, max_broadcast_bytes)
     c = F.broadcast(ctx) if small else ctx
     if not small and salt > 1:
         inner = _salted_join(facts, ctx, fact_key, ctx_key, "inner", salt)
@@ -124,7 +122,7 @@ def facts_left_context(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key:
     inner join and pushes the not-null filter into the context side. ``salt`` > 1
     salts the shuffle join used when the context is not broadcast.
     """
-    small = _small(ctx, broadcast, max_broadcast_bytes)
+    small = resolve_broadcast(ctx, broadcast, max_broadcast_bytes)
     if not small and salt > 1:
         out = _salted_join(facts, ctx, fact_key, ctx_key, "left", salt)
         return out.na.drop(subset=list(drop_null)) if drop_null else out
@@ -137,7 +135,7 @@ def facts_inner_context(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key
                         broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                         salt: int = 0) -> DataFrame:
     """K3: inner equi-join (``salt`` > 1 salts the shuffle join when not broadcast)."""
-    small = _small(ctx, broadcast, max_broadcast_bytes)
+    small = resolve_broadcast(ctx, broadcast, max_broadcast_bytes)
     if not small and salt > 1:
         return _salted_join(facts, ctx, fact_key, ctx_key, "inner", salt)
     c = F.broadcast(ctx) if small else ctx
@@ -148,7 +146,7 @@ def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """K4: rows of ``left`` whose key does not occur in ``right`` (null keys are kept)."""
     keys = right.select(F.col(right_key).alias("__anti_key")).distinct()
-    keys = F.broadcast(keys) if _small(keys, broadcast, max_broadcast_bytes) else keys
+    keys = F.broadcast(keys) if resolve_broadcast(keys, broadcast, max_broadcast_bytes) else keys
     return left.join(keys, left[left_key] == keys["__anti_key"], "left_anti")
 
 
@@ -158,7 +156,7 @@ def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out:
     (broadcast after the size check), ``default`` for keys it lacks. The table must
     hold one row per key, or rows of ``df`` are repeated."""
     t = table.select(F.col(key).alias("__lk_key"), F.col(value).alias("__lk_value"))
-    t = F.broadcast(t) if _small(t, broadcast, max_broadcast_bytes) else t
+    t = F.broadcast(t) if resolve_broadcast(t, broadcast, max_broadcast_bytes) else t
     joined = df.join(t, df[col] == t["__lk_key"], "left")
     res = F.col("__lk_value") if default is None else F.coalesce(F.col("__lk_value"), F.lit(default))
     return joined.withColumn(out or f"{col}_code", res).drop("__lk_key", "__lk_value")
