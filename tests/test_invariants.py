@@ -131,3 +131,21 @@ def test_salted_joins_equal_plain_joins(spark):
         assert rows(k2, cols_k) == rows(facts.join(ctx, facts.fact_hour == ctx.hour_begin, "left"), cols_k)
         k3 = K.facts_inner_context(facts, ctx, "fact_hour", "hour_begin", broadcast=False, salt=salt)
         assert k3.count() == facts.join(ctx, facts.fact_hour == ctx.hour_begin).count()
+
+
+@pytest.mark.skipif(not SF.endswith("sf0.01"), reason="figures are for sf0.01")
+@needs_data
+def test_survey_figures_at_sf001(spark):
+    """Figures the survey measured independently on the same look-alike views."""
+    import __spark_entry__ as E
+    q = E.queries()
+    assert q["k1_context_left_facts"](spark, SF).count() == 1973
+    assert q["k4_anti_join"](spark, SF).count() == 41
+    assert V.facts_h(spark, SF).count() == 2014
+    ctx = V.ctx_h(spark, SF)
+    assert ctx.count() == 690 and ctx.filter("weather_summary IS NULL").count() == 47
+    assert q["a1_factor_share"](spark, SF).count() == 70
+    assert q["a2_casualties_by_weather_factor"](spark, SF).count() == 70
+    assert q["q5_factor_share_daily"](spark, SF).count() == 60
+    chi = {r.feature: (r.statistic, r.dof) for r in q["m14_chi_square"](spark, SF).collect()}
+    assert chi["hour_group"] == (8.181693, 5)
