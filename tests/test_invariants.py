@@ -149,3 +149,12 @@ def test_survey_figures_at_sf001(spark):
     assert q["q5_factor_share_daily"](spark, SF).count() == 60
     chi = {r.feature: (r.statistic, r.dof) for r in q["m14_chi_square"](spark, SF).collect()}
     assert chi["hour_group"] == (8.181693, 5)
+    # raw lines: unchanged, repaired by the parenthesis rule, by the quote rule,
+    # quarantined with both problems, quarantined as too short
+    from hourglass.functions import lines as L
+    lines = V.crash_lines(spark, SF).filter("line_key > 0")
+    long_, paren = L.comma_count("value") > 28, F.col("value").rlike(r"\(.*\)")
+    ok = F.size(L.split_fields(L.repair_delimiters("value"))) == 29
+    r = lines.agg(F.count_if(~long_ & ok), F.count_if(long_ & paren & ok), F.count_if(long_ & ~paren & ok),
+                  F.count_if(long_ & ~ok), F.count_if(~long_ & ~ok)).first()
+    assert tuple(r) == (7589, 3764, 1882, 941, 824)
