@@ -147,9 +147,22 @@ def facts_inner_context(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key
 
 def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """K4: rows of ``left`` whose key does not occur in ``right`` (null keys are kept)."""
-    keys = right.select(F.col(right_key).alias("__anti_key")).distinct()
-    keys = F.broadcast(keys) if resolve_broadcast(keys, broadcast, max_broadcast_bytes) else keys
+    """K4: rows of ``left`` whose key does not occur in ``right`` (null keys are kept).
+
+    When ``left`` (e.g. the context) passes the size check, only the right keys that
+    can match are collected: semi-joined to the broadcast left keys and de-duplicated
+    map-side, so they are bounded by the checked left side and can be broadcast. The
+    right side (e.g. the facts) is then read once, key column only, and never
+    shuffled. Otherwise the distinct right keys are checked and broadcast if small,
+    or the anti join is a shuffle join.
+    """
+    keys = right.select(F.col(right_key).alias("__anti_key"))
+    if resolve_broadcast(left, broadcast, max_broadcast_bytes):
+        left_keys = F.broadcast(left.select(F.col(left_key).alias("__anti_key")).distinct())
+        keys = F.broadcast(keys.join(left_keys, "__anti_key", "left_semi").distinct())
+    else:
+        keys = keys.distinct()
+        keys = F.broadcast(keys) if resolve_broadcast(keys, broadcast, max_broadcast_bytes) else keys
     return left.join(keys, left[left_key] == keys["__anti_key"], "left_anti")
 
 

@@ -150,3 +150,13 @@ def test_empty_inputs(spark):
     assert S.min_max_scale(facts, ["injured"]).count() == 0
     assert M.chi_square(facts, ["injured"], "killed").count() == 0
     assert {r.r for r in M.correlation_matrix(facts, ["injured", "killed"]).collect()} == {None}
+
+
+def test_anti_join_paths_agree(spark, pair):
+    ctx, facts = pair
+    want = sorted(((r.hour_begin, r.weather_summary) for r in
+                   ctx.join(facts, ctx.hour_begin == facts.fact_hour, "left_anti").collect()), key=repr)
+    for bc in ("auto", True, False):
+        got = sorted(((r.hour_begin, r.weather_summary) for r in
+                      K.anti_join(ctx, facts, "hour_begin", "fact_hour", broadcast=bc).collect()), key=repr)
+        assert got == want and len(got) == 2
