@@ -144,12 +144,12 @@ def _c13(spark, d) -> DataFrame:
 @register("s5_write_lines", with_views("SELECT DISTINCT cells_line AS value FROM crash_clean", "crash_clean"))
 def s5_write_lines(spark, d):
     path = scratch_path(spark, "s5")
-    lines = C.distinct_lines(L_cells_line(spark, d), sort=False)
+    lines = C.distinct_lines(_cleaned_cells_lines(spark, d), sort=False)
     io.write_lines(lines, path)
     return io.read_lines(spark, path)
 
 
-def L_cells_line(spark, d) -> DataFrame:
+def _cleaned_cells_lines(spark, d) -> DataFrame:
     """Cleaned cells without the row key (C9 output)."""
     cells = C.crash_cells(V.crash_lines(spark, d), key_col="line_key")
     return cells.select(L.join_fields([F.col("cells")]).alias("value"))
@@ -280,7 +280,7 @@ def c9_join_fields(spark, d):
 @register("c10_distinct_lines", with_views("SELECT DISTINCT cells_line AS value FROM crash_clean",
                                            "crash_clean"))
 def c10_distinct_lines(spark, d):
-    return C.distinct_lines(L_cells_line(spark, d))
+    return C.distinct_lines(_cleaned_cells_lines(spark, d))
 
 
 def _ctx_line_sql(filtered: bool) -> str:
