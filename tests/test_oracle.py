@@ -38,10 +38,17 @@ def con():
     return c
 
 
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(E.oracle_sql()[name])
+    assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in df.dtypes} == \
+        {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
