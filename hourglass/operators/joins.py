@@ -68,17 +68,16 @@ def resolve_broadcast(df: DataFrame, broadcast="auto",
     return bool(broadcast)
 
 
-
 def _salted_join(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key: str, how: str,
                  salt: int) -> DataFrame:
     """Equi-join with the hot-key load spread over ``salt`` tasks.
 
     Every fact gets a salt in [0, salt) from a hash of its row (map columns aside;
     deterministic, so a recomputed task picks the same salt, which a random salt would
-    not guarantee), and every context row is repeated once per
-    salt value. Joining on (key, salt) sends one key's facts to ``salt`` different tasks
-    while each fact still meets every context row of its key exactly once. The
-    context grows by ``salt`` times, the facts do not.
+    not guarantee), and every context row is repeated once per salt value. Joining on
+    (key, salt) sends one key's facts to ``salt`` different tasks while each fact still
+    meets every context row of its key exactly once. The context grows by ``salt``
+    times, the facts do not.
     """
     hashable = [F.col(fl.name) for fl in facts.schema.fields if not isinstance(fl.dataType, T.MapType)]
     basis = F.xxhash64(*hashable) if hashable else F.monotonically_increasing_id()
