@@ -98,3 +98,22 @@ def test_hash_sample_matches_brute_force(spark, keys, fraction, seed):
     limit = int(fraction * 2**32)
     want = sorted(k for k in keys if int(hashlib.md5(f"{seed}:{k}".encode()).hexdigest()[:8], 16) < limit)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(KEYS, min_size=0, max_size=8), st.lists(KEYS, min_size=0, max_size=12),
+       st.sampled_from(["auto", False]), st.sampled_from([0, 3]))
+def test_joins_match_brute_force_on_every_path(spark, ctx_keys, fact_keys, broadcast, salt):
+    ctx = spark.createDataFrame([(_ts(k), i) for i, k in enumerate(ctx_keys)],
+                                "hour_begin timestamp_ntz, ctx_id int")
+    facts = spark.createDataFrame([(_ts(k), 100 + i) for i, k in enumerate(fact_keys)],
+                                  "fact_hour timestamp_ntz, fact_id int")
+    k1 = [(r.ctx_id, r.fact_id) for r in K.context_left_facts(
+        ctx, facts, "hour_begin", "fact_hour", broadcast=broadcast, salt=salt).select("ctx_id", "fact_id").collect()]
+    want = []
+    for i, ck in enumerate(ctx_keys):
+        hits = [100 + j for j, fk in enumerate(fact_keys) if ck is not None and fk == ck]
+        want += [(i, h) for h in hits] or [(i, None)]
+    assert sorted(k1, key=repr) == sorted(want, key=repr)
+    k4 = sorted(r.ctx_id for r in K.anti_join(ctx, facts, "hour_begin", "fact_hour", broadcast=broadcast).collect())
+    assert k4 == sorted(i for i, ck in enumerate(ctx_keys) if ck is None or ck not in fact_keys)
