@@ -239,5 +239,5 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
     return ("WITH " + ",\n".join(ctes) + "\n" + body.strip()) if ctes else body.strip()
 
 
-__all__ = ["VIEWS", "with_views", "hash_pick", "hash_bucket", "weather_code", "weather_label",
+__all__ = ["VIEWS", "with_views", "hash_pick", "hash_bucket", "weather_code", "weather_label", "hours_with_crashes_sql",
            "kept_cells", "KEPT", "CONTEXT_KEEP_ORDINALS", "q", "hour_key", "repair"]
