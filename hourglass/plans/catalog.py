@@ -796,6 +796,12 @@ def t2_top_n(spark, d):
     return O.top_n(_q5(spark, d), "frac", 5, ("weather", "factor"))
 
 
+@register("t2_latest_hours", with_views("SELECT hour_begin FROM ctx_h ORDER BY hour_begin DESC LIMIT 5", "ctx_h"))
+def t2_latest_hours(spark, d):
+    """T2 as the source uses it: the five latest context hours (hours are unique)."""
+    return O.top_n(V.ctx_h(spark, d).select("hour_begin"), "hour_begin", 5)
+
+
 @register("t3_head", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem "
                      "ORDER BY l_orderkey, l_linenumber, l_quantity LIMIT 10")
 def t3_head(spark, d):
