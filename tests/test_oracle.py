@@ -86,3 +86,17 @@ def test_entry_smoke(spark):
     assert len(first) > 0
     assert df.columns == ["weather", "factor", "weather_count", "weather_factor_count", "frac"]
     assert E.entry(spark).dtypes == df.dtypes
+
+
+MODEL_QUERIES = ("m3_", "m4_", "m5_", "m6_", "m11_", "m12_", "q4_", "q7_", "s7_")
+
+
+def test_query_outputs_have_unique_public_columns(spark):
+    """The driver compares columns sorted by name: no duplicates, no internal helpers."""
+    small = SF.replace("sf0.01", "sf0.001")
+    for name, fn in E.queries().items():
+        if name.startswith(MODEL_QUERIES):
+            continue
+        cols = fn(spark, small).columns
+        assert len(set(cols)) == len(cols), name
+        assert not any(c.startswith("_") for c in cols), name
