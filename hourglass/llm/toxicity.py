@@ -1,7 +1,8 @@
 """Toxicity scores from a convolutional text classifier trained in numpy.
 
-Words are hashed into two small embedding tables (a word is the sum of one row of
-each, so two words are confused only if both rows meet). Filters of widths 1, 2 and 3
+Words are hashed into small embedding tables by their whole form, their first four and
+six bytes and their last four: a word is the sum of one row of each table, so inflected
+forms share rows and two words are confused only if all their rows meet. Filters of widths 1, 2 and 3
 slide over the words, the maximum of each over the whole text goes through a ReLU into a
 logistic unit. The decision threshold is calibrated for each language guess; the guess
 comes from function words of the text, never from a column. Scores are shifted so that
@@ -23,10 +24,12 @@ from hourglass.llm.common import LOWER, NON_LETTERS, SubstringHash, crc_mod, map
 
 SAMPLE_ROWS = 3000        # labelled documents per class (the documented training bound)
 BITS = 15                 # rows of each embedding table: 2 ** BITS
+VIEWS = 4                 # whole word, first 4, first 6, last 4 bytes
 DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8               # per width
 EPOCHS = 8
+MIN_STEPS = 800           # small samples are passed over more often
 BATCH = 32
 CALIBRATION_SHARE = 4     # every 4th sampled document only calibrates
 MIN_CALIBRATION = 30      # a language with fewer documents of either class uses the common threshold
@@ -43,10 +46,13 @@ _HASH = SubstringHash(11)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray):
-    """(64-bit hash of each lower-cased word, its document)."""
+    """(VIEWS x words array of 64-bit hashes of each lower-cased word and its parts, its document)."""
     low = LOWER[data]
     start, end, doc = words(low, offsets, NON_LETTERS)
-    return _HASH.of(_HASH.prefix(low), start, end), doc
+    p = _HASH.prefix(low)
+    views = [(start, end), (start, np.minimum(start + 4, end)), (start, np.minimum(start + 6, end)),
+             (np.maximum(end - 4, start), end)]
+    return np.stack([_HASH.of(p, a, b) for a, b in views]), doc
 
 
 def _language_table() -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -55,7 +61,7 @@ def _language_table() -> tuple[np.ndarray, np.ndarray, list[str]]:
     for k, lang in enumerate(langs):
         for w in FUNCTION_WORDS[lang].split():
             raw = np.frombuffer(w.encode(), np.uint8)
-            h = int(word_hashes(raw, np.array([0, len(raw)]))[0][0])
+            h = int(word_hashes(raw, np.array([0, len(raw)]))[0][0, 0])
             pairs.setdefault(h, set()).add(k)
     own = sorted((h, min(k)) for h, k in pairs.items() if len(k) == 1)  # a word of two languages says nothing
     return np.array([h for h, _ in own], np.uint64), np.array([k for _, k in own]), langs
@@ -64,31 +70,32 @@ def _language_table() -> tuple[np.ndarray, np.ndarray, list[str]]:
 def guess_language(hashes: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     """Index of the language with most function words per document; the number of languages if none."""
     keys, of, langs = _language_table()
-    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-    hit = keys[at] == hashes
+    whole = hashes[0]
+    at = np.minimum(np.searchsorted(keys, whole), len(keys) - 1)
+    hit = keys[at] == whole
     votes = np.zeros((n_docs, len(langs) + 1))
     votes[:, -1] = 0.5
     np.add.at(votes, (doc[hit], of[at[hit]]), 1)
     return votes.argmax(1)
 
 
+def table_rows(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
 @dataclass
 class ConvClassifier:
     """Weights; ``threshold`` and ``scale`` by language index (last: no guess)."""
 
-    tables: np.ndarray      # (2, 2 ** BITS, DIM)
+    tables: np.ndarray      # (VIEWS, 2 ** BITS, DIM)
     filters: list           # per width: (width, DIM, FILTERS)
     bias: np.ndarray        # (len(WIDTHS) * FILTERS,)
     out: np.ndarray
     out_bias: float
     threshold: np.ndarray
 
-    def rows(self, hashes: np.ndarray):
-        mask = np.uint64((1 << BITS) - 1)
-        return (hashes & mask).astype(np.int64), (hashes >> np.uint64(32) & mask).astype(np.int64)
-
-    def embed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return self.tables[0][a] + self.tables[1][b]
+    def embed(self, rows: np.ndarray) -> np.ndarray:
+        return sum(table[r] for table, r in zip(self.tables, rows))
 
     def pool(self, emb: np.ndarray, doc: np.ndarray, n_docs: int, with_places: bool = False):
         """Maximum of every filter over each document (0 without a place) and where it stands.
@@ -116,7 +123,7 @@ class ConvClassifier:
         return best, place
 
     def logits(self, hashes: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
-        best, _ = self.pool(self.embed(*self.rows(hashes)), doc, n_docs)
+        best, _ = self.pool(self.embed(table_rows(hashes)), doc, n_docs)
         return np.maximum(best + self.bias, 0) @ self.out + self.out_bias
 
     def scores(self, data: np.ndarray, offsets: np.ndarray):
@@ -132,7 +139,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> ConvClassifier:
     rng = np.random.default_rng(seed)
     n_langs = len(FUNCTION_WORDS) + 1
     n_out = len(WIDTHS) * FILTERS
-    model = ConvClassifier(rng.normal(0, 0.1, (2, 1 << BITS, DIM)).astype(np.float32),
+    model = ConvClassifier(rng.normal(0, 0.07, (VIEWS, 1 << BITS, DIM)).astype(np.float32),
                            [rng.normal(0, 0.5 / width, (width, DIM, FILTERS)).astype(np.float32) for width in WIDTHS],
                            np.zeros(n_out, np.float32), rng.normal(0.3, 0.1, n_out).astype(np.float32), 0.0,
                            np.zeros(n_langs))
@@ -151,21 +158,21 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> ConvClassifier:
     weight = np.where(y == 1, 0.5 / max(y[fits].mean(), 1e-6), 0.5 / max(1 - y[fits].mean(), 1e-6))
     squares = [np.full_like(model.tables, 1e-3), [np.full_like(f, 1e-3) for f in model.filters],
                np.full_like(model.bias, 1e-3), np.full_like(model.out, 1e-3), 1e-3]
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-MIN_STEPS * BATCH // int(fits.sum())))
+    for epoch in range(epochs):
         order = rng.permutation(np.flatnonzero(fits))
         for lo in range(0, len(order), BATCH):
             _step(model, squares, [docs[i] for i in order[lo:lo + BATCH]], y[order[lo:lo + BATCH]],
-                  weight[order[lo:lo + BATCH]], rate=0.1 / (1 + 0.3 * epoch))
+                  weight[order[lo:lo + BATCH]], rate=0.1 / (1 + 3 * epoch / epochs))
     _calibrate(model, docs, y, ~fits if (~fits).any() else fits)
     return model
 
 
 def _step(model: ConvClassifier, squares: list, docs: list, y: np.ndarray, weight: np.ndarray, rate: float) -> None:
     n = len(docs)
-    hashes = np.concatenate(docs)
-    doc = np.repeat(np.arange(n), [len(d) for d in docs])
-    a, b = model.rows(hashes)
-    emb = model.embed(a, b)
+    index = table_rows(np.concatenate(docs, axis=1))
+    doc = np.repeat(np.arange(n), [d.shape[1] for d in docs])
+    emb = model.embed(index)
     best, place = model.pool(emb, doc, n, with_places=True)
     hidden = np.maximum(best + model.bias, 0)
     p = 1 / (1 + np.exp(-np.clip(hidden @ model.out + model.out_bias, -30, 30)))
@@ -187,8 +194,8 @@ def _step(model: ConvClassifier, squares: list, docs: list, y: np.ndarray, weigh
         _adagrad(model.filters[k], squares[1][k], d_filter, rate)
     if rows:
         rows, grads = np.concatenate(rows), np.concatenate(grads)
-        for t, index in enumerate((a, b)):
-            hit, inverse = np.unique(index[rows], return_inverse=True)
+        for t in range(VIEWS):
+            hit, inverse = np.unique(index[t][rows], return_inverse=True)
             total = np.zeros((len(hit), DIM), np.float32)
             np.add.at(total, inverse, grads)
             squares[0][t][hit] += total ** 2
@@ -207,8 +214,8 @@ def _adagrad(x: np.ndarray, square: np.ndarray, g: np.ndarray, rate: float) -> N
 def _calibrate(model: ConvClassifier, docs: list, y: np.ndarray, use: np.ndarray) -> None:
     """Threshold by language: fewest errors on the calibration documents, middle of the best gap."""
     chosen = np.flatnonzero(use)
-    hashes = np.concatenate([docs[i] for i in chosen])
-    doc = np.repeat(np.arange(len(chosen)), [len(docs[i]) for i in chosen])
+    hashes = np.concatenate([docs[i] for i in chosen], axis=1)
+    doc = np.repeat(np.arange(len(chosen)), [docs[i].shape[1] for i in chosen])
     z, lang, t = model.logits(hashes, doc, len(chosen)), guess_language(hashes, doc, len(chosen)), y[chosen]
     common = best_threshold(z, t)
     for k in range(len(model.threshold)):
