@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourglass.llm import bpe, language_id, topk, toxicity
+from hourglass.llm import bpe, language_id, mixing, topk, toxicity
 from hourglass.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op9_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(table(spark, sf_dir, "documents"))
