@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourglass.llm import bpe, language_id, mixing, topk, toxicity
+from hourglass.llm import bpe, language_id, license_scan, mixing, sharding, topk, toxicity, weak_quality
 from hourglass.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op3_sharding", f"""
+WITH r AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), b AS (
+  SELECT d, h >> (60 - d) AS p, sum(n_bytes) AS bytes, min(h) = max(h) AS one
+  FROM r, range(0, 61) x(d) GROUP BY ALL
+), f AS (
+  SELECT r.doc_id, r.n_bytes, r.h, min(b.d) AS d
+  FROM r JOIN b ON b.p = r.h >> (60 - b.d)
+  WHERE b.bytes <= {sharding.SHARD_BYTES} OR b.one GROUP BY ALL
+)
+SELECT f.doc_id, CAST(f.n_bytes AS BIGINT) AS n_bytes,
+       CASE WHEN f.d = 0 THEN '' ELSE lpad(bin(f.h >> (60 - f.d)), CAST(f.d AS INTEGER), '0') END AS shard,
+       CAST(f.d AS INTEGER) AS depth, CAST(0 AS INTEGER) AS chain, CAST(b.bytes AS BIGINT) AS bucket_bytes
+FROM f JOIN b ON b.d = f.d AND b.p = f.h >> (60 - f.d)
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 @query("op4_topk", """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
@@ -49,6 +71,46 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+_WORD5 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TEMPLATES = ", ".join(f"('{k}', list_distinct(string_split('{v}', ' ')), "
+                       f"{license_scan.needed(len(set(v.split())), license_scan.THRESHOLD)})"
+                       for k, v in sorted(license_scan.TEMPLATES.items()))
+_PLACES = ", ".join(
+    "(SELECT list({'i': i, 'label': '%s'}) FROM range(0, len(w) - %d) g(i) WHERE %s)"
+    % (label, len(p.split()) - 1, " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(p.split())))
+    for p, label in license_scan.PHRASES.items())
+
+
+@query("op5_license_scan", f"""
+WITH t AS (
+  SELECT row_number() OVER () AS k, doc_id, lower(coalesce(text, '')) AS t FROM documents
+), w AS (
+  SELECT k, doc_id, t, regexp_extract_all(t, '{_WORD5}') AS w FROM t
+), p AS (
+  SELECT k, doc_id, len(w) AS n_words, list_filter(flatten([{_PLACES}]), lambda x: x IS NOT NULL) AS places FROM w
+), blocks AS (
+  SELECT k, list_distinct(regexp_extract_all(line, '{_WORD5}')) AS b
+  FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM t)
+), templates(label, words, need) AS (VALUES {_TEMPLATES}
+), m AS (
+  SELECT k, label, max(len(list_intersect(b, words)) / len(words)) AS c FROM blocks, templates
+  WHERE len(list_intersect(b, words)) >= need GROUP BY ALL
+), g AS (
+  SELECT k, list(label) AS more, max(c) AS c FROM m GROUP BY k
+)
+SELECT p.doc_id, n_words, len(places) AS n_base,
+       list_min(list_transform(places, lambda x: x.i)) AS first_word,
+       list_max(list_transform(places, lambda x: x.i)) AS last_word,
+       array_to_string(list_sort(list_distinct(list_transform(places, lambda x: x.label))), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(list_transform(places, lambda x: x.label),
+                                                           coalesce(more, [])))), ',') AS labels,
+       CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(g.c, 0.0)::DOUBLE END AS score
+FROM p LEFT JOIN g USING (k)
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
@@ -59,6 +121,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digest(table(spark, sf_dir, "documents"))
 
 
+@query("op8_weak_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = weak_quality.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", "probability")
+
+
 @query("op9_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
