@@ -1,9 +1,9 @@
 """Quality by weak supervision (DataFrame operations only).
 
-Rules look at counts of a whole text and vote good, bad or abstain. Expectation-maximisation
-over the vote patterns estimates how often each rule is right for good and for bad texts,
-without labels; the posterior probability of "good" under these accuracies replaces
-an all-rules-must-pass filter. The patterns are counted by one pre-aggregated groupBy, at
+Rules look at counts of a whole text and vote good, bad or abstain. A text is good or
+bad in one of a few ways. Expectation-maximisation over the vote patterns estimates, without
+labels, how often each rule says bad of each of these kinds; the posterior probability of
+"good" under these accuracies replaces an all-rules-must-pass filter. The patterns are counted by one pre-aggregated groupBy, at
 most 3 ** rules rows, and the estimate runs on these counts.
 """
 
@@ -22,21 +22,26 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 ROUNDS = 50
-PRIOR = 0.85                  # start value: share of good texts
-ACCURACY = 0.8                # start value of every rule's accuracies
+# Start values: share of good texts, and how often a voting rule says bad of good texts, of the
+# kind of bad text it is made for, and of other kinds. The estimate moves all of them.
+PRIOR = 0.85
+MISFIRES, CATCHES, SPILLS = 0.01, 0.5, 0.1
+PSEUDO_VOTES = 2.0            # weight of the start values in every estimate
+LOWEST = 1e-4                 # bound of every estimated rate
 KEEP_AT = 0.5
 
-# name -> (good if, bad if) on the counts; neither: abstain
+KINDS = ("good", "markup", "repetition", "shouting", "fragments")
+# name -> (kind of bad text, good if, bad if) on the counts; neither: abstain
 RULES = {
-    "length": ("n_words >= 30", f"n_words < {MIN_WORDS}"),
-    "word_length": ("word_chars >= 3 * n_words AND word_chars <= 9 * n_words",
+    "symbols": ("markup", "n_symbols <= 0.02 * word_chars", "n_symbols > 0.08 * word_chars"),
+    "symbol_words": ("markup", "n_symbols <= 0.1 * n_words", "n_symbols > 0.4 * n_words"),
+    "dup_lines": ("repetition", "n_dup_lines <= 0.1 * n_lines", "n_dup_lines > 0.3 * n_lines"),
+    "repeats": ("repetition", "n_repeat_words <= 0.05 * n_words", "n_repeat_words > 0.2 * n_words"),
+    "upper": ("shouting", "n_upper <= 0.1 * word_chars", "n_upper > 0.4 * word_chars"),
+    "marks": ("shouting", "n_marks <= 0.05 * n_words", "n_marks > 0.3 * n_words"),
+    "sentences": ("fragments", "n_stops >= 0.02 * n_words", "n_stops = 0 AND n_words >= 60"),
+    "word_length": ("fragments", "word_chars >= 3 * n_words AND word_chars <= 9 * n_words",
                     "word_chars < 2.5 * n_words OR word_chars > 11 * n_words"),
-    "symbols": ("n_symbols <= 0.02 * word_chars", "n_symbols > 0.1 * word_chars"),
-    "dup_lines": ("n_dup_lines <= 0.1 * n_lines", "n_dup_lines > 0.3 * n_lines"),
-    "repeats": ("n_repeat_words <= 0.05 * n_words", "n_repeat_words > 0.2 * n_words"),
-    "upper": ("n_upper <= 0.1 * word_chars", "n_upper > 0.4 * word_chars"),
-    "marks": ("n_marks <= 0.05 * n_words", "n_marks > 0.3 * n_words"),
-    "sentences": ("n_stops >= 0.02 * n_words", "n_stops = 0 AND n_words >= 30"),
 }
 
 
@@ -71,46 +76,51 @@ def _length(column: str) -> Column:
 
 def votes() -> list[Column]:
     """1 good, 0 bad, null abstain."""
-    return [F.when(F.expr(bad), 0).when(F.expr(good), 1).alias(f"vote_{name}") for name, (good, bad) in RULES.items()]
+    return [F.when(F.expr(bad), 0).when(F.expr(good), 1).alias(f"vote_{name}") for name, (_, good, bad) in RULES.items()]
 
 
 def estimate(patterns: list[tuple[tuple, int]], rounds: int = ROUNDS):
-    """(prior, [(P(vote good | good), P(vote bad | bad))]) by expectation-maximisation over counted
-    vote patterns. A Beta prior of 2 pseudo-votes at the start values keeps rules that never vote,
-    and tables of few rows, in place."""
-    n_rules = len(RULES)
-    prior, rates = PRIOR, [(ACCURACY, ACCURACY)] * n_rules
+    """(shares of the kinds, rates[kind][rule] = P(vote bad | kind)) by expectation-maximisation over
+    counted vote patterns. Pseudo-votes at the start values keep rules that never vote, and tables of
+    few rows, in place."""
+    kinds, rules = range(len(KINDS)), list(RULES.values())
+    first = [PRIOR] + [(1 - PRIOR) / (len(KINDS) - 1)] * (len(KINDS) - 1)
+    start = [[MISFIRES if c == 0 else CATCHES if rule[0] == KINDS[c] else SPILLS for rule in rules] for c in kinds]
+    shares, rates = first, start
     for _ in range(rounds):
-        good = total = 0.0
-        tallies = [[2 * ACCURACY, 2.0, 2 * ACCURACY, 2.0] for _ in range(n_rules)]
+        mass = [PSEUDO_VOTES * x for x in first]
+        bad = [[PSEUDO_VOTES * x for x in row] for row in start]
+        voted = [[PSEUDO_VOTES] * len(rules) for _ in kinds]
         for pattern, n in patterns:
-            p = posterior(pattern, prior, rates)
-            good, total = good + n * p, total + n
-            for tally, v in zip(tallies, pattern):
-                if v is not None:
-                    tally[0] += n * p * v
-                    tally[1] += n * p
-                    tally[2] += n * (1 - p) * (1 - v)
-                    tally[3] += n * (1 - p)
-        prior = (good + 2 * PRIOR) / (total + 2)
-        rates = [(_inside(a / b), _inside(c / d)) for a, b, c, d in tallies]
-    return prior, rates
-
-
-def _inside(x: float) -> float:
-    return min(max(x, 0.01), 0.99)
-
-
-def weights(prior: float, rates) -> tuple[float, list[tuple[float, float]]]:
-    """(base logit, [(logit of a good vote, logit of a bad vote)])."""
-    return (math.log(prior / (1 - prior)),
-            [(math.log(a / (1 - b)), math.log((1 - a) / b)) for a, b in rates])
-
-
-def posterior(pattern, prior: float, rates) -> float:
-    base, per_rule = weights(prior, rates)
-    z = base + sum((up if v else down) for v, (up, down) in zip(pattern, per_rule) if v is not None)
-    return 1 / (1 + math.exp(-z))
+            for c, p in enumerate(posterior(pattern, shares, rates)):
+                mass[c] += n * p
+                for j, v in enumerate(pattern):
+                    if v is not None:
+                        voted[c][j] += n * p
+                        bad[c][j] += n * p * (1 - v)
+        shares = [x / sum(mass) for x in mass]
+        rates = [[min(max(b / v, LOWEST), 1 - LOWEST) for b, v in zip(bs, vs)] for bs, vs in zip(bad, voted)]
+    return shares, rates
+
+
+def posterior(pattern, shares, rates) -> list[float]:
+    """P(kind | votes)."""
+    z = [math.log(share) + sum(math.log(1 - r if v else r) for v, r in zip(pattern, row) if v is not None)
+         for share, row in zip(shares, rates)]
+    e = [math.exp(x - max(z)) for x in z]
+    return [x / sum(e) for x in e]
+
+
+def good_probability(shares, rates) -> Column:
+    """P(good | votes) as a column: 1 / (1 + sum over the bad kinds of their odds against good)."""
+    odds = F.lit(1.0)
+    for share, row in zip(shares[1:], rates[1:]):
+        z = F.lit(math.log(share / shares[0]))
+        for name, r, g in zip(RULES, row, rates[0]):
+            vote = F.col(f"vote_{name}")
+            z = z + F.when(vote == 1, math.log((1 - r) / (1 - g))).when(vote == 0, math.log(r / g)).otherwise(0.0)
+        odds = odds + F.exp(z)
+    return 1 / odds
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -123,10 +133,6 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = materialize(features(docs).select("*", *votes()), "quality-votes")
     counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()
     patterns = sorted(((tuple(r[:-1]), r[-1]) for r in counted), key=str)
-    base, per_rule = weights(*estimate(patterns))
-    z = F.lit(base)
-    for name, (up, down) in zip(names, per_rule):
-        z = z + F.when(F.col(name) == 1, up).when(F.col(name) == 0, down).otherwise(0.0)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    out = rows.withColumn("base_failed", failed).withColumn("probability", 1 / (1 + F.exp(-z)))
+    out = rows.withColumn("base_failed", failed).withColumn("probability", good_probability(*estimate(patterns)))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("probability") >= KEEP_AT))
