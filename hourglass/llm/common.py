@@ -184,7 +184,6 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         low = both.groupBy("a").agg(F.min("b").alias("m"))
         large = (both.join(low, "a").filter("b > a")
                  .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
-        large = materialize(large, f"{name}-large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).distinct())

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourglass.llm import bpe, language_id, license_scan, mixing, sharding, suffix_dedup, topk, toxicity, weak_quality
+from hourglass.llm import bpe, language_id, license_scan, mixing, ngram_join, sharding, suffix_dedup, topk, toxicity, weak_quality
 from hourglass.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op10_ngram_join", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i + 1:i + 5], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM w
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.component_ids(table(spark, sf_dir, "documents"))
