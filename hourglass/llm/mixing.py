@@ -17,6 +17,8 @@ the seed, so reruns agree.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +29,10 @@ from hourglass.session import materialize
 WEIGHTS = (5.0, 2.0, 1.0)
 TOTAL_SHARE = 1.5
 MAX_REPEATS = 2
-BLOCKS = 1024             # blocks per source, whatever its size
-SHARDS = 16
+BLOCKS = 1024             # least blocks per source; more shards get more
+BLOCKS_A_SHARD = 16
+SHARD_WORDS = 4_000_000   # words of an output shard; very large corpora want a larger figure
+MAX_SHARDS = 1 << 14
 FILLS = 3                 # texts that fill what the last block leaves of a rest
 SEED = 9
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -83,12 +87,19 @@ def split_tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.
     return np.concatenate([split_tree(draw, left, rng), split_tree(quotas - draw, shards - left, rng)])
 
 
-def plan(rows: DataFrame, n_blocks: int = BLOCKS, shards: int = SHARDS, seed: int = SEED, **options) -> DataFrame:
+def layout(rows: DataFrame, total_share: float = TOTAL_SHARE, shard_words: int = SHARD_WORDS) -> tuple[int, int]:
+    """(shards, blocks per source) for the size of the mix."""
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] * total_share
+    shards = min(MAX_SHARDS, max(1, math.ceil(total / shard_words)))
+    return shards, max(BLOCKS, BLOCKS_A_SHARD * shards)
+
+
+def plan(rows: DataFrame, shards: int, n_blocks: int, seed: int = SEED, **options) -> DataFrame:
     """One row per (source, block), at most ``n_blocks`` a source: what every document of the block gets.
 
     ``passes`` whole passes; one more for all documents (``whole``), for those with h2 up to
     ``cut`` (the block in which the rest ends) or for the few texts (h2 in ``fills``) that best
-    fill what is then left. ``bounds``: ends of the shards' ranges of the source's block draws.
+    fill what is then left. ``block_shards``: the shard of each pass over the block.
     """
     spark = rows.sparkSession
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -141,28 +152,27 @@ def plan(rows: DataFrame, n_blocks: int = BLOCKS, shards: int = SHARDS, seed: in
 
     out = (b.join(state, F.col("s").eqNullSafe(F.col("ls")), "left")
            .join(bounds, F.col("s").cast("string").eqNullSafe(F.col("bs"))))
+    shard = F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda p: F.least(
+        F.size(F.filter("bounds", lambda x: x <= p * F.col("n") + F.col("nth"))), F.lit(shards - 1)))
     return out.select(F.col("s").alias("mix_source"), F.col("block").alias("mix_block"), "source_size", "target", "passes",
-                      "whole", "last", "cut", "fills", F.col("nth").cast("long").alias("nth"), F.col("n").alias("n_blocks"), "bounds")
+                      "whole", "last", "cut", "fills", shard.alias("block_shards"))
 
 
-def apply_plan(docs: DataFrame, blocks: DataFrame, n_blocks: int = BLOCKS) -> DataFrame:
+def apply_plan(docs: DataFrame, blocks: DataFrame, n_blocks: int) -> DataFrame:
     """``docs`` (with source, h1, h2) plus source_size, target, copies and the shard of each copy.
 
     The plan has at most ``n_blocks`` rows a source; it is broadcast if its measured size allows.
     """
+    blocks = materialize(blocks, "mix-plan")
     if fits_broadcast(blocks):
         blocks = F.broadcast(blocks)
     j = docs.join(blocks, F.col("source").eqNullSafe(F.col("mix_source"))
                   & (F.pmod("h1", F.lit(n_blocks)) == F.col("mix_block")), "left")
     cut = F.coalesce(F.col("last") & (F.col("h2") <= F.col("cut")), F.lit(False))
     fill = F.coalesce(F.array_contains("fills", F.col("h2")), F.lit(False))
-    j = j.withColumn("copies", F.col("passes") + (F.col("whole") | cut | fill).cast("long"))
-    shard = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("copies") - 1, F.lit(0))),
-                        lambda p: F.least(F.size(F.filter("bounds", lambda x: x <= p * F.col("n_blocks") + F.col("nth"))),
-                                          F.size("bounds") - 1))
-    j = j.withColumn("shards", F.when(F.col("copies") > 0, shard).otherwise(F.array().cast("array<int>")))
-    return j.drop("mix_source", "mix_block", "passes", "whole", "last", "cut", "fills", "nth", "n_blocks",
-                  "bounds")
+    copies = F.col("passes") + (F.col("whole") | cut | fill).cast("long")
+    j = j.withColumn("copies", copies).withColumn("shards", F.slice("block_shards", F.lit(1), F.col("copies").cast("int")))
+    return j.drop("mix_source", "mix_block", "passes", "whole", "last", "cut", "fills", "block_shards")
 
 
 def mix_counts(docs: DataFrame, **options) -> DataFrame:
@@ -172,7 +182,8 @@ def mix_counts(docs: DataFrame, **options) -> DataFrame:
     its own, the last by order; repeated rows share their fate; an empty table gives none.
     """
     rows = materialize(sized(docs), "mix-sizes")
-    out = apply_plan(rows, plan(rows, **options))
+    shards, n_blocks = layout(rows)
+    out = apply_plan(rows, plan(rows, shards, n_blocks, **options), n_blocks)
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "shards")
 
 
@@ -182,7 +193,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     kept = docs.columns
     rows = materialize(sized(docs), "mix-sizes")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "source", *_hashes())
-    out = apply_plan(packed, plan(rows, **options))
+    shards, n_blocks = layout(rows)
+    out = apply_plan(packed, plan(rows, shards, n_blocks, **options), n_blocks)
     out = (out.select("row", "h2", F.posexplode("shards").alias("copy", "shard"))
            .withColumn("place", F.xxhash64(F.lit(SEED + 3), "h2", "copy")))
     out = out.repartition("shard").sortWithinPartitions("shard", "place", "copy")

@@ -276,3 +276,17 @@ def score(docs: DataFrame, model: ConvClassifier) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, train(*sample(docs, labels)))
+
+
+def screen(docs: DataFrame, model: ConvClassifier) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns kept; map-only."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(at))
+            for lo, hi in slices(offsets):
+                s, _ = model.scores(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                yield batch.slice(lo, hi - lo).filter(pa.array(s < 0.5))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return map_arrow(docs, run, schema)
