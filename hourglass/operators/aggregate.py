@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.operators.profile import value_counts
@@ -20,21 +20,18 @@ def factor_share_by_weather(joined: DataFrame, weather: str = "weather_summary",
     """A1: per (weather, factor): ``weather_count``, ``weather_factor_count``, ``frac``.
 
     A null factor forms its own group with count 0 (``count(factor)``) while its rows
-    still count towards the weather total. The window runs on the aggregated pairs
-    only (a few rows per weather), never on the facts. ``weight`` names a row-count
+    still count towards the weather total. The totals are grouped sums of the aggregated pairs,
+    joined back (null-safe), so no task holds all pairs of a weather. ``weight`` names a row-count
     column when the input was pre-aggregated.
     """
     f = F.col(factor)
-    if weight:
-        w = F.col(weight)
-        aggs = [F.sum(w).alias("_rows"),
-                F.coalesce(F.sum(F.when(f.isNotNull(), w)), F.lit(0)).cast("bigint").alias("weather_factor_count")]
-    else:
-        aggs = [F.count(F.lit(1)).alias("_rows"), F.count(f).alias("weather_factor_count")]
-    pairs = joined.groupBy(F.col(weather).alias("weather"), f.alias("factor")).agg(*aggs)
-    total = F.sum("_rows").over(Window.partitionBy("weather"))
-    return pairs.select(
-        "weather", "factor", total.alias("weather_count"), "weather_factor_count",
+    rows = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
+    pairs = joined.groupBy(F.col(weather).alias("weather"), f.alias("factor")).agg(rows.cast("bigint").alias("_rows"))
+    # same grouped exchange on both sides, so Spark runs it once
+    total = pairs.groupBy(F.col("weather").alias("_w")).agg(F.sum("_rows").alias("weather_count"))
+    known = F.when(F.col("factor").isNull(), F.lit(0)).otherwise(F.col("_rows")).cast("bigint")
+    return pairs.join(total, F.col("weather").eqNullSafe(F.col("_w"))).select(
+        "weather", "factor", "weather_count", known.alias("weather_factor_count"),
     ).withColumn("frac", F.col("weather_factor_count").cast("double") / F.col("weather_count").cast("double"))
 
 

@@ -61,7 +61,7 @@ def crash_cells(df: DataFrame, value_col: str = "value", key_col: str | None = N
     return staged.select("row_key", malformed.alias("is_malformed"), F.array(*cells).alias("cells"))
 
 
-# Names given to the 26 kept cells of the crash layout, in cell order.
+# Names given to the 26 kept cells of the crash layout, in cell order.
 CRASH_COLUMNS = (
     "crash_date", "crash_time", "borough", "zip_code", "latitude", "longitude",
     "on_street", "cross_street", "off_street",
@@ -76,12 +76,15 @@ def crash_table(df: DataFrame, value_col: str = "value", key_col: str | None = N
     cells (``-1`` for empty or quarantined). This is what the cleaned CSV reads back
     as, and the input of ``plans.analyses.prepare_facts``; map-only.
 
-    The row goes through ``computed_once`` because filters usually follow (borough,
-    dates): without it each predicate would re-split the raw line."""
-    cells = crash_cells(df, value_col, key_col)
-    return cells.select(computed_once(
-        F.col("row_key").alias("row_id"),
-        *[F.col("cells")[i].alias(name) for i, name in enumerate(CRASH_COLUMNS)]))
+    Only (key, split array) goes through ``computed_once``: filters on the named cells stay
+    above it and read the array, and cells nobody asks for are pruned."""
+    keyed = with_row_key(df, key_col)
+    arr = L.split_fields(L.repair_delimiters(value_col, L.CRASH_FIELDS - 1))
+    split = keyed.select(computed_once(F.col("row_key").alias("row_id"), arr.alias("_cells")))
+    malformed = F.size("_cells") != F.lit(L.CRASH_FIELDS)
+    cells = L.project_ordinals("_cells", L.CRASH_FIELDS, L.CRASH_DROP_ORDINALS)
+    return split.select("row_id", *[F.when(malformed, F.lit(L.FILL_VALUE)).otherwise(L.fill_empty(c)).alias(name)
+                                    for name, c in zip(CRASH_COLUMNS, cells)])
 
 
 def clean_crash_lines(df: DataFrame, value_col: str = "value", key_col: str | None = None,

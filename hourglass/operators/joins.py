@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.session import materialize
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
@@ -89,14 +91,22 @@ def _salted_join(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key: str,
 
 def context_left_facts(ctx: DataFrame, facts: DataFrame, ctx_key: str, fact_key: str,
                        broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                       salt: int = 0) -> DataFrame:
+                       salt: int = 0, stage: bool = True) -> DataFrame:
     """K1: every context row with each of its facts, or once with nulls when it has none.
 
     Same rows as ``ctx.join(facts, ctx_key == fact_key, 'left')``; duplicate keys on
     either side multiply rows, as in the plain join.
     ``broadcast``: 'auto' (checked), True (caller guarantees a bound) or False.
     ``salt`` > 1 salts the shuffle join used when the context is not broadcast.
+    ``stage`` (default): the context is written once, and the size check and all three
+    uses of it read that stage instead of building it again. Column names must not occur
+    on both sides; rename them first.
     """
+    shared = sorted(set(ctx.columns) & set(facts.columns))
+    if shared:
+        raise ValueError(f"columns on both sides of the join: {', '.join(shared)}; rename one side")
+    if stage:
+        ctx = materialize(ctx, "context")
     small = resolve_broadcast(ctx, broadcast, max_broadcast_bytes)
     c = F.broadcast(ctx) if small else ctx
     if not small and salt > 1:
@@ -160,7 +170,7 @@ def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
         left_keys = F.broadcast(left.select(F.col(left_key).alias("__anti_key")).distinct())
         keys = F.broadcast(keys.join(left_keys, "__anti_key", "left_semi").distinct())
     else:
-        keys = keys.distinct()
+        keys = materialize(keys.distinct(), "anti-keys")  # read by the size check and by the join
         keys = F.broadcast(keys) if resolve_broadcast(keys, broadcast, max_broadcast_bytes) else keys
     return left.join(keys, left[left_key] == keys["__anti_key"], "left_anti")
 

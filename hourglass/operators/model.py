@@ -24,6 +24,8 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourglass.session import materialize
+
 
 # --- features ----------------------------------------------------------------
 
@@ -132,6 +134,17 @@ def accuracy(pred: DataFrame, prediction: str = "prediction", label: str = "labe
     return pred.agg(F.avg(hit).alias("accuracy"))
 
 
+def hard_metrics(pred: DataFrame) -> dict[str, float]:
+    """M9 and M10 of hard predictions in one pass over ``pred``."""
+    y, p = F.col("label").cast("double"), F.col("prediction").cast("double")
+
+    def count(cond):
+        return F.count_if(cond).cast("double")
+    auc = (F.try_divide(count((y == 1.0) & (p == 1.0)), count(y == 1.0))
+           + F.try_divide(count((y == 0.0) & (p == 0.0)), count(y == 0.0))) / F.lit(2.0)
+    return pred.agg(auc.alias("auc_hard"), F.avg((y == p).cast("double")).alias("accuracy")).first().asDict()
+
+
 def coefficients(model, names: Sequence[str] | None = None):
     """(term, value) pairs of a binary logistic model; bounded by the feature count."""
     coefs = model.coefficients.toArray().tolist()
@@ -223,6 +236,7 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     cells = long.filter(F.col("__kv.value").isNotNull()).groupBy(
         F.col("__kv.feature").alias("feature"), F.col("__kv.value").alias("value"), "__y",
     ).agg(F.count(F.lit(1)).alias("o"))
+    cells = materialize(cells, "chi-square-cells")  # used three times below
     cells = cells.withColumn("r", F.sum("o").over(Window.partitionBy("feature", "value")))
     col_tot = cells.groupBy("feature", "__y").agg(F.sum("o").alias("c"))
     n_tot = col_tot.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_labels"))
@@ -242,4 +256,7 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 def chi_square_test(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
     """M14 with p-values through ``ChiSquareTest`` (vector column input)."""
     res = ChiSquareTest.test(df, features, label)
-    return res.select(F.posexplode(vector_to_array("pValues")).alias("feature_index", "p_value"))
+    each = F.posexplode(F.arrays_zip(vector_to_array("pValues").alias("p"), F.col("degreesOfFreedom").alias("d"),
+                                     vector_to_array("statistics").alias("s"))).alias("feature_index", "x")
+    return res.select(each).select("feature_index", F.col("x.p").alias("p_value"), F.col("x.d").alias("dof"),
+                                   F.col("x.s").alias("statistic"))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SPACE = 1 << 32
 
@@ -21,15 +22,27 @@ def threshold(fraction: float) -> int:
     return int(fraction * _SPACE)
 
 
-def hash_bucket(key, seed: int, method: str = "md5") -> Column:
-    """Uniform integer in [0, 2^32) from (seed, key).
+def row_key(df: DataFrame, key) -> Column:
+    """``key`` as text; where it is null, a hash of the whole row (map columns aside), so rows
+    without a key are sampled and split like any others instead of being dropped."""
+    key = F.col(key) if isinstance(key, str) else key
+    cells = [F.coalesce(F.col(f"`{f.name}`").cast("string"), F.lit(""))
+             for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.coalesce(key.cast("string"), F.md5(F.concat_ws("|", *cells).cast("binary")))
+
+
+def hash_bucket(key, seed: int, method: str = "md5", purpose: str = "") -> Column:
+    """Uniform integer in [0, 2^32) from (purpose, seed, key); a null key counts as ''.
 
     'md5' is reproducible in other SQL engines; 'xxhash64' is several times cheaper.
+    ``purpose`` separates draws that share seed and key (balancing and a later split).
     """
     key = F.col(key) if isinstance(key, str) else key
+    text = F.concat(F.lit(f"{purpose}{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
     if method == "xxhash64":
-        return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(_SPACE))
-    text = F.concat(F.lit(str(seed)), F.lit(":"), key.cast("string"))
+        return F.pmod(F.xxhash64(text), F.lit(_SPACE))
+    if method not in ("md5", "hash"):
+        raise ValueError(f"unknown hash method {method!r}")
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
@@ -43,33 +56,36 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key, fraction: float, seed: int, method: str = "md5") -> DataFrame:
-    """B2: layout-independent sample on a row key."""
-    return df.filter(hash_pick(key, fraction, seed, method))
+    """B2: layout-independent sample on a row key (rows without a key: on the row)."""
+    return df.filter(hash_pick(row_key(df, key), fraction, seed, method))
 
 
 def balance_classes(df: DataFrame, label: str, keep, fraction: float, seed: int,
-                    key=None, method: str = "hash") -> DataFrame:
-    """Keep class ``keep`` whole and sample every other class at ``fraction``.
+                    key=None, method: str = "md5") -> DataFrame:
+    """Keep class ``keep`` whole and sample every other class (null labels included) at ``fraction``.
 
-    ``method='hash'`` (default) is one filter over one scan; ``'native'`` uses
-    ``sampleBy`` on "is the kept class" (one scan; layout-dependent, like ``df.sample``).
+    ``method``: 'md5' (default) or 'xxhash64', one filter over one scan on the row key;
+    'native' uses ``sampleBy`` on "is the kept class" (layout-dependent, like ``df.sample``).
     """
-    lab = F.col(label)
+    kept = F.coalesce(F.col(label) == F.lit(keep), F.lit(False))
     if method == "native":
-        stratum = F.coalesce(lab == F.lit(keep), F.lit(False))
-        return df.sampleBy(stratum, {True: 1.0, False: fraction}, seed)
+        return df.sampleBy(kept, {True: 1.0, False: fraction}, seed)
     if key is None:
         raise ValueError("hash balancing needs a row key")
-    return df.filter((lab == F.lit(keep)) | hash_pick(key, fraction, seed))
+    return df.filter(kept | hash_pick(row_key(df, key), fraction, seed, method))
+
+
+SPLIT = "split:"  # keeps a split independent of a balancing draw on the same seed and key
 
 
 def train_test_split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 1823,
                      key=None, method: str = "native") -> list[DataFrame]:
-    """Random split. 'native' = ``randomSplit``; 'hash' = stable split on ``key``."""
+    """Random split. 'native' = ``randomSplit``; 'md5' or 'xxhash64' = stable split on ``key``
+    whose parts add up to ``df`` (rows without a key: on the row)."""
     if method == "native":
         return df.randomSplit(list(weights), seed)
     total = float(sum(weights))
-    bucket = hash_bucket(key, seed)
+    bucket = hash_bucket(row_key(df, key), seed, method, SPLIT)
     parts, lo = [], 0
     for i, w in enumerate(weights):
         hi = _SPACE if i == len(weights) - 1 else lo + threshold(w / total)

@@ -1,4 +1,5 @@
-"""End-to-end analyses (Q1-Q7), each a lazy plan of the library operators.
+"""End-to-end analyses (Q1-Q7), composed of the library operators. Building one can start jobs:
+size checks before a broadcast, written stages, model fits.
 
 Column roles follow the look-alike views: facts have ``fact_id``, ``crash_ts``,
 a time key (``fact_hour`` / ``fact_day``), ``zip_code``, ``factor``, ``injured``,
@@ -82,27 +83,29 @@ HOURLY = Keys()
 DAILY = Keys("fact_day", "day_begin")
 
 
+def _weathered_ctx(ctx: DataFrame, keys: Keys) -> DataFrame:
+    return FL.drop_null_rows(ctx, ["weather_summary"]).select(keys.ctx, "weather_summary")
+
+
 def crashes_with_weather(facts: DataFrame, ctx: DataFrame, keys: Keys = HOURLY,
                          broadcast="auto") -> DataFrame:
-    """K2 + F5: facts with their context, rows without weather dropped."""
-    facts = facts.withColumn("factor", X.sentinel_to_label("factor"))
-    return K.facts_left_context(facts, ctx, keys.fact, keys.ctx, drop_null=["weather_summary"],
-                                broadcast=broadcast)
-
+    """K2 + F5: facts with the weather of their time key, rows without weather dropped.
 
-def _weathered_ctx(ctx: DataFrame, keys: Keys) -> DataFrame:
-    return FL.drop_null_rows(ctx, ["weather_summary"]).select(keys.ctx, "weather_summary")
+    Only the context's time key and weather take part, so other columns may share names."""
+    facts = facts.withColumn("factor", X.sentinel_to_label("factor"))
+    return K.facts_inner_context(facts, _weathered_ctx(ctx, keys), keys.fact, keys.ctx, broadcast=broadcast)
 
 
 def factor_share(facts: DataFrame, ctx: DataFrame, keys: Keys = HOURLY, broadcast="auto") -> DataFrame:
-    """Q5: K2 -> A1 in one job (instead of one job per weather/factor pair).
+    """Q5: K2 -> A1 in one query (instead of one job per weather/factor pair).
 
-    Broadcast context: facts stream through a map-side join and are pre-summed per
-    (weather, factor) in every task. Context too large to broadcast: the facts are
-    first reduced to one row per (time key, factor) with its row count, and only
-    those rows take part in the shuffle join.
+    Both paths read the same columns. Broadcast context (checked on its two columns): facts
+    stream through a map-side join and are pre-summed per (weather, factor) in every task.
+    Otherwise the facts are first reduced to one row per (time key, factor) with its row
+    count, and only those rows take part in the shuffle join.
     """
-    if K.resolve_broadcast(ctx, broadcast):
+    facts = facts.select(keys.fact, "factor")
+    if K.resolve_broadcast(_weathered_ctx(ctx, keys), broadcast):
         return A.factor_share_by_weather(crashes_with_weather(facts, ctx, keys, True))
     pre = facts.groupBy(F.col(keys.fact), X.sentinel_to_label("factor").alias("factor")).agg(
         F.count(F.lit(1)).alias("_n"))
@@ -112,8 +115,10 @@ def factor_share(facts: DataFrame, ctx: DataFrame, keys: Keys = HOURLY, broadcas
 
 def factor_casualties(facts: DataFrame, ctx: DataFrame, keys: Keys = HOURLY,
                       broadcast="auto") -> DataFrame:
-    """Q6: K2 -> J3 -> A2 in one job; pre-aggregated before a shuffle join like Q5."""
-    if K.resolve_broadcast(ctx, broadcast):
+    """Q6: K2 -> J3 -> A2 in one query; the same columns on both paths, pre-aggregated before a
+    shuffle join like Q5."""
+    facts = facts.select(keys.fact, "factor", "injured", "killed")
+    if K.resolve_broadcast(_weathered_ctx(ctx, keys), broadcast):
         joined = FL.row_sum(crashes_with_weather(facts, ctx, keys, True), ["injured", "killed"], "casualties")
         return A.casualties_by_weather_factor(joined, casualties="casualties")
     rowwise = FL.row_sum(facts, ["injured", "killed"], "casualties")
@@ -137,28 +142,34 @@ def hours_with_crashes(ctx: DataFrame, facts: DataFrame, keys: Keys = HOURLY,
         "hour_group": X.hour_group(t),
         "day": X.day_monday_first(t),
         "has_event": X.null_flag("event_name"),
-        "sample_key": F.coalesce(F.col("fact_id"), -hour_key(t)),
+        # rows without crash: the hour; hours whose text did not parse: a measured value
+        "sample_key": F.coalesce(F.col("fact_id"), -hour_key(t), -F.col("pedestrians").cast("bigint"), F.lit(0)),
     }).withColumn("has_accident", X.label_any_match("casualties"))
 
 
-def training_table(ctx: DataFrame, facts: DataFrame, fraction: float = FINAL_SAMPLE["fraction"],
-                   seed: int = FINAL_SAMPLE["seed"], keys: Keys = HOURLY, broadcast="auto",
-                   sampling: str = "hash", stage: bool = True) -> DataFrame:
-    """Q3: K1 -> X11 -> J3 -> X15 -> X7 -> X9 -> B3 -> X17/X18 -> J0.
+def training_sample(ctx: DataFrame, facts: DataFrame, fraction: float = FINAL_SAMPLE["fraction"],
+                    seed: int = FINAL_SAMPLE["seed"], keys: Keys = HOURLY, broadcast="auto",
+                    sampling: str = "md5", stage: bool = True) -> DataFrame:
+    """F5 -> K1 -> X11 -> J3 -> X15 -> X7 -> X9 -> B3: the balanced rows before scaling.
 
-    The ranges for scaling are measured on the balanced sample, and so is the scaling
-    itself: two passes over the sample. With ``stage`` (default) the sample, which is
-    small next to the facts, is written once under the checkpoint root and both passes
-    read it, so the facts and the join behind the sample are scanned once, not twice.
+    Context rows without weather leave first, as in preparation. With ``stage`` (default) the
+    sample, which is small next to the facts, is written once under the checkpoint root.
     """
-    j = hours_with_crashes(ctx, facts, keys, broadcast)
+    j = hours_with_crashes(FL.drop_null_rows(ctx, ["weather_summary"]), facts, keys, broadcast)
     sample = B.balance_classes(j, "has_accident", keep=0, fraction=fraction, seed=seed,
                                key="sample_key", method=sampling)
     sample = sample.select("sample_key", "temperature", "precipitation", "pedestrians", "weather",
                            "day", "hour_group", "has_accident")
-    if stage:
-        sample = materialize(sample, "training-sample")
-    scaled = S.min_max_scale(sample, ["temperature", "precipitation", "pedestrians"])
+    return materialize(sample, "training-sample") if stage else sample
+
+
+def training_table(ctx: DataFrame, facts: DataFrame, **options) -> DataFrame:
+    """Q3: training_sample -> X17/X18 -> J0.
+
+    The ranges for scaling are measured on the balanced sample, and so is the scaling
+    itself: two passes over the staged sample, one over the facts and the join behind it.
+    """
+    scaled = S.min_max_scale(training_sample(ctx, facts, **options), ["temperature", "precipitation", "pedestrians"])
     return scaled.select(
         "sample_key",
         "temperature_norm",
@@ -171,12 +182,8 @@ def training_table(ctx: DataFrame, facts: DataFrame, fraction: float = FINAL_SAM
     )
 
 
-def training_norm_params(ctx: DataFrame, facts: DataFrame, fraction: float = FINAL_SAMPLE["fraction"],
-                         seed: int = FINAL_SAMPLE["seed"], keys: Keys = HOURLY,
-                         broadcast="auto") -> DataFrame:
-    """X20 for Q3: the six ranges used to scale the training table."""
-    j = hours_with_crashes(ctx, facts, keys, broadcast)
-    sample = B.balance_classes(j, "has_accident", keep=0, fraction=fraction, seed=seed, key="sample_key")
+def norm_params_of(sample: DataFrame) -> DataFrame:
+    """The six ranges used to scale a training sample."""
     return S.norm_params(
         sample,
         measured=[("temperature", "temperature"), ("precipitation", "precipitation"),
@@ -185,42 +192,78 @@ def training_norm_params(ctx: DataFrame, facts: DataFrame, fraction: float = FIN
         order=["temperature", "precipitation", "weather", "day", "hour", "pedestrians"])
 
 
+def training_norm_params(ctx: DataFrame, facts: DataFrame, **options) -> DataFrame:
+    """X20 for Q3, from the same staged sample."""
+    return norm_params_of(training_sample(ctx, facts, **options))
+
+
+def scale_with(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """New rows (columns as in ``training_sample``) scaled with stored ranges (X20) instead of their own:
+    what a saved model needs to score them. ``params`` has one row per variable; it is read back
+    as a bounded lookup."""
+    ranges = {r["variable"]: (r["min"], r["max"]) for r in params.limit(100).collect()}
+    column = {"hour": "hour_group"}
+
+    def scaled(name: str):
+        lo, hi = ranges[name]
+        out = F.lit(None).cast("double") if hi == lo else (
+            (F.col(column.get(name, name)).cast("double") - F.lit(float(lo))) / F.lit(float(hi) - float(lo)))
+        return out.alias(f"{name}_norm")
+    return rows.select("sample_key", *[scaled(n) for n in ("temperature", "precipitation", "weather", "day", "hour",
+                                                           "pedestrians")], "has_accident")
+
+
 # --- Q4 / Q7: models ---------------------------------------------------------
 
 def _metrics_rows(name: str, model, train: DataFrame, test: DataFrame, names,
                   with_coefficients: bool = False) -> list[tuple]:
+    """Hard AUC and accuracy come from one aggregate per scored set, the raw AUC from the evaluator."""
     pred_test = M.score(model, test)
-    pred_train = M.score(model, train)
-    rows = [(name, "auc_hard_test", M.eval_auc(pred_test)),
-            (name, "auc_hard_train", M.eval_auc(pred_train)),
+    on_test, on_train = M.hard_metrics(pred_test), M.hard_metrics(M.score(model, train))
+    rows = [(name, "auc_hard_test", on_test["auc_hard"]),
+            (name, "auc_hard_train", on_train["auc_hard"]),
             (name, "auc_raw_test", M.eval_auc(pred_test, raw_col="rawPrediction")),
-            (name, "accuracy_test", M.eval_accuracy(pred_test))]
+            (name, "accuracy_test", on_test["accuracy"])]
     if with_coefficients:
         rows += [(name, f"coef_{t}", v) for t, v in M.coefficients(model, names)]
     return rows
 
 
+def model_input(table: DataFrame, features, name: str) -> DataFrame:
+    """M1 -> M2 on ``table``, written once before iterative fitting. A null feature is an error."""
+    data = M.index_label(M.assemble(table, list(features)), "has_accident")
+    return materialize(data.select("sample_key", "features", "label"), name)
+
+
+def split(data: DataFrame, seed: int) -> list[DataFrame]:
+    """B4 on the row key, 70/30; independent of how the rows are stored."""
+    return B.train_test_split(data, (0.7, 0.3), seed, key="sample_key", method="md5")
+
+
 def train_crash_model(training: DataFrame, features=FINAL_FEATURES, seed: int = FINAL_SPLIT_SEED,
-                      max_iter: int = 150, model_path: str | None = None):
-    """Q4: M1 -> M2 -> B4 -> M3 -> M9 -> M11 (-> S7). Returns (model, metric rows)."""
-    data = M.index_label(M.assemble(training, list(features), handle_invalid="skip"), "has_accident")
-    data = materialize(data.select("features", "label"), "crash-model-input")  # before iterative fitting
-    train, test = data.randomSplit([0.7, 0.3], seed)
+                      max_iter: int = 150, model_path: str | None = None, params: DataFrame | None = None):
+    """Q4: M1 -> M2 -> B4 -> M3 -> M9 -> M11 (-> S7). Returns (model, metric rows).
+
+    With ``params`` (X20) the scaling ranges are written next to the model, for ``scale_with``."""
+    data = model_input(training, features, "crash-model-input")
+    train, test = split(data, seed)
     model = M.fit_logistic(train, max_iter=max_iter)
     rows = [("logistic", "n_train", float(train.count())), ("logistic", "n_test", float(test.count()))]
     rows += _metrics_rows("logistic", model, train, test, list(features), with_coefficients=True)
     if model_path:
         from hourglass.sources.io import save_model
         save_model(model, model_path)
+        if params is not None:
+            params.write.mode("overwrite").parquet(f"{model_path}-ranges")
     return model, rows
 
 
 def area_dataset(ctx: DataFrame, facts: DataFrame, zip_code: str, keys: Keys = HOURLY,
                  fraction: float = AREA_SAMPLE["fraction"], seed: int = AREA_SAMPLE["seed"],
                  broadcast="auto") -> DataFrame:
-    """Q7 data: zip-narrowed facts -> K1 -> X15 -> B3 (keep crash hours, sample the rest)."""
+    """Q7 data: F5, zip-narrowed facts -> K1 -> X15 -> B3 (keep crash hours, sample the rest)."""
     narrowed = FL.filter_eq(facts, "zip_code", zip_code)
-    j = hours_with_crashes(ctx, narrowed, keys, broadcast)
+    j = hours_with_crashes(FL.drop_null_rows(ctx, ["weather_summary"]), narrowed, keys, broadcast)
     return B.balance_classes(j, "has_accident", keep=1, fraction=fraction, seed=seed, key="sample_key")
 
 
@@ -228,9 +271,8 @@ def area_model(ctx: DataFrame, facts: DataFrame, zip_code: str, features=AREA_FE
                seed: int = AREA_SPLIT_SEED, max_iter: int = 150, keys: Keys = HOURLY):
     """Q7: logistic (binomial and multinomial) and naive Bayes on the narrowed sample."""
     data = area_dataset(ctx, facts, zip_code, keys)
-    data = M.index_label(M.assemble(data, list(features), handle_invalid="skip"), "has_accident")
-    data = materialize(data.select("features", "label"), "area-model-input")
-    train, test = data.randomSplit([0.7, 0.3], seed)
+    data = model_input(data, features, "area-model-input")
+    train, test = split(data, seed)
     rows = [("area", "n_train", float(train.count())), ("area", "n_test", float(test.count()))]
     rows += _metrics_rows("logistic", M.fit_logistic(train, max_iter=max_iter), train, test, list(features),
                           with_coefficients=True)

@@ -30,6 +30,8 @@ from hourglass.plans.oracle import (
     hash_pick,
     hours_with_crashes_sql,
     q,
+    row_key,
+    split_pick,
     weather_code,
     with_views,
 )
@@ -180,7 +182,7 @@ def _training(spark, d) -> DataFrame:
 def _labelled(spark, d, features=Q.FINAL_FEATURES) -> DataFrame:
     checkpoint_root(spark)
     t = _training(spark, d)
-    return M.index_label(M.assemble(t, list(features), handle_invalid="skip"), "has_accident")
+    return M.index_label(M.assemble(t, list(features)), "has_accident")
 
 
 def _rows(spark, rows, schema) -> DataFrame:
@@ -633,7 +635,8 @@ def x19_max_scale(spark, d):
     return V.ctx_h(spark, d).select("hour_begin", S.max_scale("pedestrians", 4330).alias("ped_norm"))
 
 
-_BAL = f"(has_accident = 0 OR {hash_pick('sample_key', FS['fraction'], FS['seed'])})"
+_PICKED = f"(has_accident = 0 OR {hash_pick('sample_key', FS['fraction'], FS['seed'])})"
+_BAL = f"weather_summary IS NOT NULL AND {_PICKED}"  # F5 first
 BALANCED = {"bal": f"SELECT * FROM hwc_h WHERE {_BAL}"}
 
 
@@ -850,7 +853,7 @@ def b2_hash_sample(spark, d):
 
 
 @register("b3_balance_classes", with_views(
-    "SELECT sample_key, has_accident FROM bal", "hwc_h", extra=BALANCED))
+    f"SELECT sample_key, has_accident FROM hwc_h WHERE {_PICKED}", "hwc_h"))
 def b3_balance_classes(spark, d):
     return B.balance_classes(_hwc(spark, d), "has_accident", keep=0, key="sample_key",
                              **FS).select("sample_key", "has_accident")
@@ -863,13 +866,91 @@ def b4_train_test_split(spark, d):
 
 
 @register("b4_hash_split", with_views(
-    f"SELECT fact_id, factor FROM facts_d WHERE {hash_pick('fact_id', 0.7, 1823)}", "facts_d"))
+    f"SELECT fact_id, factor FROM facts_d WHERE {split_pick('fact_id', 0.7, 1823)}", "facts_d"))
 def b4_hash_split(spark, d):
     train, _ = B.train_test_split(V.facts_d(spark, d).select("fact_id", "factor"), (0.7, 0.3), 1823,
-                                  key="fact_id", method="hash")
+                                  key="fact_id", method="md5")
     return train
 
 
+def _facts_some_keys(spark, d) -> DataFrame:
+    """fact_id, injured, factor with every fifth key missing."""
+    f = V.facts_d(spark, d)
+    return f.select(F.when(F.col("fact_id") % 5 != 0, F.col("fact_id")).alias("fact_id"), "injured", "factor")
+
+
+_SOME_KEYS = ("SELECT CASE WHEN fact_id % 5 <> 0 THEN fact_id END AS fact_id, injured, factor FROM facts_d")
+_SOME_KEY = row_key("fact_id", "fact_id", "injured", "factor")
+
+
+@register("b2_hash_sample_null_keys", with_views(
+    f"SELECT fact_id, injured, factor FROM s WHERE {hash_pick(_SOME_KEY, 0.3, 123)}", "facts_d", extra={"s": _SOME_KEYS}))
+def b2_hash_sample_null_keys(spark, d):
+    """Rows without a key are sampled on the whole row."""
+    return B.hash_sample(_facts_some_keys(spark, d), "fact_id", 0.3, 123)
+
+
+@register("b4_split_null_keys", with_views(f"""
+SELECT factor, count(*) FILTER (WHERE {split_pick(_SOME_KEY, 0.7, 1823)}) AS n_train,
+       count(*) FILTER (WHERE NOT {split_pick(_SOME_KEY, 0.7, 1823)}) AS n_test, count(*) AS n_rows
+FROM s GROUP BY factor""", "facts_d", extra={"s": _SOME_KEYS}))
+def b4_split_null_keys(spark, d):
+    """The parts of a split add up to the input, rows without a key included."""
+    rows = _facts_some_keys(spark, d)
+    train, test = B.train_test_split(rows, (0.7, 0.3), 1823, key="fact_id", method="md5")
+    parts = train.select("factor", F.lit("train").alias("part")).unionByName(
+        test.select("factor", F.lit("test").alias("part"))).unionByName(rows.select("factor", F.lit("all").alias("part")))
+    return parts.groupBy("factor").agg(F.count_if(F.col("part") == "train").alias("n_train"),
+                                       F.count_if(F.col("part") == "test").alias("n_test"),
+                                       F.count_if(F.col("part") == "all").alias("n_rows"))
+
+
+@register("b4_balance_then_split", with_views(f"""
+SELECT killed, {split_pick('fact_id', 0.7, 1823)} AS in_train, count(*) AS n_rows
+FROM facts_d WHERE killed = 1 OR {hash_pick('fact_id', 0.1, 1823)} GROUP BY ALL""", "facts_d"))
+def b4_balance_then_split(spark, d):
+    """Balancing and then splitting on one key and seed: both classes in both parts."""
+    rows = B.balance_classes(V.facts_d(spark, d), "killed", keep=1, fraction=0.1, seed=1823, key="fact_id")
+    train, test = B.train_test_split(rows, (0.7, 0.3), 1823, key="fact_id", method="md5")
+    parts = train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
+    return parts.groupBy("killed", "in_train").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("b1_native_sample_flags", with_views(
+    "SELECT count(*) AS n_rows, TRUE AS is_subset, TRUE AS near_fraction FROM facts_d", "facts_d"))
+def b1_native_sample_flags(spark, d):
+    """B1 over all rows: the sample is a subset, each row at most once, within 5 standard deviations of
+    the fraction."""
+    rows = V.facts_d(spark, d).select("fact_id", "factor").withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows, "b1-rows")
+    return _part_flags(rows, B.bernoulli_sample(rows, 0.3, 123), 0.3, "near_fraction")
+
+
+def _part_flags(rows: DataFrame, part: DataFrame, fraction: float, name: str) -> DataFrame:
+    part = part.select("row", F.lit(1).alias("hit")).groupBy("row").agg(F.sum("hit").alias("hits"))
+    joined = rows.join(part, "row", "full_outer")
+    n, k = F.count("factor"), F.sum(F.coalesce("hits", F.lit(0)))
+    near = F.abs(k - n * fraction) <= 5 * F.sqrt(n * fraction * (1 - fraction))
+    one = (F.coalesce(F.max("hits"), F.lit(0)) <= 1) & (F.count_if(F.col("factor").isNull()) == 0)
+    return joined.agg(n.alias("n_rows"), one.alias("is_subset"), near.alias(name))
+
+
+@register("b4_native_split_flags", with_views(
+    "SELECT count(*) AS n_rows, TRUE AS parts_add_up, TRUE AS near_fraction FROM facts_d", "facts_d"))
+def b4_native_split_flags(spark, d):
+    """Native B4 over all rows: disjoint parts that add up to the input, sizes near the weights."""
+    rows = V.facts_d(spark, d).select("fact_id", "factor").withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows, "b4-rows")
+    train, test = B.train_test_split(rows, (0.7, 0.3), 1823)
+    train = materialize(train.withColumn("t", F.lit(1)), "b4-train")
+    test = materialize(test.withColumn("t", F.lit(0)), "b4-test")
+    parts = train.unionByName(test).groupBy("row").agg(F.count(F.lit(1)).alias("c"), F.sum("t").alias("t"))
+    n, k = F.count("factor"), F.sum(F.coalesce("t", F.lit(0)))
+    near = F.abs(k - n * 0.7) <= 5 * F.sqrt(n * 0.7 * 0.3)
+    whole = (F.min(F.coalesce("c", F.lit(0))) == 1) & (F.max(F.coalesce("c", F.lit(0))) == 1)
+    return rows.join(parts, "row", "left").agg(n.alias("n_rows"), whole.alias("parts_add_up"), near.alias("near_fraction"))
+
+
 # =============================================================================
 # Models and statistics
 # =============================================================================
@@ -887,9 +968,12 @@ def m2_index_label(spark, d):
     return M.index_label(_training(spark, d), "has_accident").select("sample_key", "label")
 
 
+def _final_parts(spark, d) -> list[DataFrame]:
+    return Q.split(Q.model_input(_training(spark, d), Q.FINAL_FEATURES, "m-input"), Q.FINAL_SPLIT_SEED)
+
+
 def _fit_rows(spark, d, kind: str):
-    data = materialize(_labelled(spark, d).select("features", "label"), "m-input")
-    train, test = data.randomSplit([0.7, 0.3], Q.FINAL_SPLIT_SEED)
+    train, test = _final_parts(spark, d)
     if kind == "multinomial":
         model = M.fit_multinomial(train, max_iter=100)
         return _rows(spark, M.coefficient_matrix(model, list(Q.FINAL_FEATURES)),
@@ -924,21 +1008,24 @@ def m5_fit_naive_bayes(spark, d):
 def _area_labelled(spark, d) -> DataFrame:
     checkpoint_root(spark)
     data = Q.area_dataset(V.ctx_h(spark, d), V.facts_h(spark, d), AREA_ZIP)
-    return M.assemble(data, list(Q.AREA_FEATURES), handle_invalid="skip")
+    return M.assemble(data, list(Q.AREA_FEATURES))
+
+
+def _area_parts(spark, d) -> list[DataFrame]:
+    data = materialize(_area_labelled(spark, d).select("sample_key", "features", "has_accident"), "rf-input")
+    return Q.split(data, Q.AREA_SPLIT_SEED)
 
 
 @register("m6_fit_random_forest")
 def m6_fit_random_forest(spark, d):
-    data = materialize(_area_labelled(spark, d).select("features", "has_accident"), "rf-input")
-    train, test = data.randomSplit([0.7, 0.3], Q.AREA_SPLIT_SEED)
+    train, test = _area_parts(spark, d)
     model = M.fit_random_forest(train, "has_accident")
     return A.prediction_counts(M.score(model, test), "predictedLabel")
 
 
-_AREA_BAL = (f"SELECT * FROM hwc_area WHERE has_accident = 1 OR "
-             f"{hash_pick('sample_key', Q.AREA_SAMPLE['fraction'], Q.AREA_SAMPLE['seed'])}")
-_AREA_FEAT = ("SELECT " + ", ".join(Q.AREA_FEATURES) + " FROM area_bal WHERE "
-              + " AND ".join(f"{c} IS NOT NULL" for c in Q.AREA_FEATURES))
+_AREA_BAL = (f"SELECT * FROM hwc_area WHERE weather_summary IS NOT NULL AND (has_accident = 1 OR "
+             f"{hash_pick('sample_key', Q.AREA_SAMPLE['fraction'], Q.AREA_SAMPLE['seed'])})")
+_AREA_FEAT = "SELECT " + ", ".join(Q.AREA_FEATURES) + " FROM area_bal"
 
 
 @register("m7_index_features", with_views(
@@ -987,6 +1074,171 @@ def m12_score(spark, d):
     return _fit_rows(spark, d, "score")
 
 
+# --- results of fitted models as flags over all rows ------------------------------------
+
+_FEATURES_SQL = ", ".join(f"CAST({c} AS DOUBLE)" for c in Q.FINAL_FEATURES)
+
+
+@register("m1_assembled_values", with_views(
+    f"SELECT sample_key, round(list_sum([{_FEATURES_SQL}]), 6) AS total, len([{_FEATURES_SQL}]) AS n FROM training",
+    "hwc_h", extra=TRAINING))
+def m1_assembled_values(spark, d):
+    """M1: number and sum of the assembled values of every row (no row skipped)."""
+    from pyspark.ml.functions import vector_to_array
+    v = vector_to_array("features")
+    total = F.aggregate(v, F.lit(0.0), lambda s, x: s + x)
+    return M.assemble(_training(spark, d), list(Q.FINAL_FEATURES)).select(
+        "sample_key", r6(total).alias("total"), F.size(v).cast("bigint").alias("n"))
+
+
+_SPLIT_SQL = """
+SELECT count(*) FILTER (WHERE {pick}) AS n_train, count(*) FILTER (WHERE NOT {pick}) AS n_test, {rest} FROM {src}"""
+
+
+def _sizes(train: DataFrame, test: DataFrame, *flags) -> DataFrame:
+    both = train.select(F.lit(1).alias("t")).unionByName(test.select(F.lit(0).alias("t")))
+    return both.agg(F.count_if(F.col("t") == 1).alias("n_train"), F.count_if(F.col("t") == 0).alias("n_test"), *flags)
+
+
+def _flag(value: bool, name: str):
+    return F.lit(bool(value)).alias(name)
+
+
+def _penalised_gradient(model, train: DataFrame, n_features: int) -> float:
+    """Largest derivative of the penalised logistic loss (weights by standard deviation, as fitted) at the
+    model's coefficients: 0 at the optimum. One aggregate over the training rows."""
+    from pyspark.ml.functions import vector_to_array
+    rows = train.select(vector_to_array("features").alias("x"), "label")
+    coefs, intercept = model.coefficients.toArray().tolist(), float(model.intercept)
+    z = F.lit(intercept)
+    for i, c in enumerate(coefs):
+        z = z + F.col("x")[i] * c
+    err = 1 / (1 + F.exp(-z)) - F.col("label")
+    aggs = [F.avg(err).alias("g")] + [F.avg(err * F.col("x")[i]).alias(f"g{i}") for i in range(n_features)]
+    aggs += [F.stddev_samp(F.col("x")[i]).alias(f"s{i}") for i in range(n_features)]
+    r = rows.agg(*aggs).first()
+    reg = model.getOrDefault("regParam")
+    worst = abs(r["g"])
+    for i, c in enumerate(coefs):
+        s = r[f"s{i}"] or 0.0
+        if s > 0:
+            ridge = reg * (1 - model.getOrDefault("elasticNetParam")) * c * s
+            lasso = reg * model.getOrDefault("elasticNetParam")
+            g = r[f"g{i}"] / s + ridge
+            worst = max(worst, abs(g + lasso * (1 if c > 0 else -1)) if c else max(0.0, abs(g) - lasso))
+    return worst
+
+
+@register("m3_logistic_optimum", with_views(_SPLIT_SQL.format(
+    pick=split_pick("sample_key", 0.7, Q.FINAL_SPLIT_SEED), rest="TRUE AS is_optimal", src="training"),
+    "hwc_h", extra=TRAINING))
+def m3_logistic_optimum(spark, d):
+    """M3: the fitted coefficients are an optimum of the penalised loss over the training rows."""
+    train, test = _final_parts(spark, d)
+    model = M.fit_logistic(train, max_iter=500)
+    return _sizes(train, test, _flag(_penalised_gradient(model, train, len(Q.FINAL_FEATURES)) < 0.01, "is_optimal"))
+
+
+@register("m4_multinomial_probabilities", with_views(_SPLIT_SQL.format(
+    pick=split_pick("sample_key", 0.7, Q.FINAL_SPLIT_SEED), rest="TRUE AS softmax_agrees", src="training"),
+    "hwc_h", extra=TRAINING))
+def m4_multinomial_probabilities(spark, d):
+    """M4: probabilities of every row are the softmax of the reported coefficient matrix."""
+    from pyspark.ml.functions import vector_to_array
+    train, test = _final_parts(spark, d)
+    model = M.fit_multinomial(train, max_iter=100)
+    terms = M.coefficient_matrix(model, list(Q.FINAL_FEATURES))
+    z = {}
+    for k in sorted({c for c, _, _ in terms}):
+        values = dict((t, v) for c, t, v in terms if c == k)
+        z[k] = F.lit(values["intercept"])
+        for i, name in enumerate(Q.FINAL_FEATURES):
+            z[k] = z[k] + vector_to_array("features")[i] * values[name]
+    norm = sum((F.exp(x) for x in z.values()), F.lit(0.0))
+    rows = M.score(model, train.unionByName(test))
+    gap = F.greatest(*[F.abs(vector_to_array("probability")[k] - F.exp(x) / norm) for k, x in z.items()])
+    worst = rows.agg(F.max(gap)).first()[0]
+    return _sizes(train, test, _flag(worst < 1e-9, "softmax_agrees"))
+
+
+@register("m5_naive_bayes_closed_form", with_views(_SPLIT_SQL.format(
+    pick=split_pick("sample_key", 0.7, Q.FINAL_SPLIT_SEED), rest="TRUE AS closed_form", src="training"),
+    "hwc_h", extra=TRAINING))
+def m5_naive_bayes_closed_form(spark, d):
+    """M5: log priors and log likelihoods equal the smoothed sums of the training rows."""
+    import math
+
+    from pyspark.ml.functions import vector_to_array
+    train, test = _final_parts(spark, d)
+    model = M.fit_naive_bayes(train)
+    k = len(Q.FINAL_FEATURES)
+    sums = train.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(vector_to_array("features")[i]).alias(f"s{i}") for i in range(k)]).orderBy("label").collect()
+    smooth, total, gap = model.getOrDefault("smoothing"), sum(r["n"] for r in sums), 0.0
+    for c, r in enumerate(sums):
+        mass = sum(r[f"s{i}"] for i in range(k)) + smooth * k
+        gap = max(gap, abs(model.pi[c] - math.log((r["n"] + smooth) / (total + smooth * len(sums)))))
+        gap = max([gap, *[abs(model.theta[c, i] - math.log((r[f"s{i}"] + smooth) / mass)) for i in range(k)]])
+    return _sizes(train, test, _flag(gap < 1e-9, "closed_form"))
+
+
+@register("m6_forest_beats_majority", with_views(_SPLIT_SQL.format(
+    pick=split_pick("sample_key", 0.7, Q.AREA_SPLIT_SEED), rest="TRUE AS not_below_majority", src="area_bal"),
+    "hwc_area", extra={"area_bal": _AREA_BAL}))
+def m6_forest_beats_majority(spark, d):
+    """M6: on its training rows the forest is right at least as often as the larger class."""
+    train, test = _area_parts(spark, d)
+    pred = M.score(M.fit_random_forest(train, "has_accident"), train)
+    r = pred.agg(F.avg((F.col("predictedLabel") == F.col("has_accident").cast("string")).cast("double")).alias("hit"),
+                 F.avg(F.col("has_accident").cast("double")).alias("share")).first()
+    return _sizes(train, test, _flag(r["hit"] >= max(r["share"], 1 - r["share"]) - 1e-9, "not_below_majority"))
+
+
+@register("m11_m12_scores_follow_coefficients", with_views(_SPLIT_SQL.format(
+    pick=split_pick("sample_key", 0.7, Q.FINAL_SPLIT_SEED), rest="TRUE AS sigmoid_agrees", src="training"),
+    "hwc_h", extra=TRAINING))
+def m11_m12_scores_follow_coefficients(spark, d):
+    """Scores of every row are the sigmoid of the reported coefficients."""
+    from pyspark.ml.functions import vector_to_array
+    train, test = _final_parts(spark, d)
+    model = M.fit_logistic(train, max_iter=100)
+    terms = dict(M.coefficients(model, list(Q.FINAL_FEATURES)))
+    z = F.lit(terms["intercept"])
+    for i, name in enumerate(Q.FINAL_FEATURES):
+        z = z + vector_to_array("features")[i] * terms[name]
+    p = 1 / (1 + F.exp(-z))
+    rows = M.score(model, train.unionByName(test))
+    wrong = rows.filter((F.abs(vector_to_array("probability")[1] - p) > 1e-9)
+                        | (F.col("prediction") != (p > model.getThreshold()).cast("double")))
+    return _sizes(train, test, _flag(wrong.isEmpty(), "sigmoid_agrees"))
+
+
+@register("s7_saved_model_equals_loaded", with_views(
+    "SELECT count(*) AS n_rows, TRUE AS same_scores FROM training", "hwc_h", extra=TRAINING))
+def s7_saved_model_equals_loaded(spark, d):
+    """The loaded model gives every row the probability of the saved one."""
+    from pyspark.ml.functions import vector_to_array
+    data = Q.model_input(_training(spark, d), Q.FINAL_FEATURES, "s7-input")
+    model = M.fit_logistic(data, max_iter=50)
+    path = scratch_path(spark, "s7")
+    io.save_model(model, path)
+    loaded = io.load_model(path, "logistic")
+    mine = M.score(model, data).select("features", vector_to_array("probability")[1].alias("p"))
+    theirs = M.score(loaded, mine).select("p", vector_to_array("probability")[1].alias("q"))
+    return theirs.agg(F.count(F.lit(1)).alias("n_rows"), (F.max(F.abs(F.col("p") - F.col("q"))) == 0).alias("same_scores"))
+
+
+@register("s7_stored_ranges_scale_new_rows", with_views("SELECT * FROM training", "hwc_h", extra=TRAINING))
+def s7_stored_ranges_scale_new_rows(spark, d):
+    """Ranges written with a model and read back scale rows as X17/X18 did."""
+    sample = Q.training_sample(V.ctx_h(spark, d), V.facts_h(spark, d))
+    path = scratch_path(spark, "ranges")
+    Q.norm_params_of(sample).write.parquet(path)
+    out = Q.scale_with(sample, spark.read.parquet(path))
+    return out.select("sample_key", "temperature_norm", "precipitation_norm", "weather_norm", "day_norm", "hour_norm",
+                      "pedestrians_norm", "has_accident")
+
+
 _M13 = ["pedestrians", "temperature", "precipitation", "has_event", "hour_group", "day", "weather",
         "has_accident"]
 
@@ -1093,6 +1345,47 @@ def q3_training_table_from_raw(spark, d):
     return Q.training_table(Q.prepare_context(V.ctx_raw(spark, d)), facts)
 
 
+@register("q3_fitted_rows", with_views(
+    "SELECT count(*) AS n_table, count(*) AS n_fitted FROM training", "hwc_h", extra=TRAINING))
+def q3_fitted_rows(spark, d):
+    """Every row of the training table reaches the fit."""
+    table = _training(spark, d)
+    n = Q.model_input(table, Q.FINAL_FEATURES, "q3-input").agg(F.count(F.lit(1)).alias("n_fitted"))
+    return table.agg(F.count(F.lit(1)).alias("n_table")).join(n)
+
+
+def _metric_sizes(spark, rows) -> DataFrame:
+    r = {m: v for _, m, v in rows}
+    flags = all(0.0 <= v <= 1.0 for _, m, v in rows if m.startswith(("auc", "accuracy")))
+    return _rows(spark, [(int(r["n_train"]), int(r["n_test"]), flags)], "n_train long, n_test long, in_bounds boolean")
+
+
+@register("q4_split_sizes", with_views(_SPLIT_SQL.format(
+    pick=split_pick("sample_key", 0.7, Q.FINAL_SPLIT_SEED), rest="TRUE AS in_bounds", src="training"),
+    "hwc_h", extra=TRAINING))
+def q4_split_sizes(spark, d):
+    """Q4: training and test rows of the final model, and metrics within [0, 1]."""
+    _, rows = Q.train_crash_model(_training(spark, d), max_iter=30)
+    return _metric_sizes(spark, rows)
+
+
+@register("q7_split_sizes", with_views(_SPLIT_SQL.format(
+    pick=split_pick("sample_key", 0.7, Q.AREA_SPLIT_SEED), rest="TRUE AS in_bounds", src="area_bal"),
+    "hwc_area", extra={"area_bal": _AREA_BAL}))
+def q7_split_sizes(spark, d):
+    """Q7: training and test rows of the area models, and metrics within [0, 1]."""
+    return _metric_sizes(spark, Q.area_model(V.ctx_h(spark, d), V.facts_h(spark, d), AREA_ZIP, max_iter=30))
+
+
+@register("q5_written_result", _q5_sql())
+def q5_written_result(spark, d):
+    """Q5 as the source ends it: one CSV file, read back."""
+    path = scratch_path(spark, "q5")
+    io.write_csv(_q5(spark, d), path, single_file=True, null_value="<null>")
+    return spark.read.option("header", True).option("nullValue", "<null>").schema(
+        "weather string, factor string, weather_count long, weather_factor_count long, frac double").csv(path)
+
+
 @register("q4_train_crash_model")
 def q4_train_crash_model(spark, d):
     checkpoint_root(spark)
@@ -1134,6 +1427,15 @@ SELECT weather_summary AS weather, factor, CAST(sum(injured) AS BIGINT) AS injur
 FROM {src} GROUP BY weather_summary, factor""", src)
 
 
+@register("q6_written_result", _q6_sql("cw_h"))
+def q6_written_result(spark, d):
+    """Q6 as the source ends it: one CSV file, read back."""
+    path = scratch_path(spark, "q6")
+    io.write_csv(Q.factor_casualties(V.facts_h(spark, d), V.ctx_h(spark, d)), path, single_file=True, null_value="<null>")
+    return spark.read.option("header", True).option("nullValue", "<null>").schema(
+        "weather string, factor string, injured long, killed long, casualties long").csv(path)
+
+
 @register("q6_factor_casualties", _q6_sql("cw_h"))
 def q6_factor_casualties(spark, d):
     return Q.factor_casualties(V.facts_h(spark, d), V.ctx_h(spark, d))

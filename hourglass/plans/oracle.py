@@ -11,7 +11,7 @@ from __future__ import annotations
 from hourglass.functions.lines import CRASH_DROP_ORDINALS, CRASH_FIELDS
 from hourglass.functions.scalars import WEATHER_LABELS
 from hourglass.operators.clean import CONTEXT_KEEP_ORDINALS
-from hourglass.operators.sample import threshold
+from hourglass.operators.sample import SPLIT, threshold
 from hourglass.plans.lookalike import CONTEXT_HEADER, CRASH_HEADER
 
 
@@ -41,12 +41,22 @@ def hour_key(t: str) -> str:
     return (f"(year({t}) * 1000000 + month({t}) * 10000 + day({t}) * 100 + hour({t}))")
 
 
-def hash_bucket(key: str, seed: int) -> str:
-    return (f"CAST(('0x' || substr(md5(concat('{seed}', ':', CAST({key} AS VARCHAR))), 1, 8)) AS BIGINT)")
+def hash_bucket(key: str, seed: int, purpose: str = "") -> str:
+    return (f"CAST(('0x' || substr(md5(concat('{purpose}{seed}', ':', CAST({key} AS VARCHAR))), 1, 8)) AS BIGINT)")
 
 
-def hash_pick(key: str, fraction: float, seed: int) -> str:
-    return f"{hash_bucket(key, seed)} < {threshold(fraction)}"
+def hash_pick(key: str, fraction: float, seed: int, purpose: str = "") -> str:
+    return f"{hash_bucket(key, seed, purpose)} < {threshold(fraction)}"
+
+
+def split_pick(key: str, fraction: float, seed: int) -> str:
+    """Rows of the first part of a hash split."""
+    return hash_pick(key, fraction, seed, SPLIT)
+
+
+def row_key(key: str, *columns: str) -> str:
+    cells = ", '|', ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return f"coalesce(CAST({key} AS VARCHAR), md5(concat({cells})))"
 
 
 def repair(v: str) -> str:
@@ -196,7 +206,7 @@ SELECT c.*, f.*,
        CAST(floor(hour(c.hour_begin) / 4) AS INTEGER) AS hour_group,
        CAST(isodow(c.hour_begin) AS INTEGER) AS day,
        CASE WHEN c.event_name IS NULL THEN 0 ELSE 1 END AS has_event,
-       coalesce(f.fact_id, -{hour_key('c.hour_begin')}) AS sample_key,
+       coalesce(f.fact_id, -{hour_key('c.hour_begin')}, -c.pedestrians, 0) AS sample_key,
        CASE WHEN f.injured + f.killed IS NULL THEN 0 ELSE 1 END AS has_accident
 FROM {ctx} c LEFT JOIN {facts} f ON c.hour_begin = f.fact_hour"""
 
@@ -239,5 +249,5 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
     return ("WITH " + ",\n".join(ctes) + "\n" + body.strip()) if ctes else body.strip()
 
 
-__all__ = ["VIEWS", "with_views", "hash_pick", "hash_bucket", "weather_code", "weather_label", "hours_with_crashes_sql",
+__all__ = ["VIEWS", "with_views", "hash_pick", "hash_bucket", "split_pick", "row_key", "weather_code", "weather_label", "hours_with_crashes_sql",
            "kept_cells", "KEPT", "CONTEXT_KEEP_ORDINALS", "q", "hour_key", "repair"]

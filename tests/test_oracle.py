@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from hourglass.plans.catalog import ORACLE, QUERIES
 from hourglass.plans.lookalike import TABLES
 
 SF = os.environ.get("HOURGLASS_TEST_SF", "/root/testdata/sf0.01")
@@ -42,7 +43,7 @@ SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "st
                    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -58,8 +59,8 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_is_registered_once():
-    qs, sql = E.queries(), E.oracle_sql()
-    assert set(sql) <= set(qs)
+    qs, sql = QUERIES, ORACLE
+    assert set(sql) <= set(qs) <= set(E.queries())
     rows_only = set(qs) - set(sql)
     assert rows_only == {"s7_save_model", "b1_bernoulli_sample", "b4_train_test_split", "m1_assemble",
                          "m3_fit_logistic", "m4_fit_multinomial", "m5_fit_naive_bayes",
@@ -94,7 +95,7 @@ MODEL_QUERIES = ("m3_", "m4_", "m5_", "m6_", "m11_", "m12_", "q4_", "q7_", "s7_"
 def test_query_outputs_have_unique_public_columns(spark):
     """The driver compares columns sorted by name: no duplicates, no internal helpers."""
     small = SF.replace("sf0.01", "sf0.001")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith(MODEL_QUERIES):
             continue
         cols = fn(spark, small).columns
