@@ -296,17 +296,17 @@ def _ctx_line_sql(filtered: bool) -> str:
     return with_views(f"""
 SELECT line_key, CASE WHEN len(cells) < {need} THEN NULL ELSE concat_ws(',', {cells}) END AS value,
        len(cells) < {need} AS is_short
-FROM ctx_cells {where}""", "ctx_cells")
+FROM ctx_cells_all {where}""", "ctx_cells_all")
 
 
 @register("c11_clean_context_lines", _ctx_line_sql(False))
 def c11_clean_context_lines(spark, d):
-    return C.clean_context_lines(V.ctx_lines(spark, d), key_col="line_key")
+    return C.clean_context_lines(V.ctx_lines_all(spark, d), key_col="line_key")
 
 
 @register("c12_drop_header_and_empty", _ctx_line_sql(True))
 def c12_drop_header_and_empty(spark, d):
-    return C.clean_context_lines(V.ctx_lines(spark, d), key_col="line_key", drop_rows=True)
+    return C.clean_context_lines(V.ctx_lines_all(spark, d), key_col="line_key", drop_rows=True)
 
 
 @register("c13_clean_crash_lines", with_views("SELECT row_key, is_malformed, value FROM crash_clean",
@@ -326,9 +326,9 @@ def p1_count_records(spark, d):
 
 @register("p2_count_records_skip_header", with_views(
     "SELECT count(*) FILTER (WHERE NOT coalesce(line_key = 0 AND contains(value, 'location'), false)) "
-    "AS n_records FROM ctx_lines", "ctx_lines"))
+    "AS n_records FROM ctx_lines_all", "ctx_lines_all"))
 def p2_count_records_skip_header(spark, d):
-    return P.count_records_skip_header(V.ctx_lines(spark, d), key_col="line_key")
+    return P.count_records_skip_header(V.ctx_lines_all(spark, d), key_col="line_key")
 
 
 @register("p3_count_rows", with_views("SELECT count(*) AS n_rows FROM facts_d", "facts_d"))
@@ -362,16 +362,16 @@ def p5_sentinel_counts(spark, d):
     return P.sentinel_counts(table, list(_P5))
 
 
-@register("p6_value_counts", with_views("SELECT factor, count(*) AS count FROM facts_h GROUP BY factor",
-                                        "facts_h"))
+@register("p6_value_counts", with_views("SELECT factor, count(*) AS count FROM facts_all GROUP BY factor",
+                                        "facts_all"))
 def p6_value_counts(spark, d):
-    return P.value_counts(V.facts_h(spark, d), "factor")
+    return P.value_counts(V.facts_all(spark, d), "factor")
 
 
 @register("p7_value_counts_by_key", with_views(
-    "SELECT pedestrians, count(*) AS count FROM ctx_h GROUP BY pedestrians", "ctx_h"))
+    "SELECT pedestrians, count(*) AS count FROM ctx_all GROUP BY pedestrians", "ctx_all"))
 def p7_value_counts_by_key(spark, d):
-    return P.value_counts(V.ctx_h(spark, d), "pedestrians", sort="value")
+    return P.value_counts(V.ctx_all(spark, d), "pedestrians", sort="value")
 
 
 @register("p8_count_distinct", with_views(
@@ -391,9 +391,9 @@ def p9_min_max(spark, d):
 @register("p10_describe", with_views(" UNION ALL ".join(
     f"SELECT '{c}' AS column, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
     f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
-    f"CAST(max({c}) AS DOUBLE) AS max FROM ctx_h" for c in ("pedestrians", "temperature")), "ctx_h"))
+    f"CAST(max({c}) AS DOUBLE) AS max FROM ctx_all" for c in ("pedestrians", "temperature")), "ctx_all"))
 def p10_describe(spark, d):
-    out = P.describe(V.ctx_h(spark, d), ["pedestrians", "temperature"])
+    out = P.describe(V.ctx_all(spark, d), ["pedestrians", "temperature"])
     return out.withColumns({"mean": r6(F.col("mean")), "stddev": r6(F.col("stddev"))})
 
 
@@ -439,9 +439,9 @@ def f4_filter_null(spark, d):
     return FL.filter_null(_hwc(spark, d), "fact_id").select("hour_begin", "weather_summary")
 
 
-@register("f5_drop_null_rows", with_views("SELECT * FROM ctx_h WHERE weather_summary IS NOT NULL", "ctx_h"))
+@register("f5_drop_null_rows", with_views("SELECT * FROM ctx_all WHERE weather_summary IS NOT NULL", "ctx_all"))
 def f5_drop_null_rows(spark, d):
-    return FL.drop_null_rows(V.ctx_h(spark, d), ["weather_summary"])
+    return FL.drop_null_rows(V.ctx_all(spark, d), ["weather_summary"])
 
 
 @register("f6_filter_cmp", with_views(
@@ -469,10 +469,10 @@ def j0_select_cols(spark, d):
     return FL.select_cols(V.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_quantity"])
 
 
-@register("j1_drop_cols", with_views("SELECT fact_id, fact_hour, factor, injured, killed FROM facts_h",
-                                     "facts_h"))
+@register("j1_drop_cols", with_views("SELECT fact_id, fact_hour, factor, injured, killed FROM facts_all",
+                                     "facts_all"))
 def j1_drop_cols(spark, d):
-    return FL.drop_cols(V.facts_h(spark, d), ["crash_ts", "zip_code"])
+    return FL.drop_cols(V.facts_all(spark, d), ["crash_ts", "zip_code"])
 
 
 _COUNTS = ["ped_injured", "ped_killed", "cyc_injured", "cyc_killed", "mot_injured", "mot_killed"]
@@ -519,32 +519,32 @@ def x3_parse_crash_date(spark, d):
 
 
 @register("x4_parse_context_ts", with_views(
-    "SELECT ctx_key, try_strptime(hour_beginning, '%m/%d/%Y %I:%M:%S %p') AS hour_begin FROM ctx_raw",
-    "ctx_raw"))
+    "SELECT ctx_key, try_strptime(hour_beginning, '%m/%d/%Y %I:%M:%S %p') AS hour_begin FROM ctx_raw_all",
+    "ctx_raw_all"))
 def x4_parse_context_ts(spark, d):
-    return V.ctx_raw(spark, d).select("ctx_key", X.parse_context_ts("hour_beginning").alias("hour_begin"))
+    return V.ctx_raw_all(spark, d).select("ctx_key", X.parse_context_ts("hour_beginning").alias("hour_begin"))
 
 
 _UNITS = ("year", "month", "day", "hour", "minute")
 
 
 @register("x5_trunc_time", with_views(
-    "SELECT fact_id, " + ", ".join(f"date_trunc('{u}', crash_ts) AS t_{u}" for u in _UNITS) + " FROM facts_h",
-    "facts_h"))
+    "SELECT fact_id, " + ", ".join(f"date_trunc('{u}', crash_ts) AS t_{u}" for u in _UNITS) + " FROM facts_all",
+    "facts_all"))
 def x5_trunc_time(spark, d):
-    return V.facts_h(spark, d).select("fact_id", *[X.trunc_time("crash_ts", u).alias(f"t_{u}") for u in _UNITS])
+    return V.facts_all(spark, d).select("fact_id", *[X.trunc_time("crash_ts", u).alias(f"t_{u}") for u in _UNITS])
 
 
-@register("x6_hour_of", with_views("SELECT fact_id, CAST(hour(crash_ts) AS INTEGER) AS hour FROM facts_h",
-                                   "facts_h"))
+@register("x6_hour_of", with_views("SELECT fact_id, CAST(hour(crash_ts) AS INTEGER) AS hour FROM facts_all",
+                                   "facts_all"))
 def x6_hour_of(spark, d):
-    return V.facts_h(spark, d).select("fact_id", X.hour_of("crash_ts").alias("hour"))
+    return V.facts_all(spark, d).select("fact_id", X.hour_of("crash_ts").alias("hour"))
 
 
 @register("x7_hour_group", with_views(
-    "SELECT fact_id, CAST(floor(hour(crash_ts) / 4) AS INTEGER) AS hour_group FROM facts_h", "facts_h"))
+    "SELECT fact_id, CAST(floor(hour(crash_ts) / 4) AS INTEGER) AS hour_group FROM facts_all", "facts_all"))
 def x7_hour_group(spark, d):
-    return V.facts_h(spark, d).select("fact_id", X.hour_group("crash_ts").alias("hour_group"))
+    return V.facts_all(spark, d).select("fact_id", X.hour_group("crash_ts").alias("hour_group"))
 
 
 @register("x8_day_of_week", with_views(
@@ -567,22 +567,22 @@ def x10_recode(spark, d):
 
 
 @register("x11_encode_weather", with_views(
-    f"SELECT hour_begin, {weather_code('weather_summary')} AS weather FROM ctx_h", "ctx_h"))
+    f"SELECT hour_begin, {weather_code('weather_summary')} AS weather FROM ctx_all", "ctx_all"))
 def x11_encode_weather(spark, d):
-    return V.ctx_h(spark, d).select("hour_begin", X.encode_weather("weather_summary").alias("weather"))
+    return V.ctx_all(spark, d).select("hour_begin", X.encode_weather("weather_summary").alias("weather"))
 
 
 @register("x12_sentinel_to_label", with_views(
-    "SELECT fact_id, CASE WHEN factor = '-1' THEN 'Unspecified' ELSE factor END AS factor FROM facts_h",
-    "facts_h"))
+    "SELECT fact_id, CASE WHEN factor = '-1' THEN 'Unspecified' ELSE factor END AS factor FROM facts_all",
+    "facts_all"))
 def x12_sentinel_to_label(spark, d):
-    return V.facts_h(spark, d).select("fact_id", X.sentinel_to_label("factor").alias("factor"))
+    return V.facts_all(spark, d).select("fact_id", X.sentinel_to_label("factor").alias("factor"))
 
 
 @register("x13_null_flag", with_views(
-    "SELECT hour_begin, CASE WHEN event_name IS NULL THEN 0 ELSE 1 END AS has_event FROM ctx_h", "ctx_h"))
+    "SELECT hour_begin, CASE WHEN event_name IS NULL THEN 0 ELSE 1 END AS has_event FROM ctx_all", "ctx_all"))
 def x13_null_flag(spark, d):
-    return V.ctx_h(spark, d).select("hour_begin", X.null_flag("event_name").alias("has_event"))
+    return V.ctx_all(spark, d).select("hour_begin", X.null_flag("event_name").alias("has_event"))
 
 
 @register("x14_null_to_zero", with_views(
@@ -610,11 +610,11 @@ def x16_label_positive(spark, d):
 SELECT hour_begin,
        CASE WHEN tmax = tmin THEN NULL ELSE (temperature - tmin) / (tmax - tmin) END AS temperature_norm,
        CASE WHEN pmax = pmin THEN NULL ELSE (CAST(pedestrians AS DOUBLE) - pmin) / (pmax - pmin) END AS pedestrians_norm
-FROM ctx_h, (SELECT min(temperature) AS tmin, max(temperature) AS tmax,
-                    CAST(min(pedestrians) AS DOUBLE) AS pmin, CAST(max(pedestrians) AS DOUBLE) AS pmax FROM ctx_h) s""",
-    "ctx_h"))
+FROM ctx_all, (SELECT min(temperature) AS tmin, max(temperature) AS tmax,
+                    CAST(min(pedestrians) AS DOUBLE) AS pmin, CAST(max(pedestrians) AS DOUBLE) AS pmax FROM ctx_all) s""",
+    "ctx_all"))
 def x17_min_max_scale(spark, d):
-    return S.min_max_scale(V.ctx_h(spark, d), ["temperature", "pedestrians"]).select(
+    return S.min_max_scale(V.ctx_all(spark, d), ["temperature", "pedestrians"]).select(
         "hour_begin", "temperature_norm", "pedestrians_norm")
 
 
@@ -630,9 +630,9 @@ def x18_fixed_range_scale(spark, d):
 
 
 @register("x19_max_scale", with_views(
-    "SELECT hour_begin, CAST(pedestrians AS DOUBLE) / CAST(4330 AS DOUBLE) AS ped_norm FROM ctx_h", "ctx_h"))
+    "SELECT hour_begin, CAST(pedestrians AS DOUBLE) / CAST(4330 AS DOUBLE) AS ped_norm FROM ctx_all", "ctx_all"))
 def x19_max_scale(spark, d):
-    return V.ctx_h(spark, d).select("hour_begin", S.max_scale("pedestrians", 4330).alias("ped_norm"))
+    return V.ctx_all(spark, d).select("hour_begin", S.max_scale("pedestrians", 4330).alias("ped_norm"))
 
 
 _PICKED = f"(has_accident = 0 OR {hash_pick('sample_key', FS['fraction'], FS['seed'])})"
@@ -654,9 +654,9 @@ def x20_norm_params(spark, d):
 
 @register("x21_fraction", with_views(
     "SELECT zip_code, CAST(sum(killed) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS frac_killed "
-    "FROM facts_h GROUP BY zip_code", "facts_h"))
+    "FROM facts_all GROUP BY zip_code", "facts_all"))
 def x21_fraction(spark, d):
-    g = V.facts_h(spark, d).groupBy("zip_code").agg(F.sum("killed").alias("k"), F.count(F.lit(1)).alias("n"))
+    g = V.facts_all(spark, d).groupBy("zip_code").agg(F.sum("killed").alias("k"), F.count(F.lit(1)).alias("n"))
     return g.select("zip_code", X.fraction("k", "n").alias("frac_killed"))
 
 
@@ -799,10 +799,10 @@ def t2_top_n(spark, d):
     return O.top_n(_q5(spark, d), "frac", 5, ("weather", "factor"))
 
 
-@register("t2_latest_hours", with_views("SELECT hour_begin FROM ctx_h ORDER BY hour_begin DESC LIMIT 5", "ctx_h"))
+@register("t2_latest_hours", with_views("SELECT hour_begin FROM ctx_all ORDER BY hour_begin DESC LIMIT 5", "ctx_all"))
 def t2_latest_hours(spark, d):
     """T2 as the source uses it: the five latest context hours (hours are unique)."""
-    return O.top_n(V.ctx_h(spark, d).select("hour_begin"), "hour_begin", 5)
+    return O.top_n(V.ctx_all(spark, d).select("hour_begin"), "hour_begin", 5)
 
 
 @register("t3_head", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem "
@@ -826,9 +826,9 @@ def t5_sort_lines(spark, d):
 
 
 @register("u1_union_all", with_views(
-    "SELECT fact_id, factor FROM facts_h UNION ALL SELECT fact_id, factor FROM facts_d", "facts_h", "facts_d"))
+    "SELECT fact_id, factor FROM facts_all UNION ALL SELECT fact_id, factor FROM facts_d", "facts_all", "facts_d"))
 def u1_union_all(spark, d):
-    return O.union_all(V.facts_h(spark, d).select("fact_id", "factor"),
+    return O.union_all(V.facts_all(spark, d).select("fact_id", "factor"),
                        V.facts_d(spark, d).select("fact_id", "factor"))
 
 
@@ -1321,9 +1321,9 @@ SELECT try_strptime(hour_beginning, '%m/%d/%Y %I:%M:%S %p') AS hour_begin,
 FROM ctx_raw WHERE weather_summary IS NOT NULL"""
 
 
-@register("q2_prepare_context", with_views(Q2_BODY, "ctx_raw"))
+@register("q2_prepare_context", with_views(Q2_BODY.replace("FROM ctx_raw", "FROM ctx_raw_all"), "ctx_raw_all"))
 def q2_prepare_context(spark, d):
-    return Q.prepare_context(V.ctx_raw(spark, d))
+    return Q.prepare_context(V.ctx_raw_all(spark, d))
 
 
 @register("q3_training_table", with_views("SELECT * FROM training", "hwc_h", extra=TRAINING))

@@ -70,7 +70,16 @@ def hour_key(ts: Column) -> Column:
 # --- hourly pair -------------------------------------------------------------
 
 def facts_h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
+    """Incidents of the joins: error events only, so that hours without any exist."""
+    return _facts(table(spark, sf_dir, "events").filter(F.col("event_type") == "error"))
+
+
+def facts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as an incident, for operators that need no unmatched rows."""
+    return _facts(table(spark, sf_dir, "events"))
+
+
+def _facts(ev: DataFrame) -> DataFrame:
     k = _k()
     return ev.select(
         F.col("event_id").alias("fact_id"),
@@ -94,8 +103,16 @@ def _context(grouped: DataFrame, time_col: str) -> DataFrame:
 
 
 def ctx_h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").filter(
-        (F.col("event_type") != "error") & (F.hour("ts") != 3))
+    """Hours of the joins: without the incidents themselves and without 3 a.m."""
+    return _hours(table(spark, sf_dir, "events").filter((F.col("event_type") != "error") & (F.hour("ts") != 3)))
+
+
+def ctx_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of every event, for operators that need no unmatched rows."""
+    return _hours(table(spark, sf_dir, "events"))
+
+
+def _hours(ev: DataFrame) -> DataFrame:
     grouped = ev.groupBy(trunc_time("ts").alias("hour_begin")).agg(
         F.count(F.lit(1)).cast("int").alias("pedestrians"),
         F.max("value").alias("temperature"),
@@ -156,7 +173,14 @@ def crash_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ctx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = ctx_h(spark, sf_dir)
+    return _raw_context(ctx_h(spark, sf_dir))
+
+
+def ctx_raw_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw_context(ctx_all(spark, sf_dir))
+
+
+def _raw_context(c: DataFrame) -> DataFrame:
     hk = hour_key(F.col("hour_begin"))
     ped = F.col("pedestrians")
     return c.select(
@@ -209,9 +233,9 @@ def crash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header.unionByName(data)
 
 
-def ctx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(line_key, value): header with key 0, then one 12-cell line per context hour."""
-    r = ctx_raw(spark, sf_dir)
+def ctx_lines_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line_key, value): header with key 0, then one 12-cell line per hour of any event."""
+    r = ctx_raw_all(spark, sf_dir)
     e = F.lit("")
     temp = F.floor(F.col("temperature").cast("double")).cast("string")
     prec = F.floor(F.col("precipitation").cast("double")).cast("string")

@@ -214,12 +214,20 @@ FROM {ctx} c LEFT JOIN {facts} f ON c.hour_begin = f.fact_hour"""
 VIEWS["hwc_h"] = hours_with_crashes_sql("facts_h")
 VIEWS["hwc_area"] = hours_with_crashes_sql("facts_area")
 
+# The unfiltered pair and what is derived from it.
+VIEWS["facts_all"] = VIEWS["facts_h"].replace(" WHERE event_type = 'error'", "")
+VIEWS["ctx_all"] = VIEWS["ctx_h"].replace("WHERE event_type <> 'error' AND hour(ts) <> 3 ", "")
+VIEWS["ctx_raw_all"] = VIEWS["ctx_raw"].replace("FROM ctx_h)", "FROM ctx_all)")
+VIEWS["ctx_lines_all"] = VIEWS.pop("ctx_lines").replace("FROM ctx_raw", "FROM ctx_raw_all")
+VIEWS["ctx_cells_all"] = VIEWS.pop("ctx_cells").replace("FROM ctx_lines", "FROM ctx_lines_all")
+
 DEPS: dict[str, tuple[str, ...]] = {
     "ctx_raw": ("ctx_h",),
-    "ctx_lines": ("ctx_raw",),
+    "ctx_raw_all": ("ctx_all",),
+    "ctx_lines_all": ("ctx_raw_all",),
     "crash_cells": ("crash_lines",),
     "crash_clean": ("crash_cells",),
-    "ctx_cells": ("ctx_lines",),
+    "ctx_cells_all": ("ctx_lines_all",),
     "cw_h": ("facts_h", "ctx_h"),
     "cw_d": ("facts_d", "ctx_d"),
     "hwc_h": ("facts_h", "ctx_h"),
