@@ -75,6 +75,30 @@ def s1_read_lines(spark, d):
     return io.read_lines(spark, path)
 
 
+_OFFSETS_SQL = """
+SELECT CAST(coalesce(sum(octet_length(encode(value)) + 1) OVER (
+         ORDER BY line_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS {key}, value
+FROM crash_lines"""
+
+
+def _lines_with_offsets(spark, d) -> DataFrame:
+    """The crash lines in key order in one file, read in many small blocks with their byte offsets."""
+    path = scratch_path(spark, "s1-offsets")
+    V.crash_lines(spark, d).repartition(1).sortWithinPartitions("line_key").select("value").write.text(path)
+    return io.read_lines(spark, path, with_offsets=True)
+
+
+@register("s1_read_lines_offsets", with_views(_OFFSETS_SQL.format(key='"offset"'), "crash_lines"))
+def s1_read_lines_offsets(spark, d):
+    return _lines_with_offsets(spark, d)
+
+
+@register("c8_offset_row_key", with_views(_OFFSETS_SQL.format(key="row_key"), "crash_lines"))
+def c8_offset_row_key(spark, d):
+    """C8 with generated keys: the byte offset of each line."""
+    return C.with_row_key(_lines_with_offsets(spark, d), "offset").select("row_key", "value")
+
+
 @register("s2_read_csv_strings", with_views(
     "SELECT CAST(row_id AS VARCHAR) AS row_id, crash_date, crash_time, borough, zip_code, ped_injured, "
     "ped_killed, cyc_injured, cyc_killed, mot_injured, mot_killed, factor_1 FROM crash_raw", "crash_raw"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,22 +23,24 @@ def string_schema(names: Sequence[str]) -> T.StructType:
 def read_lines(spark: SparkSession, path: str, with_offsets: bool = False) -> DataFrame:
     """Lines of text files as ``value``.
 
-    ``with_offsets=True`` adds ``offset`` (the byte position of each line in its file,
-    the key a Hadoop text input gives). That path goes through the Hadoop input
-    format and Python row objects, so it is slower; use it only where equality with
-    the offset keys matters.
+    ``with_offsets=True`` adds ``offset``, the byte position of each line in its file (the key
+    a Hadoop text input gives), without Python rows: lines are summed up within the file block
+    their task read, and blocks start where the blocks before them end. Lines end in
+    LF or CR LF; files must not be compressed (a compressed file is one block).
     """
     if not with_offsets:
         return spark.read.text(path)
-    rdd = spark.sparkContext.newAPIHadoopFile(
-        path,
-        "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
-        "org.apache.hadoop.io.LongWritable",
-        "org.apache.hadoop.io.Text",
-    )
-    schema = T.StructType([T.StructField("offset", T.LongType(), False),
-                           T.StructField("value", T.StringType(), True)])
-    return spark.createDataFrame(rdd, schema)
+    lines = spark.read.text(path, lineSep="\n").select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_nth"))  # read order within a block
+    size = (F.octet_length("value") + 1).cast("bigint")
+    in_block = Window.partitionBy("_file", "_block").orderBy("_nth").rowsBetween(Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lines.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b")).agg(F.sum(size).alias("_size"))
+    starts = starts.select("_f", "_b", F.coalesce(F.sum("_size").over(in_file), F.lit(0)).alias("_start"))
+    lines = lines.withColumn("_before", F.coalesce(F.sum(size).over(in_block), F.lit(0)))
+    out = lines.join(starts, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+    return out.select((F.col("_start") + F.col("_before")).alias("offset"), F.rtrim("value", F.lit("\r")).alias("value"))
 
 
 # --- S2 ----------------------------------------------------------------------

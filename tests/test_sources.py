@@ -48,3 +48,22 @@ def test_csv_corrupt_rows_are_kept_and_flagged(spark, tmp_path):
     assert rows["1"] == ("2", None)
     assert rows["3"] == (None, "3")          # too few cells: kept, raw line in the corrupt column
     assert rows["4"] == ("5", "4,5,6")       # too many cells: kept, raw line in the corrupt column
+
+
+def test_offsets_across_blocks_and_files(spark, tmp_path):
+    want = set()
+    for name in ("a.txt", "b.txt"):
+        at, raw = 0, b""
+        for i in range(3000):
+            line = f"{name} line {i} é".encode() + b"x" * (i % 37)
+            want.add((at, line.decode()))
+            raw += line + (b"\r\n" if i % 5 == 0 else b"\n")
+            at = len(raw)
+        (tmp_path / name).write_bytes(raw)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = io.read_lines(spark, str(tmp_path), with_offsets=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {(r.offset, r.value) for r in rows} == want and len(rows) == len(want)
