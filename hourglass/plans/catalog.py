@@ -1263,24 +1263,25 @@ def s7_stored_ranges_scale_new_rows(spark, d):
                       "pedestrians_norm", "has_accident")
 
 
+# Fixed value: column order of the source's matrix.
 _M13 = ["pedestrians", "temperature", "precipitation", "has_event", "hour_group", "day", "weather",
         "has_accident"]
 
 
-def _m13_sql() -> str:
+def _m13_body(src: str, columns: list[str]) -> str:
     parts = []
-    for i, a in enumerate(_M13):
-        for b in _M13[i:]:
+    for i, a in enumerate(columns):
+        for b in columns[i:]:
             # Undefined (a constant column) is NULL, as in the Spark operator.
             c = f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
             expr = f"round(CASE WHEN isnan({c}) THEN NULL ELSE {c} END, 6)"
-            parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, {expr} AS r FROM hwc_h")
+            parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, {expr} AS r FROM {src}")
             if a != b:
-                parts.append(f"SELECT '{b}' AS var_a, '{a}' AS var_b, {expr} AS r FROM hwc_h")
-    return with_views(" UNION ALL ".join(parts), "hwc_h")
+                parts.append(f"SELECT '{b}' AS var_a, '{a}' AS var_b, {expr} AS r FROM {src}")
+    return " UNION ALL ".join(parts)
 
 
-@register("m13_correlation_matrix", _m13_sql())
+@register("m13_correlation_matrix", with_views(_m13_body("hwc_h", _M13), "hwc_h"))
 def m13_correlation_matrix(spark, d):
     out = M.correlation_matrix(_hwc(spark, d), _M13)
     return out.withColumn("r", r6(F.col("r")))
@@ -1289,18 +1290,22 @@ def m13_correlation_matrix(spark, d):
 _M14 = ["hour_group", "weather", "day", "has_event"]
 
 
-def _m14_sql() -> str:
+def _m14_body(src: str, features: list[str], more: str = "") -> str:
     parts = []
-    for f in _M14:
+    for f in features:
         parts.append(f"""
 SELECT '{f}' AS feature, round(sum(CAST(o AS DOUBLE) * CAST(o AS DOUBLE) * CAST(n AS DOUBLE)
                                  / (CAST(r AS DOUBLE) * CAST(c AS DOUBLE))) - max(n), 6) AS statistic,
-       CAST((count(DISTINCT v) - 1) * (count(DISTINCT y) - 1) AS INTEGER) AS dof
+       CAST((count(DISTINCT v) - 1) * (count(DISTINCT y) - 1) AS INTEGER) AS dof{more}
 FROM (SELECT v, y, o, sum(o) OVER (PARTITION BY v) AS r, sum(o) OVER (PARTITION BY y) AS c,
              sum(o) OVER () AS n
       FROM (SELECT CAST({f} AS DOUBLE) AS v, CAST(has_accident AS VARCHAR) AS y, count(*) AS o
-            FROM hwc_h WHERE {f} IS NOT NULL GROUP BY 1, 2) cells) framed""")
-    return with_views(" UNION ALL ".join(parts), "hwc_h")
+            FROM {src} WHERE {f} IS NOT NULL GROUP BY 1, 2) cells) framed""")
+    return " UNION ALL ".join(parts)
+
+
+def _m14_sql() -> str:
+    return with_views(_m14_body("hwc_h", _M14), "hwc_h")
 
 
 @register("m14_chi_square", _m14_sql())
@@ -1309,6 +1314,44 @@ def m14_chi_square(spark, d):
     return out.withColumn("statistic", r6(F.col("statistic")))
 
 
+# Fixed value: the seven features of the source's test, in its order.
+_M14_ALL = ["pedestrians", "temperature", "precipitation", "has_event", "hour_group", "day", "weather"]
+
+
+@register("m14_chi_square_balanced", with_views(
+    _m14_body("area_bal", _M14_ALL, ", TRUE AS p_in_range, TRUE AS ml_agrees"), "hwc_area", extra={"area_bal": _AREA_BAL}))
+def m14_chi_square_balanced(spark, d):
+    """M14 as the source runs it: seven features of the balanced sample, with p-values; the library
+    statistic and degrees of freedom are compared with those of ``ChiSquareTest``."""
+    data = materialize(Q.area_dataset(V.ctx_h(spark, d), V.facts_h(spark, d), AREA_ZIP)
+                       .select(*_M14_ALL, "has_accident"), "m14-input")
+    ours = M.chi_square(data, _M14_ALL, "has_accident")
+    ml = M.chi_square_test(M.index_label(M.assemble(data, _M14_ALL), "has_accident"))
+    names = F.array(*[F.lit(f) for f in _M14_ALL])
+    ml = ml.select(F.get(names, F.col("feature_index")).alias("f"), "p_value", F.col("dof").alias("ml_dof"),
+                   F.col("statistic").alias("ml_statistic"))
+    same = (F.col("dof") == F.col("ml_dof")) & (F.abs(F.col("statistic") - F.col("ml_statistic")) < 1e-6)
+    return ours.join(ml, F.col("feature") == F.col("f")).select(
+        "feature", r6(F.col("statistic")).alias("statistic"), "dof", F.col("p_value").between(0, 1).alias("p_in_range"),
+        same.alias("ml_agrees"))
+
+
+@register("m13_correlation_balanced", with_views(_m13_body("area_bal", _M13), "hwc_area", extra={"area_bal": _AREA_BAL}))
+def m13_correlation_balanced(spark, d):
+    """M13 on the balanced sample."""
+    data = Q.area_dataset(V.ctx_h(spark, d), V.facts_h(spark, d), AREA_ZIP)
+    return M.correlation_matrix(data, _M13).withColumn("r", r6(F.col("r")))
+
+
+_M13_SCALED = [f"{c}_norm" for c in ("pedestrians", "temperature", "precipitation", "hour", "day", "weather")] + ["has_accident"]
+
+
+@register("m13_correlation_scaled", with_views(_m13_body("training", _M13_SCALED), "hwc_h", extra=TRAINING))
+def m13_correlation_scaled(spark, d):
+    """M13 on the scaled training table."""
+    return M.correlation_matrix(_training(spark, d), _M13_SCALED).withColumn("r", r6(F.col("r")))
+
+
 # =============================================================================
 # Analyses (Q1-Q7)
 # =============================================================================
