@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hourglass.operators import aggregate as A
 from hourglass.operators import joins as K
 from hourglass.operators import order as O
+from hourglass.plans import analyses as Q
 
 H = [dt.datetime(2020, 1, 1, h) for h in range(6)]
 
@@ -160,3 +161,20 @@ def test_anti_join_paths_agree(spark, pair):
         got = sorted(((r.hour_begin, r.weather_summary) for r in
                       K.anti_join(ctx, facts, "hour_begin", "fact_hour", broadcast=bc).collect()), key=repr)
         assert got == want and len(got) == 2
+
+
+def test_factor_analyses_behave_alike_at_every_size(spark):
+    facts = spark.createDataFrame([(i % 5, f"F{i % 3}", i % 4, 0) for i in range(50)],
+                                  "fact_hour int, factor string, injured int, killed int")
+    ctx = spark.createDataFrame([(h, "rain" if h % 2 else None, h, "x") for h in range(5)],
+                                "hour_begin int, weather_summary string, injured int, factor string")
+    for analysis in (Q.factor_share, Q.factor_casualties):
+        a, b = (sorted(map(tuple, analysis(facts, ctx, broadcast=x).collect()), key=str) for x in (True, False))
+        assert a == b and a
+
+
+def test_context_left_facts_names_shared_columns(spark):
+    facts = spark.createDataFrame([(1, 2)], "fact_hour int, zip_code int")
+    ctx = spark.createDataFrame([(1, 2)], "hour_begin int, zip_code int")
+    with pytest.raises(ValueError, match="zip_code"):
+        K.context_left_facts(ctx, facts, "hour_begin", "fact_hour")

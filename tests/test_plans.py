@@ -59,3 +59,15 @@ def test_no_broadcast_path_pre_aggregates_facts(spark):
     # facts: scan -> partial aggregate -> exchange -> final aggregate -> join exchange
     facts_side = tree[tree.index("SortMergeJoin"):]
     assert re.search(r"HashAggregate \(\d+\)\n.*Exchange \(\d+\)\n.*HashAggregate \(\d+\)\n.*Project", facts_side)
+
+
+def test_cleaned_table_generates_the_split_array_only(spark):
+    text = plan(spark, "p5_sentinel_counts")
+    generate = text[text.index("Generate"):]
+    assert "inline" in text and "_cells" in generate
+    assert "vehicle_5" not in text and "latitude" not in text  # unused cells are pruned
+
+
+def test_context_is_built_once_for_context_left_facts(spark):
+    text = plan(spark, "k1_context_left_facts_daily").split("\n\n\n")[0]
+    assert "orders.parquet" not in text  # the staged context is read instead

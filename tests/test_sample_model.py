@@ -108,3 +108,22 @@ def test_models_fit_and_score(spark):
 def test_hash_sample_survey_figure(spark):
     # the survey's independent check: 3,044 of ids 0..9,999 at fraction 0.3 (seed 1823)
     assert B.hash_sample(spark.range(10_000), "id", 0.3, 1823).count() == 3044
+
+
+def test_rows_without_key_are_neither_dropped_nor_doubled(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"), (F.col("id") * 7).alias("v"),
+                                  (F.col("id") % 2).alias("y"))
+    assert B.hash_sample(df, "k", 1.0, 5).count() == 2000
+    for method in ("md5", "xxhash64"):
+        train, test = B.train_test_split(df, (0.7, 0.3), 5, key="k", method=method)
+        assert train.count() + test.count() == 2000 and train.intersect(test).count() == 0
+        assert 0.6 < train.filter("k is null").count() / 667 < 0.8
+        kept = B.balance_classes(df, "y", keep=1, fraction=0.2, seed=5, key="k", method=method)
+        assert kept.filter("y = 1").count() == 1000 and 120 < kept.filter("y = 0").count() < 280
+
+
+def test_split_is_independent_of_balancing(spark):
+    df = spark.range(20_000).select("id", F.lit(0).alias("y"))
+    kept = B.balance_classes(df, "y", keep=1, fraction=0.05, seed=9, key="id")
+    train, test = B.train_test_split(kept, (0.7, 0.3), 9, key="id", method="md5")
+    assert test.count() > 0.2 * kept.count()
