@@ -135,7 +135,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_counts(table(spark, sf_dir, "documents"))
+    return mixing.mix_counts(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op10_ngram_join", """
