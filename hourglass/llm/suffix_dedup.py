@@ -213,7 +213,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(k1, k2, spans): byte ranges [a, b) to remove per text key; they may overlap."""
     runs = materialize(position_runs(texts, length), "suffix-runs")
     # round 1: rank by k bytes
-    shared = runs.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("h")
+    # (written first: a join of two plain exchanges lets Spark split a rank that many positions share)
+    shared = materialize(runs.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("h"), "suffix-twice")
     runs = materialize(runs.join(shared, "h"), "suffix-shared")
     # round 2: rank by the whole stretch
     ranked = runs.groupBy("h", "x", "c").agg(F.count(F.lit(1)).alias("n"),
