@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourglass.session import materialize
+
 THRESHOLD = 0.8
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -46,21 +48,33 @@ def vocabulary(templates: dict[str, str]) -> list[str]:
     return sorted({w for t in templates.values() for w in t.split()})
 
 
-def blocks(docs: DataFrame, words: list[str]) -> DataFrame:
-    """(key1, key2, block, tokens): the lines of each text that hold words of the vocabulary."""
-    lines = docs.select(F.col("doc_id").alias("key1"), F.xxhash64("text").alias("key2"),
-                        F.posexplode(F.split("text", "\n")).alias("block", "line"))
-    tokens = F.array_intersect(F.lit(words).cast("array<string>"), F.regexp_extract_all(F.lower("line"), F.lit(WORD), 0))
-    return lines.select("key1", "key2", "block", tokens.alias("tokens")).filter(F.size("tokens") > 0)
+def read_once(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """The one scan of the texts, written as a narrow stage: doc_id, key2 (text hash), n_words, the
+    base phrases' places (p0, p1, ...), and blocks: the template words of every line that has any."""
+    vocabulary_ = F.lit(vocabulary(templates)).cast("array<string>")
+    d = docs.select("doc_id", F.xxhash64("text").alias("key2"), F.lower(F.coalesce("text", F.lit(""))).alias("t"))
+    maybe = F.col("t").rlike("|".join(p.replace(" ", _GAP) for p in PHRASES))
+    d = d.select("doc_id", "key2", maybe.alias("maybe"), F.transform(
+        F.split("t", "\n"), lambda line: F.regexp_extract_all(line, F.lit(WORD), 0)).alias("lines"))
+    found = F.transform("lines", lambda line, i: F.struct(i.alias("block"), F.array_intersect(vocabulary_, line).alias("tokens")))
+    d = d.select("doc_id", "key2", F.aggregate("lines", F.lit(0).cast("long"), lambda n, line: n + F.size(line)).alias("n_words"),
+                 F.filter(found, lambda b: F.size(b["tokens"]) > 0).alias("blocks"),
+                 F.when(F.col("maybe"), F.flatten("lines")).alias("w"))
+    places = [F.when(F.col("w").isNotNull(), _places("w", phrase)).alias(f"p{i}") for i, phrase in enumerate(PHRASES)]
+    return materialize(d.select("doc_id", "key2", "n_words", "blocks", *places), "license-words")
+
+
+def blocks(read: DataFrame) -> DataFrame:
+    """(key1, key2, block, tokens): one row per line that holds template words."""
+    return read.select(F.col("doc_id").alias("key1"), "key2", F.inline("blocks"))
 
 
-def frequency_order(docs: DataFrame, templates: dict[str, str]) -> list[str]:
+def frequency_order(read: DataFrame, templates: dict[str, str]) -> list[str]:
     """Template words by number of blocks over all documents, rarest first (one row a word to the driver)."""
-    words = vocabulary(templates)
-    found = (blocks(docs, words).select(F.explode("tokens").alias("w")).groupBy("w")
+    found = (blocks(read).select(F.explode("tokens").alias("w")).groupBy("w")
              .agg(F.count(F.lit(1)).alias("n")).collect())
     n = {r["w"]: r["n"] for r in found}
-    return sorted(words, key=lambda w: (n.get(w, 0), w))
+    return sorted(vocabulary(templates), key=lambda w: (n.get(w, 0), w))
 
 
 def template_table(spark: SparkSession, templates: dict[str, str], order: list[str], threshold: float) -> DataFrame:
@@ -74,13 +88,13 @@ def template_table(spark: SparkSession, templates: dict[str, str], order: list[s
     return spark.createDataFrame(rows, "label string, template array<string>, size int, need int, token string, t_pos int")
 
 
-def matches(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def matches(read: DataFrame, templates: dict[str, str], threshold: float = THRESHOLD) -> DataFrame:
     """(key1, key2, block, label, overlap, containment) of every block and template that meet the threshold."""
-    templates = TEMPLATES if templates is None else templates
-    order = frequency_order(docs, templates)
-    table = F.broadcast(template_table(docs.sparkSession, templates, order, threshold))
+    order = frequency_order(read, templates)
+    table = F.broadcast(template_table(read.sparkSession, templates, order, threshold))
     fewest = min(needed(len(set(t.split())), threshold) for t in templates.values())
-    b = blocks(docs, order).withColumn("n", F.size("tokens")).filter(F.col("n") >= fewest)
+    ordered = F.array_intersect(F.lit(order).cast("array<string>"), "tokens")
+    b = blocks(read).withColumn("n", F.size("tokens")).filter(F.col("n") >= fewest).withColumn("tokens", ordered)
     prefix = F.slice("tokens", F.lit(1), F.col("n") - F.lit(fewest) + 1)
     pairs = b.select("*", F.posexplode(prefix).alias("b_pos", "token")).join(table, "token").filter(
         (F.col("n") >= F.col("need"))                                                        # length
@@ -98,20 +112,14 @@ def _places(words: str, phrase: str) -> Column:
                   f"filter(sequence(0, size({words}) - {len(parts)}), i -> {here}) ELSE array() END")
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
+def base_counts(read: DataFrame) -> DataFrame:
     """doc_id, key2, n_words, n_base, first_word, last_word, base (label array) per row."""
-    lowered = docs.select("doc_id", F.xxhash64("text").alias("key2"), F.lower(F.coalesce("text", F.lit(""))).alias("t"))
-    maybe = F.col("t").rlike("|".join(p.replace(" ", _GAP) for p in PHRASES))
-    d = lowered.select("doc_id", "key2", F.regexp_count("t", F.lit(WORD)).cast("long").alias("n_words"),
-                       F.when(maybe, F.regexp_extract_all("t", F.lit(WORD), 0)).alias("w"))
-    for i, phrase in enumerate(PHRASES):
-        d = d.withColumn(f"p{i}", F.when(F.col("w").isNotNull(), _places("w", phrase)))
     every = F.concat(*[F.coalesce(f"p{i}", F.array().cast("array<int>")) for i in range(len(PHRASES))])
     labels = F.array_compact(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(label))
                                        for i, label in enumerate(PHRASES.values())]))
-    return d.select("doc_id", "key2", "n_words", F.size(every).cast("long").alias("n_base"),
-                    F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
-                    labels.alias("base"))
+    return read.select("doc_id", "key2", "n_words", F.size(every).cast("long").alias("n_base"),
+                       F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
+                       labels.alias("base"))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -121,10 +129,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     (doc_id, text hash), so a null doc_id and repeated rows keep their own rows; an empty table
     gives none; other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
-    found = (matches(docs, templates, threshold).groupBy("key1", F.col("key2").alias("k2"))
+    templates = TEMPLATES if templates is None else templates
+    read = read_once(docs.select("doc_id", "text"), templates)
+    found = (matches(read, templates, threshold).groupBy("key1", F.col("key2").alias("k2"))
              .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")))
-    d = base_counts(docs).join(found, F.col("doc_id").eqNullSafe(F.col("key1")) & (F.col("key2") == F.col("k2")), "left")
+    d = base_counts(read).join(found, F.col("doc_id").eqNullSafe(F.col("key1")) & (F.col("key2") == F.col("k2")), "left")
     both = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
     return d.select("doc_id", "n_words", "n_base", "first_word", "last_word",
                     F.array_join(F.array_sort("base"), ",").alias("base_labels"),

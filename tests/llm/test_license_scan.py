@@ -53,5 +53,6 @@ def test_containment_thresholds(spark):
 
 
 def test_native_plan(docs):
-    plan = S.scan(docs)._jdf.queryExecution().toString()
+    read = S.read_once(docs, S.TEMPLATES)
+    plan = S.matches(read, S.TEMPLATES)._jdf.queryExecution().toString() + S.scan(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct|BroadcastNestedLoop", plan)
