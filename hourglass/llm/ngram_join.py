@@ -5,10 +5,11 @@
    links, this one keeps frequent passages out of the prefixes.
 2. A set that meets the threshold with another shares an n-gram of both prefixes (the first
    n - ceil(t n) + 1 in this order). Documents of equal sets are one class and indexed once.
-3. N-grams of a single class are left out, by a fixed-size bitmap first and exactly after.
-4. Candidates are made in two steps, so that a group of many near copies does not emit
-   all its pairs: first every class with the smallest class of each of its n-grams, then,
-   after these are verified, only pairs of classes that are still in different groups.
+3. N-grams of a single class are left out.
+4. Candidates are made in steps, so that a group of many near copies does not emit all its
+   pairs: in a few rounds every class meets a few classes of each of its n-grams, others
+   each round, and the links found join the groups; in the end all pairs of classes that are
+   still in different groups meet.
    Length, positional and suffix filters (the overlap possible in parts of the hash
    space) apply to both; a pair is verified once.
 5. Verification computes exact overlaps. The sets of candidates only are cut from the
@@ -34,6 +35,8 @@ WORDS = 5
 PERCENT = 75               # Jaccard threshold in percent
 FREQUENCY_BUCKETS = 1 << 17  # 1 MiB of counters, whatever the corpus
 PARTS = 16                 # of the hash space, for the suffix filter
+LEADER_ROUNDS = 1          # more rounds leave fewer pairs to the last step but write more stages
+LEADERS = 16               # classes of each n-gram that the others meet in a round
 PARTNERS = 512             # sets compared with one class in one group
 PAIRS_A_BUCKET = 1000
 _HASH = SubstringHash(101)
@@ -136,24 +139,14 @@ def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def index_rows(rows: DataFrame) -> DataFrame:
-    """(g, cid, n, pos) of the prefix n-grams that more than one class has."""
-    grams = rows.filter("n > 0").select("cid", "n", "grams")
-    repeated = grams.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    bits = rows.sparkSession.sparkContext.broadcast(bitmap(repeated, "g"))
+    """(g, cid, n, pos) of the prefix n-grams that more than one class has.
 
-    def run(batches):
-        for batch in batches:
-            lists = batch.column(2)
-            g = lists.flatten().to_numpy()
-            size = np.diff(lists.offsets.to_numpy())
-            owner = np.repeat(np.arange(batch.num_rows), size)
-            pos = np.arange(len(g)) - np.repeat(np.cumsum(size) - size, size)
-            hit = np.flatnonzero(in_bitmap(bits.value, g))
-            take = pa.array(owner[hit])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(g[hit]), batch.column(0).take(take), batch.column(1).take(take), pa.array(pos[hit].astype(np.int32))],
-                ["g", "cid", "n", "pos"])
-    return materialize(map_arrow(grams, run, "g long, cid long, n int, pos int").distinct(), "ngram-index")
+    An n-gram's rows are counted first and joined back, so a frequent one is pre-summed and its
+    rows can be split among tasks.
+    """
+    grams = rows.filter("n > 0").select("cid", "n", F.posexplode("grams").alias("pos", "g"))
+    repeated = materialize(grams.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("g"), "ngram-repeated")
+    return materialize(grams.join(repeated, "g").select("g", "cid", "n", "pos").distinct(), "ngram-index")
 
 
 def needed(n: Column, m: Column, percent: int) -> Column:
@@ -186,7 +179,8 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, pe
     buckets = max(1, -(-pairs.count() // PAIRS_A_BUCKET))
     bucket = F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("splits"))), F.lit(buckets))
     pairs = pairs.join(groups, "a").select("a", "b", bucket.alias("bucket"))
-    to = (pairs.select("bucket", F.explode(F.array("a", "b")).alias("cid")).distinct()
+    ends = pairs.select("bucket", F.col("a").alias("cid")).unionByName(pairs.select("bucket", F.col("b").alias("cid")))
+    to = (ends.distinct()
           .join(classes.select("cid", "k1", "k2"), "cid"))
     to = materialize(to, "ngram-wanted")
     bits = spark.sparkContext.broadcast(bitmap(to, "k1"))
@@ -224,6 +218,20 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _mixed(index: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Index rows with the root of their class, of n-grams whose classes are in different groups."""
+    if groups is None:
+        return index.withColumn("root", F.col("cid"))
+    named = index.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    named = materialize(named, "ngram-named")
+    mixed = named.groupBy("g").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("g")
+    return materialize(named.join(materialize(mixed, "ngram-open"), "g"), "ngram-mixed")
+
+
+def _other(rows: DataFrame) -> DataFrame:
+    return rows.select("g", F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
+
+
 def linked(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, groups, links): a row per document (doc_id, k1, k2, n, cid); the root of every
     linked class (cid, root); verified links (a, b) that connect the groups."""
@@ -233,26 +241,39 @@ def linked(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[
         F.min(F.struct("k1", "k2")).alias("key"), F.max("n").alias("n"), F.max("parts").alias("parts")).select(
         "cid", "key.*", "n", "parts"), "ngram-classes")
     index = index_rows(rows)
-
-    # first step: every class with the smallest class of each n-gram
-    lead = index.groupBy("g").agg(F.min(F.struct("cid", F.col("n").alias("m"), F.col("pos").alias("mpos"))).alias("l"),
-                                  F.count(F.lit(1)).alias("c")).filter("c > 1").select("g", F.col("l.cid").alias("y"), "l.m", "l.mpos")
-    star = _ordered(index.withColumnRenamed("cid", "x").join(lead, "g").filter("x <> y").filter(may_link(percent)))
-    star = materialize(star, "ngram-star")
-    links = verify(suffix_filter(star, classes, percent), classes, texts, size, percent)
-    groups = components(links, "ngram-first")
-
-    # second step: pairs of one n-gram that are still in different groups
-    named = index.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    mixed = named.groupBy("g").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("g")
-    named = materialize(named.join(mixed, "g"), "ngram-mixed")
-    left = named.select("g", F.col("cid").alias("x"), "n", "pos", F.col("root").alias("xr"))
-    right = named.select("g", F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
-    cross = _ordered(left.join(right, "g").filter("x < y AND xr <> yr").filter(may_link(percent)))
-    cross = cross.join(star, ["a", "b"], "left_anti")
-    links = links.unionByName(verify(suffix_filter(cross, classes, percent), classes, texts, size, percent))
-    groups = components(links, "ngram-groups").withColumnRenamed("node", "cid")
-    return rows.select("doc_id", "k1", "k2", "n", "cid"), groups, links
+    links = tried = groups = None
+
+    def check(pairs: DataFrame) -> DataFrame:
+        nonlocal links, groups
+        found = verify(suffix_filter(pairs, classes, percent), classes, texts, size, percent)
+        links = found if links is None else links.unionByName(found)
+        groups = components(links, "ngram-groups")
+        return found
+
+    # leader rounds: every class with a few classes of each n-gram, others each round
+    for turn in range(LEADER_ROUNDS):
+        open_rows = _mixed(index, groups)
+        seat = F.struct(F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
+        picks = [F.min(F.struct(F.xxhash64(F.lit(turn * LEADERS + k), "cid").alias("h"), seat.alias("s"))) for k in range(LEADERS)]
+        lead = open_rows.groupBy("g").agg(*[p["s"].alias(f"s{k}") for k, p in enumerate(picks)])
+        lead = lead.select("g", F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(LEADERS)]))).alias("l"))
+        lead = materialize(lead.select("g", "l.*"), "ngram-lead")
+        pairs = _ordered(open_rows.withColumnRenamed("cid", "x").join(lead, "g")
+                         .filter("x <> y AND root <> yr").filter(may_link(percent)))
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "ngram-leaders")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        n = pairs.count()
+        if n == 0 or check(pairs).count() * 50 < n:  # most of what is left does not link
+            break
+
+    # last step: all pairs of one n-gram that are still in different groups
+    open_rows = _mixed(index, groups)
+    cross = _ordered(open_rows.withColumnRenamed("cid", "x").join(_other(open_rows), "g")
+                     .filter("x < y AND root <> yr").filter(may_link(percent)))
+    check(cross.join(tried, ["a", "b"], "left_anti"))
+    return rows.select("doc_id", "k1", "k2", "n", "cid"), groups.withColumnRenamed("node", "cid"), links
 
 
 def component_ids(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
