@@ -9,7 +9,7 @@
 4. Candidates are made in steps, so that a group of many near copies does not emit all its
    pairs: in a few rounds every class meets a few classes of each of its n-grams, others
    each round, and the links found join the groups; in the end all pairs of classes that are
-   still in different groups meet.
+   still in different groups meet. ``all_links`` adds the other pairs inside the groups.
    Length, positional and suffix filters (the overlap possible in parts of the hash
    space) apply to both; a pair is verified once.
 5. Verification computes exact overlaps. The sets of candidates only are cut from the
@@ -21,6 +21,8 @@ hashes.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -232,9 +234,17 @@ def _other(rows: DataFrame) -> DataFrame:
     return rows.select("g", F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
 
 
-def linked(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, groups, links): a row per document (doc_id, k1, k2, n, cid); the root of every
-    linked class (cid, root); verified links (a, b) that connect the groups."""
+class Connected(NamedTuple):
+    texts: DataFrame    # doc_id, k1, k2, _text
+    rows: DataFrame     # a row per document, with its prefix
+    classes: DataFrame  # a row per distinct set
+    index: DataFrame    # prefix n-grams of more than one class
+    groups: DataFrame   # the root of every linked class (node, root)
+    links: DataFrame    # verified links (a, b) that connect the groups
+    tried: DataFrame    # pairs (a, b) of the leader rounds
+
+
+def _connect(docs: DataFrame, size: int, percent: int) -> Connected:
     texts = keyed(docs)
     rows = materialize(prefixes(texts, size, percent), "ngram-prefixes")
     classes = materialize(rows.filter("n > 0").groupBy("cid").agg(
@@ -273,7 +283,50 @@ def linked(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[
     cross = _ordered(open_rows.withColumnRenamed("cid", "x").join(_other(open_rows), "g")
                      .filter("x < y AND root <> yr").filter(may_link(percent)))
     check(cross.join(tried, ["a", "b"], "left_anti"))
-    return rows.select("doc_id", "k1", "k2", "n", "cid"), groups.withColumnRenamed("node", "cid"), links
+    return Connected(texts, rows, classes, index, groups, links, tried)
+
+
+def linked(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, groups, links): a row per document (doc_id, k1, k2, n, cid); the root of every
+    linked class (cid, root); verified links (a, b) that connect the groups."""
+    c = _connect(docs, size, percent)
+    return c.rows.select("doc_id", "k1", "k2", "n", "cid"), c.groups.withColumnRenamed("node", "cid"), c.links
+
+
+def all_links(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(documents, links): as ``linked``, with every link (a, b) of two classes, also inside a group.
+
+    Classes of different groups are not linked, so what is left is pairs of one group that share
+    a prefix n-gram and were not verified yet. An n-gram's classes are dealt to parts of about
+    ``PARTNERS``; each part meets all of them. Work and output grow with the number of links.
+    """
+    c = _connect(docs, size, percent)
+    named = materialize(c.index.join(c.groups.withColumnRenamed("node", "cid"), "cid"), "ngram-grouped")
+    parts = named.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(
+        "g", "root", F.ceil(F.col("c") / PARTNERS).alias("splits"))
+    dealt = materialize(named.join(parts, ["g", "root"]), "ngram-dealt")
+    left = dealt.select("g", "root", F.col("cid").alias("x"), "n", "pos", F.pmod(F.xxhash64("cid"), F.col("splits")).alias("part"))
+    right = dealt.select("g", "root", F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("splits") - 1)).alias("part"))
+    pairs = _ordered(left.join(right, ["g", "root", "part"]).filter("x < y").filter(may_link(percent)))
+    pairs = pairs.join(c.tried.unionByName(c.links), ["a", "b"], "left_anti")
+    found = verify(suffix_filter(pairs, c.classes, percent), c.classes, c.texts, size, percent)
+    return c.rows.select("doc_id", "k1", "k2", "n", "cid"), c.links.unionByName(found)
+
+
+def link_counts(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, n_links (other rows that meet the threshold with it) for every row.
+
+    Rows of equal sets are links of each other, repeated rows included; null and empty texts have none.
+    """
+    rows, links = all_links(docs, size, percent)
+    held = materialize(rows.filter("n > 0").groupBy("cid").agg(F.count(F.lit(1)).alias("held")), "ngram-held")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = (both.join(held.withColumnRenamed("cid", "b"), "b").groupBy(F.col("a").alias("cid"))
+              .agg(F.sum("held").alias("others")))
+    n_links = held.join(others, "cid", "left").select("cid", (F.col("held") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return rows.join(n_links, "cid", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+                                                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def component_ids(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
