@@ -5,6 +5,8 @@
 2. A target is whole passes over its source plus a rest. The documents of a source are
    hashed into blocks, the blocks ordered by a seeded permutation, and the rest takes
    blocks from the front until it is met; the last block is taken document by document.
+   Rounds over the unused texts then go on along the permutation, past what does not fit,
+   until the rest left is smaller than every unused text.
 3. Each source's exact block quota is split among the output shards by a binary tree: a
    node deals its vector of block counts between its two halves by a multivariate
    hypergeometric draw, so quotas add up exactly and every shard is a fair draw.
@@ -33,7 +35,6 @@ BLOCKS = 1024             # least blocks per source; more shards get more
 BLOCKS_A_SHARD = 16
 SHARD_WORDS = 4_000_000   # words of an output shard; very large corpora want a larger figure
 MAX_SHARDS = 1 << 14
-FILLS = 3                 # texts that fill what the last block leaves of a rest
 SEED = 9
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -94,12 +95,75 @@ def layout(rows: DataFrame, total_share: float = TOTAL_SHARE, shard_words: int =
     return shards, max(BLOCKS, BLOCKS_A_SHARD * shards)
 
 
-def plan(rows: DataFrame, shards: int, n_blocks: int, seed: int = SEED, **options) -> DataFrame:
-    """One row per (source, block), at most ``n_blocks`` a source: what every document of the block gets.
+def fill(units: DataFrame, left: DataFrame) -> DataFrame:
+    """(s, h1, h2) of the texts that the rest takes beyond the first block that does not fit.
+
+    ``units`` (s, nth, h1, h2, words): unused texts by permuted block; ``left`` (s, left): words
+    left of each rest. A round takes, in permuted order, the texts of up to half of what is left
+    until one does not fit: prefix sums over blocks, then over the texts of one block. Where no text
+    is that small, it takes the first that fits. Two rounds at least halve what is left, so
+    the rounds end after twice its logarithm, with no unused text that still fits.
+    """
+    units = materialize(units, "mix-units")
+    kind = "array<struct<cap:double,stop:bigint,at:struct<h2:bigint,h1:bigint>,one:boolean>>"
+    state = materialize(left.select("s", "left", F.array().cast(kind).alias("rules")), "mix-left")
+    here = F.struct("h2", "h1")
+
+    def by_rule(r: Column) -> Column:
+        at = F.col("nth") == r["stop"]
+        upto = r["stop"].isNull() | (F.col("nth") < r["stop"]) | (at & (here <= r["at"]))
+        return F.when(r["one"], at & (here == r["at"])).otherwise((F.col("words") <= r["cap"]) & upto)
+
+    def by_source(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
+        b = b.withColumnRenamed("s", "_s")
+        return a.join(b, F.col("s").eqNullSafe(F.col("_s")), how).drop("_s")
+
+    def with_state(rows: DataFrame) -> DataFrame:
+        taken = F.coalesce(F.exists("rules", by_rule), F.lit(False))
+        return by_source(rows, state, "inner").withColumn("taken", taken)
+
+    while True:
+        pool = with_state(units).filter(~F.col("taken") & (F.col("words") <= F.col("left")))
+        small = F.col("words") * 2 <= F.col("left")
+        blocks = materialize(pool.groupBy("s", "nth").agg(
+            F.first("left").alias("left"), F.sum(F.when(small, F.col("words"))).alias("sum"),
+            F.min(F.struct("nth", "h2", "h1", "words")).alias("first")), "mix-round")
+        if blocks.isEmpty():
+            break
+        order = Window.partitionBy("s").orderBy("nth")
+        walk = blocks.filter(F.col("sum").isNotNull()).withColumn("upto", F.sum("sum").over(order))
+        walk = walk.groupBy("s").agg(F.min(F.when(F.col("upto") > F.col("left"), F.col("nth"))).alias("stop"),
+                                     F.coalesce(F.max(F.when(F.col("upto") <= F.col("left"), F.col("upto"))), F.lit(0)).alias("met"))
+        walk = materialize(walk, "mix-walk")
+        # the block in which the walk ends, one a source, text by text
+        upto = F.sum("words").over(Window.partitionBy("s").orderBy("h2", "h1"))
+        ends = by_source(pool.filter(small), walk, "inner").filter(F.col("nth") == F.col("stop")).withColumn("upto", upto)
+        ends = (ends.filter(F.col("met") + F.col("upto") <= F.col("left"))
+                .groupBy("s").agg(F.max(here).alias("at"), F.max("upto").alias("more")))
+        one = blocks.groupBy("s").agg(F.min("first").alias("first"))
+        step = by_source(by_source(one, walk, "left"), ends, "left")
+        alone = F.col("met").isNull()
+        step = step.select("s", "first", "stop", "at", "met", "more", alone.alias("one"))
+        state = by_source(state, step.withColumn("stepped", F.lit(True)), "left")
+        rule = F.struct((F.col("left") / 2).alias("cap"),
+                        F.when(F.col("one"), F.col("first.nth").cast("bigint")).otherwise(F.col("stop").cast("bigint")).alias("stop"),
+                        F.when(F.col("one"), F.struct("first.h2", "first.h1")).otherwise(F.col("at")).alias("at"),
+                        F.col("one").alias("one"))
+        got = F.when(F.col("one"), F.col("first.words")).otherwise(F.col("met") + F.coalesce("more", F.lit(0)))
+        state = materialize(state.select(
+            "s", F.when(F.col("stepped"), F.col("left") - got).otherwise(F.col("left")).alias("left"),
+            F.when(F.col("stepped"), F.concat("rules", F.array(rule).cast(kind))).otherwise(F.col("rules")).alias("rules")),
+            "mix-left")
+    return materialize(with_state(units).filter("taken").select("s", "h1", "h2"), "mix-fills")
+
+
+def plan(rows: DataFrame, shards: int, n_blocks: int, seed: int = SEED, **options) -> tuple[DataFrame, DataFrame]:
+    """(blocks, fills). ``blocks``: one row per (source, block), at most ``n_blocks`` a source: what
+    every document of the block gets. ``fills``: the texts taken by ``fill``.
 
     ``passes`` whole passes; one more for all documents (``whole``), for those with h2 up to
-    ``cut`` (the block in which the rest ends) or for the few texts (h2 in ``fills``) that best
-    fill what is then left. ``block_shards``: the shard of each pass over the block.
+    ``cut`` (the block in which the rest first ends) and for the texts in ``fills``.
+    ``block_shards``: the shard of each pass over the block.
     """
     spark = rows.sparkSession
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -118,29 +182,22 @@ def plan(rows: DataFrame, shards: int, n_blocks: int, seed: int = SEED, **option
 
     # the block in which a rest ends: one a source, documents in hash order until it is met
     units = (rows.select(F.col("source").alias("u"), "h1", "h2", "size", F.pmod("h1", F.lit(n_blocks)).alias("ub"))
-             .join(b.select("s", "block", "open", "whole", "last"),
+             .join(b.select("s", "block", "nth", "open", "whole", "last"),
                    F.col("u").eqNullSafe(F.col("s")) & (F.col("ub") == F.col("block"))))
     texts = units.filter("last").groupBy("s", "h1", "h2").agg(F.sum("size").alias("words"), F.first("open").alias("open"))
     upto = F.sum("words").over(Window.partitionBy("s").orderBy("h2", "h1"))
     fits = texts.withColumn("upto", upto).filter(F.col("upto") <= F.col("open"))
     cuts = fits.groupBy("s").agg(F.max("h2").alias("cut"), F.max("upto").alias("met"))
-    left = (b.filter("last").select("s", "open").join(cuts.withColumnRenamed("s", "cs"),
-                                                      F.col("s").eqNullSafe(F.col("cs")), "left").drop("cs")
-            .withColumn("left", F.col("open") - F.coalesce("met", F.lit(0)))
-            .select(F.col("s").alias("ls"), "cut", "left"))
-    spare = (units.join(left, F.col("s").eqNullSafe(F.col("ls")))
+    state = (b.filter("last").select("s", "open").join(cuts.withColumnRenamed("s", "cs"),
+                                                       F.col("s").eqNullSafe(F.col("cs")), "left").drop("cs")
+             .withColumn("left", F.col("open") - F.coalesce("met", F.lit(0)))
+             .select(F.col("s").alias("ls"), "cut", "left"))
+    state = materialize(state, "mix-cuts")
+    spare = (units.join(state, F.col("s").eqNullSafe(F.col("ls")))
              .filter(~F.col("whole") & (~F.col("last") | F.col("cut").isNull() | (F.col("h2") > F.col("cut"))))
-             .groupBy("s", "h1", "h2", "left").agg(F.sum("size").alias("words"))
-             .filter((F.col("words") > 0) & (F.col("words") <= F.col("left"))))
-    state = left.withColumn("fills", F.array().cast("array<bigint>"))
-    for _ in range(FILLS):  # the largest unused text that still fits, once more for what it leaves
-        state = materialize(state, "mix-fills")
-        best = (spare.drop("left").join(state.select("ls", "left", "fills"), F.col("s").eqNullSafe(F.col("ls")))
-                .filter((F.col("words") <= F.col("left")) & ~F.array_contains("fills", F.col("h2")))
-                .groupBy("s").agg(F.max(F.struct("words", "h2")).alias("fill")))
-        state = (state.join(best, F.col("ls").eqNullSafe(F.col("s")), "left")
-                 .select("ls", "cut", (F.col("left") - F.coalesce("fill.words", F.lit(0))).alias("left"),
-                         F.array_compact(F.concat("fills", F.array("fill.h2"))).alias("fills")))
+             .groupBy("s", "nth", "h1", "h2", "left").agg(F.sum("size").alias("words"))
+             .filter((F.col("words") > 0) & (F.col("words") <= F.col("left"))).drop("left"))
+    fills = fill(spare, state.select(F.col("ls").alias("s"), "left"))
 
     # block draws of each source: whole passes and the front of one more; their split among the shards
     draws = (b.groupBy("s").agg((F.first("passes") * F.first("n") + F.count_if(F.col("whole") | F.col("last"))).alias("q"))
@@ -150,29 +207,37 @@ def plan(rows: DataFrame, shards: int, n_blocks: int, seed: int = SEED, **option
     bounds = [(r["s"], np.cumsum(counts[:, i]).tolist()) for i, r in enumerate(draws)]
     bounds = spark.createDataFrame(bounds, "bs string, bounds array<long>")
 
-    out = (b.join(state, F.col("s").eqNullSafe(F.col("ls")), "left")
+    out = (b.join(state.drop("left"), F.col("s").eqNullSafe(F.col("ls")), "left")
            .join(bounds, F.col("s").cast("string").eqNullSafe(F.col("bs"))))
     shard = F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda p: F.least(
         F.size(F.filter("bounds", lambda x: x <= p * F.col("n") + F.col("nth"))), F.lit(shards - 1)))
     return out.select(F.col("s").alias("mix_source"), F.col("block").alias("mix_block"), "source_size", "target", "passes",
-                      "whole", "last", "cut", "fills", shard.alias("block_shards"))
+                      "whole", "last", "cut", shard.alias("block_shards")), fills
 
 
-def apply_plan(docs: DataFrame, blocks: DataFrame, n_blocks: int) -> DataFrame:
+def apply_plan(docs: DataFrame, blocks: DataFrame, fills: DataFrame, n_blocks: int, shards: int) -> DataFrame:
     """``docs`` (with source, h1, h2) plus source_size, target, copies and the shard of each copy.
 
-    The plan has at most ``n_blocks`` rows a source; it is broadcast if its measured size allows.
+    The plan has at most ``n_blocks`` rows a source; it and the fills are broadcast if their measured
+    size allows. A fill has no block draw, its shard is a hash.
     """
     blocks = materialize(blocks, "mix-plan")
     if fits_broadcast(blocks):
         blocks = F.broadcast(blocks)
+    fills = fills.select(F.col("s").alias("fill_source"), F.col("h1").alias("f1"), F.col("h2").alias("f2"))
+    if fits_broadcast(fills):
+        fills = F.broadcast(fills)
     j = docs.join(blocks, F.col("source").eqNullSafe(F.col("mix_source"))
                   & (F.pmod("h1", F.lit(n_blocks)) == F.col("mix_block")), "left")
+    j = j.join(fills, F.col("source").eqNullSafe(F.col("fill_source")) & (F.col("h1") == F.col("f1"))
+               & (F.col("h2") == F.col("f2")), "left")
     cut = F.coalesce(F.col("last") & (F.col("h2") <= F.col("cut")), F.lit(False))
-    fill = F.coalesce(F.array_contains("fills", F.col("h2")), F.lit(False))
-    copies = F.col("passes") + (F.col("whole") | cut | fill).cast("long")
-    j = j.withColumn("copies", copies).withColumn("shards", F.slice("block_shards", F.lit(1), F.col("copies").cast("int")))
-    return j.drop("mix_source", "mix_block", "passes", "whole", "last", "cut", "fills", "block_shards")
+    drawn = F.col("passes") + (F.col("whole") | cut).cast("long")
+    j = j.withColumn("copies", drawn + F.col("f1").isNotNull().cast("long"))
+    by_draw = F.slice("block_shards", F.lit(1), drawn.cast("int"))
+    by_hash = F.pmod(F.xxhash64(F.lit(SEED + 4), "h1", "h2"), F.lit(shards)).cast("int")
+    j = j.withColumn("shards", F.when(F.col("f1").isNull(), by_draw).otherwise(F.concat(by_draw, F.array(by_hash))))
+    return j.drop("mix_source", "mix_block", "passes", "whole", "last", "cut", "block_shards", "fill_source", "f1", "f2")
 
 
 def mix_counts(docs: DataFrame, **options) -> DataFrame:
@@ -183,7 +248,7 @@ def mix_counts(docs: DataFrame, **options) -> DataFrame:
     """
     rows = materialize(sized(docs), "mix-sizes")
     shards, n_blocks = layout(rows)
-    out = apply_plan(rows, plan(rows, shards, n_blocks, **options), n_blocks)
+    out = apply_plan(rows, *plan(rows, shards, n_blocks, **options), n_blocks, shards)
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "shards")
 
 
@@ -194,7 +259,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     rows = materialize(sized(docs), "mix-sizes")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "source", *_hashes())
     shards, n_blocks = layout(rows)
-    out = apply_plan(packed, plan(rows, shards, n_blocks, **options), n_blocks)
+    out = apply_plan(packed, *plan(rows, shards, n_blocks, **options), n_blocks, shards)
     out = (out.select("row", "h2", F.posexplode("shards").alias("copy", "shard"))
            .withColumn("place", F.xxhash64(F.lit(SEED + 3), "h2", "copy")))
     out = out.repartition("shard").sortWithinPartitions("shard", "place", "copy")
