@@ -9,6 +9,10 @@ on both sides (positional filter). Each pair is met at its first common word onl
 verified once. DataFrame operations only; the template table is a constant of the
 operator, which bounds its broadcast.
 
+A notice wrapped over lines is found in its paragraph (lines up to one without words): the same
+join proposes paragraphs, and a window of the template's length must hold the needed words in the
+template's order (longest common subsequence, exact). Order is asked only across lines.
+
 Base phrases are counted apart, by word positions.
 """
 
@@ -24,6 +28,7 @@ from hourglass.session import materialize
 THRESHOLD = 0.8
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BLANK = r"\n(?:[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]*\n)+"  # lines without words end a paragraph
 
 # Phrases and labels of the contract, and short public licence notices.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -48,20 +53,35 @@ def vocabulary(templates: dict[str, str]) -> list[str]:
     return sorted({w for t in templates.values() for w in t.split()})
 
 
-def read_once(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
+def read_once(docs: DataFrame, templates: dict[str, str], threshold: float | None = None) -> DataFrame:
     """The one scan of the texts, written as a narrow stage: doc_id, key2 (text hash), n_words, the
-    base phrases' places (p0, p1, ...), and blocks: the template words of every line that has any."""
+    base phrases' places (p0, p1, ...), blocks: the template words of every line that has any, and
+    paragraphs: those of every paragraph of several lines with enough of them, with their places."""
     vocabulary_ = F.lit(vocabulary(templates)).cast("array<string>")
+    fewest = min(needed(len(set(x.split())), THRESHOLD if threshold is None else threshold) for x in templates.values())
     d = docs.select("doc_id", F.xxhash64("text").alias("key2"), F.lower(F.coalesce("text", F.lit(""))).alias("t"))
     maybe = F.col("t").rlike("|".join(p.replace(" ", _GAP) for p in PHRASES))
-    d = d.select("doc_id", "key2", maybe.alias("maybe"), F.transform(
+    d = d.select("doc_id", "key2", "t", maybe.alias("maybe"), F.transform(
         F.split("t", "\n"), lambda line: F.regexp_extract_all(line, F.lit(WORD), 0)).alias("lines"))
     found = F.transform("lines", lambda line, i: F.struct(i.alias("block"), F.array_intersect(vocabulary_, line).alias("tokens")))
     d = d.select("doc_id", "key2", F.aggregate("lines", F.lit(0).cast("long"), lambda n, line: n + F.size(line)).alias("n_words"),
                  F.filter(found, lambda b: F.size(b["tokens"]) > 0).alias("blocks"),
-                 F.when(F.col("maybe"), F.flatten("lines")).alias("w"))
+                 F.when(F.col("maybe"), F.flatten("lines")).alias("w"), "t")
     places = [F.when(F.col("w").isNotNull(), _places("w", phrase)).alias(f"p{i}") for i, phrase in enumerate(PHRASES)]
-    return materialize(d.select("doc_id", "key2", "n_words", "blocks", *places), "license-words")
+    enough = F.size(F.array_distinct(F.flatten(F.col("blocks.tokens")))) >= fewest
+    d = d.withColumn("paragraphs", F.when(enough & (F.size("blocks") > 1), _paragraphs("t", vocabulary_, fewest)))
+    return materialize(d.select("doc_id", "key2", "n_words", "blocks", "paragraphs", *places), "license-words")
+
+
+def _paragraphs(text: str, vocabulary_: Column, fewest: int) -> Column:
+    """Array of (block, tokens, at): template words and their places in every paragraph of several lines."""
+    parts = F.filter(F.split(text, BLANK), lambda p: F.contains(F.trim(p, F.lit("\n")), F.lit("\n")))
+
+    def read(p: Column, i: Column) -> Column:
+        w = F.transform(F.regexp_extract_all(p, F.lit(WORD), 0), lambda x, k: F.struct(k.alias("pos"), x.alias("w")))
+        at = F.filter(w, lambda x: F.array_contains(vocabulary_, x["w"]))
+        return F.struct((-1 - i).alias("block"), F.array_distinct(F.transform(at, lambda x: x["w"])).alias("tokens"), at.alias("at"))
+    return F.filter(F.transform(parts, read), lambda b: F.size(b["tokens"]) >= fewest)
 
 
 def blocks(read: DataFrame) -> DataFrame:
@@ -78,14 +98,25 @@ def frequency_order(read: DataFrame, templates: dict[str, str]) -> list[str]:
 
 
 def template_table(spark: SparkSession, templates: dict[str, str], order: list[str], threshold: float) -> DataFrame:
-    """(label, template, size, need, token, t_pos) for every prefix word of every template."""
+    """(label, template, size, need, token, t_pos, words, length) for every prefix word of every template."""
     rank = {w: i for i, w in enumerate(order)}
     rows = []
     for label, text in sorted(templates.items()):
         t = sorted(set(text.split()), key=rank.__getitem__)
         c = needed(len(t), threshold)
-        rows += [(label, t, len(t), c, w, i) for i, w in enumerate(t[:len(t) - c + 1])]
-    return spark.createDataFrame(rows, "label string, template array<string>, size int, need int, token string, t_pos int")
+        in_order = list(dict.fromkeys(text.split()))
+        rows += [(label, t, len(t), c, w, i, in_order, len(text.split())) for i, w in enumerate(t[:len(t) - c + 1])]
+    return spark.createDataFrame(rows, "label string, template array<string>, size int, need int, token string, t_pos int, "
+                                       "words array<string>, length int")
+
+
+# The most words that a window of the template's length has in the template's order. Bit-parallel
+# longest common subsequence: a state of one bit a word, a zero for each word of the subsequence.
+_IN_ORDER = """array_max(transform(at, (first, i) -> size - bit_count(aggregate(
+    filter(slice(at, i + 1, length), x -> x.pos < first.pos + length AND array_contains(words, x.w)),
+    shiftleft(1L, size) - 1,
+    (v, x) -> ((v + (v & shiftleft(1L, CAST(array_position(words, x.w) AS INT) - 1)))
+               | (v - (v & shiftleft(1L, CAST(array_position(words, x.w) AS INT) - 1)))) & (shiftleft(1L, size) - 1)))))"""
 
 
 def matches(read: DataFrame, templates: dict[str, str], threshold: float = THRESHOLD) -> DataFrame:
@@ -94,14 +125,17 @@ def matches(read: DataFrame, templates: dict[str, str], threshold: float = THRES
     table = F.broadcast(template_table(read.sparkSession, templates, order, threshold))
     fewest = min(needed(len(set(t.split())), threshold) for t in templates.values())
     ordered = F.array_intersect(F.lit(order).cast("array<string>"), "tokens")
-    b = blocks(read).withColumn("n", F.size("tokens")).filter(F.col("n") >= fewest).withColumn("tokens", ordered)
+    none = F.lit(None).cast("array<struct<pos:int,w:string>>")
+    wrapped = read.filter("paragraphs IS NOT NULL").select(F.col("doc_id").alias("key1"), "key2", F.inline("paragraphs"))
+    b = blocks(read).withColumn("at", none).unionByName(wrapped).withColumn("n", F.size("tokens")).filter(F.col("n") >= fewest).withColumn("tokens", ordered)
     prefix = F.slice("tokens", F.lit(1), F.col("n") - F.lit(fewest) + 1)
     pairs = b.select("*", F.posexplode(prefix).alias("b_pos", "token")).join(table, "token").filter(
         (F.col("n") >= F.col("need"))                                                        # length
         & (F.least(F.col("n") - F.col("b_pos"), F.col("size") - F.col("t_pos")) >= F.col("need")))  # position
     common = F.array_intersect("tokens", "template")
     pairs = pairs.withColumn("common", common).filter(F.get("common", F.lit(0)) == F.col("token"))  # once per pair
-    return (pairs.withColumn("overlap", F.size("common")).filter(F.col("overlap") >= F.col("need"))
+    pairs = pairs.withColumn("in_window", F.when(F.col("at").isNotNull(), F.expr(_IN_ORDER)))
+    return (pairs.withColumn("overlap", F.coalesce(F.col("in_window").cast("int"), F.size("common"))).filter(F.col("overlap") >= F.col("need"))
             .select("key1", "key2", "block", "label", "overlap", (F.col("overlap") / F.col("size")).alias("containment")))
 
 
@@ -130,7 +164,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     gives none; other columns are ignored.
     """
     templates = TEMPLATES if templates is None else templates
-    read = read_once(docs.select("doc_id", "text"), templates)
+    read = read_once(docs.select("doc_id", "text"), templates, threshold)
     found = (matches(read, templates, threshold).groupBy("key1", F.col("key2").alias("k2"))
              .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")))
     d = base_counts(read).join(found, F.col("doc_id").eqNullSafe(F.col("key1")) & (F.col("key2") == F.col("k2")), "left")
