@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourglass.llm import bpe, language_id, license_scan, mixing, ngram_join, sharding, suffix_dedup, topk, toxicity, weak_quality
+from hourglass.llm import (align, bpe, language_id, license_scan, mixing, ngram_join, secret_scan, sharding, suffix_dedup, topk,
+                           toxicity, weak_quality, whitening)
 from hourglass.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +163,68 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.component_ids(table(spark, sf_dir, "documents"))
+
+
+@query("op11_align")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _secret_spans(kind: int) -> str:
+    """Matches of one kind with their places: lengths of the pieces between matches and of the matches, summed up."""
+    pattern = (secret_scan.PATTERNS[kind] if kind in (0, 3, 5) else
+               secret_scan.PATTERNS[kind].replace("AKIA[A-Z0-9]+", "AKIA[A-Z0-9]{14,}").replace(
+                   "]+", "]{%d,}" % secret_scan.LEAST[kind])).replace("'", "''")
+    group = 2 if kind in (0, 3) else 0
+    mixed = " AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[a-z]')" if kind == 4 else ""
+    return f"""
+SELECT r, {kind} AS kind, s, s + length(x) AS e FROM (
+  SELECT r, xs[i] AS x, gs[i] AS g,
+         CAST(list_sum(list_transform(ps[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(xs[1:i - 1], lambda p: length(p))), 0)
+              AS BIGINT) AS s
+  FROM (SELECT r, xs, gs, ps, unnest(range(1, len(xs) + 1)) AS i FROM (
+    SELECT r, regexp_extract_all(t, '{pattern}') AS xs, regexp_extract_all(t, '{pattern}', {group}) AS gs,
+           regexp_split_to_array(t, '{pattern}') AS ps FROM d) a) b) c
+WHERE length(g) >= {secret_scan.LEAST[kind]}{mixed}"""
+
+
+_ROLE13 = "CASE kind " + " ".join(f"WHEN {k} THEN {r}" for k, r in enumerate(secret_scan.ROLES)) + " END"
+_NAME13 = "CASE kind " + " ".join(f"WHEN {k} THEN '{n}'" for k, n in enumerate(secret_scan.KINDS)) + " END"
+
+
+@query("op13_secret_scan", f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), found AS MATERIALIZED ({" UNION ALL ".join(_secret_spans(k) for k in range(len(secret_scan.KINDS)))}
+), base AS (
+  SELECT * FROM found WHERE kind < {secret_scan.BASE}
+), parts AS MATERIALIZED (
+  SELECT f.r, f.kind, f.s, f.e, {_ROLE13} AS role,
+         (length(left(t, f.s)) - length(replace(left(t, f.s), chr(10) || chr(10), ''))) // 2 AS para
+  FROM found f JOIN d USING (r)
+  WHERE f.kind < {secret_scan.BASE} OR NOT EXISTS (SELECT 1 FROM base b WHERE b.r = f.r AND b.s < f.e AND b.e > f.s)
+), linked AS (
+  SELECT w.r, w.kind, w.s, w.e FROM parts w JOIN parts o ON o.r = w.r AND o.para = w.para AND o.role <> w.role
+    AND o.s < w.e + {secret_scan.REACH} AND o.e > w.s - {secret_scan.REACH}
+  WHERE w.kind >= {secret_scan.BASE} GROUP BY ALL
+  HAVING bool_or(o.kind <= 1) OR count(DISTINCT o.role) = 2
+), every AS (
+  SELECT * FROM base UNION ALL SELECT * FROM linked
+), g AS (
+  SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+         count(*) FILTER (WHERE kind = 2) AS n_hex, count(*) FILTER (WHERE kind >= {secret_scan.BASE}) AS n_linked,
+         string_agg({_NAME13} || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (WHERE kind < {secret_scan.BASE}) AS base,
+         string_agg({_NAME13} || ':' || s || ':' || e, ',' ORDER BY s, kind) AS spans
+  FROM every GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
+FROM d LEFT JOIN g USING (r)
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
