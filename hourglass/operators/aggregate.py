@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.operators.profile import value_counts
@@ -79,3 +79,48 @@ def prediction_counts(pred: DataFrame, col: str = "prediction") -> DataFrame:
 def grouped_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Helper: bigint sums of ``cols`` per ``keys``."""
     return df.groupBy(*keys).agg(*[F.sum(F.col(c).cast("bigint")).alias(c) for c in cols])
+
+
+# --- A1 and A2 kept up to date -------------------------------------------------
+
+_PARTIAL = ("n_rows", "injured", "killed", "casualties")
+
+
+def factor_partials(joined: DataFrame, weather: str = "weather_summary", factor: str = "factor",
+                    injured: str = "injured", killed: str = "killed") -> DataFrame:
+    """Mergeable sums behind A1 and A2: one row per (weather, factor) with rows and casualties."""
+    return joined.groupBy(F.col(weather).alias("weather"), F.col(factor).alias("factor")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(injured).cast("bigint")).alias("injured"),
+        F.sum(F.col(killed).cast("bigint")).alias("killed"),
+        F.sum((F.col(injured) + F.col(killed)).cast("bigint")).alias("casualties"))
+
+
+def merge_partials(*parts: DataFrame) -> DataFrame:
+    """The sums of all ``parts``; sums of nothing but nulls stay null."""
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    return both.groupBy("weather", "factor").agg(*[F.sum(c).alias(c) for c in _PARTIAL])
+
+
+def update_partials(spark: SparkSession, root: str, batch: int, joined: DataFrame) -> DataFrame:
+    """Version ``batch`` of the stored sums under ``root``: version ``batch - 1`` merged with the new rows.
+
+    Only the new rows are read, with one row per pair of the stored sums. Versions are written whole,
+    so a batch that is run again gives the same version. The first batch is 0.
+    """
+    new = factor_partials(joined)
+    if batch > 0:
+        new = merge_partials(spark.read.parquet(f"{root}/version={batch - 1}"), new)
+    new.write.mode("overwrite").parquet(f"{root}/version={batch}")
+    return spark.read.parquet(f"{root}/version={batch}")
+
+
+def shares_of_partials(partials: DataFrame) -> DataFrame:
+    """A1 from the stored sums."""
+    return factor_share_by_weather(partials, weather="weather", factor="factor", weight="n_rows")
+
+
+def casualties_of_partials(partials: DataFrame) -> DataFrame:
+    """A2 from the stored sums."""
+    return partials.select("weather", "factor", "injured", "killed", "casualties")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.session import materialize
+from hourglass.sources.io import save_bucketed
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = {
@@ -175,13 +176,42 @@ def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return left.join(keys, left[left_key] == keys["__anti_key"], "left_anti")
 
 
+def bucketed_pair(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key: str, buckets: int,
+                  salt: int = 1) -> tuple[DataFrame, DataFrame]:
+    """K3 prepared once (S4): both sides bucketed and sorted on the time key, for ``join_buckets``.
+
+    ``salt`` > 1 spreads the facts of one key over as many buckets; the context is repeated as often.
+    """
+    hashable = [F.col(f"`{f.name}`") for f in facts.schema.fields if not isinstance(f.dataType, T.MapType)]
+    f = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt)).cast("int"))
+    c = ctx.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return save_bucketed(f, [fact_key, "_salt"], buckets, "facts"), save_bucketed(c, [ctx_key, "_salt"], buckets, "context")
+
+
+def join_buckets(facts: DataFrame, ctx: DataFrame, fact_key: str, ctx_key: str) -> DataFrame:
+    """K3 on a ``bucketed_pair``: a merge join of sorted buckets, no shuffle on either side."""
+    c = ctx.withColumnRenamed("_salt", "_ctx_salt").hint("merge")
+    return facts.join(c, (facts[fact_key] == c[ctx_key]) & (facts["_salt"] == c["_ctx_salt"])).drop("_salt", "_ctx_salt")
+
+
 def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str | None = None,
-           default=None, broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+           default=None, broadcast="auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, salt: int = 0) -> DataFrame:
     """X10 for mappings too large for a literal map: left join against a lookup table
     (broadcast after the size check), ``default`` for keys it lacks. The table must
-    hold one row per key, or rows of ``df`` are repeated."""
+    hold one row per key, or rows of ``df`` are repeated.
+
+    Beyond the check the join is shuffled: rows without a key stay out of it (they would
+    all meet in one task), and ``salt`` > 1 spreads the rows of a hot key.
+    """
     t = table.select(F.col(key).alias("__lk_key"), F.col(value).alias("__lk_value"))
-    t = F.broadcast(t) if resolve_broadcast(t, broadcast, max_broadcast_bytes) else t
-    joined = df.join(t, df[col] == t["__lk_key"], "left")
+    small = resolve_broadcast(t, broadcast, max_broadcast_bytes)
+    if small:
+        t = F.broadcast(t)
+        joined = df.join(t, df[col] == t["__lk_key"], "left")
+    else:
+        known = df.filter(F.col(col).isNotNull())
+        joined = (_salted_join(known, t, col, "__lk_key", "left", salt) if salt > 1
+                  else known.join(t, known[col] == t["__lk_key"], "left"))
+        joined = joined.unionByName(df.filter(F.col(col).isNull()), allowMissingColumns=True)
     res = F.col("__lk_value") if default is None else F.coalesce(F.col("__lk_value"), F.lit(default))
     return joined.withColumn(out or f"{col}_code", res).drop("__lk_key", "__lk_value")

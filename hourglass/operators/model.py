@@ -21,7 +21,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.session import materialize
@@ -122,6 +122,43 @@ def auc_hard(pred: DataFrame, prediction: str = "prediction", label: str = "labe
     return pred.agg(((F.try_divide(tp, pos) + F.try_divide(tn, neg)) / F.lit(2.0)).alias("auc_hard"))
 
 
+def score_ranks(pred: DataFrame, score: str, label: str = "label") -> DataFrame:
+    """One row per distinct score (the null scores left out): ``pos`` and ``neg`` rows that have it, and
+    ``neg_below``, the negatives with a lower score.
+
+    Ties are pre-aggregated, so a score that a third of all rows share is one row. The distinct
+    scores are dealt by range into a written stage; a part's rank offset is the sum of the parts
+    before it, a table of one row per part; ranks inside a part are a window of that part alone.
+    No task sees all scores.
+    """
+    y = F.col(label).cast("double")
+    ties = pred.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
+        F.count_if(y == 1.0).alias("pos"), F.count_if(y == 0.0).alias("neg"))
+    parts = materialize(ties.repartitionByRange("score").withColumn("part", F.spark_partition_id()), "score-ranges")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per part
+    starts = parts.groupBy("part").agg(F.sum("neg").alias("n")).select(
+        F.col("part").alias("_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = parts.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    return ranked.join(starts, F.col("part") == F.col("_part")).select(
+        "score", "pos", "neg", (F.col("start") + F.col("below")).alias("neg_below"))
+
+
+def auc_ranks(pred: DataFrame, score: str, label: str = "label") -> DataFrame:
+    """M9 on raw scores, exact: (n_pos, n_neg, auc) with auc = share of (positive, negative) pairs in
+    the right order, ties counting half. Null where a class is missing.
+
+    ``BinaryClassificationEvaluator`` gives the same number where it keeps every score (it bins the
+    curve of more than 1,000 distinct ones).
+    """
+    big = lambda c: F.col(c).cast("decimal(38,0)")  # noqa: E731  (twice the right pairs, kept whole)
+    right = F.sum(F.col("pos").cast("decimal(18,0)") * (F.col("neg_below") * 2 + F.col("neg")).cast("decimal(20,0)"))
+    sums = score_ranks(pred, score, label).agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"), right.alias("_right"))
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double") * 2
+    return sums.select("n_pos", "n_neg", F.try_divide(big("_right").cast("double"), pairs).alias("auc"))
+
+
 def eval_accuracy(pred: DataFrame, prediction: str = "prediction", label: str = "label") -> float:
     """M10 (evaluator form)."""
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction,
@@ -164,6 +201,62 @@ def coefficient_matrix(model, names: Sequence[str] | None = None):
     return rows
 
 
+# --- forests as tables -------------------------------------------------------
+
+def forest_nodes(model, spark) -> DataFrame:
+    """M6: the nodes of a fitted forest as rows (tree, node, feature, threshold, categories, left, right, shares).
+
+    Splits: rows whose feature is at most ``threshold``, or among ``categories``, go left. Leaves have no
+    feature; ``shares`` are the class shares of the training rows that reached them. A forest has
+    at most trees x 2^(depth + 1) nodes, whatever the number of rows; they are built on the driver from the model.
+    """
+    rows = []
+    for t, tree in enumerate(model.trees):
+        todo = [tree._java_obj.rootNode()]
+        at = 0
+        while at < len(todo):
+            node = todo[at]
+            if node.numDescendants() == 0:
+                stats = list(node.impurityStats().stats())
+                total = sum(stats)
+                rows.append((t, at, None, None, None, None, None, [v / total if total else 0.0 for v in stats]))
+            else:
+                split = node.split()
+                children = []
+                for child in (node.leftChild(), node.rightChild()):
+                    children.append(len(todo))
+                    todo.append(child)
+                continuous = split.getClass().getSimpleName() == "ContinuousSplit"
+                rows.append((t, at, split.featureIndex(), split.threshold() if continuous else None,
+                             None if continuous else [float(c) for c in split.leftCategories()], *children, None))
+            at += 1
+    return spark.createDataFrame(rows, "tree int, node int, feature int, threshold double, categories array<double>, "
+                                       "left int, right int, shares array<double>")
+
+
+def score_forest(nodes: DataFrame, df: DataFrame, key: str, features: str = "indexedFeatures", depth: int = 5) -> DataFrame:
+    """M6, M12 as joins: (key, votes, prediction) of every row of ``df`` from the node table.
+
+    Every row starts at the root of every tree and moves down one level per join with the nodes
+    (bounded by the model, so broadcast); the class shares of the leaves are summed per row, pre-aggregated
+    where the row is. Ties go to the smaller class. ``key`` must be unique.
+    """
+    n = F.broadcast(nodes)
+    roots = F.broadcast(nodes.filter("node = 0").select("tree", "node"))
+    state = df.select(key, vector_to_array(features).alias("_x")).join(roots)
+    for _ in range(depth + 1):
+        x = F.element_at("_x", F.col("feature") + 1)
+        left = F.when(F.col("categories").isNotNull(), F.array_contains("categories", x)).otherwise(x <= F.col("threshold"))
+        state = state.join(n, ["tree", "node"]).select(
+            key, "_x", "tree", F.when(F.col("feature").isNull(), F.col("node")).when(left, F.col("left"))
+            .otherwise(F.col("right")).alias("node"))
+    leaves = state.join(n.select("tree", "node", "shares"), ["tree", "node"])
+    votes = leaves.select(key, F.posexplode("shares").alias("class", "share")).groupBy(key, "class").agg(
+        F.sum("share").alias("votes"))
+    best = votes.groupBy(key).agg(F.max(F.struct(F.col("votes"), (-F.col("class")).alias("c"))).alias("best"))
+    return best.select(key, F.col("best.votes").alias("votes"), (-F.col("best.c")).cast("double").alias("prediction"))
+
+
 # --- statistics --------------------------------------------------------------
 
 def pearson(a, b):
@@ -253,6 +346,61 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
         ((F.col("n_values") - 1) * (F.col("n_labels") - 1)).cast("int").alias("dof"))
 
 
+def log_gamma(a) -> Column:
+    """ln gamma of a positive double column: the asymptotic series at a + 10, stepped down by the recurrence."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = a + 10.0
+    r = 1.0 / (b * b)
+    # B(2k) / (2k (2k - 1)) of the series, k = 1 ... 8.
+    terms = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360, 1 / 156, -3617 / 122400)
+    tail = F.lit(0.0)
+    for c in reversed(terms):
+        tail = tail * r + c
+    steps = F.lit(0.0)
+    for k in range(10):
+        steps = steps + F.log(a + float(k))
+    return (b - 0.5) * F.log(b) - b + 0.9189385332046727 + tail / b - steps
+
+
+def upper_gamma(a, x) -> Column:
+    """Regularised upper incomplete gamma Q(a, x) of double columns a > 0, x >= 0, in built-in expressions.
+
+    The power series of P = 1 - Q below x = a + 1, the continued fraction of Q (modified
+    Lentz steps) above it; as many steps as the slower case x = a needs, a few times sqrt(a).
+    """
+    a = F.col(a) if isinstance(a, str) else a
+    x = F.col(x) if isinstance(x, str) else x
+    steps = F.sequence(F.lit(1), F.least(F.lit(60.0) + F.sqrt(a) * 12, F.lit(5e6)).cast("int"))
+    front = F.exp(-x + a * F.log(x) - log_gamma(a))
+    series = F.aggregate(
+        steps, F.struct((1.0 / a).alias("term"), (1.0 / a).alias("total")),
+        lambda s, n: F.struct((s["term"] * x / (a + n)).alias("term"), (s["total"] + s["term"] * x / (a + n)).alias("total")),
+        lambda s: s["total"])
+
+    def step(s, n):
+        an, b = n * (a - n), x + 1.0 - a + 2.0 * n
+        d = 1.0 / (an * s["d"] + b)
+        c = b + an / s["c"]
+        return F.struct(d.alias("d"), c.alias("c"), (s["h"] * d * c).alias("h"))
+    first = 1.0 / (x + 1.0 - a)
+    fraction = F.aggregate(steps, F.struct(first.alias("d"), F.lit(1e300).alias("c"), first.alias("h")), step, lambda s: s["h"])
+    return (F.when(x <= 0.0, F.lit(1.0)).when(x < a + 1.0, F.greatest(F.lit(0.0), 1.0 - front * series))
+            .otherwise(front * fraction))
+
+
+def chi_square_p(statistic="statistic", dof="dof") -> Column:
+    """Probability of a chi-square statistic at least as large; 1 without degrees of freedom."""
+    s = F.col(statistic) if isinstance(statistic, str) else statistic
+    k = F.col(dof) if isinstance(dof, str) else dof
+    return F.when(k > 0, upper_gamma(k.cast("double") / 2.0, F.greatest(s, F.lit(0.0)) / 2.0)).otherwise(F.lit(1.0))
+
+
+def chi_square_with_p(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """M14 whole: feature, statistic, dof, p_value; for any number of distinct values of a feature."""
+    # computed once: the p-value reads the statistic many times
+    return materialize(chi_square(df, features, label), "chi-square").withColumn("p_value", chi_square_p())
+
+
 def chi_square_test(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
     """M14 with p-values through ``ChiSquareTest`` (vector column input)."""
     res = ChiSquareTest.test(df, features, label)

@@ -11,10 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.operators.joins import fits_broadcast
+from hourglass.session import materialize
+
 _SPACE = 1 << 32
 
 
@@ -75,6 +78,63 @@ def balance_classes(df: DataFrame, label: str, keep, fraction: float, seed: int,
     return df.filter(kept | hash_pick(row_key(df, key), fraction, seed, method))
 
 
+_REFINE = (11, 11, 10)  # bits of the bucket settled by each histogram
+
+
+def class_thresholds(buckets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(label, threshold): per class the greatest threshold with at most ``target`` rows whose bucket is below it.
+
+    ``buckets``: label, bucket in [0, 2^32); ``sizes``: label, target. Found by histograms of the
+    bucket's leading bits, refined inside the one bin per class where the target is crossed:
+    three counts over the rows, no sort. A histogram has 2,048 rows per class at most.
+    """
+    state = sizes.select(F.col("label").alias("_l"), F.col("target").alias("_left"), F.lit(0).cast("bigint").alias("_at"))
+    shift = 32
+    for level, bits in enumerate(_REFINE):
+        width = shift  # bits below what is settled so far
+        shift -= bits
+        rows = buckets.join(state, F.col("label").eqNullSafe(F.col("_l")))
+        bin_ = F.shiftright("bucket", shift)
+        # in the crossing bin so far: the settled leading bits agree
+        rows = rows.filter(F.shiftright("bucket", width) == F.shiftright("_at", width)) if level else rows
+        counts = rows.groupBy("_l", "_left", "_at", bin_.alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy("_l").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = counts.withColumn("_cum", F.sum("_n").over(upto))
+        # the first bin that crosses the target; without one the whole class fits
+        crossed = cum.filter("_cum > _left").groupBy("_l").agg(
+            F.min(F.struct("_bin", (F.col("_left") - (F.col("_cum") - F.col("_n"))).alias("_rest"))).alias("_c"))
+        name = F.col("_l").alias("_m")
+        state = state.join(crossed.select(name, "_c"), F.col("_l").eqNullSafe(F.col("_m")), "left").select(
+            "_l", F.coalesce("_c._rest", "_left").alias("_left"),
+            F.when(F.col("_c").isNotNull(), F.shiftleft(F.col("_c._bin"), shift)).otherwise(F.lit(_SPACE)).alias("_at"))
+        state = materialize(state, "class-thresholds")
+    return state.select(F.col("_l").alias("label"), F.col("_at").alias("threshold"))
+
+
+def balance_to_sizes(df: DataFrame, label: str, seed: int, key, sizes: dict | None = None, method: str = "md5") -> DataFrame:
+    """B3 to exact sizes: of every class the rows of the smallest hashes, as many as ``sizes`` says.
+
+    ``sizes`` maps labels to numbers of rows (classes it lacks are kept whole); without it every
+    class is cut to the size of the smallest. Null labels are a class. Rows are known by ``key``,
+    so the choice does not depend on their layout; rows of one hash stay or go together, so a class
+    can fall short of its size by less than the rows of one hash. Classes are few; rows of a class need not be.
+    """
+    bucket = hash_bucket(row_key(df, key), seed, method)
+    data = df.withColumn("_bucket", bucket)
+    buckets = materialize(data.select(F.col(label).alias("label"), F.col("_bucket").alias("bucket")), "balance-buckets")
+    held = materialize(buckets.groupBy("label").agg(F.count(F.lit(1)).alias("held")), "balance-classes")
+    if sizes is None:
+        targets = held.select("label", held.agg(F.min("held")).scalar().alias("target"))
+    else:
+        target = F.col("held")
+        for value, n in sizes.items():
+            target = F.when(F.col("label").eqNullSafe(F.lit(value)), F.least(F.col("held"), F.lit(int(n)))).otherwise(target)
+        targets = held.select("label", target.alias("target"))
+    limits = class_thresholds(buckets, targets).select(F.col("label").alias("_label"), F.col("threshold").alias("_limit"))
+    return (data.join(F.broadcast(limits) if fits_broadcast(limits) else limits, F.col(label).eqNullSafe(F.col("_label")))
+            .filter(F.col("_bucket") < F.col("_limit")).select(*[F.col(f"`{c}`") for c in df.columns]))
+
+
 SPLIT = "split:"  # keeps a split independent of a balancing draw on the same seed and key
 
 

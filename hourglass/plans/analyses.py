@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -215,14 +216,20 @@ def scale_with(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 # --- Q4 / Q7: models ---------------------------------------------------------
 
+def _raw_auc(pred: DataFrame) -> float | None:
+    scored = pred.select("label", vector_to_array("rawPrediction")[1].alias("score"))
+    return M.auc_ranks(scored, "score").first()["auc"]
+
+
 def _metrics_rows(name: str, model, train: DataFrame, test: DataFrame, names,
                   with_coefficients: bool = False) -> list[tuple]:
-    """Hard AUC and accuracy come from one aggregate per scored set, the raw AUC from the evaluator."""
+    """Hard AUC and accuracy come from one aggregate per scored set, the raw AUC from exact ranks. A metric
+    is null where it is undefined: no rows, or an AUC without both classes."""
     pred_test = M.score(model, test)
     on_test, on_train = M.hard_metrics(pred_test), M.hard_metrics(M.score(model, train))
     rows = [(name, "auc_hard_test", on_test["auc_hard"]),
             (name, "auc_hard_train", on_train["auc_hard"]),
-            (name, "auc_raw_test", M.eval_auc(pred_test, raw_col="rawPrediction")),
+            (name, "auc_raw_test", _raw_auc(pred_test)),
             (name, "accuracy_test", on_test["accuracy"])]
     if with_coefficients:
         rows += [(name, f"coef_{t}", v) for t, v in M.coefficients(model, names)]

@@ -27,6 +27,7 @@ from hourglass.plans import analyses as Q
 from hourglass.plans import lookalike as V
 from hourglass.plans.oracle import (
     CONTEXT_KEEP_ORDINALS,
+    hash_bucket,
     hash_pick,
     hours_with_crashes_sql,
     q,
@@ -56,6 +57,7 @@ def register(name: str, sql: str | None = None):
 BOROUGH = "ERROR"
 DATE_LO, DATE_HI = "2024-01-03", "2024-01-28"
 AREA_ZIP = "11202"
+BUCKETS = 16
 SEGMENT_CODES = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4}
 FS = Q.FINAL_SAMPLE
 
@@ -81,22 +83,30 @@ SELECT CAST(coalesce(sum(octet_length(encode(value)) + 1) OVER (
 FROM crash_lines"""
 
 
-def _lines_with_offsets(spark, d) -> DataFrame:
-    """The crash lines in key order in one file, read in many small blocks with their byte offsets."""
+def _numbered_lines(spark, d) -> DataFrame:
+    """The crash lines in key order, written as range-partitioned files and read with places over all files."""
     path = scratch_path(spark, "s1-offsets")
-    V.crash_lines(spark, d).repartition(1).sortWithinPartitions("line_key").select("value").write.text(path)
-    return io.read_lines(spark, path, with_offsets=True)
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    V.crash_lines(spark, d).repartitionByRange(parts, "line_key").sortWithinPartitions("line_key").select("value").write.text(path)
+    return io.number_lines(spark, path)
 
 
 @register("s1_read_lines_offsets", with_views(_OFFSETS_SQL.format(key='"offset"'), "crash_lines"))
 def s1_read_lines_offsets(spark, d):
-    return _lines_with_offsets(spark, d)
+    return _numbered_lines(spark, d).select("offset", "value")
 
 
 @register("c8_offset_row_key", with_views(_OFFSETS_SQL.format(key="row_key"), "crash_lines"))
 def c8_offset_row_key(spark, d):
     """C8 with generated keys: the byte offset of each line."""
-    return C.with_row_key(_lines_with_offsets(spark, d), "offset").select("row_key", "value")
+    return C.with_row_key(_numbered_lines(spark, d).drop("line_no"), "offset").select("row_key", "value")
+
+
+@register("c8_dense_row_key", with_views(
+    "SELECT CAST(row_number() OVER (ORDER BY line_key) - 1 AS BIGINT) AS row_key, value FROM crash_lines", "crash_lines"))
+def c8_dense_row_key(spark, d):
+    """C8 with generated keys without gaps: the number of each line over all files."""
+    return C.with_row_key(_numbered_lines(spark, d).drop("offset"), "line_no").select("row_key", "value")
 
 
 @register("s2_read_csv_strings", with_views(
@@ -167,6 +177,14 @@ def _c13(spark, d) -> DataFrame:
     return C.clean_crash_lines(V.crash_lines(spark, d), key_col="line_key", keep_flag=True)
 
 
+@register("s4_bucketed_join", with_views(
+    "SELECT f.*, c.* FROM facts_d f JOIN ctx_d c ON f.fact_day = c.day_begin", "facts_d", "ctx_d"))
+def s4_bucketed_join(spark, d):
+    """S4 laid out for reuse: both sides stored bucketed on the time key, joined without a shuffle."""
+    pair = K.bucketed_pair(V.facts_d(spark, d), V.ctx_d(spark, d), "fact_day", "day_begin", BUCKETS, salt=2)
+    return K.join_buckets(*pair, "fact_day", "day_begin")
+
+
 @register("s5_write_lines", with_views("SELECT DISTINCT cells_line AS value FROM crash_clean", "crash_clean"))
 def s5_write_lines(spark, d):
     path = scratch_path(spark, "s5")
@@ -590,6 +608,31 @@ def x10_recode(spark, d):
     return V.geo(spark, d).select("geo_id", X.recode("segment", SEGMENT_CODES, 0).alias("segment_code"))
 
 
+_X10_SQL = """
+SELECT l_linenumber, l_orderkey, coalesce(o_custkey, -1) AS customer
+FROM (SELECT l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN -l_orderkey ELSE l_orderkey END AS l_orderkey
+      FROM lineitem) l LEFT JOIN orders ON l_orderkey = o_orderkey"""
+
+
+def _orders_of_items(spark, d, **how) -> DataFrame:
+    """Line items recoded by a mapping as large as the orders; some keys unknown, some null."""
+    number, key = F.col("l_linenumber"), F.col("l_orderkey")
+    items = V.table(spark, d, "lineitem").select("l_linenumber", F.when(number == 6, -key).when(number != 7, key).alias("l_orderkey"))
+    return K.lookup(items, "l_orderkey", V.table(spark, d, "orders"), "o_orderkey", "o_custkey", out="customer", default=-1, **how)
+
+
+@register("x10_recode_large_mapping", _X10_SQL)
+def x10_recode_large_mapping(spark, d):
+    """X10 with a mapping table: broadcast where it is small enough."""
+    return _orders_of_items(spark, d)
+
+
+@register("x10_recode_large_mapping_shuffle", _X10_SQL)
+def x10_recode_large_mapping_shuffle(spark, d):
+    """X10 with a mapping above the broadcast bound: shuffled, hot keys salted, rows without a key kept out."""
+    return _orders_of_items(spark, d, max_broadcast_bytes=1024, salt=4)
+
+
 @register("x11_encode_weather", with_views(
     f"SELECT hour_begin, {weather_code('weather_summary')} AS weather FROM ctx_all", "ctx_all"))
 def x11_encode_weather(spark, d):
@@ -745,6 +788,32 @@ def a2_casualties_by_weather_factor(spark, d):
     return A.casualties_by_weather_factor(joined)
 
 
+def _batches(spark, d):
+    """The hourly joined rows in four batches, as they would arrive, merged into the stored sums."""
+    root = scratch_path(spark, "factor-sums")
+    ctx = materialize(V.ctx_h(spark, d), "batch-context")
+    for batch in range(4):
+        facts = V.facts_h(spark, d).filter(F.col("fact_id") % 4 == batch)
+        joined = K.facts_left_context(facts, ctx, "fact_hour", "hour_begin", drop_null=["weather_summary"])
+        state = A.update_partials(spark, root, batch, joined)
+    return state
+
+
+@register("a1_share_batch_by_batch", _a1_sql_raw())
+def a1_share_batch_by_batch(spark, d):
+    """A1 kept up to date: four batches merged give the shares of all rows at once."""
+    return A.shares_of_partials(_batches(spark, d))
+
+
+@register("a2_casualties_batch_by_batch", with_views("""
+SELECT weather_summary AS weather, factor, CAST(sum(injured) AS BIGINT) AS injured,
+       CAST(sum(killed) AS BIGINT) AS killed, CAST(sum(injured + killed) AS BIGINT) AS casualties
+FROM k2 GROUP BY weather_summary, factor""", "facts_h", "ctx_h", extra={"k2": K2_RAW}))
+def a2_casualties_batch_by_batch(spark, d):
+    """A2 kept up to date."""
+    return A.casualties_of_partials(_batches(spark, d))
+
+
 @register("a3_count_where", with_views(
     "SELECT count(*) FILTER (WHERE injured > 2) AS n FROM facts_d", "facts_d"))
 def a3_count_where(spark, d):
@@ -844,6 +913,32 @@ def t4_top_factors(spark, d):
     return O.top_factors(_q5(spark, d), weather="clear-day")
 
 
+@register("t4_top_factors_each_weather", _q5_sql(
+    "cw_d", tail="QUALIFY row_number() OVER (PARTITION BY weather ORDER BY frac DESC, factor) <= 2"))
+def t4_top_factors_each_weather(spark, d):
+    """T4 for all weathers at once: the two largest shares of each."""
+    shares = Q.factor_share(V.facts_d(spark, d), V.ctx_d(spark, d), Q.DAILY)
+    return O.top_per_group(shares, "weather", "frac", 2, ("factor",)).drop("rank")
+
+
+_TOP_SQL = """
+SELECT factor, fact_id, injured, CAST(row_number() OVER (PARTITION BY factor ORDER BY injured DESC, fact_id) AS INTEGER) AS rank
+FROM {src} QUALIFY rank <= {n}"""
+
+
+@register("t4_worst_crashes_each_factor", with_views(_TOP_SQL.format(src="facts_d", n=10), "facts_d"))
+def t4_worst_crashes_each_factor(spark, d):
+    """T4 over all rows: ten crashes of every factor; a few factors hold all line items."""
+    return O.top_per_group(V.facts_d(spark, d).select("factor", "fact_id", "injured"), "factor", "injured", 10, ("fact_id",))
+
+
+@register("t4_worst_crashes_salted", with_views(_TOP_SQL.format(src="facts_d", n=1500), "facts_d"))
+def t4_worst_crashes_salted(spark, d):
+    """T4 with more rows per group than Spark limits by itself: ranked in parts first."""
+    return O.top_per_group(V.facts_d(spark, d).select("factor", "fact_id", "injured"), "factor", "injured", 1500, ("fact_id",),
+                           salt=8)
+
+
 @register("t5_sort_lines", with_views("SELECT value FROM crash_lines ORDER BY value", "crash_lines"))
 def t5_sort_lines(spark, d):
     return O.sort_lines(V.crash_lines(spark, d).select("value"))
@@ -883,6 +978,32 @@ def b3_balance_classes(spark, d):
                              **FS).select("sample_key", "has_accident")
 
 
+def _to_sizes_sql(src: str, label: str, target: str) -> str:
+    """Rows of a class in hash order, while all rows of their hash still fit its size."""
+    return f"""
+SELECT * EXCLUDE (b, upto, target) FROM (
+  SELECT *, count(*) OVER (PARTITION BY {label} ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM {src}) t
+WHERE upto <= target"""
+
+
+@register("b3_balance_to_smallest", with_views(_to_sizes_sql("s", "has_accident", "target"), "hwc_h", extra={
+    "h": f"SELECT sample_key, has_accident, {hash_bucket('sample_key', FS['seed'])} AS b FROM hwc_h",
+    "s": "SELECT *, (SELECT min(n) FROM (SELECT count(*) AS n FROM h GROUP BY has_accident) c) AS target FROM h"}))
+def b3_balance_to_smallest(spark, d):
+    """Every class cut to the exact size of the smallest, in place of a fraction tuned by hand."""
+    rows = _hwc(spark, d).select("sample_key", "has_accident")
+    return B.balance_to_sizes(rows, "has_accident", FS["seed"], "sample_key")
+
+
+@register("b3_balance_to_sizes", with_views(_to_sizes_sql("s", "factor", "target"), "facts_d", extra={
+    "s": f"SELECT fact_id, factor, {hash_bucket('fact_id', 5)} AS b, CASE factor WHEN 'AF' THEN 1000 WHEN 'RF' THEN 77 "
+         "ELSE 1000000000000 END AS target FROM facts_d"}))
+def b3_balance_to_sizes(spark, d):
+    """B3 to sizes per class over all line items; classes without one stay whole."""
+    rows = V.facts_d(spark, d).select("fact_id", "factor")
+    return B.balance_to_sizes(rows, "factor", 5, "fact_id", {"AF": 1000, "RF": 77})
+
+
 @register("b4_train_test_split")
 def b4_train_test_split(spark, d):
     train, _ = B.train_test_split(V.facts_d(spark, d).select("fact_id", "factor"), (0.7, 0.3), 1823)
@@ -1081,6 +1202,50 @@ def m9_auc_hard(spark, d):
     return M.auc_hard(_rule_pred(_training(spark, d)))
 
 
+_RAW_SCORE = "floor(1000 * ({0} - {1} / 2 + {2}))"
+_RAW_SQL = "CAST(" + _RAW_SCORE.format("temperature_norm", "pedestrians_norm", "hour_norm") + " AS DOUBLE)"
+
+
+def _auc_ranks_sql(rows: str) -> str:
+    """The rank sum in SQL: mean ranks of tied scores, all rows in one window."""
+    return f"""
+SELECT n_pos, n_neg, round((r - n_pos * (n_pos + 1) / 2) / (CAST(n_pos AS DOUBLE) * n_neg), 9) AS auc
+FROM (SELECT CAST(count(*) FILTER (WHERE y = 1) AS BIGINT) AS n_pos, CAST(count(*) FILTER (WHERE y = 0) AS BIGINT) AS n_neg,
+             sum(k) FILTER (WHERE y = 1) AS r
+      FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS k FROM ({rows}) a) b) c"""
+
+
+@register("m9_auc_raw", with_views(_auc_ranks_sql(f"SELECT has_accident AS y, {_RAW_SQL} AS s FROM training"),
+                                   "hwc_h", extra=TRAINING))
+def m9_auc_raw(spark, d):
+    """M9 on raw scores: exact area under ROC by ranks."""
+    score = F.floor(1000 * (F.col("temperature_norm") - F.col("pedestrians_norm") / 2 + F.col("hour_norm"))).cast("double")
+    rows = _training(spark, d).select(F.col("has_accident").alias("label"), score.alias("score"))
+    return M.auc_ranks(rows, "score").withColumn("auc", F.round("auc", 9))
+
+
+_DAILY_SCORE = "({0} * 7919) % 20011 + 4000 * killed"
+
+
+@register("m9_auc_raw_daily", with_views(_auc_ranks_sql(
+    f"SELECT killed AS y, CAST({_DAILY_SCORE.format('fact_id')} AS DOUBLE) AS s FROM facts_d"), "facts_d"))
+def m9_auc_raw_daily(spark, d):
+    """M9 by ranks over all line items: more distinct scores than an evaluator keeps, with ties."""
+    rows = V.facts_d(spark, d).selectExpr("killed AS label", f"CAST({_DAILY_SCORE.format('fact_id')} AS DOUBLE) AS score")
+    return M.auc_ranks(rows, "score").withColumn("auc", F.round("auc", 9))
+
+
+@register("m9_score_ranks", with_views(f"""
+SELECT s AS score, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg,
+       CAST(coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS neg_below
+FROM (SELECT CAST({_DAILY_SCORE.format('fact_id')} AS DOUBLE) AS s, count(*) FILTER (WHERE killed = 1) AS pos,
+             count(*) FILTER (WHERE killed = 0) AS neg FROM facts_d GROUP BY 1) a""", "facts_d"))
+def m9_score_ranks(spark, d):
+    """The ROC curve behind M9: negatives below every distinct score."""
+    rows = V.facts_d(spark, d).selectExpr("killed AS label", f"CAST({_DAILY_SCORE.format('fact_id')} AS DOUBLE) AS score")
+    return M.score_ranks(rows, "score")
+
+
 @register("m10_accuracy", with_views(
     "SELECT avg(CASE WHEN label = prediction THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS accuracy "
     "FROM pred", "hwc_h", extra=dict(TRAINING, pred=RULE)))
@@ -1128,6 +1293,12 @@ def _flag(value: bool, name: str):
     return F.lit(bool(value)).alias(name)
 
 
+def _both_classes(rows: DataFrame, label: str = "label") -> bool:
+    """A fit on one class proves nothing: the flags of models also ask for two."""
+    r = rows.agg(F.min(label).alias("lo"), F.max(label).alias("hi")).first()
+    return r["lo"] is not None and r["lo"] != r["hi"]
+
+
 def _penalised_gradient(model, train: DataFrame, n_features: int) -> float:
     """Largest derivative of the penalised logistic loss (weights by standard deviation, as fitted) at the
     model's coefficients: 0 at the optimum. One aggregate over the training rows."""
@@ -1160,7 +1331,8 @@ def m3_logistic_optimum(spark, d):
     """M3: the fitted coefficients are an optimum of the penalised loss over the training rows."""
     train, test = _final_parts(spark, d)
     model = M.fit_logistic(train, max_iter=500)
-    return _sizes(train, test, _flag(_penalised_gradient(model, train, len(Q.FINAL_FEATURES)) < 0.01, "is_optimal"))
+    return _sizes(train, test, _flag(
+        _both_classes(train) and _penalised_gradient(model, train, len(Q.FINAL_FEATURES)) < 0.01, "is_optimal"))
 
 
 @register("m4_multinomial_probabilities", with_views(_SPLIT_SQL.format(
@@ -1175,14 +1347,15 @@ def m4_multinomial_probabilities(spark, d):
     z = {}
     for k in sorted({c for c, _, _ in terms}):
         values = dict((t, v) for c, t, v in terms if c == k)
-        z[k] = F.lit(values["intercept"])
+        z[k] = F.lit(min(max(values["intercept"], -1e300), 1e300))  # infinite where a class is missing
         for i, name in enumerate(Q.FINAL_FEATURES):
             z[k] = z[k] + vector_to_array("features")[i] * values[name]
-    norm = sum((F.exp(x) for x in z.values()), F.lit(0.0))
+    top = F.greatest(*z.values()) if len(z) > 1 else z[0]
+    norm = sum((F.exp(x - top) for x in z.values()), F.lit(0.0))
     rows = M.score(model, train.unionByName(test))
-    gap = F.greatest(*[F.abs(vector_to_array("probability")[k] - F.exp(x) / norm) for k, x in z.items()])
+    gap = F.greatest(F.lit(0.0), *[F.abs(vector_to_array("probability")[k] - F.exp(x - top) / norm) for k, x in z.items()])
     worst = rows.agg(F.max(gap)).first()[0]
-    return _sizes(train, test, _flag(worst < 1e-9, "softmax_agrees"))
+    return _sizes(train, test, _flag(_both_classes(train) and worst < 1e-9, "softmax_agrees"))
 
 
 @register("m5_naive_bayes_closed_form", with_views(_SPLIT_SQL.format(
@@ -1203,7 +1376,7 @@ def m5_naive_bayes_closed_form(spark, d):
         mass = sum(r[f"s{i}"] for i in range(k)) + smooth * k
         gap = max(gap, abs(model.pi[c] - math.log((r["n"] + smooth) / (total + smooth * len(sums)))))
         gap = max([gap, *[abs(model.theta[c, i] - math.log((r[f"s{i}"] + smooth) / mass)) for i in range(k)]])
-    return _sizes(train, test, _flag(gap < 1e-9, "closed_form"))
+    return _sizes(train, test, _flag(_both_classes(train) and gap < 1e-9, "closed_form"))
 
 
 @register("m6_forest_beats_majority", with_views(_SPLIT_SQL.format(
@@ -1213,9 +1386,32 @@ def m6_forest_beats_majority(spark, d):
     """M6: on its training rows the forest is right at least as often as the larger class."""
     train, test = _area_parts(spark, d)
     pred = M.score(M.fit_random_forest(train, "has_accident"), train)
+    both = _both_classes(train, "has_accident")
     r = pred.agg(F.avg((F.col("predictedLabel") == F.col("has_accident").cast("string")).cast("double")).alias("hit"),
                  F.avg(F.col("has_accident").cast("double")).alias("share")).first()
-    return _sizes(train, test, _flag(r["hit"] >= max(r["share"], 1 - r["share"]) - 1e-9, "not_below_majority"))
+    return _sizes(train, test, _flag(both and r["hit"] >= max(r["share"], 1 - r["share"]) - 1e-9, "not_below_majority"))
+
+
+@register("m6_forest_as_tables", with_views(_SPLIT_SQL.format(
+    pick=split_pick("sample_key", 0.7, Q.AREA_SPLIT_SEED),
+    rest="TRUE AS tables_agree, TRUE AS leaves_hold_shares", src="area_bal"), "hwc_area", extra={"area_bal": _AREA_BAL}))
+def m6_forest_as_tables(spark, d):
+    """M6: the trees as a node table; joins down the tree give every row the prediction and votes of the model."""
+    from pyspark.ml.functions import vector_to_array
+    train, test = _area_parts(spark, d)
+    pipeline = M.fit_random_forest(train, "has_accident")
+    forest = pipeline.stages[2]
+    nodes = materialize(M.forest_nodes(forest, spark), "forest-nodes")
+    rows = train.unionByName(test).withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(M.score(pipeline, rows).select("row", "indexedFeatures", "prediction",
+                                                      vector_to_array("rawPrediction").alias("raw")), "forest-rows")
+    mine = M.score_forest(nodes, rows, "row").withColumnRenamed("prediction", "own")
+    met = rows.join(mine, "row", "left")
+    same = F.coalesce((F.col("own") == F.col("prediction")) & (F.abs(F.array_max("raw") - F.col("votes")) < 1e-9), F.lit(False))
+    wrong = met.filter(~same).isEmpty()
+    leaves = nodes.filter("feature IS NULL").agg(F.max(F.abs(F.aggregate("shares", F.lit(0.0), lambda s, x: s + x) - 1))).first()[0]
+    return _sizes(train, test, _flag(wrong and _both_classes(train, "has_accident"), "tables_agree"),
+                  _flag(leaves < 1e-9, "leaves_hold_shares"))
 
 
 @register("m11_m12_scores_follow_coefficients", with_views(_SPLIT_SQL.format(
@@ -1234,7 +1430,7 @@ def m11_m12_scores_follow_coefficients(spark, d):
     rows = M.score(model, train.unionByName(test))
     wrong = rows.filter((F.abs(vector_to_array("probability")[1] - p) > 1e-9)
                         | (F.col("prediction") != (p > model.getThreshold()).cast("double")))
-    return _sizes(train, test, _flag(wrong.isEmpty(), "sigmoid_agrees"))
+    return _sizes(train, test, _flag(_both_classes(train) and wrong.isEmpty(), "sigmoid_agrees"))
 
 
 @register("s7_saved_model_equals_loaded", with_views(
@@ -1249,7 +1445,8 @@ def s7_saved_model_equals_loaded(spark, d):
     loaded = io.load_model(path, "logistic")
     mine = M.score(model, data).select("features", vector_to_array("probability")[1].alias("p"))
     theirs = M.score(loaded, mine).select("p", vector_to_array("probability")[1].alias("q"))
-    return theirs.agg(F.count(F.lit(1)).alias("n_rows"), (F.max(F.abs(F.col("p") - F.col("q"))) == 0).alias("same_scores"))
+    both = F.lit(_both_classes(data))
+    return theirs.agg(F.count(F.lit(1)).alias("n_rows"), (both & (F.max(F.abs(F.col("p") - F.col("q"))) == 0)).alias("same_scores"))
 
 
 @register("s7_stored_ranges_scale_new_rows", with_views("SELECT * FROM training", "hwc_h", extra=TRAINING))
@@ -1314,6 +1511,36 @@ def m14_chi_square(spark, d):
     return out.withColumn("statistic", r6(F.col("statistic")))
 
 
+def _gamma_sql(cells: str, digits: int) -> str:
+    """P-values by the plain series of the lower function, term by term."""
+    a, x = "(CAST(dof AS DOUBLE) / 2)", "(s / 2)"
+    return f"""
+SELECT feature, round(s, {digits}) AS statistic, dof, round(CASE WHEN dof = 0 OR s <= 0 THEN CAST(1 AS DOUBLE) ELSE 1 - list_sum(list_transform(
+         range(CAST({x} + 14 * sqrt({x}) + 60 * sqrt({a}) + 200 AS BIGINT)),
+         lambda i: exp(({a} + i) * ln({x}) - {x} - lgamma({a} + i + 1)))) END, 8) AS p_value
+FROM ({cells.replace('AS statistic', 'AS s').replace(', 6) AS s', ', 12) AS s')}) t"""
+
+
+@register("m14_chi_square_p", with_views(_gamma_sql(_m14_body("hwc_h", _M14), 6), "hwc_h"))
+def m14_chi_square_p(spark, d):
+    """M14 with p-values as expressions."""
+    out = M.chi_square_with_p(_hwc(spark, d), _M14, "has_accident")
+    return out.withColumns({"statistic": r6(F.col("statistic")), "p_value": F.round("p_value", 8)})
+
+
+_MANY = {"many": "fact_id * 7919 % 12007", "injured": "injured", "weekday": "fact_id % 7"}
+
+
+@register("m14_chi_square_many_values", with_views(
+    _gamma_sql(_m14_body("many", list(_MANY)).replace("has_accident", "killed"), 4), "facts_d",
+    extra={"many": "SELECT killed, " + ", ".join(f"{x} AS {n}" for n, x in _MANY.items()) + " FROM facts_d"}))
+def m14_chi_square_many_values(spark, d):
+    """M14 on all line items with a feature of more values than ``ChiSquareTest`` takes."""
+    rows = V.facts_d(spark, d).selectExpr("killed", *[f"{x} AS {n}" for n, x in _MANY.items()])
+    out = M.chi_square_with_p(rows, list(_MANY), "killed")
+    return out.withColumns({"statistic": F.round("statistic", 4), "p_value": F.round("p_value", 8)})
+
+
 # Fixed value: the seven features of the source's test, in its order.
 _M14_ALL = ["pedestrians", "temperature", "precipitation", "has_event", "hour_group", "day", "weather"]
 
@@ -1423,7 +1650,8 @@ def q3_fitted_rows(spark, d):
 
 def _metric_sizes(spark, rows) -> DataFrame:
     r = {m: v for _, m, v in rows}
-    flags = all(0.0 <= v <= 1.0 for _, m, v in rows if m.startswith(("auc", "accuracy")))
+    # a metric is null where it is undefined (one class only), which is no value within bounds
+    flags = all(v is not None and 0.0 <= v <= 1.0 for _, m, v in rows if m.startswith(("auc", "accuracy")))
     return _rows(spark, [(int(r["n_train"]), int(r["n_test"]), flags)], "n_train long, n_test long, in_bounds boolean")
 
 
@@ -1508,6 +1736,25 @@ def q6_factor_casualties(spark, d):
     return Q.factor_casualties(V.facts_h(spark, d), V.ctx_h(spark, d))
 
 
+def _bucketed_crashes(spark, d) -> DataFrame:
+    """The daily joined rows from buckets, with the factor label cleaned."""
+    pair = K.bucketed_pair(V.facts_d(spark, d).withColumn("factor", X.sentinel_to_label("factor")),
+                           FL.drop_null_rows(V.ctx_d(spark, d), ["weather_summary"]), "fact_day", "day_begin", BUCKETS)
+    return K.join_buckets(*pair, "fact_day", "day_begin")
+
+
+@register("q5_factor_share_from_buckets", _q5_sql("cw_d"))
+def q5_factor_share_from_buckets(spark, d):
+    """Q5 on the bucketed stage."""
+    return A.factor_share_by_weather(_bucketed_crashes(spark, d))
+
+
+@register("q6_factor_casualties_from_buckets", _q6_sql("cw_d"))
+def q6_factor_casualties_from_buckets(spark, d):
+    """Q6 on the bucketed stage."""
+    return A.casualties_by_weather_factor(_bucketed_crashes(spark, d))
+
+
 @register("q6_factor_casualties_daily", _q6_sql("cw_d"))
 def q6_factor_casualties_daily(spark, d):
     return Q.factor_casualties(V.facts_d(spark, d), V.ctx_d(spark, d), Q.DAILY)

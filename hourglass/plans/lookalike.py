@@ -68,14 +68,32 @@ def hour_key(ts: Column) -> Column:
 
 
 # --- hourly pair -------------------------------------------------------------
+#
+# Every event is a crash and a context record. So that hours without crash, and crashes without
+# context, exist at every table size, the events of some hours count for the hour before:
+# as crashes those of every fifth hour, as context records those of every eleventh.
+
+QUIET_HOURS = (5, 3)     # hours whose number has this remainder see no crash
+UNSEEN_HOURS = (11, 4)   # ... and these have no context row
+
+
+def hour_number(ts: Column) -> Column:
+    """Hours of wall-clock time since 1970."""
+    return F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)
+
+
+def moved(ts: Column, hours: tuple[int, int]) -> Column:
+    """``ts``, one hour earlier where its hour is one of ``hours``."""
+    return F.when(hour_number(ts) % hours[0] == hours[1], ts - F.expr("INTERVAL 1 HOUR")).otherwise(ts)
+
 
 def facts_h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents of the joins: error events only, so that hours without any exist."""
-    return _facts(table(spark, sf_dir, "events").filter(F.col("event_type") == "error"))
+    """Incidents of the joins: every event; none in the quiet hours."""
+    return _facts(table(spark, sf_dir, "events").withColumn("ts", moved(F.col("ts"), QUIET_HOURS)))
 
 
 def facts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as an incident, for operators that need no unmatched rows."""
+    """Every event as an incident at its own time, for operators that need no unmatched rows."""
     return _facts(table(spark, sf_dir, "events"))
 
 
@@ -103,8 +121,8 @@ def _context(grouped: DataFrame, time_col: str) -> DataFrame:
 
 
 def ctx_h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours of the joins: without the incidents themselves and without 3 a.m."""
-    return _hours(table(spark, sf_dir, "events").filter((F.col("event_type") != "error") & (F.hour("ts") != 3)))
+    """Hours of the joins: every event; no row for the unseen hours."""
+    return _hours(table(spark, sf_dir, "events").withColumn("ts", moved(F.col("ts"), UNSEEN_HOURS)))
 
 
 def ctx_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +135,7 @@ def _hours(ev: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("int").alias("pedestrians"),
         F.max("value").alias("temperature"),
         F.min("value").alias("precipitation"),
-        F.min("user_id").alias("_m"))
+        F.sum("user_id").alias("_m"))
     return _context(grouped, "hour_begin")
 
 
@@ -149,7 +167,7 @@ def ctx_d(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- raw strings -------------------------------------------------------------
 
 def crash_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events").withColumn("ts", moved(F.col("ts"), QUIET_HOURS))
     k = _k()
     blank = F.col("event_id") % 13 == 0
 

@@ -12,7 +12,7 @@ from hourglass.functions.lines import CRASH_DROP_ORDINALS, CRASH_FIELDS
 from hourglass.functions.scalars import WEATHER_LABELS
 from hourglass.operators.clean import CONTEXT_KEEP_ORDINALS
 from hourglass.operators.sample import SPLIT, threshold
-from hourglass.plans.lookalike import CONTEXT_HEADER, CRASH_HEADER
+from hourglass.plans.lookalike import CONTEXT_HEADER, CRASH_HEADER, QUIET_HOURS, UNSEEN_HOURS
 
 
 def q(s: str) -> str:
@@ -101,19 +101,28 @@ _CTX_LINE_CELLS = [
 
 K_EXPR = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
+
+
+def moved_events(hours: tuple[int, int]) -> str:
+    """Events, one hour earlier where their hour is one of ``hours``."""
+    number = "(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) * 24 + hour(ts))"
+    return (f"(SELECT * REPLACE (CASE WHEN {number} % {hours[0]} = {hours[1]} THEN ts - INTERVAL 1 HOUR ELSE ts END AS ts) "
+            "FROM events) events")
+
+
 VIEWS: dict[str, str] = {
     "facts_h": f"""
 SELECT event_id AS fact_id, ts AS crash_ts, date_trunc('hour', ts) AS fact_hour,
        {zip_of('user_id')} AS zip_code, {factor_of('user_id')} AS factor,
        {K_EXPR} % 5 AS injured,
        CASE WHEN {K_EXPR} >= 95 THEN 1 ELSE 0 END AS killed
-FROM events WHERE event_type = 'error'""",
+FROM {moved_events(QUIET_HOURS)}""",
     "ctx_h": f"""
 SELECT hour_begin, pedestrians, {weather_label('CAST(_m % 11 AS INTEGER)')} AS weather_summary,
        temperature, precipitation, CASE WHEN _m % 7 = 0 THEN 'parade' END AS event_name
 FROM (SELECT date_trunc('hour', ts) AS hour_begin, CAST(count(*) AS INTEGER) AS pedestrians,
-             max(value) AS temperature, min(value) AS precipitation, min(user_id) AS _m
-      FROM events WHERE event_type <> 'error' AND hour(ts) <> 3 GROUP BY 1) g""",
+             max(value) AS temperature, min(value) AS precipitation, sum(user_id) AS _m
+      FROM {moved_events(UNSEEN_HOURS)} GROUP BY 1) g""",
     "facts_d": f"""
 SELECT l_orderkey * 8 + l_linenumber AS fact_id, l_shipdate AS crash_ts, l_shipdate AS fact_day,
        {zip_of('l_suppkey')} AS zip_code, concat(l_returnflag, l_linestatus) AS factor,
@@ -138,7 +147,7 @@ SELECT event_id AS row_id,
        CAST(k % 4 AS VARCHAR) AS mot_injured,
        CASE WHEN k = 50 THEN '1' ELSE '0' END AS mot_killed,
        {factor_of('user_id')} AS factor_1
-FROM (SELECT *, {K_EXPR} AS k FROM events) e""",
+FROM (SELECT *, {K_EXPR} AS k FROM {moved_events(QUIET_HOURS)}) e""",
     "ctx_raw": """
 SELECT hk AS ctx_key,
        CASE WHEN hk % 13 = 0 THEN NULL ELSE strftime(hour_begin, '%m/%d/%Y %-I:%-M:%-S %p') END AS hour_beginning,
@@ -215,8 +224,8 @@ VIEWS["hwc_h"] = hours_with_crashes_sql("facts_h")
 VIEWS["hwc_area"] = hours_with_crashes_sql("facts_area")
 
 # The unfiltered pair and what is derived from it.
-VIEWS["facts_all"] = VIEWS["facts_h"].replace(" WHERE event_type = 'error'", "")
-VIEWS["ctx_all"] = VIEWS["ctx_h"].replace("WHERE event_type <> 'error' AND hour(ts) <> 3 ", "")
+VIEWS["facts_all"] = VIEWS["facts_h"].replace(moved_events(QUIET_HOURS), "events")
+VIEWS["ctx_all"] = VIEWS["ctx_h"].replace(moved_events(UNSEEN_HOURS), "events")
 VIEWS["ctx_raw_all"] = VIEWS["ctx_raw"].replace("FROM ctx_h)", "FROM ctx_all)")
 VIEWS["ctx_lines_all"] = VIEWS.pop("ctx_lines").replace("FROM ctx_raw", "FROM ctx_raw_all")
 VIEWS["ctx_cells_all"] = VIEWS.pop("ctx_cells").replace("FROM ctx_lines", "FROM ctx_lines_all")

@@ -6,12 +6,15 @@ small aggregate results (it funnels every row through one task).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.session import scratch_path
+
 
 def string_schema(names: Sequence[str]) -> T.StructType:
     """All-string schema: raw CSV columns are read as text and cast tolerantly later."""
@@ -30,17 +33,40 @@ def read_lines(spark: SparkSession, path: str, with_offsets: bool = False) -> Da
     """
     if not with_offsets:
         return spark.read.text(path)
+    return _placed_lines(spark, path)[0].select("offset", "value")
+
+
+def number_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S1 over a folder of files as one text, in the order of their part numbers: (``offset``, ``line_no``, ``value``).
+
+    ``offset`` is the byte position in all files put together, ``line_no`` counts from 0 without gaps. A
+    file starts where the sums of the files before it end: a prefix sum over one row per file.
+    """
+    lines, blocks = _placed_lines(spark, path)
+    order = Window.orderBy(F.length("_f"), "_f").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    files = blocks.groupBy("_f").agg(F.sum("_size").alias("_size"), F.sum("_count").alias("_count"))
+    files = files.select(F.col("_f").alias("_name"), F.coalesce(F.sum("_size").over(order), F.lit(0)).alias("_bytes"),
+                         F.coalesce(F.sum("_count").over(order), F.lit(0)).alias("_lines"))
+    return lines.join(files, F.col("_file") == F.col("_name")).select(
+        (F.col("offset") + F.col("_bytes")).alias("offset"), (F.col("_line") + F.col("_lines")).alias("line_no"), "value")
+
+
+def _placed_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(lines with their byte and line position in their file, bytes and lines of every file block)."""
     lines = spark.read.text(path, lineSep="\n").select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_nth"))  # read order within a block
     size = (F.octet_length("value") + 1).cast("bigint")
     in_block = Window.partitionBy("_file", "_block").orderBy("_nth").rowsBetween(Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = lines.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b")).agg(F.sum(size).alias("_size"))
-    starts = starts.select("_f", "_b", F.coalesce(F.sum("_size").over(in_file), F.lit(0)).alias("_start"))
-    lines = lines.withColumn("_before", F.coalesce(F.sum(size).over(in_block), F.lit(0)))
+    blocks = lines.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b")).agg(
+        F.sum(size).alias("_size"), F.count(F.lit(1)).alias("_count"))
+    starts = blocks.select("_f", "_b", *[F.coalesce(F.sum(c).over(in_file), F.lit(0)).alias(f"_start{c}") for c in ("_size", "_count")])
+    lines = lines.withColumns({"_before": F.coalesce(F.sum(size).over(in_block), F.lit(0)),
+                               "_nth": F.count(F.lit(1)).over(in_block)})
     out = lines.join(starts, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
-    return out.select((F.col("_start") + F.col("_before")).alias("offset"), F.rtrim("value", F.lit("\r")).alias("value"))
+    return out.select("_file", (F.col("_start_size") + F.col("_before")).alias("offset"),
+                      (F.col("_start_count") + F.col("_nth")).alias("_line"), F.rtrim("value", F.lit("\r")).alias("value")), blocks
 
 
 # --- S2 ----------------------------------------------------------------------
@@ -93,6 +119,19 @@ def save_stage(df: DataFrame, path: str, partition_by: Sequence[str] | None = No
     return path
 
 
+def save_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, name: str = "stage") -> DataFrame:
+    """S4 laid out for reuse: ``df`` as a table bucketed and sorted by ``keys``, read back.
+
+    Two tables with as many buckets on their join keys meet without a shuffle, in every job that uses
+    them. The files are under the shared root; the layout is known to the catalog of the session.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.format("parquet").option("path", scratch_path(spark, table)).bucketBy(buckets, *keys).sortBy(*keys)
+     .saveAsTable(table))
+    return spark.table(table)
+
+
 def load_stage(spark: SparkSession, path: str) -> DataFrame:
     """S4 reload."""
     return spark.read.parquet(path)

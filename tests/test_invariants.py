@@ -134,22 +134,48 @@ def test_salted_joins_equal_plain_joins(spark):
         assert k3.count() == facts.join(ctx, facts.fact_hour == ctx.hour_begin).count()
 
 
+@needs_data
+def test_both_classes_at_every_scale(spark):
+    """Hours without crash, crashes without context and two classes exist at every table size."""
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        d = SF.replace("sf0.01", sf)
+        facts, ctx = V.facts_h(spark, d), V.ctx_h(spark, d)
+        assert facts.count() == V.table(spark, d, "events").count()
+        assert K.anti_join(ctx, facts, "hour_begin", "fact_hour").count() > 0
+        assert K.anti_join(facts, ctx, "fact_hour", "hour_begin").count() > 0
+        hours = Q.hours_with_crashes(ctx, facts).groupBy("has_accident").count().collect()
+        assert {r.has_accident for r in hours} == {0, 1}
+        training = Q.training_table(ctx, facts).groupBy("has_accident").count().collect()
+        assert len(training) == 2 or sf == "sf0.001"
+
+
 @pytest.mark.skipif(not SF.endswith("sf0.01"), reason="figures are for sf0.01")
 @needs_data
 def test_survey_figures_at_sf001(spark):
-    """Figures the survey measured independently on the same look-alike views."""
+    """Figures the survey measured independently: error events as crashes, the others but for 3 a.m. as context."""
     import __spark_entry__ as E
+    from hourglass.functions.scalars import decode_weather, trunc_time
+    from hourglass.operators import aggregate, model
     q = E.queries()
-    assert q["k1_context_left_facts"](spark, SF).count() == 1973
-    assert q["k4_anti_join"](spark, SF).count() == 41
-    assert V.facts_h(spark, SF).count() == 2014
-    ctx = V.ctx_h(spark, SF)
+    events = V.table(spark, SF, "events")
+    facts = V._facts(events.filter("event_type = 'error'"))
+    ctx = events.filter((F.col("event_type") != "error") & (F.hour("ts") != 3)).groupBy(
+        trunc_time("ts").alias("hour_begin")).agg(
+        F.count(F.lit(1)).cast("int").alias("pedestrians"), F.max("value").alias("temperature"),
+        F.min("value").alias("precipitation"), F.min("user_id").alias("m")).select(
+        "hour_begin", "pedestrians", "temperature", "precipitation",
+        decode_weather((F.col("m") % 11).cast("int")).alias("weather_summary"),
+        F.when(F.col("m") % 7 == 0, "parade").alias("event_name"))
+    assert K.context_left_facts(ctx, facts, "hour_begin", "fact_hour").count() == 1973
+    assert K.anti_join(ctx, facts, "hour_begin", "fact_hour").count() == 41
+    assert facts.count() == 2014
     assert ctx.count() == 690 and ctx.filter("weather_summary IS NULL").count() == 47
-    assert q["a1_factor_share"](spark, SF).count() == 70
-    assert q["a2_casualties_by_weather_factor"](spark, SF).count() == 70
+    joined = K.facts_left_context(facts, ctx, "fact_hour", "hour_begin", drop_null=["weather_summary"])
+    assert aggregate.factor_share_by_weather(joined).count() == 70
+    assert aggregate.casualties_by_weather_factor(joined).count() == 70
     assert q["q5_factor_share_daily"](spark, SF).count() == 60
-    chi = {r.feature: (r.statistic, r.dof) for r in q["m14_chi_square"](spark, SF).collect()}
-    assert chi["hour_group"] == (8.181693, 5)
+    stats = model.chi_square(Q.hours_with_crashes(ctx, facts), ["hour_group"], "has_accident").first()
+    assert (round(stats.statistic, 6), stats.dof) == (8.181693, 5)
     # raw lines: unchanged, repaired by the parenthesis rule, by the quote rule,
     # quarantined with both problems, quarantined as too short
     from hourglass.functions import lines as L
