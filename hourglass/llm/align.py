@@ -6,8 +6,8 @@ bytes, and byte offsets where both end a token cut them into groups.
 
 1. One stage tokenizes every whole text once and stores the ids. Neither vocabulary has a token
    that reaches over a space after a visible character, so texts are cut there
-   and every distinct unit is encoded once per batch of units (bounded cache). This
-   is checked when the vocabularies are read.
+   and every distinct unit is encoded once per worker (bounded cache). This is checked when the
+   vocabularies are read; their tokens are compared with the bytes of every unit.
 2. Groups: every token points to the farthest-right token of the other side that overlaps it
    (the one that holds its last byte), or to itself if both end there. The pointers of all tokens
    of a slice of texts are doubled together (next = next[next]) until nothing changes; a
@@ -31,18 +31,18 @@ import hashlib
 import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import map_arrow
+from hourglass.llm.common import map_arrow, slices, text_buffer
 from hourglass.session import materialize
 
 BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CACHE_UNITS = 200_000      # distinct units kept by a worker
+CACHE_UNITS = 300_000      # distinct units kept by a worker
 CACHE_UNIT_CHARS = 64      # longer units are not kept
 LONG_UNIT_CHARS = 1000     # longer units are encoded by the library with a heap of merges
 SLICE_TOKENS = 1 << 18     # tokens of one side aligned together
@@ -73,33 +73,40 @@ class ByteBPE:
 
     def __init__(self, path: str):
         import tiktoken
-        import tokenizers
+        self.path = path
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
         alphabet = byte_alphabet()
         added = {t["id"]: t["content"].encode() for t in model["added_tokens"]}
-        vocab = {t: i for t, i in model["model"]["vocab"].items() if i not in added}
-        by_id = {i: bytes(alphabet[c] for c in t) for t, i in vocab.items()} | added
+        ranks = {bytes(alphabet[c] for c in t): i for t, i in model["model"]["vocab"].items() if i not in added}
+        by_id = {i: t for t, i in ranks.items()} | added
         self.tokens = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
-        ranks = [vocab["".join(m)] for m in merges]
-        if ranks != sorted(ranks):
+        order = [ranks[bytes(alphabet[c] for c in "".join(m))] for m in merges]
+        if order != sorted(order):
             raise ValueError(f"{path}: ids are not in the order of the merges")
         if any(re.search(rb"[!-~] ", t) for t in self.tokens):
             raise ValueError(f"{path}: a token reaches over a space")
-        self.library = tokenizers.Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.fast = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, special_tokens={},
-                                      mergeable_ranks={bytes(alphabet[c] for c in t): i for t, i in vocab.items()})
+        self.fast = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, special_tokens={}, mergeable_ranks=ranks)
+
+    @cached_property
+    def library(self):
+        import tokenizers
+        found = tokenizers.Tokenizer.from_file(self.path)
+        found.encode_special_tokens = True
+        return found
 
-    def encode(self, text: str) -> list[int]:
-        if len(text) > LONG_UNIT_CHARS:
-            return self.library.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
+    def joint(self, text: str) -> np.ndarray:
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+
+    def alone(self, unit: str) -> list[int]:
+        if len(unit) > LONG_UNIT_CHARS:
+            return self.library.encode(unit, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(unit)
 
 
 class PieceBPE:
-    """Tokenizer B: ids of a unit that begins with a space, and the bytes of every id."""
+    """Tokenizer B: ids of texts that begin with a space, which the model adds itself, and the bytes of every id."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -111,52 +118,131 @@ class PieceBPE:
         self.tokens = [bytes([int(m[1], 16)]) if (m := byte.match(p)) else p.replace("▁", " ").encode() for p in pieces]
         self.space = self.model.piece_to_id("▁")
 
-    def encode(self, units: list[str]) -> list[list[int]]:
-        """The model puts a space before what it is given, so each unit goes without its first one."""
-        return [ids if unit != " " else [self.space]
-                for unit, ids in zip(units, self.model.encode([u[1:] for u in units], num_threads=1))]
+    def joint(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text[1:], num_threads=1), np.int64)
+
+    def alone(self, unit: str) -> list[int]:
+        return self.model.encode(unit[1:], num_threads=1) if unit != " " else [self.space]
+
+
+class Side:
+    """One tokenizer with the tokens of the units seen so far, as flat arrays."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.size = np.fromiter(map(len, tokenizer.tokens), np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(tokenizer.tokens), np.uint8)
+        self.kind = "<u2" if len(self.size) <= 1 << 16 else "<u4"
+        self.forget()
+
+    def forget(self) -> None:
+        self.flat, self.at, self.n = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, units: list[str], raw: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> np.ndarray:
+        """Add the tokens of new units (bytes ``raw`` up to ``ends``); whether they spell each unit.
+
+        ``plain`` units are encoded as one string; where its token ends do not agree with the ends
+        of a unit, the unit is encoded on its own.
+        """
+        size = np.diff(ends, prepend=0)
+        flat, counts, at = [], np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        fine = np.zeros(len(units), bool)
+        index = np.flatnonzero(plain)
+        if len(index):
+            ids = self.tokenizer.joint("".join([units[i] for i in index.tolist()]))
+            token_ends = np.concatenate([[0], np.cumsum(self.size[ids])])
+            bounds = np.concatenate([[0], np.cumsum(size[index])])
+            place = np.minimum(np.searchsorted(token_ends, bounds), len(token_ends) - 1)
+            agreed = token_ends[place] == bounds
+            good = agreed[:-1] & agreed[1:]
+            fine[index[good]] = True
+            at[index[good]], counts[index[good]] = place[:-1][good], np.diff(place)[good]
+            flat.append(ids)
+        base = sum(map(len, flat))
+        for i in np.flatnonzero(~fine).tolist():
+            ids = self.tokenizer.alone(units[i])
+            at[i], counts[i] = base, len(ids)
+            base += len(ids)
+            flat.append(np.array(ids, np.int64))
+        ids = gather(np.concatenate(flat), at, counts)
+        spelt = np.add.reduceat(np.append(self.size[ids], 0), np.cumsum(counts) - counts) * (counts > 0)
+        same = spelt == size
+        if not same.all():  # compare the bytes of the others only
+            token_of = np.repeat(np.arange(len(units)), counts)
+            kept = ids[same[token_of]]
+            raw = raw[same[np.repeat(np.arange(len(units)), size)]]
+        else:
+            kept = ids
+        wrong = np.flatnonzero(gather(self.bytes, self.start[kept], self.size[kept]) != raw)
+        if len(wrong):
+            rows = np.flatnonzero(same)
+            same[rows[np.searchsorted(np.cumsum(size[rows]), wrong, side="right")]] = False
+        self.at = np.concatenate([self.at, np.cumsum(counts) - counts + len(self.flat)])
+        self.n = np.concatenate([self.n, counts])
+        self.flat = np.concatenate([self.flat, ids.astype(self.kind)])
+        return same
+
+    def ids_of(self, index: np.ndarray) -> np.ndarray:
+        return gather(self.flat, self.at[index], self.n[index])
 
 
 class Tokenizers:
     def __init__(self, a_path: str, b_path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.a, self.b = ByteBPE(a_path), PieceBPE(b_path)
-        self.size_a = np.fromiter(map(len, self.a.tokens), np.int64)
-        self.size_b = np.fromiter(map(len, self.b.tokens), np.int64)
-        self.decimal = decimals(max(len(self.a.tokens), len(self.b.tokens)))
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.a, self.b = Side(ByteBPE(a_path)), Side(PieceBPE(b_path))
+        self.decimal = decimals(max(len(self.a.size), len(self.b.size)))
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.same = np.zeros(0, bool)
+        self.a.forget()
+        self.b.forget()
 
     def units(self, text: str) -> list[str]:
         """Pieces of a space and the text, each from a space on; none is cut after white space."""
         words = text.split(" ")
         if not (text.startswith(" ") or "  " in text or _CROSSING.search(text)):
             return words
-        out: list[str] = []
-        for word in words:  # a word after white space belongs to the one before
-            if out and (out[-1] == "" or out[-1][-1].isspace()):
-                out[-1] += " " + word
+        out: list[list[str]] = []
+        open_ = False  # a word after white space belongs to the one before
+        for word in words:
+            if open_:
+                out[-1].append(word)
             else:
-                out.append(word)
-        return out
-
-    def encode(self, text: str) -> tuple[bytes, bytes, bool]:
-        """(A ids, B ids as little-endian 32-bit integers, whether both spell a space and the text)."""
-        units = self.units(text)
-        found = list(map(self.known.get, units))
-        new = list({u for u, f in zip(units, found) if f is None})
+                out.append([word])
+            open_ = word == "" or word[-1].isspace()
+        return [" ".join(u) for u in out]
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """(A ids, B ids) as little-endian integers; nothing where they do not spell a space and the text."""
+        if len(self.index) > CACHE_UNITS:
+            self.forget()
+        units = [self.units(t) if t else [] for t in texts]
+        new = list({u for words in units for u in words if u not in self.index})
+        once = []  # units that are long are not kept
         if new:
-            fresh: dict[str, tuple[bytes, bytes, bool]] = {}
             spaced = [" " + u for u in new]
-            for unit, ids_b in zip(spaced, self.b.encode(spaced)):
-                ids_a = self.a.encode(unit)
-                raw = unit.encode()
-                same = (b"".join([self.a.tokens[i] for i in ids_a]) == raw and b"".join([self.b.tokens[i] for i in ids_b]) == raw)
-                fresh[unit[1:]] = np.array(ids_a, "<u4").tobytes(), np.array(ids_b, "<u4").tobytes(), same
-            found = [f if f is not None else fresh[u] for u, f in zip(units, found)]
-            if len(self.known) + len(new) > CACHE_UNITS:
-                self.known.clear()
-            self.known.update((u, f) for u, f in fresh.items() if len(u) <= CACHE_UNIT_CHARS)
-        return b"".join([f[0] for f in found]), b"".join([f[1] for f in found]), all(f[2] for f in found)
+            encoded = [u.encode() for u in spaced]
+            plain = np.array([not u[-1].isspace() and len(u) <= CACHE_UNIT_CHARS and "\u2581" not in u for u in spaced])
+            args = spaced, np.frombuffer(b"".join(encoded), np.uint8), np.cumsum([len(u) for u in encoded]), plain
+            base = len(self.same)
+            self.same = np.concatenate([self.same, self.a.learn(*args) & self.b.learn(*args)])
+            self.index.update((u, base + i) for i, u in enumerate(new))
+            once = [u for u in new if len(u) > CACHE_UNIT_CHARS]
+        index = np.array([self.index[u] for words in units for u in words], np.int64)
+        ends = np.cumsum([len(words) for words in units])
+        ids_a, ids_b = self.a.ids_of(index), self.b.ids_of(index)
+        at = [np.concatenate([[0], np.cumsum(side.n[index])])[np.concatenate([[0], ends])].tolist() for side in (self.a, self.b)]
+        fine = np.concatenate([[0], np.cumsum(~self.same[index])])[np.concatenate([[0], ends])]
+        fine = np.diff(fine) == 0
+        for u in once:
+            del self.index[u]
+        if once and len(self.a.flat) > 16 * CACHE_UNITS:
+            self.forget()
+        return [(ids_a[a0:a1].tobytes(), ids_b[b0:b1].tobytes()) if ok else (b"", b"")
+                for a0, a1, b0, b1, ok in zip(at[0], at[0][1:], at[1], at[1][1:], fine)]
 
 
 @lru_cache(maxsize=2)
@@ -223,7 +309,7 @@ def slices_of(end_a: np.ndarray, end_b: np.ndarray, size: int):
 
 def aligned(ids_a: np.ndarray, ids_b: np.ndarray, tool: Tokenizers):
     """((A ids, B ids, A ends, B ends)) of the slices of one or several texts joined."""
-    end_a, end_b = np.cumsum(tool.size_a[ids_a]), np.cumsum(tool.size_b[ids_b])
+    end_a, end_b = np.cumsum(tool.a.size[ids_a]), np.cumsum(tool.b.size[ids_b])
     for (a0, a1), (b0, b1) in slices_of(end_a, end_b, SLICE_TOKENS):
         yield ids_a[a0:a1], ids_b[b0:b1], end_a[a0:a1], end_b[b0:b1]
 
@@ -255,13 +341,10 @@ def tokenized(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches):
         tool = tokenizers_of(a_path, b_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                a, b = [], []
-                for text in part.column(1):
-                    x, y, same = tool.encode(text.as_py()) if text.is_valid and len(text.as_buffer()) else (b"", b"", False)
-                    a.append(x if same else b"")
-                    b.append(y if same else b"")
+            _, offsets = text_buffer(batch.column(1))
+            for lo, hi in slices(offsets):
+                part = batch.slice(lo, hi - lo)
+                a, b = zip(*tool.encode(part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())],
                                                  ["doc_id", "ids_a", "ids_b"])
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, ids_a binary, ids_b binary")
@@ -271,11 +354,11 @@ def joined_texts(column_a, column_b, tool: Tokenizers):
     """Neighbouring documents whose tokens fill a slice: (first, last, A ids, B ids, byte ends of the documents)."""
     lo, size, a, b = 0, 0, [], []
     for i, (x, y) in enumerate(zip(column_a, column_b)):
-        a.append(np.frombuffer(x.as_buffer(), "<u4"))
-        b.append(np.frombuffer(y.as_buffer(), "<u4"))
+        a.append(np.frombuffer(x.as_buffer(), tool.a.kind))
+        b.append(np.frombuffer(y.as_buffer(), tool.b.kind))
         size += len(a[-1])
         if size >= SLICE_TOKENS // 4 or i == len(column_a) - 1:
-            ends = np.cumsum([int(tool.size_a[x].sum()) for x in a])
+            ends = np.cumsum([int(tool.a.size[x].sum()) for x in a])
             yield lo, i + 1, np.concatenate(a), np.concatenate(b), ends
             lo, size, a, b = i + 1, 0, [], []
 
@@ -387,8 +470,8 @@ def digests(rows: DataFrame, counts: Counts, a_path: str, b_path: str) -> DataFr
                 some = [held[d] != b"" for d in range(docs)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, docs),
-                     pa.array([len(v.as_buffer()) // 4 for v in batch.column(1).slice(lo, docs)], pa.int64()),
-                     pa.array([len(v.as_buffer()) // 4 for v in batch.column(2).slice(lo, docs)], pa.int64()),
+                     pa.array([len(v.as_buffer()) // tool.a.flat.itemsize for v in batch.column(1).slice(lo, docs)], pa.int64()),
+                     pa.array([len(v.as_buffer()) // tool.b.flat.itemsize for v in batch.column(2).slice(lo, docs)], pa.int64()),
                      *[pa.array(c) for c in (n_groups, n_links, n_best, total)],
                      pa.array([d.hexdigest() if s else "" for d, s in zip(digest, some)], pa.string()), pa.array(tails, tail_type)],
                     ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "tail"])

@@ -119,10 +119,10 @@ def test_slices_do_not_change_the_result(spark, libraries, monkeypatch):
     monkeypatch.setattr(A, "SLICE_TOKENS", 8)
     tool = A.tokenizers_of(A.tokenizer_path(A.BYTE_FILE), A.tokenizer_path(A.PIECE_FILE))
     for text in odd_texts(4, 60):
-        x, y, same = tool.encode(text)
-        if not same or not text:
+        x, y = tool.encode([text])[0]
+        if not x:
             continue
-        ids_a, ids_b = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+        ids_a, ids_b = np.frombuffer(x, tool.a.kind), np.frombuffer(y, tool.b.kind)
         parts = list(A.aligned(ids_a, ids_b, tool))
         assert np.concatenate([p[0] for p in parts]).tolist() == ids_a.tolist()
         assert np.concatenate([p[1] for p in parts]).tolist() == ids_b.tolist()
@@ -151,3 +151,17 @@ def test_overlap_table(spark, libraries):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(r.a_id, r.b_id): r.n_documents for r in A.overlap_table(df).collect()}
     assert max(got.values()) == 3 and sum(got.values()) >= 6
+
+
+def test_cache_limit_does_not_change_ids(libraries, monkeypatch):
+    monkeypatch.setattr(A, "CACHE_UNITS", 5)
+    monkeypatch.setattr(A, "CACHE_UNIT_CHARS", 6)
+    tool = A.Tokenizers(A.tokenizer_path(A.BYTE_FILE), A.tokenizer_path(A.PIECE_FILE))
+    for _ in range(2):
+        texts = odd_texts(12, 120)
+        for at in range(0, len(texts), 7):
+            for text, (x, y) in zip(texts[at:at + 7], tool.encode(texts[at:at + 7])):
+                if x:
+                    a, b = token_bytes(libraries, text)
+                    assert np.frombuffer(x, tool.a.kind).tolist() == [i for i, _ in a]
+                    assert np.frombuffer(y, tool.b.kind).tolist() == [i for i, _ in b]
