@@ -35,9 +35,9 @@ PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 
 WINDOW = 8                    # bytes under the rolling hash
 CHUNK_BITS = 3                # a cut after every 8th window on average: pieces of one or two words
-CACHE_PIECES = 1_000_000      # distinct pieces kept by a worker, known by two 64-bit hashes
+CACHE_PIECES = 250_000        # distinct pieces kept by a worker, known by two 64-bit hashes
 CACHE_PIECE_TOKENS = 32       # longer pieces are not kept between batches
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 18        # encoded together; longer texts in parts that end at agreement points
 KEY = np.dtype([("a", np.uint64), ("b", np.uint64)])
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_pieces long"
 
@@ -76,8 +76,7 @@ class ChunkCodec:
         n = len(data)
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
-        point = np.zeros(n + 1, bool)
-        point[1:n] = ((data[1:] == 0x20) | (data[1:] == 0x0A)) & (data[:-1] > 0x20) & (data[:-1] < 0x7F)
+        point = agreement(data)
         point |= edge
         points = np.flatnonzero(point)
         at = np.arange(WINDOW, n + 1)
@@ -168,6 +167,28 @@ class ChunkCodec:
         return self.decode_buffer(np.asarray(ids, np.int64)).tobytes().decode("utf-8", errors="replace")
 
 
+def agreement(data: np.ndarray) -> np.ndarray:
+    """Whether a blank follows a visible ASCII character, for every place between bytes."""
+    point = np.zeros(len(data) + 1, bool)
+    point[1:len(data)] = ((data[1:] == 0x20) | (data[1:] == 0x0A)) & (data[:-1] > 0x20) & (data[:-1] < 0x7F)
+    return point
+
+
+def parts(data: np.ndarray, size: int):
+    """Parts of a text of about ``size`` bytes that end at agreement points (longer where there is none)."""
+    lo = 0
+    while lo < len(data):
+        hi, step = len(data), size
+        while lo + 2 * step < len(data):
+            points = np.flatnonzero(agreement(data[lo + step:lo + 2 * step]))
+            if len(points):
+                hi = lo + step + int(points[0])
+                break
+            step *= 2
+        yield data[lo:hi]
+        lo = hi
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Concatenation of flat[s:s + c]."""
     ends = np.cumsum(counts)
@@ -185,6 +206,11 @@ def _encoded(batch: pa.RecordBatch, tool: ChunkCodec):
     """(documents, ids, id offsets, pieces a document) of slices of a batch."""
     data, offsets = text_buffer(batch.column(1))
     for lo, hi in slices(offsets, SLICE_BYTES):
+        if hi - lo == 1 and offsets[hi] - offsets[lo] > 4 * SLICE_BYTES:
+            found = [tool.encode_buffer(p, np.array([0, len(p)])) for p in parts(data[offsets[lo]:offsets[hi]], SLICE_BYTES)]
+            ids = np.concatenate([f[0] for f in found])
+            yield batch.column(0).slice(lo, 1), ids, np.array([0, len(ids)]), np.array([sum(int(f[2][0]) for f in found)])
+            continue
         ids, at, n_pieces, _ = tool.encode_buffer(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
         yield batch.column(0).slice(lo, hi - lo), ids, at, n_pieces
 

@@ -65,6 +65,19 @@ def slices(offsets: np.ndarray, target: int = 1 << 19) -> Iterator[tuple[int, in
         lo = hi
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray, target: int, overlap: int):
+    """(first document, bytes, offsets, place of the bytes in the first document): documents of about ``target``
+    bytes together, and longer ones in pieces that overlap by ``overlap`` bytes."""
+    for lo, hi in slices(offsets, target):
+        start, end = int(offsets[lo]), int(offsets[hi])
+        if hi - lo > 1 or end - start <= 2 * target:
+            yield lo, data[start:end], offsets[lo:hi + 1] - start, 0
+            continue
+        for at in range(start, max(end - overlap, start + 1), target):
+            part = data[at:min(at + target + overlap, end)]
+            yield lo, part, np.array([0, len(part)]), at - start
+
+
 # --- 64-bit hashes of substrings ----------------------------------------------
 
 _MASK = (1 << 64) - 1

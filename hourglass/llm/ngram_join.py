@@ -1,14 +1,16 @@
 """Exact Jaccard self-join of documents on word n-grams, and its connected groups.
 
-1. N-gram frequencies are summed in a fixed number of hash buckets over all documents; they
-   define the global order (rarest bucket first, then hash). Any order gives the same
-   links, this one keeps frequent passages out of the prefixes.
+1. The documents that hold an n-gram are counted in a fixed number of hash buckets; the counts
+   define the global order (rarest bucket first, then hash). Any order gives the same links, this
+   one keeps passages of many documents out of the prefixes: with 4 million buckets, and
+   a few hundred n-grams a document, a passage in one of 5,000 documents stands out from what
+   else falls into its buckets at every size of the corpus, as both grow alike.
 2. A set that meets the threshold with another shares an n-gram of both prefixes (the first
    n - ceil(t n) + 1 in this order). Documents of equal sets are one class and indexed once.
 3. N-grams of a single class are left out.
 4. Candidates are made in steps, so that a group of many near copies does not emit all its
-   pairs: in a few rounds every class meets a few classes of each of its n-grams, others
-   each round, and the links found join the groups; in the end all pairs of classes that are
+   pairs: in a few rounds every class meets a few classes of each of its n-grams, others each round,
+   is compared with those that share most of its prefix, and the links found join the groups; in the end all pairs of classes that are
    still in different groups meet. ``all_links`` adds the other pairs inside the groups.
    Length, positional and suffix filters (the overlap possible in parts of the hash
    space) apply to both; a pair is verified once.
@@ -25,7 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.llm.common import (LOWER, SPACES, SubstringHash, bitmap, components, import_path, in_bitmap, map_arrow,
@@ -35,10 +37,12 @@ from hourglass.session import materialize
 
 WORDS = 5
 PERCENT = 75               # Jaccard threshold in percent
-FREQUENCY_BUCKETS = 1 << 17  # 1 MiB of counters, whatever the corpus
+FREQUENCY_BUCKETS = 1 << 22  # 4 MiB of ranks, whatever the corpus
+FREQUENCY_BLOCKS = 1 << 10
 PARTS = 16                 # of the hash space, for the suffix filter
 LEADER_ROUNDS = 1          # more rounds leave fewer pairs to the last step but write more stages
 LEADERS = 16               # classes of each n-gram that the others meet in a round
+TRIES = 8                  # of these, compared with a class: those that share most of its prefix
 PARTNERS = 512             # sets compared with one class in one group
 PAIRS_A_BUCKET = 1000
 _HASH = SubstringHash(101)
@@ -86,21 +90,45 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def frequencies(texts: DataFrame, size: int) -> np.ndarray:
-    """Occurrences of n-grams per hash bucket, over all texts."""
-    def run(batches):
-        total = np.zeros(FREQUENCY_BUCKETS, np.int64)
+    """Documents that hold an n-gram, per hash bucket and as a rank of one byte (16 steps an octave).
+
+    A task counts in an array of fixed size and sends it in blocks; the blocks of one number meet in one
+    task, which adds them up as they come. Nothing depends on the number of n-grams or tasks but time.
+    """
+    per_block = FREQUENCY_BUCKETS // FREQUENCY_BLOCKS
+
+    def count(batches):
+        total = np.zeros(FREQUENCY_BUCKETS, np.uint32)
         for batch in batches:
             data, offsets = text_buffer(batch.column(0))
+            seen = []
             for lo, hi in slices(offsets):
-                _, g = ngrams(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], size)
-                total += np.bincount((g % np.uint64(FREQUENCY_BUCKETS)).astype(np.int64), minlength=FREQUENCY_BUCKETS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
-    rows = map_arrow(texts.select("_text"), run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = np.zeros(FREQUENCY_BUCKETS, np.int64)
-    for r in rows.collect():
-        out[r["bucket"]] = r["n"]
-    return out
+                _, g = ngram_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], size)
+                seen.append((g % np.uint64(FREQUENCY_BUCKETS)).astype(np.uint32))
+            if seen:
+                at, n = np.unique(np.concatenate(seen), return_counts=True)
+                total[at] += n.astype(np.uint32)
+        total = np.minimum(total, 0xFFFF).astype("<u2").reshape(FREQUENCY_BLOCKS, per_block)
+        used = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([total[i].tobytes() for i in used], pa.binary())],
+                                         ["block", "n"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                n = np.frombuffer(raw.as_buffer(), "<u2")
+                if block in sums:
+                    sums[block] += n
+                else:
+                    sums[block] = n.astype(np.float64)
+        ranks = [np.minimum(np.log2(n + 1) * 16, 255).astype(np.uint8).tobytes() for n in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(ranks, pa.binary())], ["block", "n"])
+    blocks = map_arrow(texts.select("_text"), count, "block int, n binary").repartition("block")
+    out = np.zeros((FREQUENCY_BLOCKS, per_block), np.uint8)
+    for r in map_arrow(blocks, add, "block int, n binary").collect():
+        out[r["block"]] = np.frombuffer(bytes(r["n"]), np.uint8)
+    return out.reshape(-1)
 
 
 def prefix_size(n, percent: int):
@@ -268,8 +296,10 @@ def _connect(docs: DataFrame, size: int, percent: int) -> Connected:
         lead = open_rows.groupBy("g").agg(*[p["s"].alias(f"s{k}") for k, p in enumerate(picks)])
         lead = lead.select("g", F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(LEADERS)]))).alias("l"))
         lead = materialize(lead.select("g", "l.*"), "ngram-lead")
-        pairs = _ordered(open_rows.withColumnRenamed("cid", "x").join(lead, "g")
-                         .filter("x <> y AND root <> yr").filter(may_link(percent)))
+        met = (open_rows.withColumnRenamed("cid", "x").join(lead, "g")
+               .filter("x <> y AND root <> yr").filter(may_link(percent)).groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared")))
+        best = Window.partitionBy("x").orderBy(F.desc("shared"), "y")
+        pairs = _ordered(met.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= TRIES))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "ngram-leaders")
@@ -338,8 +368,9 @@ def component_ids(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) ->
     """
     rows, groups, _ = linked(docs, size, percent)
     lowest = rows.filter("n > 0").groupBy("cid").agg(F.min("doc_id").alias("low"))
-    lowest = lowest.join(groups, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    of_root = lowest.groupBy("root").agg(F.min("low").alias("component_id"))
+    # both written first: a join of two plain exchanges lets Spark split the root of a large group
+    lowest = materialize(lowest.join(groups, "cid", "left").withColumn("root", F.coalesce("root", "cid")), "ngram-lowest")
+    of_root = materialize(lowest.groupBy("root").agg(F.min("low").alias("component_id")), "ngram-roots")
     ids = lowest.join(of_root, "root").select("cid", "component_id")
     out = rows.join(ids, "cid", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
@@ -355,7 +386,9 @@ def keep_one(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> Data
     some = rows.filter("n > 0")
     best = (some.groupBy("cid").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("best")).join(groups, "cid", "left")
             .withColumn("root", F.coalesce("root", "cid")))
-    best = best.withColumnRenamed("best", "own").join(best.groupBy("root").agg(F.min("best").alias("best")), "root")
+    best = materialize(best, "ngram-best")  # as in component_ids
+    of_root = materialize(best.groupBy("root").agg(F.min("best").alias("first")), "ngram-roots")
+    best = best.drop("best").join(of_root, "root").withColumnRenamed("first", "best")
     rank = some.join(best.select("cid", F.col("best.k1").alias("b1"), F.col("best.k2").alias("b2")), "cid")
     gone = materialize(rank.filter("k1 <> b1 OR k2 <> b2").select("k1", "k2").distinct(), "ngram-gone")
     twice = some.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k1", "k2")

@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import SubstringHash, bitmap, in_bitmap, map_arrow, slices, text_buffer
+from hourglass.llm.common import SubstringHash, bitmap, in_bitmap, map_arrow, pieces, text_buffer
 from hourglass.session import materialize
 
 LENGTH = 400
-BUCKET_STRETCHES = 2000    # stretches compared in one bucket, about 600 bytes each
+BUCKET_STRETCHES = 1000    # stretches compared in one bucket, about 600 bytes each
+PIECE_BYTES = 1 << 17      # sampled together; longer texts in overlapping pieces
 HOT_STRETCHES = 8192       # a first rank with more distinct stretches is counted by rows
 _HASH = SubstringHash(41)
 
@@ -112,11 +113,12 @@ def position_runs(texts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, offsets = text_buffer(batch.column(2))
-            for lo, hi in slices(offsets):
-                d, s, c, h, x = sampled_runs(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], length)
+            # a window starts in one piece only; runs of a long text are cut where its pieces are
+            for lo, part, ends, place in pieces(data, offsets, PIECE_BYTES, length - 1):
+                d, s, c, h, x = sampled_runs(part, ends, length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k1[lo + d]), pa.array(k2[lo + d]), _signed(h), _signed(x),
-                     pa.array(s.astype(np.int32)), pa.array(c.astype(np.int32))], ["k1", "k2", "h", "x", "s", "c"])
+                     pa.array((place + s).astype(np.int32)), pa.array(c.astype(np.int32))], ["k1", "k2", "h", "x", "s", "c"])
     return map_arrow(texts.select("k1", "k2", "_text"), run, RUNS)
 
 
@@ -139,8 +141,8 @@ def stretches(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 lists_, texts_ = part.column(3), part.column(2).cast(pa.large_binary())
                 flat = lists_.flatten()
                 owner = np.repeat(np.arange(part.num_rows), np.diff(lists_.offsets.to_numpy()))
@@ -197,8 +199,8 @@ def window_rows(parts: DataFrame, length: int) -> DataFrame:
     """One row per window start of ``parts``: (h, r, k1, k2, p, n)."""
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 h, c = part.column(0).to_numpy(), part.column(4).to_numpy().astype(np.int64)
                 owner, offset, ranks = window_ranks(h, c, part.column(7), length)
                 take = pa.array(owner)

@@ -69,3 +69,17 @@ def test_documents_round_trip(odd, small_docs):
     for df in (odd.filter("doc_id is not null").dropDuplicates(["doc_id"]), small_docs):
         back = B.decode_documents(B.encode_documents(df)).withColumnRenamed("text", "back")
         assert df.join(back, "doc_id").filter("coalesce(text, '') <> back").count() == 0
+
+
+def test_long_texts_in_parts(spark, reference, monkeypatch):
+    monkeypatch.setattr(B, "SLICE_BYTES", 200)
+    rng = random.Random(6)
+    text = "".join(rng.choice(["word", " the", "'s", "\n", "\n\n", "  ", "\t", " é", "漢字", " 12", "!!", "x" * 30, " a"]) for _ in range(3000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    assert b"".join(p.tobytes() for p in B.parts(data, 200)) == text.encode() and len(list(B.parts(data, 200))) > 10
+    tool = B.ChunkCodec(B.tokenizer_path("byte_bpe_50k.tiktoken"))
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([text, None, "short"])], ["doc_id", "text"])
+    out = [(k.to_pylist(), ids.tolist()) for k, ids, _, _ in B._encoded(batch, tool)]
+    assert out[0] == ([1], reference.encode(text, add_special_tokens=False).ids)
+    assert [k for ks, _ in out for k in ks] == [1, 2, 3]

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from hourglass.llm import suffix_dedup as S
@@ -63,3 +64,29 @@ def test_remaining_texts_are_whole_characters(odd, small_docs):
             r.text.encode()
     assert S.whole_characters("aéb".encode(), [(0, 2)]) == [(0, 1)]
     assert S.whole_characters("aéb".encode(), [(2, 4)]) == [(3, 4)]
+
+
+def test_pieces_of_a_long_text_hold_every_window_once():
+    from hourglass.llm.common import pieces
+    rng = np.random.default_rng(3)
+    sizes = [5, 0, 5000, 40, 1200, 399, 2600]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    data = rng.integers(0, 4, offsets[-1]).astype(np.uint8)
+    starts = []
+    for lo, part, ends, place in pieces(data, offsets, 500, 99):
+        for d in range(len(ends) - 1):
+            starts += [(lo + d, place + p) for p in range(0, ends[d + 1] - ends[d] - 99)]
+            assert (part[ends[d]:ends[d + 1]] == data[offsets[lo + d] + place:][:ends[d + 1] - ends[d]]).all()
+    want = [(d, p) for d, n in enumerate(sizes) for p in range(n - 99)]
+    assert sorted(starts) == want
+
+
+def test_a_text_of_20_mb(spark):
+    rng = np.random.default_rng(9)
+    long_text = bytes(rng.integers(97, 123, 20_000_000, dtype=np.uint8)).decode()
+    passage = long_text[9_999_700:10_000_300]
+    rows = [(1, long_text), (2, "short " + passage), (3, "other text " * 60)]
+    got = {r.doc_id: r for r in S.removal_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_bytes, got[1].n_removed, got[1].n_spans) == (20_000_000, 600, 1)
+    assert got[1].kept_sha256 == hashlib.sha256((long_text[:9_999_700] + long_text[10_000_300:]).encode()).hexdigest()
+    assert (got[2].n_removed, got[3].n_removed) == (600, 660)
