@@ -40,8 +40,8 @@ PERCENT = 75               # Jaccard threshold in percent
 FREQUENCY_BUCKETS = 1 << 22  # 4 MiB of ranks, whatever the corpus
 FREQUENCY_BLOCKS = 1 << 10
 PARTS = 16                 # of the hash space, for the suffix filter
-LEADER_ROUNDS = 1          # more rounds leave fewer pairs to the last step but write more stages
-LEADERS = 16               # classes of each n-gram that the others meet in a round
+LEADER_ROUNDS = 4          # a round reads only n-grams whose classes are still in different groups
+LEADERS = 6                # classes of each n-gram that the others meet in a round
 TRIES = 8                  # of these, compared with a class: those that share most of its prefix
 PARTNERS = 512             # sets compared with one class in one group
 PAIRS_A_BUCKET = 1000
@@ -248,10 +248,26 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _mixed(index: DataFrame, groups: DataFrame | None) -> DataFrame:
+def _leaders(rows: DataFrame, turn: int) -> DataFrame:
+    """(g, y, m, mpos, yr): up to ``LEADERS`` classes of every n-gram.
+
+    In even rounds they are among those that share the most prefix n-grams with others: a class with few
+    n-grams of its own stands in the middle of its near copies. In odd rounds any class can lead.
+    """
+    seat = F.struct(F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
+    if turn % 2 == 0:
+        shared = rows.groupBy("cid").agg((-F.floor(F.log2(F.count(F.lit(1)).cast("double")))).cast("int").alias("rank"))
+        rows = rows.join(shared, "cid")
+    else:
+        rows = rows.withColumn("rank", F.lit(0))
+    picks = [F.min(F.struct("rank", F.xxhash64(F.lit(turn * LEADERS + k), "cid").alias("h"), seat.alias("s"))) for k in range(LEADERS)]
+    lead = rows.groupBy("g").agg(*[p["s"].alias(f"s{k}") for k, p in enumerate(picks)])
+    lead = lead.select("g", F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(LEADERS)]))).alias("l"))
+    return lead.select("g", "l.*")
+
+
+def _mixed(index: DataFrame, groups: DataFrame) -> DataFrame:
     """Index rows with the root of their class, of n-grams whose classes are in different groups."""
-    if groups is None:
-        return index.withColumn("root", F.col("cid"))
     named = index.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = materialize(named, "ngram-named")
     mixed = named.groupBy("g").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("g")
@@ -289,13 +305,9 @@ def _connect(docs: DataFrame, size: int, percent: int) -> Connected:
         return found
 
     # leader rounds: every class with a few classes of each n-gram, others each round
+    open_rows = index.withColumn("root", F.col("cid"))
     for turn in range(LEADER_ROUNDS):
-        open_rows = _mixed(index, groups)
-        seat = F.struct(F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
-        picks = [F.min(F.struct(F.xxhash64(F.lit(turn * LEADERS + k), "cid").alias("h"), seat.alias("s"))) for k in range(LEADERS)]
-        lead = open_rows.groupBy("g").agg(*[p["s"].alias(f"s{k}") for k, p in enumerate(picks)])
-        lead = lead.select("g", F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(LEADERS)]))).alias("l"))
-        lead = materialize(lead.select("g", "l.*"), "ngram-lead")
+        lead = materialize(_leaders(open_rows, turn), "ngram-lead")
         met = (open_rows.withColumnRenamed("cid", "x").join(lead, "g")
                .filter("x <> y AND root <> yr").filter(may_link(percent)).groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared")))
         best = Window.partitionBy("x").orderBy(F.desc("shared"), "y")
@@ -305,11 +317,13 @@ def _connect(docs: DataFrame, size: int, percent: int) -> Connected:
         pairs = materialize(pairs, "ngram-leaders")
         tried = pairs if tried is None else tried.unionByName(pairs)
         n = pairs.count()
-        if n == 0 or check(pairs).count() * 50 < n:  # most of what is left does not link
+        found = check(pairs).count() if n else 0
+        # groups only grow, so an n-gram whose classes are all in one is never needed again
+        open_rows = _mixed(open_rows.drop("root"), groups) if n else open_rows
+        if found * 50 < n or n == 0:  # most of what is left does not link
             break
 
     # last step: all pairs of one n-gram that are still in different groups
-    open_rows = _mixed(index, groups)
     cross = _ordered(open_rows.withColumnRenamed("cid", "x").join(_other(open_rows), "g")
                      .filter("x < y AND root <> yr").filter(may_link(percent)))
     check(cross.join(tried, ["a", "b"], "left_anti"))
