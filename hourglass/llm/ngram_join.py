@@ -40,8 +40,8 @@ PERCENT = 75               # Jaccard threshold in percent
 FREQUENCY_BUCKETS = 1 << 22  # 4 MiB of ranks, whatever the corpus
 FREQUENCY_BLOCKS = 1 << 10
 PARTS = 16                 # of the hash space, for the suffix filter
-LEADER_ROUNDS = 4          # a round reads only n-grams whose classes are still in different groups
-LEADERS = 6                # classes of each n-gram that the others meet in a round
+LEADER_ROUNDS = 1          # more rounds leave fewer pairs to the last step but write more stages
+LEADERS = 8                # classes of each n-gram that the others meet in a round
 TRIES = 8                  # of these, compared with a class: those that share most of its prefix
 PARTNERS = 512             # sets compared with one class in one group
 PAIRS_A_BUCKET = 1000
@@ -251,16 +251,14 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _leaders(rows: DataFrame, turn: int) -> DataFrame:
     """(g, y, m, mpos, yr): up to ``LEADERS`` classes of every n-gram.
 
-    In even rounds they are among those that share the most prefix n-grams with others: a class with few
-    n-grams of its own stands in the middle of its near copies. In odd rounds any class can lead.
+    Half of them are among those that share the most prefix n-grams with others: a class with few
+    n-grams of its own stands in the middle of its near copies. The other half can be any.
     """
     seat = F.struct(F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
-    if turn % 2 == 0:
-        shared = rows.groupBy("cid").agg((-F.floor(F.log2(F.count(F.lit(1)).cast("double")))).cast("int").alias("rank"))
-        rows = rows.join(shared, "cid")
-    else:
-        rows = rows.withColumn("rank", F.lit(0))
-    picks = [F.min(F.struct("rank", F.xxhash64(F.lit(turn * LEADERS + k), "cid").alias("h"), seat.alias("s"))) for k in range(LEADERS)]
+    shared = rows.groupBy("cid").agg((-F.floor(F.log2(F.count(F.lit(1)).cast("double")))).cast("int").alias("rank"))
+    rows = rows.join(shared, "cid")
+    picks = [F.min(F.struct((F.lit(0) if k % 2 else F.col("rank")).alias("rank"),
+                            F.xxhash64(F.lit(turn * LEADERS + k), "cid").alias("h"), seat.alias("s"))) for k in range(LEADERS)]
     lead = rows.groupBy("g").agg(*[p["s"].alias(f"s{k}") for k, p in enumerate(picks)])
     lead = lead.select("g", F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(LEADERS)]))).alias("l"))
     return lead.select("g", "l.*")
