@@ -17,10 +17,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import crc_mod, map_arrow
+from hourglass.llm.common import crc_mod, import_path, map_arrow
 
 SAMPLE_ROWS = 200          # labelled documents per language (the documented training bound)
-MAX_LANGUAGES = 200        # dictionaries; the languages with most labelled documents
+GROUP = 64                 # dictionaries a task holds at once; more languages are scored in groups
+BATCH = 512                # texts scored with one group before the next is built
 DICT_BYTES = 96 * 1024
 BLOCK_BYTES = 4096
 MIN_MARGIN = 0.01          # relative to the smallest encoding; below it the answer is rejected
@@ -49,35 +50,53 @@ class CompressionModel:
     def languages(self) -> list[str]:
         return sorted(self.samples)
 
-    def _compressors(self):
-        if self._tools is None:
-            import zstandard
-            self._tools = []
-            for lang in self.languages:
-                d = zstandard.ZstdCompressionDict(self.samples[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                d.precompute_compress(level=3)
-                self._tools.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False,
-                                                            write_checksum=False, write_dict_id=False))
-        return self._tools
+    def _groups(self):
+        """(place of the first language, compressors) of GROUP languages at a time; a single group is kept."""
+        if self._tools is not None:
+            yield 0, self._tools
+            return
+        langs = self.languages
+        for lo in range(0, len(langs), GROUP):
+            tools = [compressor(self.samples[x]) for x in langs[lo:lo + GROUP]]
+            if len(langs) <= GROUP:
+                self._tools = tools
+            yield lo, tools
+
+    def sizes_of(self, raws: list[bytes]) -> np.ndarray:
+        """Encoded bytes of each whole folded text (row), per language (column)."""
+        out = np.zeros((len(raws), len(self.samples)), np.int64)
+        texts = [fold(raw) for raw in raws]
+        for lo, tools in self._groups():
+            for i, text in enumerate(texts):
+                for at in range(0, len(text), BLOCK_BYTES):
+                    block = text[at:at + BLOCK_BYTES]
+                    out[i, lo:lo + len(tools)] += [len(t.compress(block)) for t in tools]
+        return out
 
     def sizes(self, raw: bytes) -> np.ndarray:
-        """Encoded bytes of the whole folded text, per language."""
-        text, tools = fold(raw), self._compressors()
-        out = np.zeros(len(tools), np.int64)
-        for at in range(0, len(text), BLOCK_BYTES):
-            block = text[at:at + BLOCK_BYTES]
-            out += [len(t.compress(block)) for t in tools]
-        return out
+        return self.sizes_of([raw])[0]
 
     def predict(self, raw: bytes) -> tuple[str, float, bool]:
-        """(language, score 0..1, rejected); ties go to the first language by code point."""
-        if not self.samples or not raw or not has_letter(raw):
-            return UNKNOWN, 0.0, True
-        sizes = self.sizes(raw)
-        best = int(sizes.argmin())
-        gap = (sizes - sizes[best]) / max(4.0, 0.02 * sizes[best])
-        margin = np.delete(sizes, best).min() - sizes[best] if len(sizes) > 1 else sizes[best]
-        return self.languages[best], float(1 / np.exp(-gap).sum()), bool(margin < MIN_MARGIN * sizes[best])
+        return self.predict_all([raw])[0]
+
+    def predict_all(self, raws: list[bytes]) -> list[tuple[str, float, bool]]:
+        """(language, score 0..1, rejected) of each text; ties go to the first language by code point."""
+        out = [(UNKNOWN, 0.0, True)] * len(raws)
+        known = [i for i, raw in enumerate(raws) if raw and has_letter(raw)] if self.samples else []
+        langs = self.languages
+        for i, sizes in zip(known, self.sizes_of([raws[i] for i in known])):
+            best = int(sizes.argmin())
+            gap = (sizes - sizes[best]) / max(4.0, 0.02 * sizes[best])
+            margin = np.delete(sizes, best).min() - sizes[best] if len(sizes) > 1 else sizes[best]
+            out[i] = (langs[best], float(1 / np.exp(-gap).sum()), bool(margin < MIN_MARGIN * sizes[best]))
+        return out
+
+
+def compressor(sample: bytes):
+    import zstandard
+    d = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    d.precompute_compress(level=3)
+    return zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
 def has_letter(raw: bytes) -> bool:
@@ -87,23 +106,29 @@ def has_letter(raw: bytes) -> bool:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         sample_rows: int = SAMPLE_ROWS) -> CompressionModel:
-    """Dictionaries from at most ``sample_rows`` documents a language (smallest text hashes).
+    """Dictionaries from at most ``sample_rows`` distinct texts a language (smallest text hashes).
 
-    The sample is thinned by hash before it is ranked, so no window holds a whole language.
+    The sample is thinned by hash and copies are merged before it is ranked, so no window holds a
+    whole language. Dictionaries are cut in the tasks: the driver gets at most DICT_BYTES a language.
     """
-    data = (labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-            .filter("lang is not null and text <> ''"))
-    per_lang = data.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    top = per_lang.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    import_path(labelled.sparkSession)
     h = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    picked = (data.join(F.broadcast(top), "lang")
-              .withColumn("h", h).filter(F.col("h") * F.col("n") <= F.lit((1 << 30) * 2.0 * sample_rows)))
-    ranked = picked.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
-    rows = ranked.filter(F.col("r") <= sample_rows).select("lang", "r", "text").collect()
-    texts: dict[str, list] = {}
-    for lang, r, text in sorted(rows, key=lambda x: (x[0], x[1])):
-        texts.setdefault(lang, []).append(fold(text.encode()))
-    return CompressionModel({k: dictionary(v) for k, v in texts.items()})
+    data = (labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+            .filter("lang is not null and text <> ''").withColumn("h", h))
+    per_lang = data.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    # one row a language: far smaller than the dictionaries that every task holds
+    thin = (data.join(F.broadcast(per_lang), "lang")
+            .filter(F.col("h") * F.col("n") <= F.lit((1 << 30) * 2.0 * sample_rows)).dropDuplicates(["lang", "text"]))
+    ranked = thin.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
+
+    def cut(key: tuple, rows: pa.Table) -> pa.Table:
+        order = rows.column("r").to_numpy().argsort()
+        texts = [fold(rows.column("text")[int(i)].as_py().encode()) for i in order]
+        return pa.table({"lang": [key[0].as_py()], "sample": pa.array([dictionary(texts)], pa.binary())})
+
+    picked = ranked.filter(F.col("r") <= sample_rows).select("lang", "r", "text")
+    rows = picked.groupBy("lang").applyInArrow(cut, "lang string, sample binary").collect()
+    return CompressionModel({r["lang"]: bytes(r["sample"]) for r in rows})
 
 
 def dictionary(texts: list[bytes]) -> bytes:
@@ -122,8 +147,9 @@ def predict(docs: DataFrame, model: CompressionModel) -> DataFrame:
     a null doc_id stays null, repeated rows repeat, other columns are ignored."""
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
-            out = [model.predict(t.as_py() or b"") for t in texts]
+            texts, out = batch.column(1).cast(pa.large_binary()), []
+            for lo in range(0, len(texts), BATCH):
+                out += model.predict_all([t.as_py() or b"" for t in texts.slice(lo, BATCH)])
             lang, score, rejected = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(lang, pa.string()), pa.array(score, pa.float64()),

@@ -77,14 +77,33 @@ def assign(rows: DataFrame, levels: list[tuple[int, DataFrame]], limit: int = SH
                .drop("cell", "d", "b"))
     # overflow chains: only buckets of one hash can still exceed the limit
     over = F.col("bucket_bytes") > limit
-    nth = F.row_number().over(Window.partitionBy("h").orderBy("doc_id")) - 1
-    per_shard = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("n_bytes", F.lit(1))))
-    chained = out.filter(over).withColumn("chain", F.floor(nth / per_shard).cast("int"))
+    chained = chain_repeats(out.filter(over), limit, keep)
     out = out.filter(~over).withColumn("chain", F.lit(0)).unionByName(chained)
     shard = F.expr(f"lpad(bin(shiftrightunsigned(h, {HASH_BITS} - depth)), depth, '0')")
     return out.select("doc_id", "n_bytes", *keep, shard.alias("shard"), "depth", "chain", "bucket_bytes")
 
 
+def chain_repeats(rows: DataFrame, limit: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of one hash dealt into overflow shards (``chain``), each within the limit.
+
+    Such rows are repeats: they are counted (merged before the shuffle, so a row that a third of the
+    table repeats is no load), a count gives its chains, and the chains give the rows back, spread by chain.
+    Unlike rows of one hash have chains of their own, one after the other.
+    """
+    same = ["h", "doc_id", "n_bytes", "depth", "bucket_bytes", *keep]
+    per = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("n_bytes", F.lit(1))))
+    counts = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("m")).withColumn("per", per)
+    counts = counts.withColumn("chains", F.ceil(F.col("m") / F.col("per")).cast("int"))
+    unlike = Window.partitionBy("h").orderBy("doc_id", "n_bytes", *keep)
+    first = F.sum("chains").over(unlike.rowsBetween(Window.unboundedPreceding, -1))
+    chains = (counts.withColumn("first", F.coalesce(first, F.lit(0)).cast("int"))
+              .withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chains") - 1)))
+              .withColumn("chain", F.col("first") + F.col("c")).repartition("h", "chain"))
+    left = F.least(F.col("per"), F.col("m") - F.col("c") * F.col("per"))
+    return (chains.withColumn("copy", F.explode(F.array_repeat(F.lit(0), left.cast("int"))))
+            .select(*same, "chain"))
+
+
 def shard(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, shard, depth, chain, bucket_bytes for every row.
 

@@ -3,11 +3,12 @@
 Vectors are dealt into blocks, and so are the queries; each pair of a query block and a
 vector block is one bounded group. Inside a group every dimension has a list of the
 block's rows sorted by value. A query walks the lists of its non-zero dimensions from
-the end that raises its score, a growing depth at a time, scoring each row it meets for
+the end that raises its score, a step deeper at a time, scoring each row it meets for
 the first time; it stops once the sum of the list values at the current depth (the best
-score an unmet row can have) is below its k-th score. Queries still open after most rows
-have been met finish their lists in one product over the block. A second step
-keeps the k best of a query's group results.
+score an unmet row can have) is below its k-th score, or once it has met every row.
+A query searches the block of its own hash first; the k-th score found there is carried
+into all its other blocks as the score to beat. A last step keeps the k best of a query's
+results.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.llm.common import import_path
+from hourglass.session import materialize
 
 K = 20
 SCALE = 64
 QUERY_STRIDE = 20
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
-FIRST_SHARE = 256          # first depth: block rows / FIRST_SHARE
+STEP_SHARE = 256           # the lists are walked in steps of block rows / STEP_SHARE
 SCHEMA = "query_id long, vec_id long, score long, scored long"
 
 
@@ -47,42 +49,37 @@ class Lists:
         self.order = np.argsort(rows, axis=0, kind="stable").T.copy()       # dimension x rank, ascending
         self.values = np.take_along_axis(rows, self.order.T, axis=0).T.copy()
 
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
-        """(ids, scores, rows scored) of the k best rows of each query, ties to the smaller id."""
-        out, still = [None] * len(queries), []
-        for i, q in enumerate(queries):
-            out[i] = self._walk(q, own[i], k)
-            if out[i] is None:
-                still.append(i)
-        for lo in range(0, len(still), 256):
-            part = still[lo:lo + 256]
-            dense = queries[part] @ self.rows.T
-            for i, s in zip(part, dense):
-                out[i] = (*best(self.ids, s, own[i], k), len(self.rows))
-        return out
-
-    def _walk(self, q: np.ndarray, own: int, k: int):
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int,
+               floor: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """(ids, scores, rows scored) of the k best rows of each query, ties to the smaller id.
+
+        Rows below ``floor`` (a score that k rows elsewhere reach) may be missing.
+        """
+        floor = np.full(len(queries), -np.inf) if floor is None else floor
+        return [self._walk(q, own[i], k, floor[i]) for i, q in enumerate(queries)]
+
+    def _walk(self, q: np.ndarray, own: int, k: int, floor: float):
         n = len(self.rows)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-        if not len(up) and not len(down):
-            return None
-        seen, depth, done = np.zeros(n, bool), max(k, n // FIRST_SHARE), 0
+        if not len(up) and not len(down):  # every row scores 0
+            return (*best(self.ids, np.zeros(n), own, k), n)
+        seen, met, step, done = np.zeros(n, bool), 0, max(1, n // STEP_SHARE), 0
         ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        while depth < n:
-            met = np.zeros(n, bool)
-            met[self.order[up, n - depth:n - done]] = True
-            met[self.order[down, done:depth]] = True
-            new = np.flatnonzero(met & ~seen)
-            seen |= met
-            ids, scores = np.concatenate([ids, self.ids[new]]), np.concatenate([scores, self.rows[new] @ q])
-            ids, scores = best(ids, scores, own, k)
+        while met < n:
+            depth = min(n, done + step)
+            row = np.zeros(n, bool)
+            row[self.order[up, n - depth:n - done]] = True
+            row[self.order[down, done:depth]] = True
+            new = np.flatnonzero(row & ~seen)
+            seen[new] = True
+            met += len(new)
+            ids, scores = best(np.concatenate([ids, self.ids[new]]),
+                               np.concatenate([scores, self.rows[new] @ q]), own, k)
             bound = q[up] @ self.values[up, n - depth] + q[down] @ self.values[down, depth - 1]
-            if len(scores) == k and bound < scores[-1]:
-                return ids, scores, int(seen.sum())
-            if seen.sum() * 4 >= n:
-                return None
-            done, depth = depth, depth * 2
-        return None
+            if bound < max(floor, scores[-1] if len(scores) == k else -np.inf):
+                break
+            done = depth
+        return ids, scores, met
 
 
 def best(ids: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,23 +123,44 @@ def top_k(vectors: DataFrame, k: int = K, stride: int = QUERY_STRIDE, block_rows
     n_cells = max(1, -(-counts[0] // block_rows))
     n_query = max(1, -(-counts[1] // block_queries))
     spread = F.xxhash64("vec_id")
-    queries = vectors.filter(F.col("vec_id") % stride == 0)
+    own_cell = F.pmod(spread, F.lit(n_cells))
+
     def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+        return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
     # names differ between the sides: both come from one table, and cogroup resolves columns by identity
-    queries = queries.select(F.pmod(spread, F.lit(n_query)).alias("qb"), every(n_cells).alias("cb"),
-                             F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    rows = vectors.select(every(n_query).alias("qb"), F.pmod(spread, F.lit(n_cells)).alias("cb"),
-                          F.col("vec_id").alias("row_id"), F.col("v").alias("row"))
-
+    queries = vectors.filter(F.col("vec_id") % stride == 0).select(
+        F.pmod(spread, F.lit(n_query)).alias("qb"), own_cell.alias("home"),
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    rows = vectors.select(own_cell.alias("cb"), F.col("vec_id").alias("row_id"), F.col("v").alias("row"))
+
+    start = queries.select(F.lit(0).cast("long").alias("qb"), F.col("home").alias("cb"), "query_id", "q",
+                           F.lit(None).cast("long").alias("beat"))
+    found = _search(start, rows.withColumn("qb", F.lit(0).cast("long")), k)
+    if n_cells > 1:
+        found = materialize(found, "topk-home")
+        beat = _ranked(found).filter(F.col("rank") == k).select("query_id", F.col("score").alias("beat"))
+        others = F.explode(F.filter(every(n_cells), lambda c: c != F.col("home")))
+        rest = queries.join(beat, "query_id", "left").select("qb", others.alias("cb"), "query_id", "q", "beat")
+        found = found.unionByName(_search(rest, rows.withColumn("qb", F.explode(every(n_query))), k))
+    return _ranked(found).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "scored")
+
+
+def _ranked(found: DataFrame) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order))
+
+
+def _search(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """The k best of each (qb, cb) group: ``queries`` (query_id, q, beat) against ``rows`` (row_id, row)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [[], [], [], []]
         if left.num_rows and right.num_rows:
             q, v = pair_up(matrix(left["q"]), matrix(right["row"]))
             own = left["query_id"].to_numpy()
-            found = Lists(right["row_id"].to_numpy(), v).search(q, own, k)
-            for query_id, (ids, scores, scored) in zip(own, found):
+            floor = left["beat"].cast(pa.float64()).fill_null(-np.inf).to_numpy()
+            lists = Lists(right["row_id"].to_numpy(), v)
+            for query_id, (ids, scores, scored) in zip(own, lists.search(q, own, k, floor)):
                 out[0].append(np.full(len(ids), query_id))
                 out[1].append(ids)
                 out[2].append(scores.astype(np.int64))
@@ -150,7 +168,4 @@ def top_k(vectors: DataFrame, k: int = K, stride: int = QUERY_STRIDE, block_rows
         cols = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out]
         return pa.Table.from_arrays(cols, ["query_id", "vec_id", "score", "scored"])
 
-    found = queries.groupBy("qb", "cb").cogroup(rows.groupBy("qb", "cb")).applyInArrow(run, SCHEMA)
-    ranked = found.withColumn("rank", F.row_number().over(
-        Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "scored")
+    return queries.groupBy("qb", "cb").cogroup(rows.groupBy("qb", "cb")).applyInArrow(run, SCHEMA)

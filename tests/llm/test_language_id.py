@@ -47,3 +47,36 @@ def test_sample_bound(docs):
     model = L.fit(docs, sample_rows=3)
     assert set(model.languages) == {"de", "en", "es", "fr"}
     assert all(len(s) <= L.DICT_BYTES + 64 for s in model.samples.values())
+
+
+def test_more_languages_than_a_group(spark, monkeypatch):
+    """Every learned language keeps its dictionary and can win, however many there are."""
+    monkeypatch.setattr(L, "GROUP", 7)
+    langs = [f"l{i:03d}" for i in range(230)]
+    rows = [(k, " ".join(f"{'abcdefghij'[j % 10]}{chr(97 + i % 26)}{chr(97 + i // 26)}{'klmnopq'[j % 7]}" for j in range(60)), x)
+            for k, (i, x) in enumerate(enumerate(langs))]
+    model = L.fit(spark.createDataFrame(rows * 2, "doc_id long, text string, lang string"))
+    assert model.languages == langs
+    assert [p[0] for p in model.predict_all([t.encode() for _, t, _ in rows])] == langs
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    rows = [(i, "the same words again", "en") for i in range(500)] + [(1000 + i, f"text number {chr(97 + i)} again", "en") for i in range(20)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=30)
+    assert model.samples["en"].count(b"the same words again") == 1 and model.samples["en"].count(b"text number") == 20
+
+
+def test_sizes_against_a_plain_loop(docs):
+    """Encoded sizes of whole texts: every block of every folded text with every dictionary."""
+    import zstandard
+    model = L.fit(docs, sample_rows=20)
+    for text in [r.text for r in docs.select("text").limit(40).collect()] + ["ab cd " * 5000]:
+        raw = " ".join("".join(c.lower() if c.isascii() and c.isalpha() else " " if c.isascii() else c for c in text or "").split(" "))
+        raw = b" ".join(raw.encode().split())
+        want = []
+        for lang in sorted(model.samples):
+            d = zstandard.ZstdCompressionDict(model.samples[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=3)
+            c = zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            want.append(sum(len(c.compress(raw[i:i + L.BLOCK_BYTES])) for i in range(0, len(raw), L.BLOCK_BYTES)))
+        assert model.sizes((text or "").encode()).tolist() == want

@@ -50,3 +50,22 @@ def test_odd_rows(odd, empty):
 def test_written_shards(odd, spark, tmp_path):
     S.write_shards(odd, str(tmp_path / "out"), 5000)
     assert spark.read.parquet(str(tmp_path / "out")).count() == odd.count()
+
+
+def test_a_hot_row_is_counted_before_its_shuffle(spark):
+    rows = [(7, "hot " * 50)] * 3000 + [(i, f"text {i}") for i in range(100, 300)] + [(None, "z" * 3000)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = S.shard(df, 1000)
+    got = out.groupBy("doc_id", "shard", "chain").agg(F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("n")).collect()
+    hot = [r for r in got if r.doc_id == 7]
+    assert sum(r.n for r in hot) == 3000 and len(hot) == 600 and all(r.b <= 1000 for r in hot)
+    assert sum(r.n for r in got) == len(rows)
+    assert sorted(r.chain for r in got if r.doc_id is None) == [0, 1, 2]
+
+
+def test_unlike_rows_of_one_hash(spark):
+    """Text ids can collide: 'a' + 'b:c' and 'a:b' + 'c' hash alike, yet every shard stays within the limit."""
+    rows = [("a", "b:" + "c" * 300)] * 5 + [("a:b", "c" * 300)] * 5
+    out = S.shard(spark.createDataFrame(rows, "doc_id string, text string"), 1000)
+    sizes = out.groupBy("shard", "chain").agg(F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("n")).collect()
+    assert all(r.b <= 1000 for r in sizes) and sum(r.n for r in sizes) == 10 and len(sizes) == 4

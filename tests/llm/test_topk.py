@@ -58,3 +58,15 @@ def test_zero_query_takes_smallest_ids():
     lists = T.Lists(np.arange(10), np.ones((10, 2)))
     ids, scores, _ = lists.search(np.zeros((1, 2)), np.array([0]), 3)[0]
     assert ids.tolist() == [1, 2, 3] and scores.tolist() == [0, 0, 0]
+
+
+def test_score_to_beat_is_carried_into_other_blocks(spark):
+    """Ties at the k-th score over many blocks in 64 dimensions, and clustered vectors whose far blocks stop early."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.choice([-1.0, 0.0, 1.0], 64)]) for i in range(120)]
+    rows += [(200 + i, rows[i % 6][1]) for i in range(80)]
+    assert run(spark, rows, k=9, block_rows=25, block_queries=4) == brute(rows, 9)
+    lists = T.Lists(np.arange(2000), np.floor(64 * (rng.standard_normal((2000, 16)) * 0.05 - 1)))
+    q = np.full(16, 64.0)
+    ids, scores, scored = lists.search(q[None], np.array([-1]), 5, np.array([0.0]))[0]
+    assert scored <= 2000 // 100 * 16 and (scores < 0).all()
