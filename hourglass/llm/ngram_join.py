@@ -10,8 +10,10 @@
 3. N-grams of a single class are left out.
 4. Candidates are made in steps, so that a group of many near copies does not emit all its
    pairs: in a few rounds every class meets a few classes of each of its n-grams, others each round,
-   is compared with those that share most of its prefix, and the links found join the groups; in the end all pairs of classes that are
-   still in different groups meet. ``all_links`` adds the other pairs inside the groups.
+   is compared with those that share most of its prefix, and the links found join the groups. Then all pairs of classes that are
+   still in different groups are listed and every group tries its best few, more each round; a link joins two
+   groups and closes all pairs between them, so that only pairs of groups that never link are compared to the last one.
+   ``all_links`` adds the other pairs inside the groups.
    Length, positional and suffix filters (the overlap possible in parts of the hash
    space) apply to both; a pair is verified once.
 5. Verification computes exact overlaps. The sets of candidates only are cut from the
@@ -43,6 +45,7 @@ PARTS = 16                 # of the hash space, for the suffix filter
 LEADER_ROUNDS = 1          # more rounds leave fewer pairs to the last step but write more stages
 LEADERS = 8                # classes of each n-gram that the others meet in a round
 TRIES = 8                  # of these, compared with a class: those that share most of its prefix
+MORE_TRIES = 4             # times as many pairs of a group in every further round
 PARTNERS = 512             # sets compared with one class in one group
 PAIRS_A_BUCKET = 1000
 _HASH = SubstringHash(101)
@@ -276,6 +279,41 @@ def _other(rows: DataFrame) -> DataFrame:
     return rows.select("g", F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
 
 
+def _cross(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, ra, rb, shared): pairs of classes in different groups, their roots and how many prefix n-grams they share."""
+    pairs = (rows.withColumnRenamed("cid", "x").join(_other(rows), "g")
+             .filter("x < y AND root <> yr").filter(may_link(percent)))
+    return pairs.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(
+        F.min("root").alias("ra"), F.min("yr").alias("rb"), F.count(F.lit(1)).alias("shared"))
+
+
+def _best_of_groups(rest: DataFrame, tries: int) -> DataFrame:
+    """The ``tries`` pairs of every group that share most n-grams."""
+    ends = rest.withColumn("end", F.explode(F.array("ra", "rb")))
+    best = Window.partitionBy("end").orderBy(F.desc("shared"), "a", "b")
+    ranked = ends.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= tries)
+    return ranked.select("a", "b", "ra", "rb").distinct()
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def _joined(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """``groups`` (node, root) after groups were joined; ``roots`` (node, root) names the new root of an old one."""
+    to = _small(roots.select(F.col("node").alias("root"), F.col("root").alias("to")))
+    moved = groups.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return moved.unionByName(roots.join(groups.select("node"), "node", "left_anti"))
+
+
+def _still_open(rest: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose classes are in different groups after the groups were joined, with their new roots."""
+    for end in ("ra", "rb"):
+        to = _small(roots.select(F.col("node").alias(end), F.col("root").alias("to")))
+        rest = rest.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    return rest.filter("ra <> rb").select("a", "b", "ra", "rb", "shared")
+
+
 class Connected(NamedTuple):
     texts: DataFrame    # doc_id, k1, k2, _text
     rows: DataFrame     # a row per document, with its prefix
@@ -315,16 +353,30 @@ def _connect(docs: DataFrame, size: int, percent: int) -> Connected:
         pairs = materialize(pairs, "ngram-leaders")
         tried = pairs if tried is None else tried.unionByName(pairs)
         n = pairs.count()
-        found = check(pairs).count() if n else 0
+        found = check(pairs).count()
         # groups only grow, so an n-gram whose classes are all in one is never needed again
         open_rows = _mixed(open_rows.drop("root"), groups) if n else open_rows
         if found * 50 < n or n == 0:  # most of what is left does not link
             break
 
-    # last step: all pairs of one n-gram that are still in different groups
-    cross = _ordered(open_rows.withColumnRenamed("cid", "x").join(_other(open_rows), "g")
-                     .filter("x < y AND root <> yr").filter(may_link(percent)))
-    check(cross.join(tried, ["a", "b"], "left_anti"))
+    # all pairs of one n-gram that are still in different groups: the best of every group, then more
+    rest = materialize(_cross(open_rows, percent).join(tried, ["a", "b"], "left_anti"), "ngram-rest")
+    tries, last = TRIES, False
+    while not rest.isEmpty():
+        pairs = rest.drop("shared") if last else materialize(_best_of_groups(rest, tries), "ngram-best-pairs")
+        n = pairs.count()
+        found = verify(suffix_filter(pairs.select("a", "b"), classes, percent), classes, texts, size, percent)
+        links = links.unionByName(found)
+        linking = found.count()
+        if linking:
+            edges = found.join(pairs, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+            roots = components(edges, "ngram-joined")
+            groups = materialize(_joined(groups, roots), "ngram-groups")
+        if last:
+            break
+        rest = rest.join(pairs, ["a", "b"], "left_anti")
+        rest = materialize(_still_open(rest, roots) if linking else rest, "ngram-rest")
+        tries, last = tries * MORE_TRIES, linking * 50 < n  # most of what is left does not link
     return Connected(texts, rows, classes, index, groups, links, tried)
 
 

@@ -102,3 +102,29 @@ def test_positional_filter_keeps_pairs_at_the_bound(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     check(df, size=1, percent=75)
     assert J.needed(F.lit(7), F.lit(7), 75) is not None
+
+
+def test_groups_join_over_several_rounds(spark, monkeypatch):
+    """With one leader and one try a round, groups still join to the components of every link."""
+    monkeypatch.setattr(J, "LEADERS", 1)
+    monkeypatch.setattr(J, "TRIES", 1)
+    monkeypatch.setattr(J, "MORE_TRIES", 2)
+    rounds = []
+    best = J._best_of_groups
+    monkeypatch.setattr(J, "_best_of_groups", lambda rest, tries: rounds.append(tries) or best(rest, tries))
+    rows = [(i, t) for k in range(3) for i, t in [(1000 * k + j, t) for j, (_, t) in enumerate(near_copies(70, 20 + k, edits=3))]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: shingles(t, 5) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    got = {r.doc_id: r.component_id for r in J.component_ids(df).collect()}
+    assert got == {i: find(i) for i in sets} and len(rounds) > 1
