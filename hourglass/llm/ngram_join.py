@@ -251,15 +251,16 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _leaders(rows: DataFrame, turn: int) -> DataFrame:
+def _leaders(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """(g, y, m, mpos, yr): up to ``LEADERS`` classes of every n-gram.
 
-    Half of them are among those that share the most prefix n-grams with others: a class with few
-    n-grams of its own stands in the middle of its near copies. The other half can be any.
+    Half of them are those with the fewest prefix n-grams of their own: a text that its near copies
+    were made from shares nearly all of its n-grams, and links with those that do not link with each
+    other. The number is exact, as among many near copies only a few stand that close to all others. The other half can be any.
     """
     seat = F.struct(F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("mpos"), F.col("root").alias("yr"))
-    shared = rows.groupBy("cid").agg((-F.floor(F.log2(F.count(F.lit(1)).cast("double")))).cast("int").alias("rank"))
-    rows = rows.join(shared, "cid")
+    in_prefix = F.max("n") - F.ceil(F.max("n") * F.lit(percent) / F.lit(100)) + 1
+    rows = rows.join(rows.groupBy("cid").agg((in_prefix - F.count(F.lit(1))).cast("int").alias("rank")), "cid")
     picks = [F.min(F.struct((F.lit(0) if k % 2 else F.col("rank")).alias("rank"),
                             F.xxhash64(F.lit(turn * LEADERS + k), "cid").alias("h"), seat.alias("s"))) for k in range(LEADERS)]
     lead = rows.groupBy("g").agg(*[p["s"].alias(f"s{k}") for k, p in enumerate(picks)])
@@ -343,7 +344,7 @@ def _connect(docs: DataFrame, size: int, percent: int) -> Connected:
     # leader rounds: every class with a few classes of each n-gram, others each round
     open_rows = index.withColumn("root", F.col("cid"))
     for turn in range(LEADER_ROUNDS):
-        lead = materialize(_leaders(open_rows, turn), "ngram-lead")
+        lead = materialize(_leaders(open_rows, turn, percent), "ngram-lead")
         met = (open_rows.withColumnRenamed("cid", "x").join(lead, "g")
                .filter("x <> y AND root <> yr").filter(may_link(percent)).groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared")))
         best = Window.partitionBy("x").orderBy(F.desc("shared"), "y")
