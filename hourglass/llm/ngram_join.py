@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import (LOWER, SPACES, SubstringHash, bitmap, components, import_path, in_bitmap, map_arrow,
-                                  mix, slices, text_buffer, words)
+from hourglass.llm.common import (LOWER, SPACES, SubstringHash, bitmap, bitmap_blocks, components, import_path, in_bitmap, known,
+                                  map_arrow, mix, slices, text_buffer, words)
 from hourglass.operators.joins import fits_broadcast
 from hourglass.session import materialize
 
@@ -457,18 +457,11 @@ def keep_one(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> Data
     rank = some.join(best.select("cid", F.col("best.k1").alias("b1"), F.col("best.k2").alias("b2")), "cid")
     gone = materialize(rank.filter("k1 <> b1 OR k2 <> b2").select("k1", "k2").distinct(), "ngram-gone")
     twice = some.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k1", "k2")
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(gone.unionByName(twice), "k1"))
+    blocks = bitmap_blocks(gone.unionByName(twice), "k1")
 
     packed = docs.select(F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64(F.lit(2), "doc_id", "text").alias("k2"),
                          *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)])
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema.fields)
-
-    def pick(inside: bool):
-        def run(batches):
-            for batch in batches:
-                yield batch.filter(pa.array(in_bitmap(bits.value, batch.column(0).to_numpy()) == inside))
-        return map_arrow(packed, run, schema)
     words_in = F.coalesce(F.col(f"_{docs.columns.index('text')}"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    maybe = pick(True).join(gone, ["k1", "k2"], "left_anti")
+    maybe = known(packed, blocks, "k1").join(gone, ["k1", "k2"], "left_anti")
     maybe = maybe.filter(~words_in).unionByName(maybe.filter(words_in).dropDuplicates(["k1", "k2"]))
-    return pick(False).unionByName(maybe).select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return known(packed, blocks, "k1", inside=False).unionByName(maybe).select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -43,6 +43,31 @@ def test_bitmap_has_no_false_negative(spark):
     assert not C.in_bitmap(C.bitmap(keys.limit(0), "k"), own).any()
 
 
+def test_known_splits_rows_as_the_bitmap_does_without_python(spark):
+    keys = spark.range(0, 3000).select(F.xxhash64("id").alias("k"))
+    rows = spark.range(0, 9000).select(F.xxhash64("id").alias("k1"), F.col("id").alias("a.b"))
+    own = np.array([r.k1 for r in rows.orderBy("`a.b`").collect()])
+    want = set(np.flatnonzero(C.in_bitmap(C.bitmap(keys, "k"), own)).tolist())
+    blocks = C.bitmap_blocks(keys, "k")
+    found = C.known(rows, blocks, "k1")
+    assert found.columns == rows.columns and "Python" not in plan(found) and "Arrow" not in plan(found)
+    assert sorted(r["a.b"] for r in found.collect()) == sorted(want)
+    assert {r["a.b"] for r in C.known(rows, blocks, "k1", inside=False).collect()} == set(range(9000)) - want
+    assert C.known(rows, C.bitmap_blocks(keys.limit(0), "k"), "k1").count() == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_on_known_texts_need_no_worker_of_their_own(small_docs):
+    """One Python step a stage: two would keep two workers a task, with the memory of both."""
+    from hourglass.llm import ngram_join, suffix_dedup
+    assert plan(suffix_dedup.removal_digest(small_docs)).count("MapInArrow") == 2  # rows without and with spans
+    assert plan(suffix_dedup.remove_repeats(small_docs)).count("MapInArrow") == 2
+    assert "MapInArrow" not in plan(ngram_join.keep_one(small_docs))
+
+
 @pytest.mark.parametrize("shape", ["random", "chain", "star", "empty"])
 def test_components_match_union_find(spark, shape):
     rng = random.Random(4)
