@@ -6,6 +6,11 @@ block's rows sorted by value. A query walks the lists of its non-zero dimensions
 the end that raises its score, a step deeper at a time, scoring each row it meets for
 the first time; it stops once the sum of the list values at the current depth (the best
 score an unmet row can have) is below its k-th score, or once it has met every row.
+The step in which a query meets a row is the least of the row's places in its lists, and
+the bounds of all steps are one small product of a chunk of queries, so steps are taken
+several at a time: up to the first whose bound is below the score to beat, and without one
+up to twice as deep each time. The queries of a chunk that have met every row by then are
+scored together; the others score the rows they have met.
 A query searches the block of its own hash first; the k-th score found there is carried
 into all its other blocks as the score to beat. A last step keeps the k best of a query's
 results.
@@ -27,6 +32,8 @@ QUERY_STRIDE = 20
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
 STEP_SHARE = 256           # the lists are walked in steps of block rows / STEP_SHARE
+FIRST_STEPS = 4            # scored together at first by a walk without a score to beat, then twice as many
+CHUNK_QUERIES = 128        # queries that a block's lists take at once
 SCHEMA = "query_id long, vec_id long, score long, scored long"
 
 
@@ -42,44 +49,83 @@ def quantize(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
 
 
 class Lists:
-    """Per-dimension sorted lists of one block."""
+    """Per-dimension sorted lists of one block: the list values at the end of every step, from the top and
+    from the bottom, and the step in which either walk of a list meets a row."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows = ids, rows
-        self.order = np.argsort(rows, axis=0, kind="stable").T.copy()       # dimension x rank, ascending
-        self.values = np.take_along_axis(rows, self.order.T, axis=0).T.copy()
+        n, step = len(rows), max(1, len(rows) // STEP_SHARE)
+        depth = np.minimum(np.arange(step, n + step, step), n)
+        kind = np.uint8 if len(depth) <= 256 else np.uint16 if len(depth) <= 1 << 16 else np.int64
+        places = np.arange(n) // step
+        order = np.argsort(rows, axis=0, kind="stable").T                   # dimension x rank, ascending
+        values = np.take_along_axis(rows, order.T, axis=0).T
+        self.top, self.bottom = values[:, n - depth].copy(), values[:, depth - 1].copy()  # dimension x step
+        self.met = np.empty((2, *order.shape), kind)                        # from the top or bottom x dimension x row
+        np.put_along_axis(self.met[0], order, places[::-1].astype(kind)[None], axis=1)
+        np.put_along_axis(self.met[1], order, places.astype(kind)[None], axis=1)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int,
                floor: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray, int]]:
-        """(ids, scores, rows scored) of the k best rows of each query, ties to the smaller id.
+        """(ids, scores, rows met when the walk stopped) of the k best rows of each query, ties to the smaller id.
 
         Rows below ``floor`` (a score that k rows elsewhere reach) may be missing.
         """
         floor = np.full(len(queries), -np.inf) if floor is None else floor
-        return [self._walk(q, own[i], k, floor[i]) for i, q in enumerate(queries)]
-
-    def _walk(self, q: np.ndarray, own: int, k: int, floor: float):
-        n = len(self.rows)
-        up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-        if not len(up) and not len(down):  # every row scores 0
-            return (*best(self.ids, np.zeros(n), own, k), n)
-        seen, met, step, done = np.zeros(n, bool), 0, max(1, n // STEP_SHARE), 0
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        while met < n:
-            depth = min(n, done + step)
-            row = np.zeros(n, bool)
-            row[self.order[up, n - depth:n - done]] = True
-            row[self.order[down, done:depth]] = True
-            new = np.flatnonzero(row & ~seen)
-            seen[new] = True
-            met += len(new)
-            ids, scores = best(np.concatenate([ids, self.ids[new]]),
-                               np.concatenate([scores, self.rows[new] @ q]), own, k)
-            bound = q[up] @ self.values[up, n - depth] + q[down] @ self.values[down, depth - 1]
-            if bound < max(floor, scores[-1] if len(scores) == k else -np.inf):
-                break
-            done = depth
-        return ids, scores, met
+        out = []
+        for lo in range(0, len(queries), CHUNK_QUERIES):
+            part = slice(lo, lo + CHUNK_QUERIES)
+            out += self._walks(queries[part], own[part], k, floor[part])
+        return out
+
+    def _walks(self, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray):
+        n, out = len(self.rows), [None] * len(queries)
+        # the best score a row that was not met by the end of a step can have
+        bounds = np.maximum(queries, 0) @ self.top + np.minimum(queries, 0) @ self.bottom
+        open_, whole = [], []
+        for i, q in enumerate(queries):
+            lists = np.concatenate([np.flatnonzero(q > 0), len(q) + np.flatnonzero(q < 0)])
+            if not len(lists) or not n:  # every row scores 0
+                out[i] = (*best(self.ids, np.zeros(n), own[i], k), n)
+                continue
+            met = self.met.reshape(-1, n)[lists].min(axis=0)
+            below = bounds[i] < floor[i]
+            last = int(met.max())
+            end = min(last, int(below.argmax()) if below.any() else last)
+            (whole if end == last and floor[i] > -np.inf else open_).append((i, met, end))
+        # walks that meet every row before the bound falls below the score to beat: all their rows at once
+        scores = queries[[i for i, _, _ in whole]] @ self.rows.T if whole else ()
+        for (i, met, end), all_scores in zip(whole, scores):
+            out[i] = self._stopped(bounds[i], met, end, np.arange(n), all_scores, own[i], k, floor[i])
+        for i, met, end in open_:
+            out[i] = self._deeper(queries[i], bounds[i], met, end, own[i], k, floor[i])
+        return out
+
+    def _deeper(self, q: np.ndarray, bound: np.ndarray, met: np.ndarray, end: int, own: int, k: int, floor: float):
+        """A walk whose rows are scored as they are met: up to ``end`` or until the bound stops it."""
+        at, scores = np.zeros(0, np.int64), np.zeros(0, q.dtype)
+        done, upto = -1, end if floor > -np.inf else min(end, FIRST_STEPS - 1)
+        while True:
+            new = np.flatnonzero((met > done) & (met <= upto) if done >= 0 else met <= upto)
+            at = np.concatenate([at, new])
+            scores = np.concatenate([scores, self.rows[new] @ q])
+            if upto == end or np.count_nonzero((scores > bound[upto]) & (self.ids[at] != own)) >= k:
+                return self._stopped(bound, met, upto, at, scores, own, k, floor)
+            done, upto = upto, min(end, 2 * upto + 1)
+
+    def _stopped(self, bound: np.ndarray, met: np.ndarray, upto: int, at: np.ndarray, scores: np.ndarray,
+                 own: int, k: int, floor: float):
+        """The result of a walk at its first step of those up to ``upto`` whose bound is below the score to
+        beat or the k-th score met; all rows met by then are among ``at``."""
+        high = np.flatnonzero(scores > bound[upto])
+        high = high[self.ids[at[high]] != own]
+        if len(high) >= k and upto:
+            # by step, the rows above its bound that were met: a row counts from its meeting and once the bound is below it
+            first = np.maximum(met[at[high]], np.searchsorted(-bound[:upto + 1], -scores[high], side="right"))
+            upto = min(upto, int(np.partition(first, k - 1)[k - 1]))
+        kept = np.flatnonzero(scores >= floor)
+        kept = kept[met[at[kept]] <= upto]
+        return (*best(self.ids[at[kept]], scores[kept], own, k), int(np.count_nonzero(met <= upto)))
 
 
 def best(ids: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -70,3 +70,48 @@ def test_score_to_beat_is_carried_into_other_blocks(spark):
     q = np.full(16, 64.0)
     ids, scores, scored = lists.search(q[None], np.array([-1]), 5, np.array([0.0]))[0]
     assert scored <= 2000 // 100 * 16 and (scores < 0).all()
+
+
+def test_walks_that_meet_a_whole_block_are_sorted_once(monkeypatch):
+    """Vectors of equal spread in 64 dimensions: the bound stops no walk, each takes some 30 steps."""
+    calls, best = [], T.best
+    monkeypatch.setattr(T, "best", lambda *a: calls.append(1) or best(*a))
+    rng = np.random.default_rng(11)
+    rows = np.floor(8 * rng.standard_normal((3000, 64)))
+    ids, own = np.arange(3000), np.arange(40)
+    lists = T.Lists(ids, rows)
+    kth = np.array([best(ids, rows @ q, i, 5)[1][-1] for i, q in enumerate(rows[:40])])
+    for floor in (None, kth - 50):
+        calls.clear()
+        for i, (found, scores, met) in enumerate(lists.search(rows[:40], own, 5, floor)):
+            want = best(ids, rows @ rows[i], i, 5)
+            assert found.tolist() == want[0].tolist() and scores.tolist() == want[1].tolist() and met == 3000
+        assert len(calls) == 40
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_walk_stops_where_single_steps_would(seed):
+    """The rows met are those of a walk that takes and judges one step at a time."""
+    rng = np.random.default_rng(seed)
+    n, d, k = int(rng.choice([40, 300, 1500])), int(rng.choice([1, 2, 3, 8])), 4
+    rows = np.floor(64 * (rng.standard_normal((n, d)) * (0.05 if seed % 2 else 1) - seed % 2))
+    ids, step = rng.permutation(2 * n)[:n], max(1, n // T.STEP_SHARE)
+    order = np.argsort(rows, axis=0, kind="stable")
+    queries = np.floor(64 * rng.standard_normal((10, d)))
+    own = rng.choice(ids, 10)
+    for floor in (np.full(10, -np.inf), np.array([np.sort(rows @ q)[-k - 1] for q in queries])):
+        for i, (found, scores, met) in enumerate(T.Lists(ids, rows).search(queries, own, k, floor)):
+            q, seen, depth, bound, beat = queries[i], set(), 0, np.inf, -np.inf
+            while len(seen) < n and bound >= beat:
+                depth = min(n, depth + step)
+                bound = 0
+                for j in range(d):
+                    part = order[n - depth:, j] if q[j] > 0 else order[:depth, j]
+                    seen |= set(part.tolist()) if q[j] else set()
+                    bound += q[j] * (rows[part[0], j] if q[j] > 0 else rows[part[-1], j])
+                met_rows = np.array(sorted(seen))
+                top = T.best(ids[met_rows], rows[met_rows] @ q, own[i], k)
+                beat = max(floor[i], top[1][-1] if len(top[1]) == k else -np.inf)
+            kept = top[1] >= floor[i]
+            assert met == len(seen)
+            assert found.tolist() == top[0][kept].tolist() and scores.tolist() == top[1][kept].tolist()
