@@ -118,43 +118,42 @@ def fill(units: DataFrame, left: DataFrame) -> DataFrame:
         b = b.withColumnRenamed("s", "_s")
         return a.join(b, F.col("s").eqNullSafe(F.col("_s")), how).drop("_s")
 
-    def with_state(rows: DataFrame) -> DataFrame:
+    def unused(state: DataFrame) -> DataFrame:
         taken = F.coalesce(F.exists("rules", by_rule), F.lit(False))
-        return by_source(rows, state, "inner").withColumn("taken", taken)
+        return by_source(units, state, "inner").filter(~taken & (F.col("words") <= F.col("left")))
 
+    small = F.col("words") * 2 <= F.col("left")
     while True:
-        pool = with_state(units).filter(~F.col("taken") & (F.col("words") <= F.col("left")))
-        small = F.col("words") * 2 <= F.col("left")
-        blocks = materialize(pool.groupBy("s", "nth").agg(
-            F.first("left").alias("left"), F.sum(F.when(small, F.col("words"))).alias("sum"),
-            F.min(F.struct("nth", "h2", "h1", "words")).alias("first")), "mix-round")
-        if blocks.isEmpty():
-            break
+        blocks = unused(state).groupBy("s", "nth").agg(
+            F.first("left").alias("most"), F.sum(F.when(small, F.col("words"))).alias("sum"),
+            F.min(F.struct("nth", "h2", "h1", "words")).alias("first"))
         order = Window.partitionBy("s").orderBy("nth")
-        walk = blocks.filter(F.col("sum").isNotNull()).withColumn("upto", F.sum("sum").over(order))
-        walk = walk.groupBy("s").agg(F.min(F.when(F.col("upto") > F.col("left"), F.col("nth"))).alias("stop"),
-                                     F.coalesce(F.max(F.when(F.col("upto") <= F.col("left"), F.col("upto"))), F.lit(0)).alias("met"))
-        walk = materialize(walk, "mix-walk")
+        walk = blocks.withColumn("upto", F.when(F.col("sum").isNotNull(), F.sum("sum").over(order)))
+        walk = walk.groupBy("s").agg(
+            F.min("first").alias("first"), F.min(F.when(F.col("upto") > F.col("most"), F.col("nth"))).alias("stop"),
+            F.coalesce(F.max(F.when(F.col("upto") <= F.col("most"), F.col("upto"))), F.lit(0)).alias("met"),
+            (F.count("sum") == 0).alias("one"))
+        # a row a source; without a text that fits, the columns of the walk are null
+        walk = materialize(by_source(state, walk, "left"), "mix-walk")
+        if walk.filter("one IS NOT NULL").isEmpty():
+            break
         # the block in which the walk ends, one a source, text by text
         upto = F.sum("words").over(Window.partitionBy("s").orderBy("h2", "h1"))
-        ends = by_source(pool.filter(small), walk, "inner").filter(F.col("nth") == F.col("stop")).withColumn("upto", upto)
+        ends = unused(walk).filter(small & (F.col("nth") == F.col("stop"))).withColumn("upto", upto)
         ends = (ends.filter(F.col("met") + F.col("upto") <= F.col("left"))
                 .groupBy("s").agg(F.max(here).alias("at"), F.max("upto").alias("more")))
-        one = blocks.groupBy("s").agg(F.min("first").alias("first"))
-        step = by_source(by_source(one, walk, "left"), ends, "left")
-        alone = F.col("met").isNull()
-        step = step.select("s", "first", "stop", "at", "met", "more", alone.alias("one"))
-        state = by_source(state, step.withColumn("stepped", F.lit(True)), "left")
+        step = by_source(walk.withColumn("stepped", F.col("one").isNotNull()), ends, "left")
         rule = F.struct((F.col("left") / 2).alias("cap"),
                         F.when(F.col("one"), F.col("first.nth").cast("bigint")).otherwise(F.col("stop").cast("bigint")).alias("stop"),
                         F.when(F.col("one"), F.struct("first.h2", "first.h1")).otherwise(F.col("at")).alias("at"),
                         F.col("one").alias("one"))
         got = F.when(F.col("one"), F.col("first.words")).otherwise(F.col("met") + F.coalesce("more", F.lit(0)))
-        state = materialize(state.select(
+        state = materialize(step.select(
             "s", F.when(F.col("stepped"), F.col("left") - got).otherwise(F.col("left")).alias("left"),
             F.when(F.col("stepped"), F.concat("rules", F.array(rule).cast(kind))).otherwise(F.col("rules")).alias("rules")),
             "mix-left")
-    return materialize(with_state(units).filter("taken").select("s", "h1", "h2"), "mix-fills")
+    taken = by_source(units, state, "inner").filter(F.exists("rules", by_rule))
+    return materialize(taken.select("s", "h1", "h2"), "mix-fills")
 
 
 def plan(rows: DataFrame, shards: int, n_blocks: int, seed: int = SEED, **options) -> tuple[DataFrame, DataFrame]:

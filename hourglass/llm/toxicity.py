@@ -12,6 +12,7 @@ scoring is map-only over whole texts.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from hourglass.llm.common import LOWER, NON_LETTERS, SubstringHash, crc_mod, map_arrow, slices, text_buffer, words
 
 SAMPLE_ROWS = 3000        # labelled documents per class (the documented training bound)
-BITS = 15                 # rows of each embedding table: 2 ** BITS
+TRAINING_BYTES = 1 << 16  # of training texts hashed together
+BITS = 15                 # rows of each embedding table: 2 ** BITS, 16 at most
 VIEWS = 4                 # whole word, first 4, first 6, last 4 bytes
 DIM = 8
 WIDTHS = (1, 2, 3)
@@ -55,6 +57,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray):
     return np.stack([_HASH.of(p, a, b) for a, b in views]), doc
 
 
+@functools.cache
 def _language_table() -> tuple[np.ndarray, np.ndarray, list[str]]:
     langs = sorted(FUNCTION_WORDS)
     pairs: dict[int, set] = {}
@@ -80,7 +83,7 @@ def guess_language(hashes: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarr
 
 
 def table_rows(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    return (hashes >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
 @dataclass
@@ -122,18 +125,33 @@ class ConvClassifier:
                     place[owner[lo], cols] = ok[lo + conv[lo:hi].argmax(0)]
         return best, place
 
-    def logits(self, hashes: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
-        best, _ = self.pool(self.embed(table_rows(hashes)), doc, n_docs)
+    def logits(self, rows: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+        best, _ = self.pool(self.embed(rows), doc, n_docs)
         return np.maximum(best + self.bias, 0) @ self.out + self.out_bias
 
     def scores(self, data: np.ndarray, offsets: np.ndarray):
         n = len(offsets) - 1
         hashes, doc = word_hashes(data, offsets)
         lang = guess_language(hashes, doc, n)
-        z = self.logits(hashes, doc, n) - self.threshold[lang]
+        z = self.logits(table_rows(hashes), doc, n) - self.threshold[lang]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30))), lang
 
 
+def training_rows(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(table rows of each text's words, index of its guessed language).
+
+    The driver holds the sample as 2 bytes a word and view; hashes are made for a few texts at a time.
+    """
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    rows, langs = [], []
+    for lo, hi in slices(offsets, TRAINING_BYTES):
+        data = np.frombuffer("".join(texts[lo:hi]).encode(), np.uint8)
+        hashes, doc = word_hashes(data, offsets[lo:hi + 1] - offsets[lo])
+        rows += np.split(table_rows(hashes), np.searchsorted(doc, np.arange(1, hi - lo)), axis=1)
+        langs.append(guess_language(hashes, doc, hi - lo))
+    return rows, np.concatenate(langs)
+
+
 def train(texts: list[str], labels: list[int], seed: int = 5) -> ConvClassifier:
     """Adagrad on the logistic loss; classes are weighted evenly. Deterministic for a given order."""
     rng = np.random.default_rng(seed)
@@ -147,10 +165,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> ConvClassifier:
         model.out[:] = 0
         model.out_bias = 5.0 if labels and labels[0] else -5.0
         return model
-    docs = []
-    for t in texts:
-        raw = np.frombuffer(t.encode(), np.uint8)
-        docs.append(word_hashes(raw, np.array([0, len(raw)]))[0])
+    docs, langs = training_rows(texts)
     y = np.asarray(labels, np.float32)
     fits = np.arange(len(docs)) % CALIBRATION_SHARE != 0
     if len(set(y[fits])) < 2:
@@ -164,13 +179,13 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> ConvClassifier:
         for lo in range(0, len(order), BATCH):
             _step(model, squares, [docs[i] for i in order[lo:lo + BATCH]], y[order[lo:lo + BATCH]],
                   weight[order[lo:lo + BATCH]], rate=0.1 / (1 + 3 * epoch / epochs))
-    _calibrate(model, docs, y, ~fits if (~fits).any() else fits)
+    _calibrate(model, docs, langs, y, ~fits if (~fits).any() else fits)
     return model
 
 
 def _step(model: ConvClassifier, squares: list, docs: list, y: np.ndarray, weight: np.ndarray, rate: float) -> None:
     n = len(docs)
-    index = table_rows(np.concatenate(docs, axis=1))
+    index = np.concatenate(docs, axis=1)
     doc = np.repeat(np.arange(n), [d.shape[1] for d in docs])
     emb = model.embed(index)
     best, place = model.pool(emb, doc, n, with_places=True)
@@ -211,12 +226,12 @@ def _adagrad(x: np.ndarray, square: np.ndarray, g: np.ndarray, rate: float) -> N
     x -= (rate * g / np.sqrt(square)).astype(x.dtype)
 
 
-def _calibrate(model: ConvClassifier, docs: list, y: np.ndarray, use: np.ndarray) -> None:
+def _calibrate(model: ConvClassifier, docs: list, langs: np.ndarray, y: np.ndarray, use: np.ndarray) -> None:
     """Threshold by language: fewest errors on the calibration documents, middle of the best gap."""
     chosen = np.flatnonzero(use)
-    hashes = np.concatenate([docs[i] for i in chosen], axis=1)
+    rows = np.concatenate([docs[i] for i in chosen], axis=1)
     doc = np.repeat(np.arange(len(chosen)), [docs[i].shape[1] for i in chosen])
-    z, lang, t = model.logits(hashes, doc, len(chosen)), guess_language(hashes, doc, len(chosen)), y[chosen]
+    z, lang, t = model.logits(rows, doc, len(chosen)), langs[chosen], y[chosen]
     common = best_threshold(z, t)
     for k in range(len(model.threshold)):
         own = lang == k

@@ -1,6 +1,9 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from hourglass.llm import mixing as M
+from hourglass.session import materialize
 
 
 def test_a_long_document_does_not_end_the_mix(spark):
@@ -22,3 +25,14 @@ def test_a_long_document_does_not_end_the_mix(spark):
             left = t - taken[s]
             assert left >= -1e-6
             assert not unused[s] or left < min(unused[s]), (s, left, sorted(unused[s])[:3])
+
+
+def test_two_writes_a_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(M, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    units = spark.createDataFrame([("a", n, n, n, 100 - n) for n in range(40)], "s string, nth int, h1 long, h2 long, words long")
+    got = M.fill(units, spark.createDataFrame([("a", 333)], "s string, left long"))
+    taken = got.join(units, ["s", "h1", "h2"]).agg(F.sum("words")).first()[0]
+    assert 0 <= 333 - taken < 100
+    rounds = written.count("mix-walk") - 1  # the last one finds nothing to take
+    assert rounds > 1 and len(written) == 2 * rounds + 4

@@ -62,3 +62,15 @@ def test_training_is_deterministic_and_finds_a_word():
     ends = lambda x: np.array([0, len(x)])
     assert a.scores(raw, ends(raw))[0][0] > 0.5 > a.scores(clean, ends(clean))[0][0]
     assert a.scores(raw, ends(raw))[0][0] == b.scores(raw, ends(raw))[0][0]
+
+
+def test_training_holds_two_bytes_a_word_and_view():
+    texts = ["der Hund und die Katze", "12 ?!", "été où", *[f"the word{i} of " * 4000 for i in range(5)], "end"]
+    rows, langs = T.training_rows(texts)
+    assert len(rows) == len(langs) == len(texts)
+    for text, got, lang in zip(texts, rows, langs):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        hashes, doc = T.word_hashes(raw, np.array([0, len(raw)]))
+        assert (got == (hashes >> np.uint64(64 - T.BITS))).all() and got.shape == hashes.shape
+        assert lang == T.guess_language(hashes, doc, 1)[0]
+    assert sum(r.nbytes for r in rows) == sum(2 * r.size for r in rows)
