@@ -212,7 +212,7 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, pe
     buckets = max(1, -(-pairs.count() // PAIRS_A_BUCKET))
     bucket = F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("splits"))), F.lit(buckets))
     pairs = pairs.join(groups, "a").select("a", "b", bucket.alias("bucket"))
-    ends = pairs.select("bucket", F.col("a").alias("cid")).unionByName(pairs.select("bucket", F.col("b").alias("cid")))
+    ends = pairs.select("bucket", F.explode(F.array("a", "b")).alias("cid"))
     to = (ends.distinct()
           .join(classes.select("cid", "k1", "k2"), "cid"))
     to = materialize(to, "ngram-wanted")
@@ -243,8 +243,10 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, pe
                 out.append((a, b))
         a, b = zip(*out) if out else ((), ())
         return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-    return materialize(pairs.groupBy("bucket").cogroup(dealt.groupBy("to")).applyInArrow(compare, "a long, b long"),
-                       "ngram-links")
+    links = materialize(pairs.groupBy("bucket").cogroup(dealt.groupBy("to")).applyInArrow(compare, "a long, b long"),
+                        "ngram-links")
+    bits.destroy()  # else the driver keeps one of each call
+    return links
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
